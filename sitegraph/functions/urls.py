@@ -176,7 +176,7 @@ def embedded_url(url: Column) -> Column:
     vals = F.transform(params, lambda p: F.when(p.startswith("url="),
                                                 F.regexp_replace(F.substring(p, 5, 1 << 30), "=+$", "")))
     hits = F.filter(vals, lambda v: (v != "") & ~v.contains("="))
-    v = F.try_url_decode(F.element_at(hits, 1))
+    v = F.try_url_decode(F.try_element_at(hits, F.lit(1)))
     return F.when((q != "") & (F.size(hits) > 0) & v.isNotNull(), v).otherwise(url)
 
 

@@ -218,3 +218,199 @@ def q_element_counts(spark, sf):
     arr = F.array(*[F.struct(F.lit(t).alias("tag"), S.element_count(F.col("c"), t).alias("n"))
                     for t in COUNT_SELECTORS])
     return df.select("page_id", F.inline(arr))
+
+
+# ------------------------------------------------------------------ meta
+@register("page_meta_tags", with_ctes(FX.PAGES_PLUS) + f"""
+, m AS (
+  SELECT page_id, url, unnest(tags) AS t, unnest(range(1, len(tags) + 1)) AS o
+  FROM (SELECT page_id, url, {D.start_tags(D.clean_html('html'), 'meta')} AS tags FROM pplus) s),
+a AS (
+  SELECT page_id, url, o, coalesce({D.attr('t', 'name')}, '') AS nm,
+         coalesce({D.attr('t', 'property')}, '') AS pr, coalesce({D.attr('t', 'content')}, '') AS content
+  FROM m)
+SELECT page_id, url, (row_number() OVER (PARTITION BY page_id ORDER BY o) - 1)::BIGINT AS pos,
+       CASE WHEN pr = '' THEN nm END AS name, CASE WHEN pr <> '' THEN pr END AS property, content
+FROM a WHERE (nm <> '' OR pr <> '') AND content <> ''
+""")
+def q_page_meta_tags(spark, sf):
+    from sitegraph.operators import meta as M
+    return M.page_meta_tags(T.pages_plus(spark, sf))
+
+
+# ---------------------------------------------------------------- robots
+USER_AGENT = "testbot"
+
+
+def _robots_rules_sql() -> str:
+    tj = r"'^[\x00-\x20]+|[\x00-\x20]+$'"
+    return f"""
+rlines AS (
+  SELECT origin, line_no, line, lower(line) AS low FROM (
+    SELECT origin, o AS line_no, regexp_replace(raw, {tj}, '', 'g') AS line FROM (
+      SELECT origin, unnest(string_split(body, chr(10))) AS raw,
+             unnest(range(0, len(string_split(body, chr(10))))) AS o FROM robots) s) s2
+  WHERE line <> '' AND NOT starts_with(line, '#')),
+rflag AS (
+  SELECT *, CASE WHEN starts_with(low, 'user-agent:') THEN
+      (regexp_replace(line[12:], {tj}, '', 'g') = '*'
+       OR lower(regexp_replace(line[12:], {tj}, '', 'g')) = {D.q(USER_AGENT)}) END AS ua
+  FROM rlines),
+rok AS (
+  SELECT *, coalesce(last_value(ua IGNORE NULLS) OVER (PARTITION BY origin ORDER BY line_no
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS agent_ok FROM rflag),
+rules AS (
+  SELECT origin, line_no,
+         CASE WHEN starts_with(low, 'disallow:') THEN 'disallow' WHEN starts_with(low, 'allow:') THEN 'allow' END AS rule,
+         CASE WHEN starts_with(low, 'disallow:') THEN regexp_replace(line[10:], {tj}, '', 'g')
+              ELSE regexp_replace(line[7:], {tj}, '', 'g') END AS path
+  FROM rok WHERE agent_ok AND ua IS NULL
+    AND (starts_with(low, 'disallow:') OR starts_with(low, 'allow:')))"""
+
+
+def _robots_allowed_sql(urls_cte: str) -> str:
+    """``urls_cte`` defines ``u(page_id, url)``; yields ``ra(page_id, url, allowed)``."""
+    return f"""{urls_cte},
+uo AS (SELECT page_id, url, {D.origin('url')} AS o FROM u),
+hits AS (
+  SELECT uo.page_id, min(r.line_no) AS first_line FROM uo JOIN rules r ON r.origin = uo.o
+  WHERE (r.rule = 'disallow' AND (r.path = '' OR starts_with(uo.url, concat(r.origin, r.path))))
+     OR (r.rule = 'allow' AND starts_with(uo.url, concat(r.origin, r.path)))
+  GROUP BY uo.page_id),
+ra AS (
+  SELECT uo.page_id, uo.url, coalesce(r.rule = 'allow', true) AS allowed
+  FROM uo LEFT JOIN hits h ON h.page_id = uo.page_id
+  LEFT JOIN rules r ON r.origin = uo.o AND r.line_no = h.first_line)"""
+
+
+@register("robots_allowed", with_ctes(FX.ROBOTS, _robots_rules_sql(),
+                                      _robots_allowed_sql("u AS (SELECT page_id, url FROM pages)"))
+          + "SELECT page_id, url, allowed FROM ra")
+def q_robots_allowed(spark, sf):
+    from sitegraph.operators import robots as R
+    p = T.pages(spark, sf)
+    return R.robots_allowed(p.select("page_id", "url"), T.robots_bodies(p), USER_AGENT)
+
+
+@register("robots_page_status", with_ctes(FX.ROBOTS, _robots_rules_sql(),
+                                          _robots_allowed_sql("u AS (SELECT page_id, url FROM pages)"))
+          + "SELECT page_id, url, CASE WHEN allowed THEN 'ok' ELSE 'disallowed' END AS status FROM ra")
+def q_robots_page_status(spark, sf):
+    from sitegraph.operators import robots as R
+    p = T.pages(spark, sf)
+    return R.robots_page_status(p.select("page_id", "url"), T.robots_bodies(p), USER_AGENT)
+
+
+# ----------------------------------------------------------------- crawl
+CRAWL_DEPTH = 3
+REFERRER = "https://referrer.example/"
+
+
+def _crawl_inputs(spark, sf):
+    pp = T.pages_plus(spark, sf)
+    store = T.page_status(pp.select("page_id", "url", "html"))
+    roots = pp.where("rn = 0").select(F.col("url").alias("root_url"))
+    return pp, store, roots
+
+
+def _crawl(spark, sf, restrict=False, depth=CRAWL_DEPTH, robots=False):
+    from sitegraph.plans import crawl as C
+    pp, store, roots = _crawl_inputs(spark, sf)
+    opts = C.CrawlOptions(max_depth=depth, restrict=restrict, referrer=REFERRER,
+                          enforce_robots=robots, user_agent=USER_AGENT if robots else None,
+                          delay_ms=250)
+    rb = T.robots_bodies(pp) if robots else None
+    return C.crawl(store, roots, opts, rb), opts
+
+
+def _crawl_sql(restrict=False, depth=CRAWL_DEPTH) -> str:
+    kinds = ["internal"] if restrict else ["internal", "external", "iframe"]
+    pstat = """pstat AS (
+  SELECT page_id, url, html,
+         CASE WHEN page_id % 13 = 5 THEN 404 WHEN page_id % 17 = 3 THEN 500 ELSE 200 END AS status
+  FROM pplus)"""
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in [FX.PAGES_PLUS, pstat]) + f""",
+gk AS (SELECT {D.clean_url('url')} AS key, min(page_id) AS page_id FROM pstat GROUP BY 1),
+g AS (SELECT gk.key, gk.page_id, p.status = 200 AS valid, p.html FROM gk JOIN pstat p ON p.page_id = gk.page_id
+      WHERE gk.key IS NOT NULL),
+gsrc AS (SELECT page_id, key AS url, html FROM g),
+cedges AS (SELECT DISTINCT url AS src, {D.clean_url('link')} AS dst
+          FROM ({_sql_links('gsrc', kinds)}) z WHERE {D.clean_url('link')} IS NOT NULL),
+roots AS (SELECT url AS root_url, {D.clean_url('url')} AS url FROM pplus WHERE rn = 0),
+walk(root_url, url, depth) AS (
+  SELECT root_url, url, 0 FROM roots
+  UNION
+  SELECT w.root_url, e.dst, w.depth + 1 FROM walk w
+  JOIN g ON g.key = w.url AND g.valid JOIN cedges e ON e.src = w.url WHERE w.depth < {depth}),
+nodes AS (SELECT root_url, url, min(depth) AS depth FROM walk GROUP BY root_url, url),
+parents AS (
+  SELECT n.root_url, n.url, min(p.url) AS parent_url FROM nodes n
+  JOIN nodes p ON p.root_url = n.root_url AND p.depth = n.depth - 1
+  JOIN g ON g.key = p.url AND g.valid
+  JOIN cedges e ON e.src = p.url AND e.dst = n.url
+  GROUP BY n.root_url, n.url),
+cn AS (
+  SELECT n.root_url, n.url, n.depth, pa.parent_url, g.page_id,
+         CASE WHEN coalesce(g.valid, false) THEN 'ok' ELSE 'failed' END AS status
+  FROM nodes n LEFT JOIN parents pa ON pa.root_url = n.root_url AND pa.url = n.url
+  LEFT JOIN g ON g.key = n.url)
+"""
+
+
+@register("crawl_tree", _crawl_sql() +
+          "SELECT root_url, url, depth, parent_url, coalesce(page_id, -1) AS page_id, status FROM cn")
+def q_crawl_tree(spark, sf):
+    nodes, _ = _crawl(spark, sf)
+    return nodes.select("root_url", "url", "depth", "parent_url",
+                        F.coalesce("page_id", F.lit(-1).cast("bigint")).alias("page_id"), "status")
+
+
+@register("crawl_depth", _crawl_sql(restrict=True, depth=6)
+          + "SELECT root_url, url, depth, parent_url FROM cn")
+def q_crawl_depth(spark, sf):
+    nodes, _ = _crawl(spark, sf, restrict=True, depth=6)
+    return nodes.select("root_url", "url", "depth", "parent_url")
+
+
+@register("request_plan", _crawl_sql() + f"""
+SELECT root_url, url, depth, CASE WHEN depth = 0 THEN {D.q(REFERRER)} ELSE parent_url END AS referrer FROM cn""")
+def q_request_plan(spark, sf):
+    from sitegraph.plans import crawl as C
+    nodes, _ = _crawl(spark, sf)
+    return C.request_plan(nodes)
+
+
+@register("politeness_plan", _crawl_sql() + """
+SELECT root_url, url, depth,
+       ((row_number() OVER (PARTITION BY root_url ORDER BY depth, url) - 1) * 250)::BIGINT AS start_ms FROM cn""")
+def q_politeness_plan(spark, sf):
+    from sitegraph.plans import crawl as C
+    nodes, opts = _crawl(spark, sf)
+    return C.politeness_plan(nodes, opts.delay_ms)
+
+
+@register("site_children", _crawl_sql() + """
+SELECT root_url, parent_url, url AS child_url,
+       (row_number() OVER (PARTITION BY root_url, parent_url ORDER BY url) - 1)::BIGINT AS ord
+FROM cn WHERE parent_url IS NOT NULL""")
+def q_site_children(spark, sf):
+    from sitegraph.plans import sitemap as SM
+    nodes, _ = _crawl(spark, sf)
+    return SM.site_children(nodes)
+
+
+@register("site_tree_json")
+def q_site_tree_json(spark, sf):
+    from sitegraph.plans import sitemap as SM
+    nodes, _ = _crawl(spark, sf)
+    nodes = nodes.withColumn("file_name", F.when(F.col("status") == "ok", F.concat(
+        U_sanitize(F.col("title")), F.lit("_"), F.lit(RUN_TS), F.lit(".json"))))
+    return SM.site_tree_json(nodes)
+
+
+RUN_TS = "20260101000000000"
+
+
+def U_sanitize(c):
+    from sitegraph.functions import urls as U
+    return U.sanitize_file_name(c)

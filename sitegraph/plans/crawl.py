@@ -144,8 +144,11 @@ def crawl_nodes(graph: DataFrame, roots: DataFrame, opts: CrawlOptions,
 
 def crawl(store: DataFrame, roots: DataFrame, opts: CrawlOptions,
           robots: DataFrame | None = None) -> DataFrame:
-    """Full crawl from a page store (``page_id, url, html[, status]``)."""
-    return crawl_nodes(page_graph(store, opts), roots, opts, robots)
+    """Full crawl from a page store (``page_id, url, html[, status]``).
+
+    The page graph is materialised once, so the level loop reads only keys
+    and out-link arrays, never the HTML."""
+    return crawl_nodes(_save(page_graph(store, opts)), roots, opts, robots)
 
 
 def site_map_nodes(nodes: DataFrame, opts: CrawlOptions) -> DataFrame:

@@ -323,13 +323,15 @@ def _crawl(spark, sf, restrict=False, depth=CRAWL_DEPTH, robots=False):
     return C.crawl(store, roots, opts, rb), opts
 
 
-def _crawl_sql(restrict=False, depth=CRAWL_DEPTH) -> str:
+def _crawl_sql(restrict=False, depth=CRAWL_DEPTH, robots=False) -> str:
     kinds = ["internal"] if restrict else ["internal", "external", "iframe"]
     pstat = """pstat AS (
   SELECT page_id, url, html,
          CASE WHEN page_id % 13 = 5 THEN 404 WHEN page_id % 17 = 3 THEN 500 ELSE 200 END AS status
   FROM pplus)"""
-    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in [FX.PAGES_PLUS, pstat]) + f""",
+    ctes = [FX.PAGES_PLUS, pstat] + ([FX.ROBOTS, _robots_rules_sql()] if robots else [])
+    rb_join = "JOIN ra ON ra.url = w.url AND ra.allowed" if robots else ""
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + f""",
 gk AS (SELECT {D.clean_url('url')} AS key, min(page_id) AS page_id FROM pstat GROUP BY 1),
 g AS (SELECT gk.key, gk.page_id, p.status = 200 AS valid, p.html FROM gk JOIN pstat p ON p.page_id = gk.page_id
       WHERE gk.key IS NOT NULL),
@@ -337,23 +339,37 @@ gsrc AS (SELECT page_id, key AS url, html FROM g),
 cedges AS (SELECT DISTINCT url AS src, {D.clean_url('link')} AS dst
           FROM ({_sql_links('gsrc', kinds)}) z WHERE {D.clean_url('link')} IS NOT NULL),
 roots AS (SELECT url AS root_url, {D.clean_url('url')} AS url FROM pplus WHERE rn = 0),
+{_robots_allowed_sql("""u AS (SELECT row_number() OVER (ORDER BY url) AS page_id, url FROM (
+  SELECT key AS url FROM g UNION SELECT dst FROM cedges UNION SELECT url FROM roots) x)""") if robots
+  else "ra AS (SELECT NULL AS url, true AS allowed)"},
 walk(root_url, url, depth) AS (
   SELECT root_url, url, 0 FROM roots
   UNION
   SELECT w.root_url, e.dst, w.depth + 1 FROM walk w
-  JOIN g ON g.key = w.url AND g.valid JOIN cedges e ON e.src = w.url WHERE w.depth < {depth}),
+  JOIN g ON g.key = w.url AND g.valid JOIN cedges e ON e.src = w.url {rb_join} WHERE w.depth < {depth}),
 nodes AS (SELECT root_url, url, min(depth) AS depth FROM walk GROUP BY root_url, url),
 parents AS (
   SELECT n.root_url, n.url, min(p.url) AS parent_url FROM nodes n
   JOIN nodes p ON p.root_url = n.root_url AND p.depth = n.depth - 1
   JOIN g ON g.key = p.url AND g.valid
   JOIN cedges e ON e.src = p.url AND e.dst = n.url
+  {rb_join.replace("w.url", "p.url")}
   GROUP BY n.root_url, n.url),
 cn AS (
   SELECT n.root_url, n.url, n.depth, pa.parent_url, g.page_id,
-         CASE WHEN coalesce(g.valid, false) THEN 'ok' ELSE 'failed' END AS status
+         coalesce(g.valid, false) AS valid, coalesce(ra.allowed, true) AS allowed,
+         CASE WHEN NOT coalesce(ra.allowed, true) THEN 'disallowed'
+              WHEN coalesce(g.valid, false) THEN 'ok' ELSE 'failed' END AS status
   FROM nodes n LEFT JOIN parents pa ON pa.root_url = n.root_url AND pa.url = n.url
-  LEFT JOIN g ON g.key = n.url)
+  LEFT JOIN g ON g.key = n.url LEFT JOIN ra ON ra.url = n.url),
+mn AS (
+  SELECT * FROM cn WHERE CASE WHEN depth = 0 THEN valid OR (NOT allowed AND ({depth} > 0 OR valid))
+                              ELSE valid AND allowed END),
+pth(root_url, url, sort_key) AS (
+  SELECT root_url, url, url FROM cn WHERE depth = 0
+  UNION ALL
+  SELECT c.root_url, c.url, concat(p.sort_key, chr(1), c.url) FROM pth p
+  JOIN cn c ON c.root_url = p.root_url AND c.parent_url = p.url)
 """
 
 
@@ -414,3 +430,44 @@ RUN_TS = "20260101000000000"
 def U_sanitize(c):
     from sitegraph.functions import urls as U
     return U.sanitize_file_name(c)
+
+
+# --------------------------------------------------------------- sitemap
+def _map(spark, sf):
+    from sitegraph.plans import crawl as C
+    nodes, opts = _crawl(spark, sf, robots=True)
+    return C.site_map_nodes(nodes, opts), opts
+
+
+@register("site_map", _crawl_sql(robots=True) + f"""
+SELECT root_url, url AS loc, depth, {D.priority('depth')} AS priority FROM mn""")
+def q_site_map(spark, sf):
+    from sitegraph.plans import sitemap as SM
+    m, _ = _map(spark, sf)
+    return SM.sitemap_entries(m).select("root_url", "loc", "depth", "priority")
+
+
+@register("sitemap_xml", _crawl_sql(robots=True) + f"""
+SELECT mn.root_url, p.sort_key, concat('  <url>', chr(10), '    <loc>', {D.escape_xml('mn.url')}, '</loc>', chr(10),
+       '    <priority>', {D.priority('mn.depth')}, '</priority>', chr(10), '  </url>', chr(10)) AS xml
+FROM mn JOIN pth p ON p.root_url = mn.root_url AND p.url = mn.url""")
+def q_sitemap_xml(spark, sf):
+    from sitegraph.plans import sitemap as SM
+    m, _ = _map(spark, sf)
+    return SM.sitemap_entries(m).select("root_url", "sort_key", "xml")
+
+
+@register("sitemap_summary", _crawl_sql(robots=True) + f"""
+SELECT root_url, count(*)::BIGINT AS url_count, {CRAWL_DEPTH} AS max_depth, max(depth)::INTEGER AS reached_depth
+FROM mn GROUP BY root_url""")
+def q_sitemap_summary(spark, sf):
+    from sitegraph.plans import sitemap as SM
+    m, opts = _map(spark, sf)
+    return SM.sitemap_summary(m, opts.max_depth)
+
+
+@register("crawl_robots", _crawl_sql(robots=True) +
+          "SELECT root_url, url, depth, parent_url, status FROM cn")
+def q_crawl_robots(spark, sf):
+    nodes, _ = _crawl(spark, sf, robots=True)
+    return nodes.select("root_url", "url", "depth", "parent_url", "status")

@@ -44,13 +44,16 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
         tags = selectors if selectors else P.DEFAULT_COUNT_TAGS
         cols += [S.element_count(F.col("_clean"), t).alias(count_column_name(t)) for t in tags]
         cols += [c.alias(k) for k, c in L.link_counts(F.col("_links")).items()]
-        if selectors:
-            from sitegraph.operators import content as C
-            text = C.selected_text_column(F.col("_clean"), selectors)
-        else:
-            text = H.text_of(F.col("_clean"))
-        cols.append(H.word_count(text).alias("word_count"))
+        if not selectors:
+            cols.append(H.word_count(H.text_of(F.col("_clean"))).alias("word_count"))
     if with_link_sets and want_links:
         sets = L.link_sets(F.col("_links"))
         cols += [sets[k].alias(f"{k}_links") for k in want_links]
-    return df.select(*cols)
+    out = df.select(*cols)
+    if want_counts and selectors:
+        # words of the selected elements' text (needs the token plan)
+        from sitegraph.operators import content as C
+        words = C.selected_text(pages_df, selectors).select(
+            "page_id", H.word_count(F.col("content")).alias("word_count"))
+        out = out.join(words, "page_id")
+    return out

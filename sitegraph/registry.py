@@ -471,3 +471,132 @@ def q_sitemap_summary(spark, sf):
 def q_crawl_robots(spark, sf):
     nodes, _ = _crawl(spark, sf, robots=True)
     return nodes.select("root_url", "url", "depth", "parent_url", "status")
+
+
+# ------------------------------------------------------- tokens, content
+TEXT_SELECTORS = ["h1", "div.ad", "p", "article"]
+HTML_SELECTORS = ["main", "article", "div"]
+
+
+def _tokens_sql(src: str) -> str:
+    from sitegraph.operators import tokens as TK
+    void = ", ".join(D.q(t) for t in TK.VOID_TAGS)
+    name = "lower(regexp_extract(tok, '^</?([a-zA-Z][a-zA-Z0-9:-]*)', 1))"
+    kind = (f"CASE WHEN starts_with(tok, '<!--') THEN 'comment' "
+            f"WHEN regexp_matches(tok, '(?is)^<(script|style)[ \t\n\r\f/>]') AND ends_with(tok, '>') "
+            f"AND regexp_matches(tok, '(?is)</(script|style)[ \t\n\r\f]*>$') THEN 'raw' "
+            f"WHEN regexp_matches(tok, '^</[a-zA-Z]') THEN 'close' "
+            f"WHEN regexp_matches(tok, '^<[a-zA-Z]') AND {name} IN ({void}) THEN 'void' "
+            f"WHEN regexp_matches(tok, '^<[a-zA-Z]') THEN 'open' "
+            f"WHEN regexp_matches(tok, '^<[!?]') AND ends_with(tok, '>') THEN 'decl' ELSE 'text' END")
+    return f"""
+tk0 AS (
+  SELECT page_id, len(t) - 1 AS last_pos, unnest(t) AS tok, unnest(range(0, len(t))) AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, {D.q(TK.TOKEN_RE_RE2)}, 0) AS t FROM {src}) s),
+tk1 AS (SELECT *, {kind} AS kind FROM tk0),
+tk AS (
+  SELECT *, CASE WHEN kind IN ('open', 'close', 'void', 'raw') THEN {name} END AS tag,
+         coalesce(sum(length(tok)) OVER (PARTITION BY page_id ORDER BY pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_char
+  FROM tk1),
+tt AS (
+  SELECT *, CASE WHEN kind = 'open' THEN depth ELSE depth + 1 END AS level FROM (
+    SELECT *, sum(CASE WHEN kind = 'open' THEN 1 ELSE -1 END) OVER (PARTITION BY page_id, tag ORDER BY pos
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth
+    FROM tk WHERE kind IN ('open', 'close')) s),
+tt2 AS (
+  SELECT *, lead(kind) OVER (PARTITION BY page_id, tag, level ORDER BY pos) AS nl_kind,
+            lead(pos) OVER (PARTITION BY page_id, tag, level ORDER BY pos) AS nl_pos,
+            lead(kind) OVER (PARTITION BY page_id, tag ORDER BY pos) AS nt_kind,
+            lead(pos) OVER (PARTITION BY page_id, tag ORDER BY pos) AS nt_pos FROM tt),
+sp AS (
+  SELECT page_id, tag, pos AS start_pos,
+         coalesce(CASE WHEN tag = 'p' THEN (CASE WHEN nt_kind = 'close' THEN nt_pos
+                                                 WHEN nt_kind = 'open' THEN nt_pos - 1 END)
+                       ELSE (CASE WHEN nl_kind = 'close' THEN nl_pos END) END, last_pos) AS end_pos, tok
+  FROM tt2 WHERE kind = 'open'
+  UNION ALL
+  SELECT page_id, tag, pos, pos, tok FROM tk WHERE kind = 'void')"""
+
+
+def _sel_pred_sql(sel: str) -> str:
+    from sitegraph.functions import selectors as S
+    out = []
+    for s in S.parse(sel):
+        c = ["true"]
+        if s.tag and s.tag != "*":
+            c.append(f"{D.tag_name('tok')} = {D.q(s.tag)}")
+        if s.cls:
+            c.append(f"list_contains(string_split_regex(trim(coalesce({D.attr('tok', 'class')}, '')), "
+                     f"'[ \t\n\r\f]+'), {D.q(s.cls)})")
+        if s.id:
+            c.append(f"coalesce({D.attr('tok', 'id')}, '') = {D.q(s.id)}")
+        if s.attr:
+            v = D.attr("tok", s.attr)
+            c.append(f"{v} IS NOT NULL" if s.val is None else f"{v} = {D.q(s.val)}")
+        out.append("(" + " AND ".join(c) + ")")
+    return "(" + " OR ".join(out) + ")"
+
+
+def _cands_sql(selectors) -> str:
+    parts = [f"SELECT DISTINCT page_id, {i} AS si, start_pos, end_pos FROM sp WHERE {_sel_pred_sql(s)}"
+             for i, s in enumerate(selectors)]
+    return "cand AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def _selected_text_sql(src: str, selectors) -> str:
+    ms = ", ".join(f"max(CASE WHEN si <= {s} THEN end_pos END) OVER (PARTITION BY page_id ORDER BY start_pos "
+                   f"RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m{s}" for s in range(len(selectors)))
+    pick = "CASE " + " ".join(f"WHEN si = {s} THEN m{s}" for s in range(len(selectors))) + " END"
+    return f""",
+{_cands_sql(selectors)},
+km AS (SELECT *, {ms} FROM cand),
+kept AS (SELECT page_id, si, start_pos, end_pos FROM km WHERE {pick} IS NULL OR {pick} < end_pos),
+el AS (
+  SELECT k.page_id, k.si, k.start_pos, string_agg(t.tok, '' ORDER BY t.pos) AS markup
+  FROM kept k JOIN tk t ON t.page_id = k.page_id AND t.pos BETWEEN k.start_pos AND k.end_pos
+  GROUP BY k.page_id, k.si, k.start_pos),
+seltext AS (
+  SELECT p.page_id, coalesce(trim(x.content), '') AS content FROM {src} p LEFT JOIN (
+    SELECT page_id, string_agg({D.text_of(D.clean_html('markup'))}, ' ' ORDER BY si, start_pos) AS content
+    FROM el GROUP BY page_id) x ON x.page_id = p.page_id)"""
+
+
+@register("content_text_tags", "WITH " + _tokens_sql("pages").strip() + _selected_text_sql("pages", TEXT_SELECTORS)
+          + "\nSELECT page_id, content FROM seltext")
+def q_content_text_tags(spark, sf):
+    from sitegraph.operators import content as C
+    return C.selected_text(T.pages(spark, sf), TEXT_SELECTORS)
+
+
+def _first_html_sql(src: str, selectors) -> str:
+    return f""",
+{_cands_sql(selectors)},
+fc AS (SELECT page_id, arg_min(start_pos, (si, start_pos)) AS s, arg_min(end_pos, (si, start_pos)) AS e
+       FROM cand GROUP BY page_id),
+fm AS (SELECT fc.page_id, string_agg(t.tok, '' ORDER BY t.pos) AS m FROM fc
+       JOIN tk t ON t.page_id = fc.page_id AND t.pos BETWEEN fc.s AND fc.e GROUP BY fc.page_id),
+firsthtml AS (SELECT p.page_id, coalesce(fm.m, p.html) AS content FROM {src} p LEFT JOIN fm ON fm.page_id = p.page_id)"""
+
+
+@register("content_html", "WITH " + _tokens_sql("pages").strip() + _first_html_sql("pages", HTML_SELECTORS)
+          + "\nSELECT page_id, content FROM firsthtml")
+def q_content_html(spark, sf):
+    from sitegraph.operators import content as C
+    return C.first_match_html(T.pages(spark, sf), HTML_SELECTORS)
+
+
+@register("page_content", with_ctes(_sql_text_cte("pages")) +
+          f"SELECT page_id, url, {D.title_of('c')} AS title, {D.text_of('c')} AS content FROM ptext")
+def q_page_content(spark, sf):
+    from sitegraph.operators import content as C
+    return C.page_content(T.pages(spark, sf), "text")
+
+
+@register("page_content_tags", "WITH " + _tokens_sql("pages").strip() + _selected_text_sql("pages", TEXT_SELECTORS)
+          + f""",
+{_sql_text_cte('pages')}
+SELECT p.page_id, p.url, {D.title_of('p.c')} AS title, s.content FROM ptext p JOIN seltext s ON s.page_id = p.page_id""")
+def q_page_content_tags(spark, sf):
+    from sitegraph.operators import content as C
+    return C.page_content(T.pages(spark, sf), "text", TEXT_SELECTORS)

@@ -600,3 +600,121 @@ SELECT p.page_id, p.url, {D.title_of('p.c')} AS title, s.content FROM ptext p JO
 def q_page_content_tags(spark, sf):
     from sitegraph.operators import content as C
     return C.page_content(T.pages(spark, sf), "text", TEXT_SELECTORS)
+
+
+# -------------------------------------------------------------- markdown
+def _markdown_sql(src_tokens_cte: str) -> str:
+    """CTE chain over ``tk`` ending in ``mdout(page_id, markdown)``."""
+    from sitegraph.operators import markdown as MD
+    w = "(PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+    def run(cond):
+        return f"sum(CASE WHEN {cond} THEN 1 ELSE 0 END) OVER {w}"
+
+    def cmap(d):
+        return "CASE tag " + " ".join(f"WHEN {D.q(k)} THEN {D.q(v)}" for k, v in sorted(d.items())) + " ELSE '' END"
+
+    pre_map = cmap({k: v[0] for k, v in MD.RULES.items()})
+    suf_map = cmap({k: v[1] for k, v in MD.RULES.items()})
+    void_map = cmap(MD.VOID_RULES)
+    href = D.attr("tok", "href")
+    src, alt = f"coalesce({D.attr('tok', 'src')}, '')", f"coalesce({D.attr('tok', 'alt')}, '')"
+    in_table = "(tb > 0)"
+    counted = "(kind = 'open' AND tb > 0 AND tag IN ('td', 'th') AND (tr_n = 1 OR tag = 'td'))"
+    dropped_th = f"({in_table} AND tr_n > 1 AND (th > 0 OR (tag = 'th' AND kind = 'close')))"
+    depth_before = "(d - CASE WHEN kind = 'open' THEN 1 ELSE 0 END + CASE WHEN kind = 'close' THEN 1 ELSE 0 END)"
+    text_ok = f"({depth_before} > 0 AND (NOT {in_table} OR cell > 0) AND NOT {dropped_th})"
+    text_out = D.rx_replace(D.rx_replace(D.decode_entities("tok"), "[\u00ad\u200b]", ""), "[ \t\n\r\f\u00a0]+", " ")
+    conv = "(code - CASE WHEN kind = 'open' AND tag IN ('code', 'pre') THEN 1 ELSE 0 END <= 0)"
+    conv_close = "(CASE WHEN tag IN ('code', 'pre') THEN code + 1 <= 1 ELSE code <= 0 END)"
+    li_prefix = "(CASE WHEN ltype = 'ol' THEN concat(CAST(li_n AS VARCHAR), '. ') ELSE '* ' END)"
+    head_rule = ("(CASE WHEN nhead > 0 THEN concat(array_to_string(list_transform(range(CAST(nhead AS BIGINT)), lambda x: '---'), ' | '), "
+                 "chr(10)) END)")
+    open_out = (f"CASE WHEN tag = 'a' THEN (CASE WHEN coalesce({href}, '') <> '' THEN '[' ELSE '' END) "
+                f"WHEN tag = 'li' THEN (CASE WHEN ld > 0 THEN {li_prefix} ELSE '' END) "
+                f"WHEN tag = 'code' THEN (CASE WHEN pre > 0 THEN '' ELSE '`' END) "
+                f"WHEN tag = 'pre' THEN concat('```', coalesce(lang, ''), chr(10)) "
+                f"WHEN tag = 'blockquote' THEN chr(2) "
+                f"WHEN tag IN ('td', 'th') AND {in_table} THEN (CASE WHEN {counted} THEN "
+                f"(CASE WHEN cell_n > 1 THEN ' | ' ELSE '' END) ELSE '' END) "
+                f"WHEN tag = 'p' AND prev_p = 'open' THEN concat({suf_map}, {pre_map}) "
+                f"ELSE {pre_map} END")
+    close_out = (f"CASE WHEN tag = 'a' THEN (CASE WHEN coalesce(href, '') <> '' THEN concat('](', href, ')') ELSE '' END) "
+                 f"WHEN tag = 'li' THEN (CASE WHEN ld > 0 THEN chr(10) ELSE '' END) "
+                 f"WHEN tag IN ('ul', 'ol') THEN chr(10) "
+                 f"WHEN tag = 'code' THEN (CASE WHEN pre > 0 THEN '' ELSE '`' END) "
+                 f"WHEN tag = 'pre' THEN concat(chr(10), '```', chr(10), chr(10)) "
+                 f"WHEN tag = 'blockquote' THEN chr(3) "
+                 f"WHEN tag = 'tr' THEN (CASE WHEN {in_table} THEN concat(chr(10), CASE WHEN tr_n = 1 THEN "
+                 f"coalesce({head_rule}, '') ELSE '' END) ELSE '' END) "
+                 f"WHEN tag = 'table' THEN chr(10) ELSE {suf_map} END")
+    void_out = (f"CASE WHEN tag = 'img' THEN (CASE WHEN {src} <> '' THEN concat('![', {alt}, '](', {src}, ')') "
+                f"ELSE '' END) ELSE {void_map} END")
+    out = (f"CASE WHEN kind = 'text' THEN (CASE WHEN {text_ok} THEN {text_out} ELSE '' END) "
+           f"WHEN d > {MD.MAX_DEPTH} THEN '' "
+           f"WHEN kind = 'open' THEN (CASE WHEN {conv} AND NOT {dropped_th} THEN {open_out} ELSE '' END) "
+           f"WHEN kind = 'close' THEN (CASE WHEN {conv_close} AND NOT {dropped_th} THEN {close_out} ELSE '' END) "
+           f"WHEN kind = 'void' THEN (CASE WHEN {conv} AND NOT {dropped_th} AND (NOT {in_table} OR cell > 0) "
+           f"THEN {void_out} ELSE '' END) ELSE '' END")
+
+    def quote_pass(s):
+        parts = f"string_split({s}, chr(3))"
+        inner = "regexp_extract(p, '[^\\x02]*$', 0)"
+        before = f"p[1:length(p) - length({inner}) - 1]"
+        quoted = (f"concat(array_to_string(list_transform(list_filter(string_split({inner}, chr(10)), "
+                  f"lambda l: l <> ''), lambda l: concat('> ', l)), chr(10)), chr(10), chr(10))")
+        return (f"array_to_string(list_transform({parts}, lambda p, i: CASE WHEN i < len({parts}) "
+                f"AND contains(p, chr(2)) THEN concat({before}, {quoted}) ELSE p END), '')")
+
+    md = quote_pass(quote_pass("m"))
+    md = D.rx_replace(D.rx_replace(md, "[\x02\x03]", ""), MD.NEWLINES_RE, "\n\n")
+    return f"""{src_tokens_cte},
+mt0 AS (SELECT *, coalesce(min(CASE WHEN kind = 'open' AND tag = 'body' THEN pos END) OVER (PARTITION BY page_id),
+                           min(CASE WHEN kind = 'close' AND tag = 'head' THEN pos END) OVER (PARTITION BY page_id), -1) AS b0
+        FROM tk),
+mt1 AS (SELECT *, coalesce(min(CASE WHEN kind = 'close' AND tag = 'body' AND pos > b0 THEN pos END)
+                           OVER (PARTITION BY page_id), last_pos + 1) AS b1 FROM mt0),
+m1 AS (SELECT * FROM mt1 WHERE pos > b0 AND pos < b1 AND kind IN ('open', 'close', 'void', 'text')),
+m2 AS (
+  SELECT *,
+    {run("kind = 'open'")} - {run("kind = 'close'")} AS d,
+    {run("kind = 'open' AND tag IN ('code', 'pre')")} - {run("kind = 'close' AND tag IN ('code', 'pre')")} AS code,
+    {run("kind = 'open' AND tag = 'pre'")} - {run("kind = 'close' AND tag = 'pre'")} AS pre,
+    {run("kind = 'open' AND tag = 'pre'")} AS pre_id,
+    lag(kind) OVER (PARTITION BY page_id, tag ORDER BY pos) AS prev_p,
+    last_value(CASE WHEN kind = 'open' AND tag = 'a' THEN coalesce({href}, '') END IGNORE NULLS) OVER {w} AS href,
+    {run("kind = 'open' AND tag IN ('ul', 'ol')")} - {run("kind = 'close' AND tag IN ('ul', 'ol')")} AS ld,
+    {run("kind = 'open' AND tag = 'table'")} - {run("kind = 'close' AND tag = 'table'")} AS tb,
+    {run("kind = 'open' AND tag = 'table'")} AS tb_id,
+    {run("kind = 'open' AND tag IN ('td', 'th')")} - {run("kind = 'close' AND tag IN ('td', 'th')")} AS cell,
+    {run("kind = 'open' AND tag = 'th'")} - {run("kind = 'close' AND tag = 'th'")} AS th
+  FROM m1),
+m3 AS (
+  SELECT *,
+    regexp_extract(min(CASE WHEN kind = 'open' AND tag = 'code' AND pre > 0 THEN
+        concat(lpad(CAST(pos AS VARCHAR), 10, '0'), chr(1), {D.attr('tok', 'data-language')}) END)
+        OVER (PARTITION BY page_id, pre_id), '[^\\x01]*$', 0) AS lang,
+    last_value(CASE WHEN kind = 'open' AND tag IN ('ul', 'ol') THEN pos END IGNORE NULLS)
+      OVER (PARTITION BY page_id, ld ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lpos,
+    last_value(CASE WHEN kind = 'open' AND tag IN ('ul', 'ol') THEN tag END IGNORE NULLS)
+      OVER (PARTITION BY page_id, ld ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ltype,
+    sum(CASE WHEN kind = 'open' AND tag = 'tr' THEN 1 ELSE 0 END)
+      OVER (PARTITION BY page_id, tb_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tr_n
+  FROM m2),
+m4 AS (
+  SELECT *,
+    sum(CASE WHEN kind = 'open' AND tag = 'li' AND ld > 0 THEN 1 ELSE 0 END)
+      OVER (PARTITION BY page_id, lpos ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS li_n,
+    sum(CASE WHEN {counted} THEN 1 ELSE 0 END)
+      OVER (PARTITION BY page_id, tb_id, tr_n ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cell_n
+  FROM m3),
+m5 AS (SELECT *, max(CASE WHEN tr_n = 1 THEN cell_n END) OVER (PARTITION BY page_id, tb_id) AS nhead FROM m4),
+magg AS (SELECT page_id, string_agg({out}, '' ORDER BY pos) AS m FROM m5 GROUP BY page_id),
+mdout AS (SELECT page_id, {md} AS markdown FROM magg)"""
+
+
+@register("content_markdown", "WITH " + _markdown_sql(_tokens_sql("pages").strip()) + """
+SELECT p.page_id, coalesce(m.markdown, '') AS markdown FROM pages p LEFT JOIN mdout m ON m.page_id = p.page_id""")
+def q_content_markdown(spark, sf):
+    from sitegraph.operators import markdown as MD
+    return MD.markdown(T.pages(spark, sf))

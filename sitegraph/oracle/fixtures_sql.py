@@ -65,3 +65,32 @@ search AS (
    '"peopleAlsoAsk":[{"question":"q","snippet":"s","link":"https://c.example.org/","title":"c"}],"images":[]}') AS body
   FROM documents)
 """
+
+
+def _esc(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def _conv(piece: str, head: str, tail: str, name: str) -> str:
+    return f"""
+{name} AS (
+  SELECT conv_id AS page_id, concat('<html><head><title>Conversation ', CAST(conv_id AS VARCHAR),
+    '</title></head><body><h2>Conversation ', CAST(conv_id AS VARCHAR), '</h2>{head}',
+    string_agg({piece}, '' ORDER BY turn), '{tail}</body></html>') AS html
+  FROM conversations GROUP BY conv_id)
+"""
+
+
+CONV_LISTS = _conv("concat('<li><b>', role, '</b>: ', " + _esc("text") +
+                   ", '<ul><li>', role, '</li><li>turn ', CAST(turn AS VARCHAR), '</li></ul></li>')",
+                   "<ol>", "</ol>", "mdsrc")
+CONV_TABLES = _conv("concat('<tr><td>', CAST(turn AS VARCHAR), '</td><td><i>', role, '</i></td><td>', " +
+                    _esc("text") + ", '</td></tr>')",
+                    "<table><tr><th>turn</th><th>role</th><th>text</th></tr>", "</table>", "mdsrc")
+DOC_BLOCKS = f"""
+mdsrc AS (
+  SELECT doc_id AS page_id, concat('<html><body><h3>', source, '</h3><blockquote>',
+    array_to_string(list_transform(string_split({_esc('text')}, chr(10)), lambda l: concat('<p>', l, '</p>')), ''),
+    '</blockquote><pre><code data-language="', lang, '">', {_esc('text')}, '</code></pre></body></html>') AS html
+  FROM documents)
+"""

@@ -718,3 +718,26 @@ SELECT p.page_id, coalesce(m.markdown, '') AS markdown FROM pages p LEFT JOIN md
 def q_content_markdown(spark, sf):
     from sitegraph.operators import markdown as MD
     return MD.markdown(T.pages(spark, sf))
+
+
+def _md_fixture(cte: str) -> str:
+    return "WITH " + cte.strip() + ",\n" + _markdown_sql(_tokens_sql("mdsrc").strip()) + """
+SELECT p.page_id, coalesce(m.markdown, '') AS markdown FROM mdsrc p LEFT JOIN mdout m ON m.page_id = p.page_id"""
+
+
+@register("markdown_lists", _md_fixture(FX.CONV_LISTS))
+def q_markdown_lists(spark, sf):
+    from sitegraph.operators import markdown as MD
+    return MD.markdown(T.conversation_list_pages(spark, sf))
+
+
+@register("markdown_tables", _md_fixture(FX.CONV_TABLES))
+def q_markdown_tables(spark, sf):
+    from sitegraph.operators import markdown as MD
+    return MD.markdown(T.conversation_table_pages(spark, sf))
+
+
+@register("markdown_blocks", _md_fixture(FX.DOC_BLOCKS))
+def q_markdown_blocks(spark, sf):
+    from sitegraph.operators import markdown as MD
+    return MD.markdown(T.document_block_pages(spark, sf))

@@ -135,3 +135,47 @@ def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"peopleAlsoAsk":[{"question":"q","snippet":"s","link":"https://c.example.org/","title":"c"}],'
               '"images":[]}'))
     return d.select(F.col("doc_id").alias("query_id"), body.alias("body"))
+
+
+def _esc(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def _conversation_page(spark: SparkSession, sf_dir: str, piece, head: str, tail: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "conversations")
+    per = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", piece.alias("h")))).alias("t"))
+    body = F.array_join(F.transform("t", lambda x: x["h"]), "")
+    html = F.concat(F.lit("<html><head><title>Conversation "), F.col("conv_id").cast("string"),
+                    F.lit("</title></head><body><h2>Conversation "), F.col("conv_id").cast("string"),
+                    F.lit("</h2>" + head), body, F.lit(tail + "</body></html>"))
+    return per.select(F.col("conv_id").alias("page_id"), html.alias("html"))
+
+
+def conversation_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per conversation: an ordered list of turns, each with a
+    nested bullet list (role, turn number) and the whole turn text."""
+    piece = F.concat(F.lit("<li><b>"), F.col("role"), F.lit("</b>: "), _esc(F.col("text")),
+                     F.lit("<ul><li>"), F.col("role"), F.lit("</li><li>turn "), F.col("turn").cast("string"),
+                     F.lit("</li></ul></li>"))
+    return _conversation_page(spark, sf_dir, piece, "<ol>", "</ol>")
+
+
+def conversation_table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per conversation: a table (header row, one row per turn)."""
+    piece = F.concat(F.lit("<tr><td>"), F.col("turn").cast("string"), F.lit("</td><td><i>"), F.col("role"),
+                     F.lit("</i></td><td>"), _esc(F.col("text")), F.lit("</td></tr>"))
+    return _conversation_page(spark, sf_dir, piece, "<table><tr><th>turn</th><th>role</th><th>text</th></tr>",
+                              "</table>")
+
+
+def document_block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per document: each line as a paragraph in a blockquote, then
+    the whole text as a code block tagged with the document language."""
+    d = read_table(spark, sf_dir, "documents")
+    lines = F.split(_esc(F.col("text")), "\n")
+    quote = F.array_join(F.transform(lines, lambda l: F.concat(F.lit("<p>"), l, F.lit("</p>"))), "")
+    html = F.concat(F.lit("<html><body><h3>"), F.col("source"), F.lit("</h3><blockquote>"), quote,
+                    F.lit("</blockquote><pre><code data-language=\""), F.col("lang"), F.lit("\">"),
+                    _esc(F.col("text")), F.lit("</code></pre></body></html>"))
+    return d.select(F.col("doc_id").alias("page_id"), html.alias("html"))

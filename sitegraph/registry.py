@@ -741,3 +741,97 @@ def q_markdown_tables(spark, sf):
 def q_markdown_blocks(spark, sf):
     from sitegraph.operators import markdown as MD
     return MD.markdown(T.document_block_pages(spark, sf))
+
+
+# ---------------------------------------------------------------- assets
+def _img_sql(link: str) -> dict:
+    """SQL pieces of an image record for link expression ``link``."""
+    is_data = f"starts_with({link}, 'data:image/')"
+    payload = D.rx_extract(link, r"^[^,]*,(.*)$", 1)
+    core = f"regexp_replace({payload}, '=+$', '')"
+    semi = f"strpos({link}, ';')"
+    d_ok = (f"({semi} > 0 AND regexp_matches({payload}, '^[A-Za-z0-9+/]*={{0,2}}$') AND length({core}) % 4 <> 1 "
+            f"AND length({core}) >= 2 AND (length({payload}) = length({core}) OR length({payload}) % 4 = 0))")
+    d_mime = f"(CASE WHEN {semi} > 0 THEN substring({link}, 6, greatest({semi} - 6, 0)) END)"
+    d_ext = D.rx_extract(d_mime, r"([^/]*)$", 1)
+    name = D.image_file_name(D.embedded_url(link))
+    return {
+        "file_name": f"(CASE WHEN {is_data} THEN concat('image_', {D.q(RUN_TS)}, '.', {d_ext}) ELSE {name} END)",
+        "mime_type": f"(CASE WHEN {is_data} THEN {d_mime} ELSE {D.mime_type(name)} END)",
+        "n_bytes": f"(CASE WHEN {is_data} AND {d_ok} THEN CAST(floor(length({core}) * 6 / 8) AS BIGINT) END)",
+        "ok": f"(CASE WHEN {is_data} THEN {d_ok} ELSE regexp_matches({link}, '(?i)^(https?|ftp|file):') END)",
+    }
+
+
+def _image_manifest_sql(max_n: int) -> str:
+    r = _img_sql("link")
+    lim = f"WHERE pos < {max_n}" if max_n > 0 else ""
+    return with_ctes(FX.PAGES_PLUS) + f"""
+SELECT * FROM (
+  SELECT page_id, url, (row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1)::BIGINT AS pos,
+         image_url, NULL::VARCHAR AS relative_path, file_name, mime_type, n_bytes
+  FROM (SELECT page_id, url, pos, link AS image_url, {r['file_name']} AS file_name, {r['mime_type']} AS mime_type,
+               {r['n_bytes']} AS n_bytes, {r['ok']} AS ok FROM ({_sql_links('pplus', ['images'])}) z) y
+  WHERE ok) x {lim}"""
+
+
+@register("image_manifest", _image_manifest_sql(0))
+def q_image_manifest(spark, sf):
+    from sitegraph.operators import assets as A
+    return A.image_manifest(T.pages_plus(spark, sf), 0, RUN_TS).drop("content")
+
+
+@register("image_topn", _image_manifest_sql(1))
+def q_image_topn(spark, sf):
+    from sitegraph.operators import assets as A
+    return A.image_manifest(T.pages_plus(spark, sf), 1, RUN_TS).drop("content")
+
+
+def _doc_name_sql(url: str, disp: str) -> str:
+    from_disp = f"replace({D.rx_extract(disp, r'(?s)filename=(.*)$', 1)}, '\"', '')"
+    from_url = D.rx_extract(f"split_part({url}, '?', 1)", r"([^/]*)$", 1)
+    raw = f"(CASE WHEN coalesce(contains({disp}, 'filename='), false) THEN {from_disp} ELSE {from_url} END)"
+    return f"try(url_decode(replace({raw}, '+', ' ')))"
+
+
+@register("document_manifest", with_ctes(FX.PAGES_PLUS, FX.ASSETS) + f"""
+SELECT page_id, url, pos, doc_url, NULL::VARCHAR AS relative_path, file_name, {D.mime_type('file_name')} AS mime_type
+FROM (SELECT l.page_id, l.url, l.pos, l.link AS doc_url, {_doc_name_sql('l.link', 'a.disposition')} AS file_name
+      FROM ({_sql_links('pplus', ['documents'])}) l JOIN assets a ON a.url = l.link WHERE a.status = 200) z
+WHERE file_name IS NOT NULL""")
+def q_document_manifest(spark, sf):
+    from sitegraph.operators import assets as A
+    pp = T.pages_plus(spark, sf)
+    return A.document_manifest(pp, T.stored_assets(pp))
+
+
+@register("single_asset", with_ctes(FX.PAGES_PLUS, FX.ASSETS) + f"""
+, u AS (SELECT DISTINCT link AS url FROM ({_sql_links('pplus')}) z),
+x AS (
+  SELECT u.url, a.status, a.disposition, {_img_sql('u.url')['file_name']} AS ifn,
+         {_img_sql('u.url')['mime_type']} AS imt, {_img_sql('u.url')['ok']} AS iok,
+         {D.is_document('u.url')} AS is_doc
+  FROM u LEFT JOIN assets a ON a.url = u.url),
+y AS (SELECT *, (starts_with(url, 'data:image/') OR starts_with({D.mime_type('ifn')}, 'image/')) AS is_img,
+             CASE WHEN status = 200 THEN {_doc_name_sql('url', 'disposition')} END AS dfn FROM x)
+SELECT url, CASE WHEN is_doc THEN 'document' WHEN is_img THEN 'image' ELSE 'page' END AS kind,
+       CASE WHEN is_doc THEN dfn WHEN is_img AND iok THEN ifn END AS file_name,
+       CASE WHEN is_doc THEN {D.mime_type('dfn')} WHEN is_img AND iok THEN imt END AS mime_type
+FROM y""")
+def q_single_asset(spark, sf):
+    from sitegraph.operators import assets as A
+    pp = T.pages_plus(spark, sf)
+    urls = L.page_links(pp).select(F.col("link").alias("url")).distinct()
+    return A.single_asset(urls, T.stored_assets(pp), RUN_TS)
+
+
+@register("mime_inventory", with_ctes(FX.PAGES_PLUS) + f"""
+SELECT {D.host('link')} AS host,
+       CASE WHEN starts_with(link, 'data:image/') THEN {_img_sql('link')['mime_type']}
+            WHEN kind = 'images' THEN {D.mime_type(_img_sql('link')['file_name'])}
+            ELSE {D.mime_type(D.rx_extract("split_part(link, '?', 1)", r'([^/]*)$', 1))} END AS mime_type,
+       count(*)::BIGINT AS n_links, count(DISTINCT link)::BIGINT AS n_urls
+FROM ({_sql_links('pplus', ['images', 'documents'])}) z GROUP BY 1, 2""")
+def q_mime_inventory(spark, sf):
+    from sitegraph.operators import assets as A
+    return A.mime_inventory(T.pages_plus(spark, sf))

@@ -835,3 +835,159 @@ FROM ({_sql_links('pplus', ['images', 'documents'])}) z GROUP BY 1, 2""")
 def q_mime_inventory(spark, sf):
     from sitegraph.operators import assets as A
     return A.mime_inventory(T.pages_plus(spark, sf))
+
+
+# ---------------------------------------------------------------- search
+def _json_rows(arr_path: str, alias: str) -> str:
+    return (f"unnest(json_extract(body, '{arr_path}[*]')) AS {alias}, "
+            f"unnest(range(0, CAST(coalesce(json_array_length(body, '{arr_path}'), 0) AS BIGINT))) AS idx")
+
+
+@register("search_organic", with_ctes(FX.SEARCH) + f"""
+SELECT query_id, json_extract_string(body, '$.searchParameters.q') AS query, idx::BIGINT AS idx,
+       CAST(json_extract(o, '$.position') AS INTEGER) AS position, json_extract_string(o, '$.title') AS title,
+       json_extract_string(o, '$.link') AS link, json_extract_string(o, '$.snippet') AS snippet,
+       CAST(json_extract(o, '$.rating') AS DOUBLE) AS rating,
+       CAST(json_extract(o, '$.ratingCount') AS INTEGER) AS rating_count
+FROM (SELECT query_id, body, {_json_rows('$.organic', 'o')} FROM search) s""")
+def q_search_organic(spark, sf):
+    from sitegraph.operators import search as SR
+    return SR.organic(T.search_responses(spark, sf))
+
+
+@register("search_sitelinks", with_ctes(FX.SEARCH) + """
+, org AS (SELECT query_id, unnest(json_extract(body, '$.organic[*]')) AS o,
+                 unnest(range(0, CAST(coalesce(json_array_length(body, '$.organic'), 0) AS BIGINT))) AS idx FROM search)
+SELECT query_id, idx::BIGINT AS idx, sidx::BIGINT AS sidx, json_extract_string(s, '$.title') AS title,
+       json_extract_string(s, '$.link') AS link
+FROM (SELECT query_id, idx, unnest(json_extract(o, '$.sitelinks[*]')) AS s,
+             unnest(range(0, CAST(coalesce(json_array_length(o, '$.sitelinks'), 0) AS BIGINT))) AS sidx FROM org) x""")
+def q_search_sitelinks(spark, sf):
+    from sitegraph.operators import search as SR
+    return SR.sitelinks(T.search_responses(spark, sf))
+
+
+@register("search_paa", with_ctes(FX.SEARCH) + f"""
+SELECT query_id, idx::BIGINT AS idx, json_extract_string(a, '$.question') AS question,
+       json_extract_string(a, '$.snippet') AS snippet, json_extract_string(a, '$.link') AS link,
+       json_extract_string(a, '$.title') AS title
+FROM (SELECT query_id, {_json_rows('$.peopleAlsoAsk', 'a')} FROM search) s""")
+def q_search_paa(spark, sf):
+    from sitegraph.operators import search as SR
+    return SR.people_also_ask(T.search_responses(spark, sf))
+
+
+@register("search_images", with_ctes(FX.SEARCH) + f"""
+SELECT query_id, idx::BIGINT AS idx, json_extract_string(i, '$.imageUrl') AS image_url,
+       json_extract_string(i, '$.link') AS link, json_extract_string(i, '$.title') AS title
+FROM (SELECT query_id, {_json_rows('$.images', 'i')} FROM search) s""")
+def q_search_images(spark, sf):
+    from sitegraph.operators import search as SR
+    return SR.images(T.search_responses(spark, sf))
+
+
+@register("search_summary", with_ctes(FX.SEARCH) + """
+SELECT query_id, json_extract_string(body, '$.searchParameters.q') AS query, 'ok' AS status,
+       CAST(json_extract(body, '$.credits') AS INTEGER) AS credits,
+       json_extract_string(body, '$.knowledgeGraph.title') AS kg_title,
+       json_extract_string(body, '$.knowledgeGraph.type') AS kg_type,
+       coalesce(json_array_length(body, '$.organic'), 0)::BIGINT AS n_organic,
+       coalesce(json_array_length(body, '$.peopleAlsoAsk'), 0)::BIGINT AS n_paa
+FROM search""")
+def q_search_summary(spark, sf):
+    from sitegraph.operators import search as SR
+    return SR.search_summary(T.search_responses(spark, sf))
+
+
+# ------------------------------------------------------- records, graph
+@register("page_json", with_ctes(FX.PAGES_PLUS, _sql_text_cte("pplus")) + f"""
+SELECT page_id, url, {D.title_of('c')} AS title,
+       concat({D.sanitize_file_name(D.title_of('c'))}, '_', {D.q(RUN_TS)}, '.json') AS file_name,
+       {D.text_of('c')} AS content
+FROM ptext""")
+def q_page_json(spark, sf):
+    from sitegraph.operators import content as C
+    from sitegraph.sources import sinks as SK
+    rec = C.page_content(T.pages_plus(spark, sf), "text")
+    return SK.page_records(rec, F.lit(RUN_TS)).select("page_id", "url", "title", "file_name", "content")
+
+
+@register("full_scan_record", with_ctes(FX.PAGES_PLUS, FX.ASSETS, _sql_text_cte("pplus")) + f"""
+, im AS (SELECT page_id, count(*) AS n FROM ({_image_manifest_sql(0).split('SELECT * FROM (', 1)[1].rsplit(') x', 1)[0]}) i GROUP BY page_id),
+dm AS (SELECT l.page_id, count(*) AS n FROM ({_sql_links('pplus', ['documents'])}) l JOIN assets a ON a.url = l.link
+       WHERE a.status = 200 AND {_doc_name_sql('l.link', 'a.disposition')} IS NOT NULL GROUP BY l.page_id),
+mt AS (SELECT page_id, count(*) AS n FROM (
+         SELECT page_id, coalesce({D.attr('t', 'name')}, '') AS nm, coalesce({D.attr('t', 'property')}, '') AS pr,
+                coalesce({D.attr('t', 'content')}, '') AS ct
+         FROM (SELECT page_id, unnest({D.start_tags('c', 'meta')}) AS t FROM ptext) z) y
+       WHERE (nm <> '' OR pr <> '') AND ct <> '' GROUP BY page_id)
+SELECT p.page_id, p.url, {D.title_of('p.c')} AS title, coalesce(im.n, 0)::BIGINT AS n_images,
+       coalesce(dm.n, 0)::BIGINT AS n_documents, coalesce(mt.n, 0)::BIGINT AS n_meta, {D.text_of('p.c')} AS content
+FROM ptext p LEFT JOIN im ON im.page_id = p.page_id LEFT JOIN dm ON dm.page_id = p.page_id
+LEFT JOIN mt ON mt.page_id = p.page_id""")
+def q_full_scan_record(spark, sf):
+    from sitegraph.plans import fullscan as FS
+    pp = T.pages_plus(spark, sf)
+    r = FS.full_scan_records(pp, T.stored_assets(pp), with_images=True, with_documents=True, with_meta=True,
+                             run_ts=RUN_TS)
+    return r.select("page_id", "url", "title",
+                    F.size(F.coalesce("imageFiles", F.array())).cast("bigint").alias("n_images"),
+                    F.size(F.coalesce("documentFiles", F.array())).cast("bigint").alias("n_documents"),
+                    F.size(F.coalesce("metaTags", F.array())).cast("bigint").alias("n_meta"), "content")
+
+
+@register("url_dedup", with_ctes(FX.PAGES_PLUS) + f"""
+, raw AS (SELECT url AS raw FROM pplus UNION ALL SELECT link FROM ({_sql_links('pplus')}) z)
+SELECT canonical, count(*)::BIGINT AS n_refs, count(DISTINCT raw)::BIGINT AS n_variants
+FROM (SELECT raw, {D.clean_url('raw')} AS canonical FROM raw) x WHERE canonical IS NOT NULL GROUP BY canonical""")
+def q_url_dedup(spark, sf):
+    from sitegraph.functions import urls as U
+    pp = T.pages_plus(spark, sf)
+    raw = pp.select(F.col("url").alias("raw")).unionByName(
+        L.page_links(pp).select(F.col("link").alias("raw")))
+    return (raw.select("raw", U.clean_url(F.col("raw")).alias("canonical")).where("canonical IS NOT NULL")
+            .groupBy("canonical").agg(F.count("*").alias("n_refs"), F.countDistinct("raw").alias("n_variants")))
+
+
+@register("link_graph", with_ctes(FX.PAGES_PLUS) + f"""
+, keys AS (SELECT {D.clean_url('url')} AS k, min(page_id) AS page_id FROM pplus GROUP BY 1),
+e AS (SELECT DISTINCT page_id AS src_page_id, kind, {D.clean_url('link')} AS dst FROM ({_sql_links('pplus')}) z)
+SELECT e.src_page_id, e.kind, e.dst, coalesce(keys.page_id, -1) AS dst_page_id
+FROM e LEFT JOIN keys ON keys.k = e.dst WHERE e.dst IS NOT NULL""")
+def q_link_graph(spark, sf):
+    from sitegraph.plans import graph as G
+    return G.link_graph(T.pages_plus(spark, sf))
+
+
+def _frontier_sql() -> str:
+    return with_ctes(FX.PAGES_PLUS, FX.PAGE_STATUS.replace("FROM pages", "FROM pplus")) + f"""
+, fu AS (SELECT DISTINCT {D.clean_url('link')} AS url FROM ({_sql_links('pplus', ['internal', 'external', 'iframe'])}) z
+         WHERE {D.clean_url('link')} IS NOT NULL),
+okp AS (SELECT {D.clean_url('url')} AS k, min(page_id) AS page_id FROM pstatus WHERE status = 200 GROUP BY 1)
+"""
+
+
+def _frontier(spark, sf):
+    from sitegraph.functions import urls as U
+    pp = T.pages_plus(spark, sf)
+    store = T.page_status(pp.select("page_id", "url", "html"))
+    urls = (L.page_links(pp, ["internal", "external", "iframe"])
+            .select(U.clean_url(F.col("link")).alias("url")).where("url IS NOT NULL").distinct())
+    return urls, store
+
+
+@register("valid_urls", _frontier_sql() + "SELECT url FROM fu WHERE url IN (SELECT k FROM okp)")
+def q_valid_urls(spark, sf):
+    from sitegraph.plans import crawl as C
+    urls, store = _frontier(spark, sf)
+    return C.valid_urls(urls, store)
+
+
+@register("page_scan", _frontier_sql() + f"""
+SELECT fu.url, okp.page_id, {D.title_of(D.clean_html('p.html'))} AS title
+FROM fu JOIN okp ON okp.k = fu.url JOIN pstatus p ON p.page_id = okp.page_id""")
+def q_page_scan(spark, sf):
+    from sitegraph.plans import crawl as C
+    urls, store = _frontier(spark, sf)
+    s = C.page_scan(urls, store)
+    return s.select("url", "page_id", H.title_of(H.clean_html(F.col("html"))).alias("title"))

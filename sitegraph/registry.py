@@ -991,3 +991,39 @@ def q_page_scan(spark, sf):
     urls, store = _frontier(spark, sf)
     s = C.page_scan(urls, store)
     return s.select("url", "page_id", H.title_of(H.clean_html(F.col("html"))).alias("title"))
+
+
+# -------------------------------------------------------------- streaming
+def _landing(spark, df, name):
+    import os
+    import uuid
+    from sitegraph.session import checkpoint_dir
+    from sitegraph.streaming import stream as ST
+    return ST.land_pages(df, os.path.join(checkpoint_dir(spark), f"landing-{name}-{uuid.uuid4().hex[:12]}"))
+
+
+@register("stream_content", with_ctes(_sql_text_cte("pages")) +
+          f"SELECT page_id, url, {D.title_of('c')} AS title, {D.text_of('c')} AS content FROM ptext")
+def q_stream_content(spark, sf):
+    from sitegraph.streaming import stream as ST
+    return ST.page_content_stream(spark, _landing(spark, T.pages(spark, sf), "content"))
+
+
+@register("stream_dedup", f"SELECT DISTINCT {D.clean_url('url')} AS key FROM pages WHERE {D.clean_url('url')} IS NOT NULL")
+def q_stream_dedup(spark, sf):
+    from sitegraph.streaming import stream as ST
+    return ST.dedup_stream(spark, _landing(spark, T.pages(spark, sf), "dedup"))
+
+
+@register("crawl_stream", _crawl_sql() +
+          "SELECT root_url, url, depth, parent_url, coalesce(page_id, -1) AS page_id, status FROM cn")
+def q_crawl_stream(spark, sf):
+    from sitegraph.plans import crawl as C
+    from sitegraph.streaming import stream as ST
+    pp = T.pages_plus(spark, sf)
+    landing = _landing(spark, pp.select("page_id", "url", "html"), "crawl")
+    roots = pp.where("rn = 0").select(F.col("url").alias("root_url"))
+    opts = C.CrawlOptions(max_depth=CRAWL_DEPTH, referrer=REFERRER, delay_ms=250)
+    nodes = ST.crawl_stream(spark, landing, roots, opts, status_fn=T.page_status)
+    return nodes.select("root_url", "url", "depth", "parent_url",
+                        F.coalesce("page_id", F.lit(-1).cast("bigint")).alias("page_id"), "status")

@@ -31,15 +31,15 @@ FORMATS = ("text", "html", "markdown")
 def _candidates(tok_df: DataFrame, selectors: list[str]) -> DataFrame:
     """``page_id, si, start_pos, end_pos`` of elements matching each selector."""
     sp = TK.spans(tok_df)
-    parts = None
+    hits = []
     for si, sel in enumerate(selectors):
-        simple = S.parse(sel)
         cond = F.lit(False)
-        for s in simple:
+        for s in S.parse(sel):
             cond = cond | S.predicate(s, F.col("tok"))
-        c = sp.where(cond).select("page_id", F.lit(si).alias("si"), "start_pos", "end_pos")
-        parts = c if parts is None else parts.unionByName(c)
-    return parts.dropDuplicates(["page_id", "si", "start_pos"])
+        hits.append(F.when(cond, F.lit(si)))
+    # one pass over the spans: the indices of the selectors each element matches
+    si = F.filter(F.array(*hits), lambda x: x.isNotNull())
+    return sp.select("page_id", F.explode(si).alias("si"), "start_pos", "end_pos")
 
 
 def kept_elements(tok_df: DataFrame, selectors: list[str]) -> DataFrame:

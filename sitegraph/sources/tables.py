@@ -18,8 +18,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def balanced(df: DataFrame, key: str = "page_id") -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    Per-page work is CPU bound (regular expressions over whole documents).
+    A large page store already scans as many splits as there are cores and
+    is left alone; a small file with one row group would otherwise run in
+    one task.  Hash partitioning by ``key`` also serves the later
+    page-keyed windows and aggregates (no second exchange).  The check reads
+    only the planned split count, it runs no job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "pages").select(*PAGE_COLUMNS)
+    return balanced(read_table(spark, sf_dir, "pages").select(*PAGE_COLUMNS))
 
 
 def _host(url):
@@ -172,7 +188,7 @@ def conversation_table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per document: each line as a paragraph in a blockquote, then
     the whole text as a code block tagged with the document language."""
-    d = read_table(spark, sf_dir, "documents")
+    d = balanced(read_table(spark, sf_dir, "documents"), "doc_id")
     lines = F.split(_esc(F.col("text")), "\n")
     quote = F.array_join(F.transform(lines, lambda l: F.concat(F.lit("<p>"), l, F.lit("</p>"))), "")
     html = F.concat(F.lit("<html><body><h3>"), F.col("source"), F.lit("</h3><blockquote>"), quote,

@@ -72,116 +72,134 @@ def markdown(pages_df: DataFrame, rules: dict[str, tuple[str, str]] | None = Non
     table = dict(RULES)
     if rules:
         table.update(rules)
-    tk = TK.tokens(pages_df.select("page_id", "html"))
+    col = F.col
+    kind, tag, tok, pos = col("kind"), col("tag"), col("tok"), col("pos")
+    is_open, is_close = kind == "open", kind == "close"
+
+    def flag(c):
+        return F.when(c, 1).otherwise(0)
+
+    # stage 1 (row-level): token attributes, computed once
+    tk = TK.tokens(pages_df.select("page_id", "html")).select(
+        "page_id", "pos", "kind", "tag", "last_pos",
+        F.when(kind == "text", F.regexp_replace(F.regexp_replace(H.decode_entities(tok), "[\u00ad\u200b]", ""),
+                                                 "[ \t\n\r\f\u00a0]+", " ")).alias("_text"),
+        F.when(is_open & (tag == "a"), F.coalesce(H.attr(tok, "href"), F.lit(""))).alias("_a_href"),
+        F.when((kind == "void") & (tag == "img"), F.struct(
+            F.coalesce(H.attr(tok, "src"), F.lit("")).alias("src"),
+            F.coalesce(H.attr(tok, "alt"), F.lit("")).alias("alt"))).alias("_img"),
+        F.when(is_open & (tag == "code"), H.attr(tok, "data-language")).alias("_dl"))
+
+    # stage 2: body region (whole-page windows), then drop markup outside it
     wp = Window.partitionBy("page_id")
+    tk = tk.select("*",
+                   F.coalesce(F.min(F.when(is_open & (tag == "body"), pos)).over(wp),
+                              F.min(F.when(is_close & (tag == "head"), pos)).over(wp), F.lit(-1)).alias("_b0"))
+    tk = tk.select("*", F.coalesce(F.min(F.when(is_close & (tag == "body") & (pos > col("_b0")), pos)).over(wp),
+                                   col("last_pos") + 1).alias("_b1"))
+    tk = tk.where((pos > col("_b0")) & (pos < col("_b1")) & kind.isin("open", "close", "void", "text"))
+
+    # stage 3: running counts over page order (one sort)
     wo = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    kind, tag, tok, pos = F.col("kind"), F.col("tag"), F.col("tok"), F.col("pos")
-    body_open = F.min(F.when((kind == "open") & (tag == "body"), pos)).over(wp)
-    head_close = F.min(F.when((kind == "close") & (tag == "head"), pos)).over(wp)
-    start = F.coalesce(body_open, head_close, F.lit(-1))
-    tk = tk.withColumn("_b0", start)
-    body_close = F.min(F.when((kind == "close") & (tag == "body") & (pos > F.col("_b0")), pos)).over(wp)
-    tk = (tk.withColumn("_b1", F.coalesce(body_close, F.col("last_pos") + 1))
-          .where((pos > F.col("_b0")) & (pos < F.col("_b1")) & kind.isin("open", "close", "void", "text")))
-
-    is_open, is_close = kind == "open", kind == "close"
-    # nesting depth (approximate: unclosed tags keep it raised)
-    tk = tk.withColumn("_d", _running(is_open, wo) - _running(is_close, wo))
-    depth_before = F.col("_d") - F.when(is_open, 1).otherwise(0) + F.when(is_close, 1).otherwise(0)
-    # code / pre context: inner tags are not converted
-    code_d = _running(is_open & tag.isin("code", "pre"), wo) - _running(is_close & tag.isin("code", "pre"), wo)
-    tk = tk.withColumn("_code", code_d)
-    pre_d = _running(is_open & (tag == "pre"), wo) - _running(is_close & (tag == "pre"), wo)
-    tk = tk.withColumn("_pre", pre_d).withColumn("_pre_id", _running(is_open & (tag == "pre"), wo))
-    # language: data-language of the first code start inside the pre
-    dlang = F.when(is_open & (tag == "code") & (F.col("_pre") > 0), F.concat(
-        F.lpad(pos.cast("string"), 10, "0"), F.lit("\u0001"), H.attr(tok, "data-language")))
-    tk = tk.withColumn("_lang", F.substring_index(
-        F.min(dlang).over(Window.partitionBy("page_id", "_pre_id")), "\u0001", -1))
-    # a <p> start while a <p> is open closes it (HTML5): emit its suffix first
-    tk = tk.withColumn("_prev_p", F.lag("kind").over(
-        Window.partitionBy("page_id", "tag").orderBy("pos")))
-    # links: href of the last <a> start
-    href = F.when(is_open & (tag == "a"), F.coalesce(H.attr(tok, "href"), F.lit("")))
-    tk = tk.withColumn("_href", F.last(href, ignorenulls=True).over(wo))
-    # lists
-    is_list = tag.isin("ul", "ol")
-    ld = _running(is_open & is_list, wo) - _running(is_close & is_list, wo)
-    tk = tk.withColumn("_ld", ld)
+    before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+
+    def run(c):
+        return F.sum(flag(c)).over(wo)
+
+    is_list, cell = tag.isin("ul", "ol"), tag.isin("td", "th")
+    table_open, tr_open = is_open & (tag == "table"), is_open & (tag == "tr")
+    tk = tk.select(
+        "*",
+        (run(is_open) - run(is_close)).alias("_d"),
+        (run(is_open & tag.isin("code", "pre")) - run(is_close & tag.isin("code", "pre"))).alias("_code"),
+        (run(is_open & (tag == "pre")) - run(is_close & (tag == "pre"))).alias("_pre"),
+        run(is_open & (tag == "pre")).alias("_pre_id"),
+        (run(is_open & is_list) - run(is_close & is_list)).alias("_ld"),
+        (run(table_open) - run(is_close & (tag == "table"))).alias("_tb"),
+        run(tr_open).alias("_trs"),
+        (run(is_open & cell) - run(is_close & cell)).alias("_cell"),
+        (run(is_open & (tag == "th")) - run(is_close & (tag == "th"))).alias("_th"),
+        F.last("_a_href", ignorenulls=True).over(wo).alias("_href"),
+        # a <p> start while a <p> is open closes it (HTML5): emit its suffix first
+        F.last(F.when(tag == "p", kind), ignorenulls=True).over(before).alias("_prev_p"))
+
+    # stage 4: context that depends on the running counts
     wl = Window.partitionBy("page_id", "_ld").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    tk = (tk.withColumn("_lpos", F.last(F.when(is_open & is_list, pos), ignorenulls=True).over(wl))
-            .withColumn("_ltype", F.last(F.when(is_open & is_list, tag), ignorenulls=True).over(wl)))
-    li_open = is_open & (tag == "li") & (F.col("_ld") > 0)
-    tk = tk.withColumn("_li_n", F.sum(F.when(li_open, 1).otherwise(0)).over(
-        Window.partitionBy("page_id", "_lpos").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
-    # tables
-    tb = _running(is_open & (tag == "table"), wo) - _running(is_close & (tag == "table"), wo)
-    tk = tk.withColumn("_tb", tb).withColumn("_tb_id", _running(is_open & (tag == "table"), wo))
-    tr_open = is_open & (tag == "tr")
-    tk = tk.withColumn("_tr_n", F.sum(F.when(tr_open, 1).otherwise(0)).over(
-        Window.partitionBy("page_id", "_tb_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
-    cell = tag.isin("td", "th")
-    cd = _running(is_open & cell, wo) - _running(is_close & cell, wo)
-    th_d = _running(is_open & (tag == "th"), wo) - _running(is_close & (tag == "th"), wo)
-    tk = tk.withColumn("_cell", cd).withColumn("_th", th_d)
-    wr = Window.partitionBy("page_id", "_tb_id", "_tr_n").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    counted_cell = is_open & (F.col("_tb") > 0) & (tag.isin("td", "th") & ((F.col("_tr_n") == 1) | (tag == "td")))
-    tk = tk.withColumn("_cell_n", F.sum(F.when(counted_cell, 1).otherwise(0)).over(wr))
-    n_head = F.max(F.when(F.col("_tr_n") == 1, F.col("_cell_n"))).over(Window.partitionBy("page_id", "_tb_id"))
-    tk = tk.withColumn("_nhead", n_head)
-
-    in_table = F.col("_tb") > 0
-    dropped_th = in_table & (F.col("_tr_n") > 1) & ((F.col("_th") > 0) | ((tag == "th") & is_close))
-    text_ok = (depth_before > 0) & (~in_table | (F.col("_cell") > 0)) & ~dropped_th
-    text_out = F.regexp_replace(F.regexp_replace(H.decode_entities(tok), "[\u00ad\u200b]", ""),
-                                "[ \t\n\r\f\u00a0]+", " ")
+    dlang = F.when((col("_pre") > 0) & col("_dl").isNotNull(),
+                   F.concat(F.lpad(pos.cast("string"), 10, "0"), F.lit("\u0001"), col("_dl")))
+    tk = tk.select(
+        "*",
+        # language: data-language of the first code start inside the pre
+        F.substring_index(F.min(dlang).over(Window.partitionBy("page_id", "_pre_id")), "\u0001", -1)
+        .alias("_lang"),
+        F.last(F.when(is_open & is_list, pos), ignorenulls=True).over(wl).alias("_lpos"),
+        F.last(F.when(is_open & is_list, tag), ignorenulls=True).over(wl).alias("_ltype"),
+        # row number inside the current table: running rows minus rows before it
+        (col("_trs") - F.coalesce(F.last(F.when(table_open, col("_trs")), ignorenulls=True).over(wo),
+                                  F.lit(0))).alias("_tr_n"))
+    counted_cell = is_open & (col("_tb") > 0) & cell & ((col("_tr_n") == 1) | (tag == "td"))
+    tk = tk.select(
+        "*",
+        F.sum(flag(is_open & (tag == "li") & (col("_ld") > 0))).over(
+            Window.partitionBy("page_id", "_lpos").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+        .alias("_li_n"),
+        run(counted_cell).alias("_cells"))
+    tk = tk.select("*", (col("_cells") - F.coalesce(
+        F.last(F.when(table_open | tr_open, col("_cells")), ignorenulls=True).over(wo), F.lit(0)))
+        .alias("_cell_n"))
+
+    # stage 5: output of every token
+    in_table = col("_tb") > 0
+    dropped_th = in_table & (col("_tr_n") > 1) & ((col("_th") > 0) | ((tag == "th") & is_close))
+    depth_before = col("_d") - flag(is_open) + flag(is_close)
+    text_ok = (depth_before > 0) & (~in_table | (col("_cell") > 0)) & ~dropped_th
     pre_map, suf_map = _map({k: v[0] for k, v in table.items()}), _map({k: v[1] for k, v in table.items()})
-    conv = F.col("_code") - F.when(is_open & tag.isin("code", "pre"), 1).otherwise(0) <= 0
-    conv_close = F.when(tag.isin("code", "pre"), F.col("_code") + 1 <= 1).otherwise(F.col("_code") <= 0)
-    a_open = F.when(F.coalesce(H.attr(tok, "href"), F.lit("")) != "", F.lit("[")).otherwise(F.lit(""))
-    a_close = F.when(F.coalesce(F.col("_href"), F.lit("")) != "",
-                     F.concat(F.lit("]("), F.col("_href"), F.lit(")"))).otherwise(F.lit(""))
-    src, alt = F.coalesce(H.attr(tok, "src"), F.lit("")), F.coalesce(H.attr(tok, "alt"), F.lit(""))
-    img = F.when(src != "", F.concat(F.lit("!["), alt, F.lit("]("), src, F.lit(")"))).otherwise(F.lit(""))
-    li_prefix = F.when(F.col("_ltype") == "ol", F.concat(F.col("_li_n").cast("string"), F.lit(". "))) \
+    conv = col("_code") - flag(is_open & tag.isin("code", "pre")) <= 0
+    conv_close = F.when(tag.isin("code", "pre"), col("_code") + 1 <= 1).otherwise(col("_code") <= 0)
+    a_open = F.when(col("_a_href") != "", F.lit("[")).otherwise(F.lit(""))
+    a_close = F.when(F.coalesce(col("_href"), F.lit("")) != "",
+                     F.concat(F.lit("]("), col("_href"), F.lit(")"))).otherwise(F.lit(""))
+    img = F.when(col("_img.src") != "", F.concat(F.lit("!["), col("_img.alt"), F.lit("]("), col("_img.src"),
+                                                 F.lit(")"))).otherwise(F.lit(""))
+    li_prefix = F.when(col("_ltype") == "ol", F.concat(col("_li_n").cast("string"), F.lit(". "))) \
         .otherwise(F.lit("* "))
-    cell_sep = F.when(F.col("_cell_n") > 1, F.lit(" | ")).otherwise(F.lit(""))
-    head_rule = F.when(F.col("_nhead") > 0, F.concat(
-        F.array_join(F.array_repeat(F.lit("---"), F.col("_nhead").cast("int")), " | "), F.lit("\n")))
+    cell_sep = F.when(col("_cell_n") > 1, F.lit(" | ")).otherwise(F.lit(""))
+    # header rule at the end of the first row: all its cells are counted by then
+    head_rule = F.when(col("_cell_n") > 0, F.concat(
+        F.array_join(F.array_repeat(F.lit("---"), col("_cell_n").cast("int")), " | "), F.lit("\n")))
+    pre_rule = F.coalesce(F.try_element_at(pre_map, tag), F.lit(""))
+    suf_rule = F.coalesce(F.try_element_at(suf_map, tag), F.lit(""))
     open_out = (F.when(tag == "a", a_open)
-                .when(tag == "li", F.when(F.col("_ld") > 0, li_prefix).otherwise(F.lit("")))
-                .when(tag == "code", F.when(F.col("_pre") > 0, F.lit("")).otherwise(F.lit("`")))
-                .when(tag == "pre", F.concat(F.lit("```"), F.coalesce(F.col("_lang"), F.lit("")), F.lit("\n")))
+                .when(tag == "li", F.when(col("_ld") > 0, li_prefix).otherwise(F.lit("")))
+                .when(tag == "code", F.when(col("_pre") > 0, F.lit("")).otherwise(F.lit("`")))
+                .when(tag == "pre", F.concat(F.lit("```"), F.coalesce(col("_lang"), F.lit("")), F.lit("\n")))
                 .when(tag == "blockquote", F.lit(QUOTE_OPEN))
-                .when(tag.isin("td", "th") & in_table, F.when(counted_cell, cell_sep).otherwise(F.lit("")))
-                .when((tag == "p") & (F.col("_prev_p") == "open"),
-                      F.concat(F.coalesce(F.try_element_at(suf_map, tag), F.lit("")),
-                               F.coalesce(F.try_element_at(pre_map, tag), F.lit(""))))
-                .otherwise(F.coalesce(F.try_element_at(pre_map, tag), F.lit(""))))
+                .when(cell & in_table, F.when(counted_cell, cell_sep).otherwise(F.lit("")))
+                .when((tag == "p") & (col("_prev_p") == "open"), F.concat(suf_rule, pre_rule))
+                .otherwise(pre_rule))
     close_out = (F.when(tag == "a", a_close)
-                 .when(tag == "li", F.when(F.col("_ld") > 0, F.lit("\n")).otherwise(F.lit("")))
-                 .when(tag.isin("ul", "ol"), F.lit("\n"))
-                 .when(tag == "code", F.when(F.col("_pre") > 0, F.lit("")).otherwise(F.lit("`")))
+                 .when(tag == "li", F.when(col("_ld") > 0, F.lit("\n")).otherwise(F.lit("")))
+                 .when(is_list, F.lit("\n"))
+                 .when(tag == "code", F.when(col("_pre") > 0, F.lit("")).otherwise(F.lit("`")))
                  .when(tag == "pre", F.lit("\n```\n\n"))
                  .when(tag == "blockquote", F.lit(QUOTE_CLOSE))
                  .when(tag == "tr", F.when(in_table, F.concat(
-                     F.lit("\n"), F.when(F.col("_tr_n") == 1, F.coalesce(head_rule, F.lit(""))).otherwise(F.lit(""))))
+                     F.lit("\n"), F.when(col("_tr_n") == 1, F.coalesce(head_rule, F.lit(""))).otherwise(F.lit(""))))
                        .otherwise(F.lit("")))
                  .when(tag == "table", F.lit("\n"))
-                 .otherwise(F.coalesce(F.try_element_at(suf_map, tag), F.lit(""))))
+                 .otherwise(suf_rule))
     void_out = F.when(tag == "img", img).otherwise(F.coalesce(F.try_element_at(_map(VOID_RULES), tag), F.lit("")))
-    out = (F.when(kind == "text", F.when(text_ok, text_out).otherwise(F.lit("")))
-           .when(F.col("_d") > MAX_DEPTH, F.lit(""))
+    out = (F.when(kind == "text", F.when(text_ok, col("_text")).otherwise(F.lit("")))
+           .when(col("_d") > MAX_DEPTH, F.lit(""))
            .when(is_open, F.when(conv & ~dropped_th, open_out).otherwise(F.lit("")))
            .when(is_close, F.when(conv_close & ~dropped_th, close_out).otherwise(F.lit("")))
-           .when(kind == "void", F.when(conv & ~dropped_th & (~in_table | (F.col("_cell") > 0)), void_out)
+           .when(kind == "void", F.when(conv & ~dropped_th & (~in_table | (col("_cell") > 0)), void_out)
                  .otherwise(F.lit("")))
            .otherwise(F.lit("")))
-    # table cells: text outside cells is dropped; in-cell block rules still apply
     per = tk.select("page_id", "pos", out.alias("o")).groupBy("page_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "o"))), lambda x: x["o"]), "")
         .alias("m"))
-    md = _quote_pass(_quote_pass(F.col("m")))
+    md = _quote_pass(_quote_pass(col("m")))
     md = F.regexp_replace(F.regexp_replace(md, "[\u0002\u0003]", ""), NEWLINES_RE, "\n\n")
     return (pages_df.select("page_id").join(per.select("page_id", md.alias("markdown")), "page_id", "left")
             .select("page_id", F.coalesce("markdown", F.lit("")).alias("markdown")))

@@ -171,18 +171,12 @@ def politeness_plan(nodes: DataFrame, delay_ms: int) -> DataFrame:
     """Planned start offset of each fetch: the fixed delay times the number
     of fetches before it in crawl order (depth, then URL) within its root.
 
-    Offsets are built in two steps so that no window spans a whole root:
-    level sizes per (root, depth) are summed into per-level offsets (a small
-    table), and the rank inside a level is a window over (root, depth).
-    """
-    sizes = nodes.groupBy("root_url", "depth").agg(F.count("*").alias("n"))
-    wl = Window.partitionBy("root_url").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.withColumn("before", F.coalesce(F.sum("n").over(wl), F.lit(0)))
-    wi = Window.partitionBy("root_url", "depth").orderBy("url")
-    ranked = nodes.select("root_url", "url", "depth").withColumn("i", F.row_number().over(wi) - 1)
-    return (ranked.join(offs.select("root_url", "depth", "before"), ["root_url", "depth"])
-            .select("root_url", "url", "depth",
-                    ((F.col("before") + F.col("i")) * F.lit(int(delay_ms))).cast("bigint").alias("start_ms")))
+    The rank inside a root is built from range slices (``plans.rank``), so a
+    site holding a large share of all nodes is not ranked by one task."""
+    from sitegraph.plans.rank import split_row_number
+    ranked = split_row_number(nodes.select("root_url", "url", "depth"), ["root_url"], ["depth", "url"], "i")
+    return ranked.select("root_url", "url", "depth",
+                         ((F.col("i") - 1) * F.lit(int(delay_ms))).cast("bigint").alias("start_ms"))
 
 
 def valid_urls(urls: DataFrame, store: DataFrame, url_col: str = "url") -> DataFrame:

@@ -53,14 +53,15 @@ def _origin(url):
 def site_edges(pages_df: DataFrame) -> DataFrame:
     """In-site link plan over the page store: ``(page_id, dst)``.
 
-    Within a host, pages are numbered ``rn`` by page_id; page ``rn`` links to
+    Within a host, pages are numbered ``rn`` by page_id (an exact rank built
+    from range slices, so one huge host is not numbered by one task); page ``rn`` links to
     ``2rn+1``, ``2rn+2``, ``rn+5`` and (unless it is the root) back to ``0``.
     Targets are generated per page and equi-joined on ``(host, rn)``, so a
     host with many pages costs linear, not quadratic, work.
     """
-    from pyspark.sql import Window as W
-    p1 = (pages_df.select("page_id", "url", _host(F.col("url")).alias("host"))
-          .withColumn("rn", F.row_number().over(W.partitionBy("host").orderBy("page_id")) - 1))
+    from sitegraph.plans.rank import split_row_number
+    p1 = split_row_number(pages_df.select("page_id", "url", _host(F.col("url")).alias("host")),
+                          ["host"], ["page_id"], "rn").withColumn("rn", F.col("rn") - 1)
     targets = p1.select(
         "page_id", "host",
         F.explode(F.array_distinct(F.filter(

@@ -69,3 +69,14 @@ def test_site_tree_json_is_nested(spark, sf):
 
 def test_word_count_non_negative(spark, sf):
     assert E.queries()["word_count"](spark, sf).where("word_count < 0").count() == 0
+
+
+def test_split_row_number_matches_window_on_a_hot_group(spark):
+    from pyspark.sql import Window
+    from sitegraph.plans.rank import split_row_number
+    # group 0 holds 90% of the rows
+    df = spark.range(5000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(0).alias("g"),
+                                  (F.col("id") * 7919 % 5000).alias("o"))
+    got = split_row_number(df, ["g"], ["o"], "rn", slices=16)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("bigint"))
+    assert sorted(got.collect()) == sorted(want.collect())

@@ -62,8 +62,15 @@ def rules_by_origin(robots_df: DataFrame, user_agent: str | None) -> DataFrame:
 def robots_allowed(urls_df: DataFrame, robots_df: DataFrame, user_agent: str | None,
                    url_col: str = "url", out_col: str = "allowed") -> DataFrame:
     """Add a boolean ``allowed`` column to a DataFrame of URLs."""
+    return allowed_by_rules(urls_df, rules_by_origin(robots_df, user_agent), url_col, out_col)
+
+
+def allowed_by_rules(urls_df: DataFrame, rules_df: DataFrame, url_col: str = "url",
+                     out_col: str = "allowed") -> DataFrame:
+    """As ``robots_allowed`` with the per-origin rule table already built
+    (``rules_by_origin``), e.g. once per crawl instead of once per level."""
     o = U.origin(F.col(url_col))
-    rules = rules_by_origin(robots_df, user_agent).withColumnRenamed("origin", "_origin")
+    rules = rules_df.withColumnRenamed("origin", "_origin")
     df = urls_df.withColumn("_origin", o).join(rules, "_origin", "left")
     url = F.col(url_col)
 

@@ -107,10 +107,13 @@ def crawl_nodes(graph: DataFrame, roots: DataFrame, opts: CrawlOptions,
     levels = [level]
     visited = level.select("root_url", "url")
     g = graph.select("key", "valid", "children")
+    rules = None
+    if opts.enforce_robots and robots is not None:
+        rules = _save(R.rules_by_origin(robots, opts.user_agent))
     for d in range(int(opts.max_depth)):
         f = level.join(g, level["url"] == g["key"]).where("valid")
-        if opts.enforce_robots and robots is not None:
-            f = R.robots_allowed(f, robots, opts.user_agent).where("allowed")
+        if rules is not None:
+            f = R.allowed_by_rules(f, rules).where("allowed")
         kids = f.select("root_url", F.col("url").alias("parent_url"), "path",
                         F.explode("children").alias("url"))
         cand = (kids.groupBy("root_url", "url")
@@ -132,8 +135,8 @@ def crawl_nodes(graph: DataFrame, roots: DataFrame, opts: CrawlOptions,
     nodes = nodes.join(graph.select(F.col("key").alias("url"), "page_id", "title", "valid"),
                        "url", "left")
     valid = F.coalesce(F.col("valid"), F.lit(False))
-    if opts.enforce_robots and robots is not None:
-        nodes = R.robots_allowed(nodes, robots, opts.user_agent)
+    if rules is not None:
+        nodes = R.allowed_by_rules(nodes, rules)
     else:
         nodes = nodes.withColumn("allowed", F.lit(True))
     status = (F.when(~F.col("allowed"), F.lit("disallowed"))
@@ -148,7 +151,11 @@ def crawl(store: DataFrame, roots: DataFrame, opts: CrawlOptions,
 
     The page graph is materialised once, so the level loop reads only keys
     and out-link arrays, never the HTML."""
-    return crawl_nodes(_save(page_graph(store, opts)), roots, opts, robots)
+    n = int(store.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # hash partitioned by key and checkpointed: each level's join shuffles
+    # only the (small) frontier, never the graph
+    graph = _save(page_graph(store, opts).repartition(n, "key"))
+    return crawl_nodes(graph, roots, opts, robots)
 
 
 def site_map_nodes(nodes: DataFrame, opts: CrawlOptions) -> DataFrame:

@@ -202,3 +202,40 @@ def page_scan(urls: DataFrame, store: DataFrame, url_col: str = "url") -> DataFr
     best = s.groupBy("_k").agg(F.min(F.struct("page_id", "html")).alias("p"))
     return (urls.join(best, U.clean_url(F.col(url_col)) == F.col("_k"))
             .select(*urls.columns, "p.page_id", "p.html"))
+
+
+def crawl_full(store: DataFrame, roots: DataFrame, opts: CrawlOptions, *, robots: DataFrame | None = None,
+               assets: DataFrame | None = None, fmt: str = "text", selectors: list[str] | None = None,
+               with_images: bool = False, with_documents: bool = False, with_meta: bool = False,
+               max_images: int = 0, max_documents: int = 0,
+               run_ts: str = "00000000000000000") -> dict[str, DataFrame]:
+    """The full-scan crawl: ``nodes`` (adjacency table with ``file_name`` for
+    recorded pages), ``records`` (one page record per recorded node, the
+    JSON the reference saves, with its file name) and ``tree`` (nested JSON
+    per root).  Records are computed once per stored page and joined to the
+    nodes that reached it."""
+    from sitegraph.plans import fullscan as FS
+    from sitegraph.plans import sitemap as SM
+    from sitegraph.sources import sinks as SK
+    nodes = crawl(store, roots, opts, robots)
+    ok = F.col("status") == "ok"
+    nodes = nodes.withColumn("file_name", F.when(ok, SK.page_file_name(F.coalesce("title", F.lit("")),
+                                                                        F.lit(run_ts))))
+    pages = store.join(nodes.where(ok).select("page_id").distinct(), "page_id", "left_semi")
+    rec = FS.full_scan_records(pages.select("page_id", "url", "html"), assets, fmt=fmt, selectors=selectors,
+                               with_images=with_images, with_documents=with_documents, with_meta=with_meta,
+                               max_images=max_images, max_documents=max_documents, run_ts=run_ts)
+    records = (nodes.where(ok).select("root_url", F.col("url").alias("node_url"), "page_id", "file_name")
+               .join(rec.drop("url"), "page_id")
+               .withColumnRenamed("node_url", "url"))
+    records = SK.page_records(records.drop("file_name"), F.lit(run_ts))
+    return {"nodes": nodes, "records": records, "tree": SM.site_tree_json(nodes)}
+
+
+def get_sitemap(store: DataFrame, roots: DataFrame, opts: CrawlOptions,
+                robots: DataFrame | None = None) -> dict[str, DataFrame]:
+    """get-sitemap: ``entries`` (loc, priority, XML fragment and sort key per
+    URL) and ``summary`` (url, count, depth per root)."""
+    from sitegraph.plans import sitemap as SM
+    m = site_map_nodes(crawl(store, roots, opts, robots), opts)
+    return {"entries": SM.sitemap_entries(m), "summary": SM.sitemap_summary(m, opts.max_depth)}

@@ -1027,3 +1027,17 @@ def q_crawl_stream(spark, sf):
     nodes = ST.crawl_stream(spark, landing, roots, opts, status_fn=T.page_status)
     return nodes.select("root_url", "url", "depth", "parent_url",
                         F.coalesce("page_id", F.lit(-1).cast("bigint")).alias("page_id"), "status")
+
+
+@register("crawl_full_records", _crawl_sql() + f""",
+ptext AS (SELECT page_id, {D.clean_html('html')} AS c FROM pplus)
+SELECT cn.root_url, cn.url, cn.page_id, {D.title_of('p.c')} AS title,
+       concat({D.sanitize_file_name(D.title_of('p.c'))}, '_', {D.q(RUN_TS)}, '.json') AS file_name,
+       {D.text_of('p.c')} AS content
+FROM cn JOIN ptext p ON p.page_id = cn.page_id WHERE cn.status = 'ok'""")
+def q_crawl_full_records(spark, sf):
+    from sitegraph.plans import crawl as C
+    pp, store, roots = _crawl_inputs(spark, sf)
+    opts = C.CrawlOptions(max_depth=CRAWL_DEPTH, referrer=REFERRER)
+    out = C.crawl_full(store, roots, opts, run_ts=RUN_TS)
+    return out["records"].select("root_url", "url", "page_id", "title", "file_name", "content")

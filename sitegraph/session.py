@@ -54,7 +54,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="sitegraph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - a core conf may be read-only at runtime
+            pass
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d

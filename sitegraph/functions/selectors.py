@@ -41,17 +41,37 @@ class Simple:
         return bool(self.tag) and self.tag != "*" and not (self.cls or self.id or self.attr)
 
 
-def parse(selector: str) -> list[Simple]:
-    """Split a selector list into simple selectors."""
-    out = []
+def _simple(part: str, selector: str) -> Simple:
+    m = _SIMPLE.match(part)
+    if not part or not m or not any(m.group(g) for g in ("tag", "cls", "id", "attr")):
+        raise ValueError(f"unsupported selector: {selector!r}")
+    return Simple((m.group("tag") or "").lower() or None, m.group("cls"), m.group("id"),
+                  (m.group("attr") or "").lower() or None, m.group("val"))
+
+
+def parse_chains(selector: str) -> list[list[Simple]]:
+    """Selector list -> descendant chains (``article p`` -> [article, p])."""
+    if ">" in selector or "+" in selector or "~" in selector:
+        raise ValueError(f"unsupported selector (only descendant combinators): {selector!r}")
+    chains = []
     for part in selector.split(","):
-        part = part.strip()
-        m = _SIMPLE.match(part)
-        if not part or not m or not any(m.group(g) for g in ("tag", "cls", "id", "attr")):
+        steps = part.split()
+        if not steps:
             raise ValueError(f"unsupported selector: {selector!r}")
-        out.append(Simple((m.group("tag") or "").lower() or None, m.group("cls"), m.group("id"),
-                          (m.group("attr") or "").lower() or None, m.group("val")))
-    return out
+        chains.append([_simple(x, selector) for x in steps])
+    return chains
+
+
+def has_descendant(selector: str) -> bool:
+    return any(len(c) > 1 for c in parse_chains(selector))
+
+
+def parse(selector: str) -> list[Simple]:
+    """Split a selector list of compound selectors (no descendant steps)."""
+    chains = parse_chains(selector)
+    if any(len(c) > 1 for c in chains):
+        raise ValueError(f"descendant selector needs element spans: {selector!r}")
+    return [c[0] for c in chains]
 
 
 def predicate(s: Simple, tag: Column) -> Column:

@@ -31,17 +31,38 @@ FORMATS = ("text", "html", "markdown")
 def _candidates(tok_df: DataFrame, selectors: list[str]) -> DataFrame:
     """``page_id, si, start_pos, end_pos`` of elements matching each selector."""
     sp = TK.spans(tok_df)
-    hits = []
+    # descendant steps: an element has an ancestor matching A iff the largest
+    # end of the A-spans that start before it reaches its own end (one
+    # running max per step, over the page's spans in start order)
+    before = (Window.partitionBy("page_id").orderBy("start_pos")
+              .rangeBetween(Window.unboundedPreceding, -1))
+    hits, k = [], 0
     for si, sel in enumerate(selectors):
         cond = F.lit(False)
-        for s in S.parse(sel):
-            cond = cond | S.predicate(s, F.col("tok"))
+        for chain in S.parse_chains(sel):
+            flag = S.predicate(chain[0], F.col("tok"))
+            for step in chain[1:]:
+                name = f"_anc{k}"
+                k += 1
+                sp = sp.withColumn(name, F.max(F.when(flag, F.col("end_pos"))).over(before))
+                flag = S.predicate(step, F.col("tok")) & F.coalesce(F.col(name) >= F.col("end_pos"), F.lit(False))
+            cond = cond | flag
         hits.append(F.when(cond, F.lit(si)))
     # one pass over the spans: the indices of the selectors each element matches
     si = F.filter(F.array(*hits), lambda x: x.isNotNull())
     return sp.select("page_id", F.explode(si).alias("si"), "start_pos", "end_pos")
 
 
+def selector_counts(pages_df: DataFrame, selectors: list[str]) -> DataFrame:
+    """``page_id`` plus one count column per selector (descendant selectors
+    allowed), from element spans; pages without a match count 0."""
+    tok_df = TK.tokens(pages_df.select("page_id", "html"))
+    c = _candidates(tok_df, selectors).groupBy("page_id", "si").agg(F.count("*").alias("n"))
+    wide = c.groupBy("page_id").pivot("si", list(range(len(selectors)))).agg(F.first("n"))
+    cols = [F.coalesce(F.col(str(i)), F.lit(0)).cast("bigint").alias(sel) for i, sel in enumerate(selectors)]
+    return (pages_df.select("page_id").join(wide, "page_id", "left").select("page_id", *cols))
+
+
 def kept_elements(tok_df: DataFrame, selectors: list[str]) -> DataFrame:
     """Candidates not inside an earlier candidate: ``page_id, si, start_pos, end_pos``."""
     c = _candidates(tok_df, selectors)

@@ -42,7 +42,10 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
     cols = [F.col("page_id"), F.col("url"), H.title_of(F.col("_clean")).alias("title")]
     if want_counts:
         tags = selectors if selectors else P.DEFAULT_COUNT_TAGS
-        cols += [S.element_count(F.col("_clean"), t).alias(count_column_name(t)) for t in tags]
+        # compound selectors are counted inside the row; descendant ones need spans
+        nested = [t for t in tags if S.has_descendant(t)]
+        cols += [S.element_count(F.col("_clean"), t).alias(count_column_name(t))
+                 for t in tags if t not in nested]
         cols += [c.alias(k) for k, c in L.link_counts(F.col("_links")).items()]
         if not selectors:
             cols.append(H.word_count(H.text_of(F.col("_clean"))).alias("word_count"))
@@ -50,6 +53,9 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
         sets = L.link_sets(F.col("_links"))
         cols += [sets[k].alias(f"{k}_links") for k in want_links]
     out = df.select(*cols)
+    if want_counts and selectors and nested:
+        from sitegraph.operators import content as C
+        out = out.join(C.selector_counts(pages_df, nested), "page_id")
     if want_counts and selectors:
         # words of the selected elements' text (needs the token plan)
         from sitegraph.operators import content as C

@@ -519,28 +519,39 @@ sp AS (
   SELECT page_id, tag, pos, pos, tok FROM tk WHERE kind = 'void')"""
 
 
-def _sel_pred_sql(sel: str) -> str:
-    from sitegraph.functions import selectors as S
-    out = []
-    for s in S.parse(sel):
-        c = ["true"]
-        if s.tag and s.tag != "*":
-            c.append(f"{D.tag_name('tok')} = {D.q(s.tag)}")
-        if s.cls:
-            c.append(f"list_contains(string_split_regex(trim(coalesce({D.attr('tok', 'class')}, '')), "
-                     f"'[ \t\n\r\f]+'), {D.q(s.cls)})")
-        if s.id:
-            c.append(f"coalesce({D.attr('tok', 'id')}, '') = {D.q(s.id)}")
-        if s.attr:
-            v = D.attr("tok", s.attr)
-            c.append(f"{v} IS NOT NULL" if s.val is None else f"{v} = {D.q(s.val)}")
-        out.append("(" + " AND ".join(c) + ")")
-    return "(" + " OR ".join(out) + ")"
+def _simple_pred_sql(s, tok: str) -> str:
+    c = ["true"]
+    if s.tag and s.tag != "*":
+        c.append(f"{D.tag_name(tok)} = {D.q(s.tag)}")
+    if s.cls:
+        c.append(f"list_contains(string_split_regex(trim(coalesce({D.attr(tok, 'class')}, '')), "
+                 f"'[ \t\n\r\f]+'), {D.q(s.cls)})")
+    if s.id:
+        c.append(f"coalesce({D.attr(tok, 'id')}, '') = {D.q(s.id)}")
+    if s.attr:
+        v = D.attr(tok, s.attr)
+        c.append(f"{v} IS NOT NULL" if s.val is None else f"{v} = {D.q(s.val)}")
+    return "(" + " AND ".join(c) + ")"
+
+
+def _chain_pred_sql(chain, alias: str, depth: int = 0) -> str:
+    """Last step matches ``alias``; every earlier step is an enclosing span
+    (checked pairwise with EXISTS: an independent formulation)."""
+    own = _simple_pred_sql(chain[-1], f"{alias}.tok")
+    if len(chain) == 1:
+        return own
+    a = f"anc{depth}"
+    inner = _chain_pred_sql(chain[:-1], a, depth + 1)
+    return (f"({own} AND EXISTS (SELECT 1 FROM sp {a} WHERE {a}.page_id = {alias}.page_id "
+            f"AND {a}.start_pos < {alias}.start_pos AND {a}.end_pos >= {alias}.end_pos AND {inner}))")
 
 
 def _cands_sql(selectors) -> str:
-    parts = [f"SELECT DISTINCT page_id, {i} AS si, start_pos, end_pos FROM sp WHERE {_sel_pred_sql(s)}"
-             for i, s in enumerate(selectors)]
+    from sitegraph.functions import selectors as S
+    parts = []
+    for i, sel in enumerate(selectors):
+        pred = " OR ".join(_chain_pred_sql(ch, "e") for ch in S.parse_chains(sel))
+        parts.append(f"SELECT DISTINCT page_id, {i} AS si, start_pos, end_pos FROM sp e WHERE {pred}")
     return "cand AS (" + " UNION ALL ".join(parts) + ")"
 
 
@@ -1041,3 +1052,29 @@ def q_crawl_full_records(spark, sf):
     opts = C.CrawlOptions(max_depth=CRAWL_DEPTH, referrer=REFERRER)
     out = C.crawl_full(store, roots, opts, run_ts=RUN_TS)
     return out["records"].select("root_url", "url", "page_id", "title", "file_name", "content")
+
+
+NESTED_SELECTORS = ["article p", "nav li a, footer a", "body article h1"]
+
+
+def _col_name(selector: str) -> str:
+    import re
+    return "n_" + re.sub(r"\W+", "_", selector).strip("_")
+
+
+@register("content_text_nested", "WITH " + _tokens_sql("pages").strip()
+          + _selected_text_sql("pages", NESTED_SELECTORS) + "\nSELECT page_id, content FROM seltext")
+def q_content_text_nested(spark, sf):
+    from sitegraph.operators import content as C
+    return C.selected_text(T.pages(spark, sf), NESTED_SELECTORS)
+
+
+@register("nested_counts", "WITH " + _tokens_sql("pages").strip() + ",\n" + _cands_sql(NESTED_SELECTORS) + """
+SELECT p.page_id, """ + ", ".join(
+    f"coalesce(sum(CASE WHEN c.si = {i} THEN 1 ELSE 0 END), 0)::BIGINT AS {_col_name(sel)}"
+    for i, sel in enumerate(NESTED_SELECTORS)) + """
+FROM pages p LEFT JOIN cand c ON c.page_id = p.page_id GROUP BY p.page_id""")
+def q_nested_counts(spark, sf):
+    from sitegraph.operators import content as C
+    df = C.selector_counts(T.pages(spark, sf), NESTED_SELECTORS)
+    return df.select("page_id", *[F.col(f"`{s}`").alias(_col_name(s)) for s in NESTED_SELECTORS])

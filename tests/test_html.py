@@ -53,3 +53,18 @@ def test_element_count(spark, selector, expected):
 def test_bad_selector():
     with pytest.raises(ValueError):
         S.parse("div > p")
+
+
+def test_descendant_selectors(spark):
+    from sitegraph.operators import content as C
+    from sitegraph.operators import insights as I
+    html = ('<html><body><nav><a href="/1">one</a></nav><article><h1>T</h1><p>a <a href="/2">two</a></p>'
+            '<div><p>b</p></div></article><p>out</p><footer><a>three</a></footer></body></html>')
+    df = spark.createDataFrame([(1, "http://h.org/", html)], "page_id long, url string, html string")
+    assert C.selected_text(df, ["article p"]).first()["content"] == "a two b"
+    assert C.selected_text(df, ["nav a, footer a"]).first()["content"] == "one three"
+    assert C.first_match_html(df, ["article div p"]).first()["content"] == "<p>b</p>"
+    row = I.page_insights(df, selectors=["p", "article p", "body article a"]).first()
+    assert (row["p"], row["article p"], row["body article a"]) == (3, 2, 1)
+    with pytest.raises(ValueError):
+        S.parse_chains("article > p")

@@ -15,10 +15,6 @@ from sitegraph.functions import selectors as S
 from sitegraph.operators import links as L
 
 
-def count_column_name(selector: str) -> str:
-    return selector
-
-
 def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds: str = "all",
                   url_patterns: list[str] | None = None, url_logic: str | None = None,
                   with_link_sets: bool = True) -> DataFrame:
@@ -44,7 +40,7 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
         tags = selectors if selectors else P.DEFAULT_COUNT_TAGS
         # compound selectors are counted inside the row; descendant ones need spans
         nested = [t for t in tags if S.has_descendant(t)]
-        cols += [S.element_count(F.col("_clean"), t).alias(count_column_name(t))
+        cols += [S.element_count(F.col("_clean"), t).alias(t)
                  for t in tags if t not in nested]
         cols += [c.alias(k) for k, c in L.link_counts(F.col("_links")).items()]
         if not selectors:
@@ -63,3 +59,24 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
             "page_id", H.word_count(F.col("content")).alias("word_count"))
         out = out.join(words, "page_id")
     return out
+
+
+def insights_json(insights_df: DataFrame, selectors: list[str] | None = None) -> DataFrame:
+    """``page_id, json`` in the shape of the reference's insight response:
+    ``{"pageStats": {<selector counts>, internal, external, reference, iframe,
+    images, wordCount}, "links": {documents, internal, external, reference,
+    iframe, images}, "title", "url"}`` (parts not computed are left out)."""
+    tags = selectors if selectors else P.DEFAULT_COUNT_TAGS
+    cols = set(insights_df.columns)
+    stats = [F.col(f"`{t}`").alias(t) for t in tags if t in cols]
+    stats += [F.col(k).alias(k) for k in ["internal", "external", "reference", "iframe", "images"] if k in cols]
+    if "word_count" in cols:
+        stats.append(F.col("word_count").alias("wordCount"))
+    links = [F.col(f"{k}_links").alias(k) for k in L.ALL_KINDS if f"{k}_links" in cols]
+    parts = []
+    if stats:
+        parts.append(F.struct(*stats).alias("pageStats"))
+    if links:
+        parts.append(F.struct(*links).alias("links"))
+    parts += [F.col("title").alias("title"), F.col("url").alias("url")]
+    return insights_df.select("page_id", F.to_json(F.struct(*parts)).alias("json"))

@@ -36,3 +36,10 @@ def page_meta_tags(pages_df: DataFrame) -> DataFrame:
     return df.select("page_id", "url", F.posexplode("m").alias("pos", "t")).select(
         "page_id", "url", F.col("pos").cast("bigint").alias("pos"),
         "t.name", "t.property", "t.content")
+
+
+def meta_tags_json(pages_df: DataFrame) -> DataFrame:
+    """``page_id, json``: the meta tag array as the reference returns it
+    (each object has ``property`` or ``name``, and ``content``)."""
+    m = meta_array(H.clean_html(F.col("html")))
+    return pages_df.select("page_id", F.to_json(m).alias("json"))

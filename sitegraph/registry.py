@@ -418,20 +418,17 @@ def q_site_children(spark, sf):
 @register("site_tree_json")
 def q_site_tree_json(spark, sf):
     from sitegraph.plans import sitemap as SM
+    from sitegraph.sources import sinks as SK
     nodes, _ = _crawl(spark, sf)
-    nodes = nodes.withColumn("file_name", F.when(F.col("status") == "ok", F.concat(
-        U_sanitize(F.col("title")), F.lit("_"), F.lit(RUN_TS), F.lit(".json"))))
+    nodes = nodes.withColumn("file_name", F.when(F.col("status") == "ok", SK.page_file_name(
+        F.coalesce("title", F.lit("")), F.lit(RUN_TS))))
     return SM.site_tree_json(nodes)
 
 
+# Fixed run timestamp of the registered queries (file names must be reproducible).
 RUN_TS = "20260101000000000"
 
 
-def U_sanitize(c):
-    from sitegraph.functions import urls as U
-    return U.sanitize_file_name(c)
-
-
 # --------------------------------------------------------------- sitemap
 def _map(spark, sf):
     from sitegraph.plans import crawl as C

@@ -54,3 +54,18 @@ def test_page_without_markup_does_not_fail(spark):
     from sitegraph.operators import insights as I
     rows = I.page_insights(df).collect()
     assert len(rows) == 3
+
+
+def test_response_json_shapes(spark, sf):
+    from sitegraph.operators import insights as I
+    from sitegraph.operators import meta as M
+    pp = T.pages_plus(spark, sf)
+    row = I.insights_json(I.page_insights(pp)).first()
+    j = json.loads(row["json"])
+    assert set(j) == {"pageStats", "links", "title", "url"}
+    assert {"div", "p", "h1", "h5", "internal", "wordCount"} <= set(j["pageStats"])
+    assert set(j["links"]) == {"documents", "internal", "external", "reference", "iframe", "images"}
+    metas = [json.loads(r["json"]) for r in M.meta_tags_json(pp).collect()]
+    for arr in metas:
+        for t in arr:
+            assert t["content"] and (("name" in t) != ("property" in t))

@@ -1075,3 +1075,17 @@ def q_nested_counts(spark, sf):
     from sitegraph.operators import content as C
     df = C.selector_counts(T.pages(spark, sf), NESTED_SELECTORS)
     return df.select("page_id", *[F.col(f"`{s}`").alias(_col_name(s)) for s in NESTED_SELECTORS])
+
+
+@register("crawl_stream_records", _crawl_sql() + f""",
+ptext AS (SELECT page_id, {D.clean_html('html')} AS c FROM pplus)
+SELECT cn.root_url, cn.url, cn.depth, {D.title_of('p.c')} AS title, {D.text_of('p.c')} AS content
+FROM cn JOIN ptext p ON p.page_id = cn.page_id WHERE cn.status = 'ok'""")
+def q_crawl_stream_records(spark, sf):
+    from sitegraph.plans import crawl as C
+    from sitegraph.streaming import stream as ST
+    pp = T.pages_plus(spark, sf)
+    landing = _landing(spark, pp.select("page_id", "url", "html"), "records")
+    roots = pp.where("rn = 0").select(F.col("url").alias("root_url"))
+    opts = C.CrawlOptions(max_depth=CRAWL_DEPTH, referrer=REFERRER)
+    return ST.crawl_stream_records(spark, landing, roots, opts, status_fn=T.page_status)

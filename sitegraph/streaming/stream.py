@@ -98,3 +98,18 @@ def crawl_stream(spark: SparkSession, landing: str, roots: DataFrame, opts, robo
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(os.path.join(nodes_root, "current"))
+
+
+def crawl_stream_records(spark: SparkSession, landing: str, roots: DataFrame, opts,
+                         robots: DataFrame | None = None, status_fn=None,
+                         max_files_per_trigger: int = 2) -> DataFrame:
+    """The crawl-as-a-stream output of the reference: one ``{url, title,
+    content}`` record (TEXT) per crawled page that loaded, with its root and
+    depth so that BFS order is ``ORDER BY root_url, depth, url``.  Failed
+    and robots-forbidden nodes yield nothing."""
+    nodes = crawl_stream(spark, landing, roots, opts, robots, status_fn, max_files_per_trigger)
+    pages = spark.read.parquet(landing)
+    recs = page_records(pages)
+    return (nodes.where(F.col("status") == "ok").select("root_url", "url", "depth", "page_id")
+            .join(recs.select("page_id", "title", "content"), "page_id")
+            .select("root_url", "url", "depth", "title", "content"))

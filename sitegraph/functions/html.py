@@ -48,7 +48,8 @@ def decode_entities(s: Column) -> Column:
     m = F.create_map(*[x for k, v in sorted(table.items()) for x in (_lit(k), _lit(v))])
     chunks = F.regexp_extract_all(s, _lit(P.ENTITY_CHUNK_RE), 0)
     decoded = F.transform(
-        chunks, lambda c: F.coalesce(F.try_element_at(m, c), _numeric_ref(c), c))
+        chunks, lambda c: F.when(c.startswith("&") & (F.length(c) > 1),
+                                 F.coalesce(F.try_element_at(m, c), _numeric_ref(c), c)).otherwise(c))
     return F.when(s.contains("&"), F.array_join(decoded, "")).otherwise(s)
 
 

@@ -44,7 +44,8 @@ def _numeric_ref(c: str) -> str:
 
 def decode_entities(s: str) -> str:
     cases = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in sorted(P.entity_table().items()))
-    lam = f"lambda c: coalesce(CASE c {cases} END, {_numeric_ref('c')}, c)"
+    lam = (f"lambda c: CASE WHEN starts_with(c, '&') AND length(c) > 1 THEN "
+           f"coalesce(CASE c {cases} END, {_numeric_ref('c')}, c) ELSE c END")
     return (f"(CASE WHEN contains({s}, '&') THEN array_to_string(list_transform("
             f"regexp_extract_all({s}, {q(P.ENTITY_CHUNK_RE)}, 0), {lam}), '') ELSE {s} END)")
 

@@ -68,3 +68,9 @@ def test_descendant_selectors(spark):
     assert (row["p"], row["article p"], row["body article a"]) == (3, 2, 1)
     with pytest.raises(ValueError):
         S.parse_chains("article > p")
+
+
+def test_named_entities_from_standard_table(spark):
+    f = lambda c: H.text_of(H.clean_html(c))
+    assert one(spark, f, "<p>caf&eacute; &rarr; &Omega; &euro; &copy &notanentity; &amp;lt;</p>") == \
+        "café → Ω € © &notanentity; &lt;"

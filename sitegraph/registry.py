@@ -4,8 +4,8 @@ oracle SQL.
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` runs the operator over the
 whole given tables (or inputs Spark derives from them).  ``ORACLE[name]`` is
 an independent DuckDB statement over the same tables that must give the same
-rows; operators that SQL cannot express (iterative crawl output as nested
-JSON, streaming) have no entry.
+rows (the crawl as a recursive CTE, the nested tree as a fixed-depth fold,
+streams against their batch result).
 """
 
 from __future__ import annotations
@@ -302,6 +302,8 @@ def q_robots_page_status(spark, sf):
 
 
 # ----------------------------------------------------------------- crawl
+# Fixed run timestamp of the registered queries (file names must be reproducible).
+RUN_TS = "20260101000000000"
 CRAWL_DEPTH = 3
 REFERRER = "https://referrer.example/"
 
@@ -415,7 +417,31 @@ def q_site_children(spark, sf):
     return SM.site_children(nodes)
 
 
-@register("site_tree_json")
+def _tree_sql() -> str:
+    """Fold the crawl tree bottom-up, one level per CTE (depth is fixed)."""
+    levels = []
+    for d in range(CRAWL_DEPTH, -1, -1):
+        kids = (f"LEFT JOIN (SELECT root_url, parent_url, string_agg(j, ',' ORDER BY url, j) AS k FROM t{d + 1} "
+                f"GROUP BY root_url, parent_url) c ON c.root_url = n.root_url AND c.parent_url = n.url"
+                if d < CRAWL_DEPTH else "")
+        kid_json = "CASE WHEN c.k IS NOT NULL THEN concat(',\"children\":[', c.k, ']') ELSE '' END" \
+            if d < CRAWL_DEPTH else "''"
+        levels.append(f"""t{d} AS (
+  SELECT n.root_url, n.url, n.parent_url,
+         concat('{{"url":"', n.url, '"',
+                CASE WHEN n.file_name IS NOT NULL AND n.file_name <> '' THEN concat(',"fileName":"', n.file_name, '"')
+                     ELSE '' END, {kid_json}, '}}') AS j
+  FROM tn n {kids} WHERE n.depth = {d})""")
+    return _crawl_sql() + f""",
+ptext AS (SELECT page_id, {D.clean_html('html')} AS c FROM pplus),
+tn AS (SELECT cn.root_url, cn.url, cn.parent_url, cn.depth,
+              CASE WHEN cn.status = 'ok' THEN concat({D.sanitize_file_name(D.title_of('p.c'))}, '_', {D.q(RUN_TS)}, '.json')
+              END AS file_name
+       FROM cn LEFT JOIN ptext p ON p.page_id = cn.page_id),
+""" + ",\n".join(levels) + "\nSELECT root_url, j AS tree_json FROM t0"
+
+
+@register("site_tree_json", _tree_sql())
 def q_site_tree_json(spark, sf):
     from sitegraph.plans import sitemap as SM
     from sitegraph.sources import sinks as SK
@@ -425,9 +451,6 @@ def q_site_tree_json(spark, sf):
     return SM.site_tree_json(nodes)
 
 
-# Fixed run timestamp of the registered queries (file names must be reproducible).
-RUN_TS = "20260101000000000"
-
 
 # --------------------------------------------------------------- sitemap
 def _map(spark, sf):

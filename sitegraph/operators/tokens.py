@@ -15,10 +15,13 @@ On a page store bucketed by ``page_id`` that exchange disappears too.
 Span rules (a documented simplification of HTML5 tree building):
 
 * void elements and ``<x/>`` of void tags span their own tag;
-* ``p`` ends at the next ``p`` tag: a close is included, an open is not;
 * other elements pair an open with its close by nesting level per tag
-  (a running count of opens minus closes); an unclosed element ends at the
-  end of the page.
+  (a running count of opens minus closes);
+* an element that is never closed ends where its enclosing element ends
+  (the first explicitly matched close that leaves its depth), or at the end
+  of the page;
+* ``p`` ends at the next ``p`` tag (a close is included, an open is not),
+  and at the latest where its enclosing element ends.
 """
 
 from __future__ import annotations
@@ -70,14 +73,28 @@ def spans(tok_df: DataFrame) -> DataFrame:
     w_tag = Window.partitionBy("page_id", "tag").orderBy("pos")
     tt = tt.withColumn("depth", F.sum(d).over(w_tag.rowsBetween(Window.unboundedPreceding, 0)))
     tt = tt.withColumn("level", F.when(F.col("kind") == "open", F.col("depth")).otherwise(F.col("depth") + 1))
-    nxt_lvl = F.lead(F.struct("kind", "pos")).over(
-        Window.partitionBy("page_id", "tag", "level").orderBy("pos"))
-    nxt_tag = F.lead(F.struct("kind", "pos")).over(w_tag)
-    tt = tt.withColumn("nl", nxt_lvl).withColumn("nt", nxt_tag)
+    w_lvl = Window.partitionBy("page_id", "tag", "level").orderBy("pos")
+    tt = (tt.withColumn("nl", F.lead(F.struct("kind", "pos")).over(w_lvl))
+            .withColumn("pl", F.lag("kind").over(w_lvl))
+            .withColumn("nt", F.lead(F.struct("kind", "pos")).over(w_tag)))
+    # explicitly matched pairs only; their running depth over the page gives
+    # the enclosing context of an element that is never closed
+    matched_open = (F.col("kind") == "open") & (F.col("nl.kind") == "close")
+    matched_close = (F.col("kind") == "close") & (F.coalesce(F.col("pl"), F.lit("")) == "open")
+    step = F.when(matched_open, 1).when(matched_close, -1).otherwise(0)
+    tt = tt.withColumn("gd", F.sum(step).over(
+        Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
+    # an element never closed ends just before the first matched close that
+    # leaves its depth: the end of its enclosing element (HTML5 closes it there)
+    key = F.when(matched_close, F.col("gd")).when(F.col("kind") == "open", F.col("gd") - 1)
+    tt = tt.withColumn("_key", key).withColumn("parent_close", F.min(F.when(matched_close, F.col("pos"))).over(
+        Window.partitionBy("page_id", "_key").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)))
+    parent_end = F.col("parent_close") - 1
     paired = F.when(F.col("nl.kind") == "close", F.col("nl.pos"))
     auto = (F.when(F.col("nt.kind") == "close", F.col("nt.pos"))
             .when(F.col("nt.kind") == "open", F.col("nt.pos") - 1))
-    end = F.when(F.col("tag").isin(AUTO_CLOSE_TAGS), auto).otherwise(paired)
+    unmatched_p = F.least(F.coalesce(auto, F.col("last_pos")), F.coalesce(parent_end, F.col("last_pos")))
+    end = F.coalesce(paired, F.when(F.col("tag").isin(AUTO_CLOSE_TAGS), unmatched_p).otherwise(parent_end))
     opened = (tt.where(F.col("kind") == "open")
               .select("page_id", "tag", F.col("pos").alias("start_pos"),
                       F.coalesce(end, F.col("last_pos")).alias("end_pos"), "tok"))

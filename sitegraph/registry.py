@@ -527,14 +527,26 @@ tt AS (
 tt2 AS (
   SELECT *, lead(kind) OVER (PARTITION BY page_id, tag, level ORDER BY pos) AS nl_kind,
             lead(pos) OVER (PARTITION BY page_id, tag, level ORDER BY pos) AS nl_pos,
+            lag(kind) OVER (PARTITION BY page_id, tag, level ORDER BY pos) AS pl_kind,
             lead(kind) OVER (PARTITION BY page_id, tag ORDER BY pos) AS nt_kind,
             lead(pos) OVER (PARTITION BY page_id, tag ORDER BY pos) AS nt_pos FROM tt),
+tt3 AS (
+  SELECT *, sum(CASE WHEN kind = 'open' AND nl_kind = 'close' THEN 1
+                     WHEN kind = 'close' AND coalesce(pl_kind, '') = 'open' THEN -1 ELSE 0 END)
+              OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gd
+  FROM tt2),
+tt4 AS (
+  SELECT a.*, (SELECT min(b.pos) FROM tt3 b WHERE b.page_id = a.page_id AND b.kind = 'close'
+                 AND coalesce(b.pl_kind, '') = 'open' AND b.gd = a.gd - 1 AND b.pos > a.pos) - 1 AS parent_end
+  FROM tt3 a WHERE a.kind = 'open'),
 sp AS (
   SELECT page_id, tag, pos AS start_pos,
-         coalesce(CASE WHEN tag = 'p' THEN (CASE WHEN nt_kind = 'close' THEN nt_pos
-                                                 WHEN nt_kind = 'open' THEN nt_pos - 1 END)
-                       ELSE (CASE WHEN nl_kind = 'close' THEN nl_pos END) END, last_pos) AS end_pos, tok
-  FROM tt2 WHERE kind = 'open'
+         coalesce(CASE WHEN nl_kind = 'close' THEN nl_pos END,
+                  CASE WHEN tag = 'p' THEN least(coalesce(CASE WHEN nt_kind = 'close' THEN nt_pos
+                                                               WHEN nt_kind = 'open' THEN nt_pos - 1 END, last_pos),
+                                                 coalesce(parent_end, last_pos))
+                       ELSE parent_end END, last_pos) AS end_pos, tok
+  FROM tt4
   UNION ALL
   SELECT page_id, tag, pos, pos, tok FROM tk WHERE kind = 'void')"""
 

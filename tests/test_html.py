@@ -74,3 +74,13 @@ def test_named_entities_from_standard_table(spark):
     f = lambda c: H.text_of(H.clean_html(c))
     assert one(spark, f, "<p>caf&eacute; &rarr; &Omega; &euro; &copy &notanentity; &amp;lt;</p>") == \
         "café → Ω € © &notanentity; &lt;"
+
+
+def test_unclosed_element_ends_with_its_parent(spark):
+    from sitegraph.operators import content as C
+    html = "<html><body><div><p><b>bold<p>more</p></div><p>after</p></body></html>"
+    df = spark.createDataFrame([(1, "http://h.org/", html)], "page_id long, url string, html string")
+    assert C.selected_text(df, ["b"]).first()["content"] == "bold more"
+    assert C.first_match_html(df, ["b"]).first()["content"] == "<b>bold<p>more</p>"
+    # the first p closes at the next p start
+    assert C.selected_text(df, ["div p"]).first()["content"] == "bold more"

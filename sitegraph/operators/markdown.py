@@ -80,8 +80,9 @@ def markdown(pages_df: DataFrame, rules: dict[str, tuple[str, str]] | None = Non
         return F.when(c, 1).otherwise(0)
 
     # stage 1 (row-level): token attributes, computed once
-    tk = TK.tokens(pages_df.select("page_id", "html")).select(
-        "page_id", "pos", "kind", "tag", "last_pos",
+    tk_all = TK.with_span_ends(TK.tokens(pages_df.select("page_id", "html")))
+    tk = tk_all.select(
+        "page_id", "pos", "kind", "tag", "last_pos", "end_capped", "explicit",
         F.when(kind == "text", F.regexp_replace(F.regexp_replace(H.decode_entities(tok), "[\u00ad\u200b]", ""),
                                                  "[ \t\n\r\f\u00a0]+", " ")).alias("_text"),
         F.when(is_open & (tag == "a"), F.coalesce(H.attr(tok, "href"), F.lit(""))).alias("_a_href"),
@@ -101,7 +102,6 @@ def markdown(pages_df: DataFrame, rules: dict[str, tuple[str, str]] | None = Non
 
     # stage 3: running counts over page order (one sort)
     wo = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
 
     def run(c):
         return F.sum(flag(c)).over(wo)
@@ -119,9 +119,7 @@ def markdown(pages_df: DataFrame, rules: dict[str, tuple[str, str]] | None = Non
         run(tr_open).alias("_trs"),
         (run(is_open & cell) - run(is_close & cell)).alias("_cell"),
         (run(is_open & (tag == "th")) - run(is_close & (tag == "th"))).alias("_th"),
-        F.last("_a_href", ignorenulls=True).over(wo).alias("_href"),
-        # a <p> start while a <p> is open closes it (HTML5): emit its suffix first
-        F.last(F.when(tag == "p", kind), ignorenulls=True).over(before).alias("_prev_p"))
+        F.last("_a_href", ignorenulls=True).over(wo).alias("_href"))
 
     # stage 4: context that depends on the running counts
     wl = Window.partitionBy("page_id", "_ld").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
@@ -175,7 +173,6 @@ def markdown(pages_df: DataFrame, rules: dict[str, tuple[str, str]] | None = Non
                 .when(tag == "pre", F.concat(F.lit("```"), F.coalesce(col("_lang"), F.lit("")), F.lit("\n")))
                 .when(tag == "blockquote", F.lit(QUOTE_OPEN))
                 .when(cell & in_table, F.when(counted_cell, cell_sep).otherwise(F.lit("")))
-                .when((tag == "p") & (col("_prev_p") == "open"), F.concat(suf_rule, pre_rule))
                 .otherwise(pre_rule))
     close_out = (F.when(tag == "a", a_close)
                  .when(tag == "li", F.when(col("_ld") > 0, F.lit("\n")).otherwise(F.lit("")))
@@ -196,9 +193,15 @@ def markdown(pages_df: DataFrame, rules: dict[str, tuple[str, str]] | None = Non
            .when(kind == "void", F.when(conv & ~dropped_th & (~in_table | (col("_cell") > 0)), void_out)
                  .otherwise(F.lit("")))
            .otherwise(F.lit("")))
-    per = tk.select("page_id", "pos", out.alias("o")).groupBy("page_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "o"))), lambda x: x["o"]), "")
-        .alias("m"))
+    # an element that is never closed (an unclosed <b>, a <p> ended by the
+    # next <p>) gets its suffix where its span ends, after that token
+    rule_tags = sorted(k for k, v in table.items() if v[1])
+    implied = is_open & conv & ~dropped_th & ~col("explicit") & tag.isin(rule_tags)
+    own = F.struct(pos.cast("bigint").alias("pos"), F.lit(-(1 << 62)).cast("bigint").alias("sub"), out.alias("o"))
+    late = F.struct(col("end_capped").cast("bigint").alias("pos"), (-pos).cast("bigint").alias("sub"), suf_rule.alias("o"))
+    emitted = F.when(implied, F.array(own, late)).otherwise(F.array(own))
+    per = (tk.select("page_id", F.explode(emitted).alias("e")).groupBy("page_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda x: x["o"]), "").alias("m")))
     md = _quote_pass(_quote_pass(col("m")))
     md = F.regexp_replace(F.regexp_replace(md, "[\u0002\u0003]", ""), NEWLINES_RE, "\n\n")
     return (pages_df.select("page_id").join(per.select("page_id", md.alias("markdown")), "page_id", "left")

@@ -539,16 +539,32 @@ tt4 AS (
   SELECT a.*, (SELECT min(b.pos) FROM tt3 b WHERE b.page_id = a.page_id AND b.kind = 'close'
                  AND coalesce(b.pl_kind, '') = 'open' AND b.gd = a.gd - 1 AND b.pos > a.pos) - 1 AS parent_end
   FROM tt3 a WHERE a.kind = 'open'),
-sp AS (
+sp0 AS (
   SELECT page_id, tag, pos AS start_pos,
          coalesce(CASE WHEN nl_kind = 'close' THEN nl_pos END,
                   CASE WHEN tag = 'p' THEN least(coalesce(CASE WHEN nt_kind = 'close' THEN nt_pos
                                                                WHEN nt_kind = 'open' THEN nt_pos - 1 END, last_pos),
                                                  coalesce(parent_end, last_pos))
-                       ELSE parent_end END, last_pos) AS end_pos, tok
-  FROM tt4
+                       ELSE parent_end END, last_pos) AS end_pos, tok, coalesce(nl_kind = 'close', false) AS explicit
+  FROM tt4),
+sp1 AS (
+  SELECT *, last_value(CASE WHEN tag = 'p' AND NOT explicit THEN end_pos END IGNORE NULLS)
+              OVER (PARTITION BY page_id ORDER BY start_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe,
+            last_value(CASE WHEN tag = 'p' AND NOT explicit THEN start_pos END IGNORE NULLS)
+              OVER (PARTITION BY page_id ORDER BY start_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ps
+  FROM sp0),
+sp2 AS (
+  SELECT page_id, tag, start_pos, end_pos AS end_raw,
+         CASE WHEN NOT explicit AND ps IS NOT NULL AND pe >= start_pos THEN least(end_pos, pe) ELSE end_pos END AS end_md,
+         tok, explicit
+  FROM sp1),
+sp AS (
+  SELECT page_id, tag, start_pos,
+         CASE WHEN tag IN ({", ".join(D.q(t) for t in TK.FORMATTING_TAGS)}) THEN end_raw ELSE end_md END AS end_pos,
+         end_md, tok, explicit
+  FROM sp2
   UNION ALL
-  SELECT page_id, tag, pos, pos, tok FROM tk WHERE kind = 'void')"""
+  SELECT page_id, tag, pos, pos, pos, tok, true FROM tk WHERE kind = 'void')"""
 
 
 def _simple_pred_sql(s, tok: str) -> str:
@@ -680,7 +696,6 @@ def _markdown_sql(src_tokens_cte: str) -> str:
                 f"WHEN tag = 'blockquote' THEN chr(2) "
                 f"WHEN tag IN ('td', 'th') AND {in_table} THEN (CASE WHEN {counted} THEN "
                 f"(CASE WHEN cell_n > 1 THEN ' | ' ELSE '' END) ELSE '' END) "
-                f"WHEN tag = 'p' AND prev_p = 'open' THEN concat({suf_map}, {pre_map}) "
                 f"ELSE {pre_map} END")
     close_out = (f"CASE WHEN tag = 'a' THEN (CASE WHEN coalesce(href, '') <> '' THEN concat('](', href, ')') ELSE '' END) "
                  f"WHEN tag = 'li' THEN (CASE WHEN ld > 0 THEN chr(10) ELSE '' END) "
@@ -724,7 +739,6 @@ m2 AS (
     {run("kind = 'open' AND tag IN ('code', 'pre')")} - {run("kind = 'close' AND tag IN ('code', 'pre')")} AS code,
     {run("kind = 'open' AND tag = 'pre'")} - {run("kind = 'close' AND tag = 'pre'")} AS pre,
     {run("kind = 'open' AND tag = 'pre'")} AS pre_id,
-    lag(kind) OVER (PARTITION BY page_id, tag ORDER BY pos) AS prev_p,
     last_value(CASE WHEN kind = 'open' AND tag = 'a' THEN coalesce({href}, '') END IGNORE NULLS) OVER {w} AS href,
     {run("kind = 'open' AND tag IN ('ul', 'ol')")} - {run("kind = 'close' AND tag IN ('ul', 'ol')")} AS ld,
     {run("kind = 'open' AND tag = 'table'")} - {run("kind = 'close' AND tag = 'table'")} AS tb,
@@ -752,7 +766,16 @@ m4 AS (
       OVER (PARTITION BY page_id, tb_id, tr_n ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cell_n
   FROM m3),
 m5 AS (SELECT *, max(CASE WHEN tr_n = 1 THEN cell_n END) OVER (PARTITION BY page_id, tb_id) AS nhead FROM m4),
-magg AS (SELECT page_id, string_agg({out}, '' ORDER BY pos) AS m FROM m5 GROUP BY page_id),
+mrows AS (
+  SELECT page_id, pos, -4611686018427387904 AS sub, {out} AS o,
+         (kind = 'open' AND {conv} AND NOT {dropped_th}) AS ok FROM m5),
+mimpl AS (
+  SELECT sp.page_id, sp.end_md AS pos, -sp.start_pos AS sub,
+         coalesce(CASE sp.tag {" ".join(f"WHEN {D.q(k)} THEN {D.q(v[1])}" for k, v in sorted(MD.RULES.items()) if v[1])} END, '') AS o
+  FROM sp JOIN mrows r ON r.page_id = sp.page_id AND r.pos = sp.start_pos AND r.ok
+  WHERE NOT sp.explicit AND sp.tag IN ({", ".join(D.q(k) for k, v in sorted(MD.RULES.items()) if v[1])})),
+magg AS (SELECT page_id, string_agg(o, '' ORDER BY pos, sub) AS m
+         FROM (SELECT page_id, pos, sub, o FROM mrows UNION ALL SELECT * FROM mimpl) u GROUP BY page_id),
 mdout AS (SELECT page_id, {md} AS markdown FROM magg)"""
 
 

@@ -84,3 +84,7 @@ def test_unclosed_element_ends_with_its_parent(spark):
     assert C.first_match_html(df, ["b"]).first()["content"] == "<b>bold<p>more</p>"
     # the first p closes at the next p start
     assert C.selected_text(df, ["div p"]).first()["content"] == "bold more"
+    # a non-formatting element is not re-opened: it ends with its implicit p
+    df2 = spark.createDataFrame([(1, "http://h.org/", "<body><div><p><span>x<p>y</p></div></body>")],
+                                "page_id long, url string, html string")
+    assert C.selected_text(df2, ["span"]).first()["content"] == "x"

@@ -74,3 +74,15 @@ def op8_decontamination(spark, sf):
     out = decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"), n=10)
     return out.select("doc_id", "n_words", F.col("hits").alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@_query("op3_packing")
+def op3_packing(spark, sf):
+    from sitegraph.llm.packing import pack
+    return pack(table(spark, sf, "documents"), end_id=1, capacity=4096)
+
+
+@_query("op4_token_files")
+def op4_token_files(spark, sf):
+    from sitegraph.llm.token_files import token_round_trip
+    return token_round_trip(table(spark, sf, "documents"), end_id=0)

@@ -86,3 +86,10 @@ def op3_packing(spark, sf):
 def op4_token_files(spark, sf):
     from sitegraph.llm.token_files import token_round_trip
     return token_round_trip(table(spark, sf, "documents"), end_id=0)
+
+
+@_query("op2_simhash")
+def op2_simhash(spark, sf):
+    from sitegraph.llm.simhash import simhash
+    out = simhash(table(spark, sf, "documents"), shingle=3, radius=2)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

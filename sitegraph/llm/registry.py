@@ -93,3 +93,10 @@ def op2_simhash(spark, sf):
     from sitegraph.llm.simhash import simhash
     out = simhash(table(spark, sf, "documents"), shingle=3, radius=2)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query("op7_toxicity")
+def op7_toxicity(spark, sf):
+    from sitegraph.llm.toxicity import toxicity
+    out = toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"), threshold=0.7)
+    return out.select("doc_id", "held_out", "score", "predicted")

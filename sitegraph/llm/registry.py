@@ -100,3 +100,9 @@ def op7_toxicity(spark, sf):
     from sitegraph.llm.toxicity import toxicity
     out = toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"), threshold=0.7)
     return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@_query("op9_fingerprints")
+def op9_fingerprints(spark, sf):
+    from sitegraph.llm.winnowing import edited_likeness
+    return edited_likeness(table(spark, sf, "documents"))

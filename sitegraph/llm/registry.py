@@ -106,3 +106,10 @@ def op7_toxicity(spark, sf):
 def op9_fingerprints(spark, sf):
     from sitegraph.llm.winnowing import edited_likeness
     return edited_likeness(table(spark, sf, "documents"))
+
+
+@_query("op10_main_text")
+def op10_main_text(spark, sf):
+    from sitegraph.llm.html_text import main_text
+    out = main_text(table(spark, sf, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))

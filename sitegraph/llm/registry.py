@@ -113,3 +113,9 @@ def op10_main_text(spark, sf):
     from sitegraph.llm.html_text import main_text
     out = main_text(table(spark, sf, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@_query("op1_lm_score")
+def op1_lm_score(spark, sf):
+    from sitegraph.llm.lm_score import lm_score
+    return lm_score(table(spark, sf, "documents")).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")

@@ -119,3 +119,10 @@ def op10_main_text(spark, sf):
 def op1_lm_score(spark, sf):
     from sitegraph.llm.lm_score import lm_score
     return lm_score(table(spark, sf, "documents")).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
+
+
+@_query("op5_substring_dedup")
+def op5_substring_dedup(spark, sf):
+    from sitegraph.llm.substring_dedup import substring_dedup
+    out = substring_dedup(table(spark, sf, "documents"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -1,16 +1,11 @@
-"""Token ids of whole texts with the ``tokenizers`` library, cached by chunk.
-
-A byte-pair tokenizer first cuts a text into pre-tokens and then merges inside
-each.  Where a cut is certain, the text's ids are the ids of its chunks in a
-row, so each distinct chunk is encoded once and kept.  Certain cuts are found
-from the tokenizer's own definition:
-
-- "keep": byte-level pre-tokens by the usual pattern, where a single space
-  between two non-space characters opens the next pre-token;
-- "drop": pre-tokens by a pattern without white space, where a space parts them;
-- otherwise the text is encoded whole.
-
-In "keep", a text with a space beside other white space is encoded whole.
+"""Token ids of whole texts with the ``tokenizers`` library, cached by pre-token.
+
+A byte-pair tokenizer normalizes a text, cuts it into pre-tokens by a pattern
+and merges inside each.  Here the pattern of the tokenizer's own definition
+cuts, and the library's model merges each distinct pre-token once: ids of
+common words are looked up.  Texts outside Latin-1 pass the library's
+normalizer first; inside it, only case can change.  Definitions of another
+make are encoded by the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -18,19 +13,21 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
+import regex
 
-#: Letters that normalizing leaves as they are (but for case), then at most one mark.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Pre-tokens kept per worker; beyond it the cache starts anew.
+CACHE = 500_000
+#: The usual byte-level pattern, which definitions name without spelling it out.
+USUAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters, numbers and white space of Latin-1, as parts of a character class.
+_LATIN = {r"\p{L}": "A-Za-zªµºÀ-ÖØ-öø-ÿ", r"\p{N}": "0-9²³¹¼-¾", r"\s": "\t-\r \x85\xa0"}
+_SPACE = "\t-\r \x85\xa0  -     　"
 #: Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on.
 _SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {**{b: chr(b) for b in _SELF}, **{b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_SELF}))}}
-_BESIDE = re.compile(r"\s \s?| \s|^ | $")
-#: Chunks kept per worker; beyond it the cache starts anew.
-CACHE = 500_000
-#: Texts whose chunks are held at once.
-TEXTS = 256
 
 
 def default_path(name: str) -> str:
@@ -44,63 +41,70 @@ def read_definition(path: str) -> str:
         return f.read()
 
 
-def chunk_mode(definition: str) -> str:
+def split_pattern(definition: str) -> str | None:
+    """The pattern whose matches are the pre-tokens, or None if the definition isn't of that make."""
     d = json.loads(definition)
     pre, norm = d.get("pre_tokenizer") or {}, d.get("normalizer")
-    if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
-        return "keep"
-    parts = pre.get("pretokenizers") or [{}]
-    if parts[0].get("type") == "Split" and parts[0].get("invert") and parts[0].get("behavior") == "Removed" \
-            and all(p.get("type") == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex") for p in parts[1:]):
-        return "drop"
-    return "whole"
+    steps = pre.get("pretokenizers") or [pre]
+    level = [s for s in steps if s.get("type") == "ByteLevel" and not s.get("add_prefix_space")]
+    kinds = [n.get("type") for n in (norm or {}).get("normalizers", [norm] if norm else [])]
+    if d["model"].get("type") != "BPE" or not level or not {*kinds} <= {"NFC", "Replace", "Lowercase"}:
+        return None
+    if len(steps) == 1 and level[0].get("use_regex") and not norm:
+        return USUAL
+    if len(steps) == 2 and steps[0].get("type") == "Split" and steps[0].get("invert") and steps[0].get("behavior") == "Removed" \
+            and "Regex" in steps[0]["pattern"] and not level[0].get("use_regex"):
+        return steps[0]["pattern"]["Regex"]
+    return None
+
+
+def _classes(pattern: str, names: dict[str, str]) -> str:
+    """``pattern`` with the classes spelled out, also those outside brackets."""
+    out = pattern.replace(r"\S", f"[^{names[r'\s']}]").replace(r"\s+", f"[{names[r'\s']}]+")
+    for name, chars in names.items():
+        out = re.sub(rf"(\[\^?[^\]]*?){re.escape(name)}", lambda m: m[1] + chars, out)
+    return re.sub(r"\\p\{[LN]\}", lambda m: f"[{names[m[0]]}]" if m[0] in names else m[0], out)
 
 
 class Encoder:
     """``ids(texts)`` gives each text's ids; strings of special tokens are ordinary text."""
 
-    def __init__(self, definition: str, cache: int = CACHE, mode: str | None = None):
+    def __init__(self, definition: str, cache: int = CACHE, whole: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._t = Tokenizer.from_str(definition)
         self._t.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self._t.get_vocab_size() <= 1 << 16 else "<u4")
-        self.mode, self._limit, self._kept = mode or chunk_mode(definition), cache, {}
-        self._model = self._t.model
-        self._ends = {"": b"", **dict(zip(".,", self._encode([".", ","])))}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self._t.encode_batch(texts, add_special_tokens=False)]
-
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of one chunk: a plain word by the tokenizer's model alone, with the mark after it, else by the whole tokenizer."""
-        m = _PLAIN.fullmatch(chunk)
-        if not m:
-            return self._encode([" " + chunk if self.mode == "keep" else chunk])[0]
-        word = " " + m[1] if self.mode == "keep" else m[1].lower()
-        got = self._model.tokenize(word.encode().decode("latin1").translate(_BYTES))
-        return np.array([t.id for t in got], self.dtype).tobytes() + self._ends[m[2]]
+        self._code = "H" if self.dtype.itemsize == 2 else "I"
+        self._model, self._norm = self._t.model, self._t.normalizer
+        pattern = None if whole else split_pattern(definition)
+        if pattern:
+            self._latin = re.compile(_classes(pattern, _LATIN))
+            self._any = regex.compile(_classes(pattern, {r"\s": _SPACE}))
+            self._lower = "Lowercase" in definition.partition('"pre_tokenizer"')[0]
+        self._whole, self._limit, self._kept = not pattern, cache, {}
+
+    def _merge(self, piece: str) -> bytes:
+        got = self._model.tokenize(piece.encode().decode("latin1").translate(_BYTES))
+        return array(self._code, [t.id for t in got]).tobytes()
+
+    def _pieces(self, text: str) -> list[str]:
+        try:
+            text.encode("latin1")
+        except UnicodeEncodeError:
+            return self._any.findall(self._norm.normalize_str(text) if self._norm else text)
+        return self._latin.findall(text.lower() if self._lower else text)
 
     def ids(self, texts: list[str | None]):
         """Yields one array for each text, in order; null counts as empty."""
-        for i in range(0, len(texts), TEXTS):
-            yield from self._some([t or "" for t in texts[i:i + TEXTS]])
-
-    def _some(self, texts: list[str]):
-        if self.mode == "whole":
-            yield from (np.frombuffer(b, self.dtype) for b in self._encode(texts))
-            return
-        keep = self.mode == "keep"
-        whole = {i for i, t in enumerate(texts) if keep and _BESIDE.search(t)}
-        parts = [None if i in whole else t.split(" ") for i, t in enumerate(texts)]
-        if len(self._kept) > self._limit:
-            self._kept = {}
-        kept = self._kept
-        new = list({p for ps in parts if ps for p in (ps[1:] if keep else ps) if p not in kept})
-        kept.update(zip(new, map(self._chunk, new)))
-        heads = iter(self._encode([ps[0] if ps else t for t, ps in zip(texts, parts)])) if keep else None
-        for ps in parts:
-            b = next(heads) if keep else b""
-            if ps:
-                b += b"".join(map(kept.__getitem__, ps[1:] if keep else ps))
-            yield np.frombuffer(b, self.dtype)
+        for text in texts:
+            if self._whole:
+                yield np.array(self._t.encode(text or "", add_special_tokens=False).ids, self.dtype)
+                continue
+            pieces = self._pieces(text or "")
+            if len(self._kept) > self._limit:
+                self._kept = {}
+            kept = self._kept
+            for p in set(pieces).difference(kept):
+                kept[p] = self._merge(p)
+            yield np.frombuffer(b"".join(map(kept.__getitem__, pieces)), self.dtype)

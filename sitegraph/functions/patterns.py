@@ -11,6 +11,8 @@ character, so the possessive and the plain (RE2) forms match the same text.
 
 from __future__ import annotations
 
+import re
+
 WS = r"[ \t\n\r\f]"
 
 # Comments, script and style blocks.  Comments vanish; script and style are
@@ -46,6 +48,11 @@ def attr_re(name: str) -> str:
             r"""(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:"([^"]*)"|'([^']*)'|([^ \t\n\r\f>]*))|[ \t\n\r\f/>])""")
 
 
+# One attribute of a tag, from left to right: name, then the double quoted,
+# single quoted or bare value, if any.
+ATTRIBUTE_RE = re.compile(r"""([^ \t\n\r\f/>"'=]+)(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:"([^"]*)"|'([^']*)'|([^ \t\n\r\f>"']+)))?""")
+
+
 # Character references: named (with or without ';'), decimal, hexadecimal.
 ENTITY_CHUNK_RE = r"&(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[a-zA-Z][a-zA-Z0-9]*;?)|[^&]+|&"
 

@@ -9,110 +9,31 @@
   no selectors or no match: the whole page.
 * MARKDOWN: the HTML output converted by ``markdown``.
 
-"Inside an element taken before" needs no loop: an element is dropped iff
-an earlier candidate (earlier selector, or same selector earlier in the
-document) strictly contains it, since containment is transitive.  Per
-selector that is a running maximum of span ends over span starts, computed
-by a window inside the page.
+Elements come from the page's own tree (``dom``), so every format is one pass
+inside the scan's stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitegraph.functions import html as H
-from sitegraph.functions import selectors as S
-from sitegraph.operators import tokens as TK
+from sitegraph.operators import dom
 
 FORMATS = ("text", "html", "markdown")
 
 
-def _candidates(tok_df: DataFrame, selectors: list[str]) -> DataFrame:
-    """``page_id, si, start_pos, end_pos`` of elements matching each selector."""
-    sp = TK.spans(tok_df)
-    # descendant steps: an element has an ancestor matching A iff the largest
-    # end of the A-spans that start before it reaches its own end (one
-    # running max per step, over the page's spans in start order)
-    before = (Window.partitionBy("page_id").orderBy("start_pos")
-              .rangeBetween(Window.unboundedPreceding, -1))
-    hits, k = [], 0
-    for si, sel in enumerate(selectors):
-        cond = F.lit(False)
-        for chain in S.parse_chains(sel):
-            flag = S.predicate(chain[0], F.col("tok"))
-            for step in chain[1:]:
-                name = f"_anc{k}"
-                k += 1
-                sp = sp.withColumn(name, F.max(F.when(flag, F.col("end_pos"))).over(before))
-                flag = S.predicate(step, F.col("tok")) & F.coalesce(F.col(name) >= F.col("end_pos"), F.lit(False))
-            cond = cond | flag
-        hits.append(F.when(cond, F.lit(si)))
-    # one pass over the spans: the indices of the selectors each element matches
-    si = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return sp.select("page_id", F.explode(si).alias("si"), "start_pos", "end_pos")
-
-
 def selector_counts(pages_df: DataFrame, selectors: list[str]) -> DataFrame:
-    """``page_id`` plus one count column per selector (descendant selectors
-    allowed), from element spans; pages without a match count 0."""
-    tok_df = TK.tokens(pages_df.select("page_id", "html"))
-    c = _candidates(tok_df, selectors).groupBy("page_id", "si").agg(F.count("*").alias("n"))
-    wide = c.groupBy("page_id").pivot("si", list(range(len(selectors)))).agg(F.first("n"))
-    cols = [F.coalesce(F.col(str(i)), F.lit(0)).cast("bigint").alias(sel) for i, sel in enumerate(selectors)]
-    return (pages_df.select("page_id").join(wide, "page_id", "left").select("page_id", *cols))
-
-
-def kept_elements(tok_df: DataFrame, selectors: list[str]) -> DataFrame:
-    """Candidates not inside an earlier candidate: ``page_id, si, start_pos, end_pos``."""
-    c = _candidates(tok_df, selectors)
-    w = (Window.partitionBy("page_id").orderBy("start_pos")
-         .rangeBetween(Window.unboundedPreceding, -1))
-    best = None
-    for s in range(len(selectors)):
-        m = F.max(F.when(F.col("si") <= s, F.col("end_pos"))).over(w)
-        c = c.withColumn(f"_m{s}", m)
-        best = F.when(F.col("si") == s, F.col(f"_m{s}")) if best is None else \
-            best.when(F.col("si") == s, F.col(f"_m{s}"))
-    c = c.withColumn("_m", best)
-    return (c.where(F.col("_m").isNull() | (F.col("_m") < F.col("end_pos")))
-            .select("page_id", "si", "start_pos", "end_pos"))
-
-
-def _element_markup(tok_df: DataFrame, kept: DataFrame, k: int) -> DataFrame:
-    """Markup of every kept element: ``page_id, si, start_pos, markup``.
-
-    Kept elements of one selector never overlap, so each token belongs to
-    at most one of them per selector: a running ``last`` over the token
-    stream (per page and selector) assigns it, and a group by element joins
-    the tokens in order."""
-    sel = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("si")
-    t = tok_df.select("page_id", "pos", "tok", sel)
-    marks = kept.select("page_id", "si", F.col("start_pos").alias("pos"),
-                        F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e"))
-    t = t.join(marks, ["page_id", "si", "pos"], "left")
-    w = (Window.partitionBy("page_id", "si").orderBy("pos")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    t = (t.withColumn("_s", F.last("_s", ignorenulls=True).over(w))
-          .withColumn("_e", F.last("_e", ignorenulls=True).over(w))
-          .where(F.col("_s").isNotNull() & (F.col("pos") <= F.col("_e"))))
-    g = t.groupBy("page_id", "si", F.col("_s").alias("start_pos")).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_t"))
-    return g.select("page_id", "si", "start_pos",
-                    F.array_join(F.transform("_t", lambda x: x["tok"]), "").alias("markup"))
+    """``page_id`` plus one count column per selector (descendant selectors allowed)."""
+    d = dom.with_dom(pages_df.select("page_id", "html"), counts=selectors)
+    return d.select("page_id", *[F.col("_counts")[i].alias(s) for i, s in enumerate(selectors)])
 
 
 def selected_text(pages_df: DataFrame, selectors: list[str]) -> DataFrame:
     """TEXT by selectors: ``page_id, content`` for every page."""
-    tok_df = TK.tokens(pages_df.select("page_id", "html"))
-    kept = kept_elements(tok_df, selectors)
-    el = _element_markup(tok_df, kept, len(selectors))
-    el = el.select("page_id", "si", "start_pos",
-                   H.text_of(H.clean_html(F.col("markup"))).alias("t"))
-    per = el.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("si", "start_pos", "t"))).alias("e"))
-    content = F.trim(F.array_join(F.transform("e", lambda x: x["t"]), " "))
-    return (pages_df.select("page_id").join(per.select("page_id", content.alias("content")), "page_id", "left")
-            .select("page_id", F.coalesce("content", F.lit("")).alias("content")))
+    d = dom.with_dom(pages_df.select("page_id", "html"), text=selectors)
+    return d.select("page_id", F.col("_text").alias("content"))
 
 
 def first_match_html(pages_df: DataFrame, selectors: list[str] | None) -> DataFrame:
@@ -120,15 +41,8 @@ def first_match_html(pages_df: DataFrame, selectors: list[str] | None) -> DataFr
     first matching selector, else the whole page."""
     if not selectors:
         return pages_df.select("page_id", F.col("html").alias("content"))
-    tok_df = TK.tokens(pages_df.select("page_id", "html"))
-    c = _candidates(tok_df, selectors)
-    first = c.groupBy("page_id").agg(F.min(F.struct("si", "start_pos", "end_pos")).alias("f")).select(
-        "page_id", F.col("f.start_pos").alias("_s"), F.col("f.end_pos").alias("_e"))
-    t = tok_df.join(first, "page_id").where((F.col("pos") >= F.col("_s")) & (F.col("pos") <= F.col("_e")))
-    m = t.groupBy("page_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"]), "").alias("m"))
-    return (pages_df.select("page_id", "html").join(m, "page_id", "left")
-            .select("page_id", F.coalesce("m", "html").alias("content")))
+    d = dom.with_dom(pages_df.select("page_id", "html"), first=selectors)
+    return d.select("page_id", F.col("_first").alias("content"))
 
 
 def page_content(pages_df: DataFrame, fmt: str = "text", selectors: list[str] | None = None) -> DataFrame:
@@ -140,13 +54,7 @@ def page_content(pages_df: DataFrame, fmt: str = "text", selectors: list[str] |
     if not selectors and fmt in ("text", "html"):
         content = H.text_of(clean) if fmt == "text" else F.col("html")
         return pages_df.select("page_id", "url", H.title_of(clean).alias("title"), content.alias("content"))
-    base = pages_df.select("page_id", "url", H.title_of(clean).alias("title"))
-    if fmt == "text":
-        c = selected_text(pages_df, selectors)
-    elif fmt == "html":
-        c = first_match_html(pages_df, selectors)
-    else:
-        from sitegraph.operators import markdown as MD
-        c = MD.markdown(first_match_html(pages_df, selectors).withColumnRenamed("content", "html"))
-        c = c.withColumnRenamed("markdown", "content")
-    return base.join(c, "page_id").select("page_id", "url", "title", "content")
+    p = pages_df.select("page_id", "url", "html")
+    asked = {"text": {"text": selectors}, "html": {"first": selectors}, "markdown": {"first": selectors or [], "markdown": True}}[fmt]
+    content = {"text": "_text", "html": "_first", "markdown": "_markdown"}[fmt]
+    return dom.with_dom(p, **asked).select("page_id", "url", H.title_of(clean).alias("title"), F.col(content).alias("content"))

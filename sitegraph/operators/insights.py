@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sitegraph.functions import html as H
 from sitegraph.functions import patterns as P
 from sitegraph.functions import selectors as S
+from sitegraph.operators import dom
 from sitegraph.operators import links as L
 
 
@@ -31,15 +32,17 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
     want_links = L.INSIGHT_KINDS[kind]
     want_counts = kind in ("all", "element_counts")
     clean = H.clean_html(F.col("html"))
-    df = pages_df.select("page_id", "url", clean.alias("_clean"))
+    df = pages_df.select("page_id", "url", "html")
+    nested = [t for t in selectors or [] if S.has_descendant(t)]
+    if want_counts and selectors:  # descendant selectors and selected text need the page's tree
+        df = dom.with_dom(df, text=selectors, counts=nested)
+    df = df.withColumn("_clean", clean)
     link_kinds = L.ALL_KINDS if want_counts else want_links
     df = df.withColumn("_links", L.link_array(F.col("url"), F.col("_clean"), link_kinds,
                                               url_patterns, url_logic))
     cols = [F.col("page_id"), F.col("url"), H.title_of(F.col("_clean")).alias("title")]
     if want_counts:
         tags = selectors if selectors else P.DEFAULT_COUNT_TAGS
-        # compound selectors are counted inside the row; descendant ones need spans
-        nested = [t for t in tags if S.has_descendant(t)]
         cols += [S.element_count(F.col("_clean"), t).alias(t)
                  for t in tags if t not in nested]
         cols += [c.alias(k) for k, c in L.link_counts(F.col("_links")).items()]
@@ -48,17 +51,10 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
     if with_link_sets and want_links:
         sets = L.link_sets(F.col("_links"))
         cols += [sets[k].alias(f"{k}_links") for k in want_links]
-    out = df.select(*cols)
-    if want_counts and selectors and nested:
-        from sitegraph.operators import content as C
-        out = out.join(C.selector_counts(pages_df, nested), "page_id")
     if want_counts and selectors:
-        # words of the selected elements' text (needs the token plan)
-        from sitegraph.operators import content as C
-        words = C.selected_text(pages_df, selectors).select(
-            "page_id", H.word_count(F.col("content")).alias("word_count"))
-        out = out.join(words, "page_id")
-    return out
+        cols += [F.col("_counts")[i].alias(t) for i, t in enumerate(nested)]
+        cols.append(H.word_count(F.col("_text")).alias("word_count"))
+    return df.select(*cols)
 
 
 def insights_json(insights_df: DataFrame, selectors: list[str] | None = None) -> DataFrame:

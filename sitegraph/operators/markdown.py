@@ -1,33 +1,24 @@
-"""HTML -> Markdown as a corpus job over the token table.
-
-Per-element converters become rows of a rule table (tag -> prefix at the
-start tag, suffix at the end tag); context that a converter reads from the
-tree becomes a window over the page's tokens:
-
-* list items: the enclosing list (last ul/ol start at the same list depth)
-  gives the marker, ``* `` or ``N. `` with N the item's rank in that list;
-* links: the end tag takes the href of the last ``<a>`` start;
-* ``code`` and ``pre``: inner tags produce nothing (element text only);
-  ``pre`` takes its language from a ``code[data-language]`` inside it;
-* tables: cells of a row are joined by `` | ``; the first row is the header
-  (th and td) followed by a ``---`` row; later rows keep td cells only;
-* blockquote: every line of its content gets ``> `` (two nesting levels).
-
-Output is the ordered concatenation per page, then runs of three or more
-line breaks become two.  Only content inside ``<body>`` counts and bare text
-directly in body is dropped, as in the reference; elements deeper than 100
-levels produce nothing.  Unknown tags pass their content through.
+"""HTML -> Markdown, page by page.
+
+The converters below are a table from tag to function; a converter gets the
+element and its depth and renders children through ``_render``, which yields
+nothing below depth 100.  ``rules`` replaces the converter of any tag by a
+prefix and a suffix around its content.  Only elements inside ``<body>`` count
+(bare text directly in body is dropped), tags without a converter pass their
+content through, and runs of three or more line breaks become two.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitegraph.functions import html as H
-from sitegraph.operators import tokens as TK
+from sitegraph.operators import dom
+from sitegraph.operators.dom import Node
 
-# Markdown produced at the start and at the end of elements.
+# Markdown produced before and after the content of elements.
 RULES: dict[str, tuple[str, str]] = {
     "h1": ("# ", "\n\n"), "h2": ("## ", "\n\n"), "h3": ("### ", "\n\n"),
     "h4": ("#### ", "\n\n"), "h5": ("##### ", "\n\n"), "h6": ("###### ", "\n\n"),
@@ -37,172 +28,108 @@ RULES: dict[str, tuple[str, str]] = {
 }
 VOID_RULES: dict[str, str] = {"br": "\n", "hr": "---\n"}
 MAX_DEPTH = 100
-QUOTE_OPEN = "\u0002"
-QUOTE_CLOSE = "\u0003"
 NEWLINES_RE = r"(?:[ \t\n\x0B\f\r]*\n){3,}"
+_BREAKS = re.compile("[ \t\n\x0b\f\r]+")
+
+
+def _inside(e: Node, depth: int, rules) -> str:
+    return "".join(dom.one_space(c) if isinstance(c, str) else _render(c, depth + 1, rules) for c in e.children)
+
+
+def _lines(text: str) -> list[str]:
+    """Lines without empty ones at the end; the empty text is one line."""
+    return text.rstrip("\n").split("\n") if text.strip("\n") or not text else []
+
+
+def _list(e: Node, depth: int, rules) -> str:
+    items = [c for c in e.children if isinstance(c, Node) and c.tag == "li"]
+    marks = (f"{i}. " for i in range(1, len(items) + 1)) if e.tag == "ol" else ("* " for _ in items)
+    return "".join(f"{m}{_inside(li, depth, rules)}\n" for m, li in zip(marks, items)) + "\n"
+
+
+def _table(e: Node, depth: int, rules) -> str:
+    if depth > 1:
+        return dom.text_of(e)
+    rows = [n for n in e.elements() if n.tag == "tr"]
+    if not rows:
+        return ""
+
+    def cells(row: Node, tags: tuple[str, ...]) -> list[str]:
+        return [_inside(n, depth, rules) for n in row.elements() if n.tag in tags]
+
+    head = cells(rows[0], ("th", "td"))
+    lines = [" | ".join(head), " | ".join(["---"] * len(head))] if head else []
+    lines += [" | ".join(cells(r, ("td",))) for r in rows[bool(head):]]
+    return "".join(f"{x}\n" for x in lines) + "\n"
+
+
+def _quote(e: Node, depth: int, rules) -> str:
+    out = []
+    for c in e.children:
+        if isinstance(c, str):
+            out += [x.strip() for x in _lines(dom.one_space(c))]
+        else:
+            out += _lines(_render(c, depth + 1, rules))
+    return "".join(f"> {x}\n" for x in out) + "\n"
+
+
+def _link(e: Node, depth: int, rules) -> str:
+    href, content = e.attributes().get("href", ""), _inside(e, depth, rules)
+    return f"[{content}]({href})" if href else content
+
+
+def _image(e: Node, depth: int, rules) -> str:
+    a = e.attributes()
+    return f"![{a.get('alt', '')}]({a['src']})" if a.get("src") else ""
+
+
+def _fence(e: Node, depth: int, rules) -> str:
+    classes = e.attributes().get("class", "")
+    if "language-" in classes.lower().split():  # only this very class turns to the class text
+        language = re.split(r"[ \t\n\x0b\f\r]+", classes[classes.find("language-") + 9:])[0]
+    else:
+        language = next((n.attributes()["data-language"] for n in e.elements()
+                         if n.tag == "code" and "data-language" in n.attributes()), "")
+    body = "".join(dom.one_space(c) if isinstance(c, str) else dom.text_of(c) for c in e.children)
+    return f"```{language}\n{body}\n```\n\n"
+
+
+CONVERTERS = {"ul": _list, "ol": _list, "table": _table, "blockquote": _quote, "a": _link, "img": _image, "pre": _fence,
+              "code": lambda e, depth, rules: f"`{dom.text_of(e)}`",
+              **{tag: (lambda e, depth, rules, out=out: out) for tag, out in VOID_RULES.items()}}
 
 
-def _map(d: dict) -> Column:
-    return F.create_map(*[x for k, v in sorted(d.items()) for x in (F.lit(k), F.lit(v))])
+def _render(e: Node, depth: int, rules: dict[str, tuple[str, str]]) -> str:
+    if depth > MAX_DEPTH or e.tag in ("script", "style"):
+        return ""
+    if e.tag in rules:
+        before, after = rules[e.tag]
+        return before + _inside(e, depth, rules) + after
+    if e.tag in CONVERTERS:
+        return CONVERTERS[e.tag](e, depth, rules)
+    before, after = RULES.get(e.tag, ("", ""))
+    return before + _inside(e, depth, rules) + after
 
 
-def _running(cond: Column, w) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0)).over(w)
+def _body(page: Node) -> list[Node]:
+    """Elements directly in body, or what a page without a body tag has in its place."""
+    body = next((n for n in page.elements() if n.tag == "body"), None)
+    if body is None:
+        body = next((c for c in page.children if isinstance(c, Node) and c.tag == "html"), page)
+    return [c for c in body.children if isinstance(c, Node) and c.tag not in ("head", "title", "meta", "link", "base")]
 
 
-def _quote_pass(s: Column) -> Column:
-    """Prefix every line of each innermost blockquote with '> '."""
-    pieces = F.split(s, QUOTE_CLOSE)
+def _two_breaks(text: str) -> str:
+    """Runs of white space with three or more line breaks end as two."""
+    return _BREAKS.sub(lambda m: "\n\n" + m[0][m[0].rindex("\n") + 1:] if m[0].count("\n") > 2 else m[0], text)
 
-    def fix(p, i):
-        inner = F.substring_index(p, QUOTE_OPEN, -1)
-        before = F.substring(p, 1, F.length(p) - F.length(inner) - 1)
-        lines = F.filter(F.split(inner, "\n"), lambda l: l != "")
-        quoted = F.concat(F.array_join(F.transform(lines, lambda l: F.concat(F.lit("> "), l)), "\n"),
-                          F.lit("\n\n"))
-        return F.when((i < F.size(pieces) - 1) & p.contains(QUOTE_OPEN), F.concat(before, quoted)) \
-            .otherwise(p)
 
-    return F.array_join(F.transform(pieces, fix), "")
+def convert(page: Node, rules: dict[str, tuple[str, str]] | None = None) -> str:
+    """Markdown of one parsed page."""
+    return _two_breaks("".join(_render(e, 1, rules or {}) for e in _body(page)))
 
 
 def markdown(pages_df: DataFrame, rules: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    """``page_id, markdown`` from ``page_id, html``.  ``rules`` adds or
-    replaces prefix/suffix rows of the rule table."""
-    table = dict(RULES)
-    if rules:
-        table.update(rules)
-    col = F.col
-    kind, tag, tok, pos = col("kind"), col("tag"), col("tok"), col("pos")
-    is_open, is_close = kind == "open", kind == "close"
-
-    def flag(c):
-        return F.when(c, 1).otherwise(0)
-
-    # stage 1 (row-level): token attributes, computed once
-    tk_all = TK.with_span_ends(TK.tokens(pages_df.select("page_id", "html")))
-    tk = tk_all.select(
-        "page_id", "pos", "kind", "tag", "last_pos", "end_capped", "explicit",
-        F.when(kind == "text", F.regexp_replace(F.regexp_replace(H.decode_entities(tok), "[\u00ad\u200b]", ""),
-                                                 "[ \t\n\r\f\u00a0]+", " ")).alias("_text"),
-        F.when(is_open & (tag == "a"), F.coalesce(H.attr(tok, "href"), F.lit(""))).alias("_a_href"),
-        F.when((kind == "void") & (tag == "img"), F.struct(
-            F.coalesce(H.attr(tok, "src"), F.lit("")).alias("src"),
-            F.coalesce(H.attr(tok, "alt"), F.lit("")).alias("alt"))).alias("_img"),
-        F.when(is_open & (tag == "code"), H.attr(tok, "data-language")).alias("_dl"))
-
-    # stage 2: body region (whole-page windows), then drop markup outside it
-    wp = Window.partitionBy("page_id")
-    tk = tk.select("*",
-                   F.coalesce(F.min(F.when(is_open & (tag == "body"), pos)).over(wp),
-                              F.min(F.when(is_close & (tag == "head"), pos)).over(wp), F.lit(-1)).alias("_b0"))
-    tk = tk.select("*", F.coalesce(F.min(F.when(is_close & (tag == "body") & (pos > col("_b0")), pos)).over(wp),
-                                   col("last_pos") + 1).alias("_b1"))
-    tk = tk.where((pos > col("_b0")) & (pos < col("_b1")) & kind.isin("open", "close", "void", "text"))
-
-    # stage 3: running counts over page order (one sort)
-    wo = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-
-    def run(c):
-        return F.sum(flag(c)).over(wo)
-
-    is_list, cell = tag.isin("ul", "ol"), tag.isin("td", "th")
-    table_open, tr_open = is_open & (tag == "table"), is_open & (tag == "tr")
-    tk = tk.select(
-        "*",
-        (run(is_open) - run(is_close)).alias("_d"),
-        (run(is_open & tag.isin("code", "pre")) - run(is_close & tag.isin("code", "pre"))).alias("_code"),
-        (run(is_open & (tag == "pre")) - run(is_close & (tag == "pre"))).alias("_pre"),
-        run(is_open & (tag == "pre")).alias("_pre_id"),
-        (run(is_open & is_list) - run(is_close & is_list)).alias("_ld"),
-        (run(table_open) - run(is_close & (tag == "table"))).alias("_tb"),
-        run(tr_open).alias("_trs"),
-        (run(is_open & cell) - run(is_close & cell)).alias("_cell"),
-        (run(is_open & (tag == "th")) - run(is_close & (tag == "th"))).alias("_th"),
-        F.last("_a_href", ignorenulls=True).over(wo).alias("_href"))
-
-    # stage 4: context that depends on the running counts
-    wl = Window.partitionBy("page_id", "_ld").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    dlang = F.when((col("_pre") > 0) & col("_dl").isNotNull(),
-                   F.concat(F.lpad(pos.cast("string"), 10, "0"), F.lit("\u0001"), col("_dl")))
-    tk = tk.select(
-        "*",
-        # language: data-language of the first code start inside the pre
-        F.substring_index(F.min(dlang).over(Window.partitionBy("page_id", "_pre_id")), "\u0001", -1)
-        .alias("_lang"),
-        F.last(F.when(is_open & is_list, pos), ignorenulls=True).over(wl).alias("_lpos"),
-        F.last(F.when(is_open & is_list, tag), ignorenulls=True).over(wl).alias("_ltype"),
-        # row number inside the current table: running rows minus rows before it
-        (col("_trs") - F.coalesce(F.last(F.when(table_open, col("_trs")), ignorenulls=True).over(wo),
-                                  F.lit(0))).alias("_tr_n"))
-    counted_cell = is_open & (col("_tb") > 0) & cell & ((col("_tr_n") == 1) | (tag == "td"))
-    tk = tk.select(
-        "*",
-        F.sum(flag(is_open & (tag == "li") & (col("_ld") > 0))).over(
-            Window.partitionBy("page_id", "_lpos").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-        .alias("_li_n"),
-        run(counted_cell).alias("_cells"))
-    tk = tk.select("*", (col("_cells") - F.coalesce(
-        F.last(F.when(table_open | tr_open, col("_cells")), ignorenulls=True).over(wo), F.lit(0)))
-        .alias("_cell_n"))
-
-    # stage 5: output of every token
-    in_table = col("_tb") > 0
-    dropped_th = in_table & (col("_tr_n") > 1) & ((col("_th") > 0) | ((tag == "th") & is_close))
-    depth_before = col("_d") - flag(is_open) + flag(is_close)
-    text_ok = (depth_before > 0) & (~in_table | (col("_cell") > 0)) & ~dropped_th
-    pre_map, suf_map = _map({k: v[0] for k, v in table.items()}), _map({k: v[1] for k, v in table.items()})
-    conv = col("_code") - flag(is_open & tag.isin("code", "pre")) <= 0
-    conv_close = F.when(tag.isin("code", "pre"), col("_code") + 1 <= 1).otherwise(col("_code") <= 0)
-    a_open = F.when(col("_a_href") != "", F.lit("[")).otherwise(F.lit(""))
-    a_close = F.when(F.coalesce(col("_href"), F.lit("")) != "",
-                     F.concat(F.lit("]("), col("_href"), F.lit(")"))).otherwise(F.lit(""))
-    img = F.when(col("_img.src") != "", F.concat(F.lit("!["), col("_img.alt"), F.lit("]("), col("_img.src"),
-                                                 F.lit(")"))).otherwise(F.lit(""))
-    li_prefix = F.when(col("_ltype") == "ol", F.concat(col("_li_n").cast("string"), F.lit(". "))) \
-        .otherwise(F.lit("* "))
-    cell_sep = F.when(col("_cell_n") > 1, F.lit(" | ")).otherwise(F.lit(""))
-    # header rule at the end of the first row: all its cells are counted by then
-    head_rule = F.when(col("_cell_n") > 0, F.concat(
-        F.array_join(F.array_repeat(F.lit("---"), col("_cell_n").cast("int")), " | "), F.lit("\n")))
-    pre_rule = F.coalesce(F.try_element_at(pre_map, tag), F.lit(""))
-    suf_rule = F.coalesce(F.try_element_at(suf_map, tag), F.lit(""))
-    open_out = (F.when(tag == "a", a_open)
-                .when(tag == "li", F.when(col("_ld") > 0, li_prefix).otherwise(F.lit("")))
-                .when(tag == "code", F.when(col("_pre") > 0, F.lit("")).otherwise(F.lit("`")))
-                .when(tag == "pre", F.concat(F.lit("```"), F.coalesce(col("_lang"), F.lit("")), F.lit("\n")))
-                .when(tag == "blockquote", F.lit(QUOTE_OPEN))
-                .when(cell & in_table, F.when(counted_cell, cell_sep).otherwise(F.lit("")))
-                .otherwise(pre_rule))
-    close_out = (F.when(tag == "a", a_close)
-                 .when(tag == "li", F.when(col("_ld") > 0, F.lit("\n")).otherwise(F.lit("")))
-                 .when(is_list, F.lit("\n"))
-                 .when(tag == "code", F.when(col("_pre") > 0, F.lit("")).otherwise(F.lit("`")))
-                 .when(tag == "pre", F.lit("\n```\n\n"))
-                 .when(tag == "blockquote", F.lit(QUOTE_CLOSE))
-                 .when(tag == "tr", F.when(in_table, F.concat(
-                     F.lit("\n"), F.when(col("_tr_n") == 1, F.coalesce(head_rule, F.lit(""))).otherwise(F.lit(""))))
-                       .otherwise(F.lit("")))
-                 .when(tag == "table", F.lit("\n"))
-                 .otherwise(suf_rule))
-    void_out = F.when(tag == "img", img).otherwise(F.coalesce(F.try_element_at(_map(VOID_RULES), tag), F.lit("")))
-    out = (F.when(kind == "text", F.when(text_ok, col("_text")).otherwise(F.lit("")))
-           .when(col("_d") > MAX_DEPTH, F.lit(""))
-           .when(is_open, F.when(conv & ~dropped_th, open_out).otherwise(F.lit("")))
-           .when(is_close, F.when(conv_close & ~dropped_th, close_out).otherwise(F.lit("")))
-           .when(kind == "void", F.when(conv & ~dropped_th & (~in_table | (col("_cell") > 0)), void_out)
-                 .otherwise(F.lit("")))
-           .otherwise(F.lit("")))
-    # an element that is never closed (an unclosed <b>, a <p> ended by the
-    # next <p>) gets its suffix where its span ends, after that token
-    rule_tags = sorted(k for k, v in table.items() if v[1])
-    implied = is_open & conv & ~dropped_th & ~col("explicit") & tag.isin(rule_tags)
-    own = F.struct(pos.cast("bigint").alias("pos"), F.lit(-(1 << 62)).cast("bigint").alias("sub"), out.alias("o"))
-    late = F.struct(col("end_capped").cast("bigint").alias("pos"), (-pos).cast("bigint").alias("sub"), suf_rule.alias("o"))
-    emitted = F.when(implied, F.array(own, late)).otherwise(F.array(own))
-    per = (tk.select("page_id", F.explode(emitted).alias("e")).groupBy("page_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda x: x["o"]), "").alias("m")))
-    md = _quote_pass(_quote_pass(col("m")))
-    md = F.regexp_replace(F.regexp_replace(md, "[\u0002\u0003]", ""), NEWLINES_RE, "\n\n")
-    return (pages_df.select("page_id").join(per.select("page_id", md.alias("markdown")), "page_id", "left")
-            .select("page_id", F.coalesce("markdown", F.lit("")).alias("markdown")))
+    """``page_id, markdown`` from ``page_id, html``; ``rules`` replaces converters by (prefix, suffix)."""
+    out = dom.with_dom(pages_df.select("page_id", "html"), markdown=True, rules=rules)
+    return out.select("page_id", F.col("_markdown").alias("markdown"))

@@ -1,129 +1,16 @@
-"""Token table and element spans: the structure behind selector operators.
-
-Row-local expressions cover everything that needs no nesting.  Operators
-that need element boundaries (text of selected elements, the first matching
-element's markup, Markdown) explode each page into tokens::
-
-    page_id, pos, tok, kind, tag, start_char, last_pos
-
-``kind`` is open / void / close / text / comment / raw (script and style
-blocks) / decl.  Char offsets come from one running sum per page, so the
-token table is hash partitioned by ``page_id`` once; every later window,
-aggregate and join keyed by page reuses that partitioning (one exchange).
-On a page store bucketed by ``page_id`` that exchange disappears too.
-
-Span rules (a documented simplification of HTML5 tree building):
-
-* void elements and ``<x/>`` of void tags span their own tag;
-* other elements pair an open with its close by nesting level per tag
-  (a running count of opens minus closes);
-* an element that is never closed ends where its enclosing element ends
-  (the first explicitly matched close that leaves its depth), or at the end
-  of the page;
-* ``p`` ends at the next ``p`` tag (a close is included, an open is not),
-  and at the latest where its enclosing element ends.
-"""
+"""Tag lists and the token pattern of the tree and its SQL counterpart."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
 from sitegraph.functions import patterns as P
 
 VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
              "param", "source", "track", "wbr"]
-AUTO_CLOSE_TAGS = ["p"]
 # HTML5 formatting elements: closed with an implicitly closed p, then re-opened
 # in the following blocks, so their selected text runs on to their parent's end.
 FORMATTING_TAGS = ["a", "b", "big", "code", "em", "font", "i", "nobr", "s", "small", "strike", "strong",
                    "tt", "u"]
 
-_RAW_J = (r"<script(?:[ \t\n\r\f/][^>]*)?>.*?</script[ \t\n\r\f]*>"
-          r"|<style(?:[ \t\n\r\f/][^>]*)?>.*?</style[ \t\n\r\f]*>")
-TOKEN_RE_JAVA = r"(?is)<!--.*?-->|" + _RAW_J + "|" + P.TAG_RE_JAVA + r"|[^<]+|<"
-TOKEN_RE_RE2 = r"(?is)<!--.*?-->|" + _RAW_J + "|" + P.TAG_RE_RE2 + r"|[^<]+|<"
-
-
-def token_kind(tok: Column) -> Column:
-    name = F.lower(F.regexp_extract(tok, r"^</?([a-zA-Z][a-zA-Z0-9:-]*)", 1))
-    return (F.when(tok.startswith("<!--"), F.lit("comment"))
-            .when(tok.rlike(r"(?is)^<(script|style)[ \t\n\r\f/>]") & tok.endswith(">")
-                  & tok.rlike(r"(?is)</(script|style)[ \t\n\r\f]*>$"), F.lit("raw"))
-            .when(tok.rlike(r"^</[a-zA-Z]"), F.lit("close"))
-            .when(tok.rlike(r"^<[a-zA-Z]") & name.isin(VOID_TAGS), F.lit("void"))
-            .when(tok.rlike(r"^<[a-zA-Z]"), F.lit("open"))
-            .when(tok.rlike(r"^<[!?]") & tok.endswith(">"), F.lit("decl"))
-            .otherwise(F.lit("text")))
-
-
-def tokens(pages_df: DataFrame) -> DataFrame:
-    """Explode pages into ordered tokens with char offsets (see module doc)."""
-    arr = F.regexp_extract_all(F.col("html"), F.lit(TOKEN_RE_JAVA), 0)
-    t = pages_df.select("page_id", arr.alias("_t")).select(
-        "page_id", (F.size("_t") - 1).alias("last_pos"), F.posexplode("_t").alias("pos", "tok"))
-    kind = token_kind(F.col("tok"))
-    tag = F.when(kind.isin("open", "close", "void", "raw"),
-                 F.lower(F.regexp_extract("tok", r"^</?([a-zA-Z][a-zA-Z0-9:-]*)", 1)))
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return (t.withColumn("kind", kind).withColumn("tag", tag)
-            .withColumn("start_char", F.coalesce(F.sum(F.length("tok")).over(w), F.lit(0)).cast("bigint")))
-
-
-def with_span_ends(tok_df: DataFrame) -> DataFrame:
-    """Add ``end_pos``, ``end_capped`` and ``explicit`` to the open and void rows of a token
-    table (other rows get NULL); every row is kept, so a plan can go on with
-    the same token stream (no second pass over the pages)."""
-    kind, tag, pos = F.col("kind"), F.col("tag"), F.col("pos")
-    is_tag = kind.isin("open", "close")
-    d = F.when(kind == "open", 1).when(kind == "close", -1).otherwise(0)
-    w_tag = Window.partitionBy("page_id", "tag").orderBy("pos")
-    tt = tok_df.withColumn("_depth", F.sum(d).over(w_tag.rowsBetween(Window.unboundedPreceding, 0)))
-    tt = tt.withColumn("_level", F.when(kind == "open", F.col("_depth"))
-                       .when(kind == "close", F.col("_depth") + 1))
-    w_lvl = Window.partitionBy("page_id", "tag", "_level").orderBy("pos")
-    tt = (tt.withColumn("_nl", F.when(is_tag, F.lead(F.struct("kind", "pos")).over(w_lvl)))
-            .withColumn("_pl", F.when(is_tag, F.lag("kind").over(w_lvl)))
-            .withColumn("_nt", F.when(is_tag, F.lead(F.struct("kind", "pos")).over(w_tag))))
-    # explicitly matched pairs only; their running depth over the page gives
-    # the enclosing context of an element that is never closed
-    matched_open = (kind == "open") & (F.col("_nl.kind") == "close")
-    matched_close = (kind == "close") & (F.coalesce(F.col("_pl"), F.lit("")) == "open")
-    step = F.when(matched_open, 1).when(matched_close, -1).otherwise(0)
-    wo = Window.partitionBy("page_id").orderBy("pos")
-    tt = tt.withColumn("_gd", F.sum(step).over(wo.rowsBetween(Window.unboundedPreceding, 0)))
-    # an element never closed ends just before the first matched close that
-    # leaves its depth: the end of its enclosing element (HTML5 closes it there)
-    key = F.when(matched_close, F.col("_gd")).when(kind == "open", F.col("_gd") - 1)
-    tt = tt.withColumn("_key", key).withColumn("_parent_close", F.min(F.when(matched_close, pos)).over(
-        Window.partitionBy("page_id", "_key").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)))
-    parent_end = F.col("_parent_close") - 1
-    paired = F.when(F.col("_nl.kind") == "close", F.col("_nl.pos"))
-    auto = (F.when(F.col("_nt.kind") == "close", F.col("_nt.pos"))
-            .when(F.col("_nt.kind") == "open", F.col("_nt.pos") - 1))
-    unmatched_p = F.least(F.coalesce(auto, F.col("last_pos")), F.coalesce(parent_end, F.col("last_pos")))
-    end = F.coalesce(paired, F.when(tag.isin(AUTO_CLOSE_TAGS), unmatched_p).otherwise(parent_end),
-                     F.col("last_pos"))
-    tt = tt.withColumn("end_pos", F.when(kind == "open", end).when(kind == "void", pos)) \
-           .withColumn("explicit", F.when(kind == "open", paired.isNotNull()).when(kind == "void", F.lit(True)))
-    # an unclosed element inside a p that is closed implicitly ends with that
-    # p (p elements never nest, so the last p start before it is the one)
-    implicit_p = (kind == "open") & tag.isin(AUTO_CLOSE_TAGS) & ~F.col("explicit")
-    tt = tt.withColumn("_p", F.last(F.when(implicit_p, F.struct(pos.alias("s"), F.col("end_pos").alias("e"))),
-                                    ignorenulls=True).over(wo.rowsBetween(Window.unboundedPreceding, -1)))
-    capped = F.when((kind == "open") & ~F.col("explicit") & F.col("_p").isNotNull() & (F.col("_p.e") >= pos),
-                    F.least(F.col("end_pos"), F.col("_p.e"))).otherwise(F.col("end_pos"))
-    # end_capped: every unclosed element stops with its implicit p (the tree
-    # after HTML5 tree building); end_pos: formatting elements keep running,
-    # standing for their re-opened copies (what a selector collects)
-    tt = tt.withColumn("end_capped", capped)
-    return tt.withColumn("end_pos", F.when(tag.isin(FORMATTING_TAGS), F.col("end_pos"))
-                         .otherwise(F.col("end_capped"))).drop(
-        "_depth", "_level", "_nl", "_pl", "_nt", "_gd", "_key", "_parent_close", "_p")
-
-
-def spans(tok_df: DataFrame) -> DataFrame:
-    """Element spans: ``page_id, tag, start_pos, end_pos, tok, explicit``
-    (tok = start tag; explicit = closed by its own end tag)."""
-    return (with_span_ends(tok_df).where(F.col("kind").isin("open", "void"))
-            .select("page_id", "tag", F.col("pos").alias("start_pos"), "end_pos", "tok", "explicit"))
+_RAW = (r"<script(?:[ \t\n\r\f/][^>]*)?>.*?</script[ \t\n\r\f]*>"
+        r"|<style(?:[ \t\n\r\f/][^>]*)?>.*?</style[ \t\n\r\f]*>")
+TOKEN_RE_RE2 = r"(?is)<!--.*?-->|" + _RAW + "|" + P.TAG_RE_RE2 + r"|[^<]+|<"

@@ -684,6 +684,7 @@ def _markdown_sql(src_tokens_cte: str) -> str:
     depth_before = "(d - CASE WHEN kind = 'open' THEN 1 ELSE 0 END + CASE WHEN kind = 'close' THEN 1 ELSE 0 END)"
     text_ok = f"({depth_before} > 0 AND (NOT {in_table} OR cell > 0) AND NOT {dropped_th})"
     text_out = D.rx_replace(D.rx_replace(D.decode_entities("tok"), "[\u00ad\u200b]", ""), "[ \t\n\r\f\u00a0]+", " ")
+    text_out = f"CASE WHEN pre > 0 AND code > 1 THEN trim({D.decode_entities('tok')}, ' ' || chr(10)) ELSE {text_out} END"
     conv = "(code - CASE WHEN kind = 'open' AND tag IN ('code', 'pre') THEN 1 ELSE 0 END <= 0)"
     conv_close = "(CASE WHEN tag IN ('code', 'pre') THEN code + 1 <= 1 ELSE code <= 0 END)"
     li_prefix = "(CASE WHEN ltype = 'ol' THEN concat(CAST(li_n AS VARCHAR), '. ') ELSE '* ' END)"

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from sitegraph.registry import QUERIES
 from sitegraph.operators import links as L
 from sitegraph.sources import tables as T
 
@@ -14,7 +15,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_or_nested_loops(spark, sf, name):
     if name.startswith("stream_") or name in ("crawl_stream", "site_tree_json"):
         pytest.skip("materialised by a stream or a fold before planning")

@@ -29,6 +29,11 @@ def _lit(x) -> Column:
     return F.lit(x)
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with the value worked out once: a lambda variable, which the optimizer does not copy into its uses."""
+    return F.transform(F.array(value), f)[0]
+
+
 def clean_html(html: Column) -> Column:
     """Markup without comments; script and style blocks become one space."""
     no_comments = F.regexp_replace(html, P.COMMENT_RE, "")
@@ -36,34 +41,49 @@ def clean_html(html: Column) -> Column:
 
 
 def _numeric_ref(c: Column) -> Column:
+    """Character of a numeric reference, in any plane; NULL for none (0, surrogates, beyond U+10FFFF)."""
     dec = F.regexp_extract(c, r"^&#([0-9]{1,7})", 1)
     hexd = F.regexp_extract(c, r"^&#[xX]([0-9a-fA-F]{1,6})", 1)
     cp = (F.when(dec != "", dec.try_cast("bigint"))
           .when(hexd != "", F.conv(hexd, 16, 10).try_cast("bigint")))
-    bmp = F.decode(F.unhex(F.lpad(F.hex(cp), 4, "0")), "UTF-16BE")
-    return F.when((cp > 0) & (cp < 0xD800), bmp).when((cp >= 0xE000) & (cp <= 0xFFFF), bmp)
+    ok = (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+    return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32"))
 
 
 def _sql_lit(s: str) -> str:
-    return "'" + "".join(f"\\u{ord(ch):04x}" for ch in s) + "'"
+    return "'" + "".join(f"\\u{ord(ch):04x}" if ord(ch) < 0x10000 else f"\\U{ord(ch):08x}" for ch in s) + "'"
 
 
 @functools.lru_cache(maxsize=None)
-def _entity_map_sql() -> str:
-    """The entity table as one SQL map literal: one JVM call per use instead
-    of one per entry (every character is a \\u escape, so any value is safe)."""
-    pairs = [f"{_sql_lit(k)}, {_sql_lit(v)}" for k, v in sorted(P.entity_table().items())]
-    return "map(" + ", ".join(pairs) + ")"
+def _entity_text_sql() -> str:
+    """The whole entity table as one string literal, U+0001 name U+0002 text, common names first.
+
+    A string stays cheap for the planner however often it is used; a map
+    literal of this size is hashed entry by entry at every use."""
+    table = P.all_entities()
+    common = ["&amp;", "&lt;", "&gt;", "&quot;", "&nbsp;", "&apos;", *sorted(P.entity_table())]
+    names = dict.fromkeys([*common, *sorted(table)])
+    return _sql_lit("".join(f"\u0001{n}\u0002{table[n]}" for n in names) + "\u0001")
+
+
+def _named_ref(c: Column) -> Column:
+    def look_up(table):
+        at = F.position(F.concat(F.lit("\u0001"), c, F.lit("\u0002")), table)
+        return F.when(at > 0, F.substring_index(F.substr(table, at + F.length(c) + 2), "\u0001", 1))
+
+    return let(F.expr(_entity_text_sql()), look_up)
 
 
 def decode_entities(s: Column) -> Column:
     """Decode character references in one pass (no double decoding)."""
-    m = F.expr(_entity_map_sql())
-    chunks = F.regexp_extract_all(s, _lit(P.ENTITY_CHUNK_RE), 0)
-    decoded = F.transform(
-        chunks, lambda c: F.when(c.startswith("&") & (F.length(c) > 1),
-                                 F.coalesce(F.try_element_at(m, c), _numeric_ref(c), c)).otherwise(c))
-    return F.when(s.contains("&"), F.array_join(decoded, "")).otherwise(s)
+    def decode(text):
+        chunks = F.regexp_extract_all(text, _lit(P.ENTITY_CHUNK_RE), 0)
+        decoded = F.transform(
+            chunks, lambda c: F.when(c.startswith("&") & (F.length(c) > 1),
+                                     F.coalesce(_numeric_ref(c), _named_ref(c), c)).otherwise(c))
+        return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
+
+    return let(s, decode)
 
 
 def normalize_ws(s: Column) -> Column:

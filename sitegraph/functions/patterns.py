@@ -40,12 +40,17 @@ def any_tag_re(names: str, java: bool = True) -> str:
     return r"(?i)</?(?:" + names + ")" + (_ATTRS_JAVA if java else _ATTRS_RE2) + ">"
 
 
+_WS = r"[ \t\n\r\f]"
+_ONE_ATTR = _WS[:-1] + r"/]+[^ \t\n\r\f/>\"'=]+(?:" + _WS + "*=" + _WS + r"""*(?:"[^"]*"|'[^']*'|[^ \t\n\r\f>"'][^ \t\n\r\f>]*))?"""
+
+
 def attr_re(name: str) -> str:
-    """Attribute ``name`` inside one tag; groups 1-3 hold the double quoted,
-    single quoted or bare value.  A valueless attribute matches with all
-    three groups empty."""
-    return (r"(?i)[ \t\n\r\f/\"']" + name +
-            r"""(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:"([^"]*)"|'([^']*)'|([^ \t\n\r\f>]*))|[ \t\n\r\f/>])""")
+    """Attribute ``name`` of one tag, read from the tag's start attribute by
+    attribute (text inside another value never counts; the first of several
+    wins).  Groups 1-3 hold the double quoted, single quoted or bare value; a
+    valueless attribute matches with all three groups empty."""
+    return (r"(?i)^<[a-zA-Z][^ \t\n\r\f/>]*(?:" + _ONE_ATTR + ")*?" + _WS[:-1] + "/]+" + name + "(?:" + _WS + "*=" + _WS
+            + r"""*(?:"([^"]*)"|'([^']*)'|([^ \t\n\r\f>"'][^ \t\n\r\f>]*))|""" + _WS + r"*[ \t\n\r\f/>])")
 
 
 # One attribute of a tag, from left to right: name, then the double quoted,
@@ -70,12 +75,10 @@ BLOCK_TAGS = (
     "table tbody td template tfoot th thead title tr ul video"
 ).split()
 
-# Named character references decoded in text and attribute values: the
-# HTML 4 entity set (252 names, from the standard library's table) plus
-# &apos;; the legacy names that HTML also accepts without the closing ';'
-# are taken from the standard HTML5 table.
+# Named character references, from the standard library's tables: the HTML 4
+# set with &apos; and the names accepted without ';' ...
 def entity_table() -> dict[str, str]:
-    """Reference text -> decoded text, for every accepted spelling."""
+    """Reference text -> decoded text, for every accepted spelling of an HTML 4 name."""
     from html.entities import html5, name2codepoint
     t = {f"&{name};": chr(cp) for name, cp in name2codepoint.items()}
     t["&apos;"] = "'"
@@ -85,6 +88,12 @@ def entity_table() -> dict[str, str]:
     return t
 
 
+# ... and the whole HTML 5 table.
+def all_entities() -> dict[str, str]:
+    from html.entities import html5
+    return {"&" + k: v for k, v in html5.items()}
+
+
 # Elements counted by default in page statistics (no h6).
 DEFAULT_COUNT_TAGS = ["div", "p", "h1", "h2", "h3", "h4", "h5"]
 
@@ -105,10 +114,6 @@ DEFAULT_MIME = "application/octet-stream"
 # Characters a URL component encoder leaves (or restores) unescaped.
 URL_PRESERVED = "/:@$,;()~!'*-._"
 
-# Characters java.net.URI refuses in a URL (besides controls and non-ASCII,
-# which it percent-encodes on output).
-URI_ILLEGAL = ' "<>\\^`{|}'
-
 # Default URL pattern list of the crawl options (a tag-manager script).
 DEFAULT_URL_PATTERNS = [r"https://www\.googletagmanager\.com/.*"]
 

@@ -147,6 +147,17 @@ def _encode_chunks(u: Column) -> Column:
     return F.array_join(F.transform(chunks, enc), "")
 
 
+def _encode_rest(u: Column) -> Column:
+    """A ``%`` that starts no escape becomes ``%25``, and ``[ ]`` outside the authority are encoded."""
+    parts = F.split(u, "%", -1)
+    fixed = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.concat(
+        F.when(p.rlike("^[0-9a-fA-F]{2}"), F.lit("%")).otherwise(F.lit("%25")), p))
+    pct = F.concat(parts[0], F.array_join(fixed, ""))
+    head = F.regexp_extract(pct, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?", 0)
+    rest = F.replace(F.replace(F.substr(pct, F.length(head) + 1), F.lit("["), F.lit("%5B")), F.lit("]"), F.lit("%5D"))
+    return F.concat(head, rest)
+
+
 def clean_url(url: Column) -> Column:
     """Crawl key of a URL: '##+' -> '#', fragment dropped, non-ASCII and
     illegal characters percent-encoded; case, slashes, query order and
@@ -155,9 +166,22 @@ def clean_url(url: Column) -> Column:
     u = F.regexp_replace(F.trim(url), "##+", "#")
     u = F.regexp_extract(u, r"^([^#]*)", 1)
     enc = F.when(u.rlike("[^\\x21-\\x7E]|[\"<>\\\\^`{|}]"), _encode_chunks(u)).otherwise(u)
+    enc = F.when(u.rlike(r"[%\[\]]"), _encode_rest(enc)).otherwise(enc)
     return F.when(u.rlike(_HIER) | ~u.rlike(SCHEME_RE), enc)
 
 
+# Bytes that URL_PRESERVED brings back after encoding.
+_RESTORED = {"%{:02X}".format(ord(c)): c for c in P.URL_PRESERVED}
+
+
+def encode_component(part: Column) -> Column:
+    """One URL component: form encoding with %20 for spaces, the preserved characters as written."""
+    out = F.replace(F.url_encode(part), F.lit("+"), F.lit("%20"))
+    for escape, c in _RESTORED.items():
+        out = F.replace(out, F.lit(escape), F.lit(c))
+    return out
+
+
 def file_extension(name: Column) -> Column:
     """Text after the last '.', '' if none or if the name ends with '.'."""
     return F.regexp_extract(name, r"\.([^.]+)$", 1)

@@ -72,13 +72,13 @@ def image_manifest(pages_df: DataFrame, max_images: int = 0, run_ts: str = "0000
                    relative_path: str | None = None) -> DataFrame:
     """``page_id, url, pos, image_url, relative_path, file_name, mime_type,
     n_bytes, content`` for every recorded image (row-local, no shuffle)."""
-    clean = H.clean_html(F.col("html"))
-    imgs = L.link_array(F.col("url"), clean, ["images"])
+    df = L.with_links(pages_df.select("page_id", "url", "html"), ["images"], col="_imgs")
+    imgs = F.col("_imgs")
     recs = F.filter(F.transform(imgs, lambda s: image_record(s["link"], run_ts, relative_path)),
                     lambda r: r["ok"])
     if max_images and max_images > 0:
         recs = F.slice(recs, 1, int(max_images))
-    df = pages_df.select("page_id", "url", F.posexplode(recs).alias("pos", "r"))
+    df = df.select("page_id", "url", F.posexplode(recs).alias("pos", "r"))
     return df.select("page_id", "url", F.col("pos").cast("bigint").alias("pos"), "r.image_url",
                      "r.relative_path", "r.file_name", "r.mime_type", "r.n_bytes", "r.content")
 

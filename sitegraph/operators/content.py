@@ -45,16 +45,24 @@ def first_match_html(pages_df: DataFrame, selectors: list[str] | None) -> DataFr
     return d.select("page_id", F.col("_first").alias("content"))
 
 
-def page_content(pages_df: DataFrame, fmt: str = "text", selectors: list[str] | None = None) -> DataFrame:
-    """Page record ``page_id, url, title, content`` in TEXT, HTML or MARKDOWN."""
+def with_content(pages_df: DataFrame, fmt: str = "text", selectors: list[str] | None = None) -> DataFrame:
+    """``pages_df`` with ``title`` and ``content`` in TEXT, HTML or MARKDOWN; row-local, so it runs on a stream too.
+
+    Columns of these names are replaced."""
     fmt = fmt.lower()
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
     clean = H.clean_html(F.col("html"))
-    if not selectors and fmt in ("text", "html"):
-        content = H.text_of(clean) if fmt == "text" else F.col("html")
-        return pages_df.select("page_id", "url", H.title_of(clean).alias("title"), content.alias("content"))
-    p = pages_df.select("page_id", "url", "html")
-    asked = {"text": {"text": selectors}, "html": {"first": selectors}, "markdown": {"first": selectors or [], "markdown": True}}[fmt]
-    content = {"text": "_text", "html": "_first", "markdown": "_markdown"}[fmt]
-    return dom.with_dom(p, **asked).select("page_id", "url", H.title_of(clean).alias("title"), F.col(content).alias("content"))
+    df, content = pages_df.drop("title", "content"), F.col("html")
+    if not selectors and fmt == "text":
+        content = H.text_of(clean)
+    elif selectors or fmt == "markdown":
+        asked = {"text": {"text": selectors}, "html": {"first": selectors}, "markdown": {"first": selectors or [], "markdown": True}}[fmt]
+        df = dom.with_dom(df, **asked)
+        content = F.col({"text": "_text", "html": "_first", "markdown": "_markdown"}[fmt])
+    return df.withColumns({"title": H.title_of(clean), "content": content}).drop("_text", "_first", "_markdown")
+
+
+def page_content(pages_df: DataFrame, fmt: str = "text", selectors: list[str] | None = None) -> DataFrame:
+    """Page record ``page_id, url, title, content`` in TEXT, HTML or MARKDOWN."""
+    return with_content(pages_df.select("page_id", "url", "html"), fmt, selectors).select("page_id", "url", "title", "content")

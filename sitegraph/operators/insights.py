@@ -24,7 +24,8 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
     and (optionally) the sorted link arrays per kind.
 
     ``kinds`` picks one insight kind (ALL, documents, internal, external,
-    reference, iframe, images, element_counts) as the reference does.
+    reference, iframe, images, element_counts) as the reference does; for
+    element_counts no links are read, so their counts are 0.
     """
     kind = kinds.lower()
     if kind not in L.INSIGHT_KINDS:
@@ -37,9 +38,8 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
     if want_counts and selectors:  # descendant selectors and selected text need the page's tree
         df = dom.with_dom(df, text=selectors, counts=nested)
     df = df.withColumn("_clean", clean)
-    link_kinds = L.ALL_KINDS if want_counts else want_links
-    df = df.withColumn("_links", L.link_array(F.col("url"), F.col("_clean"), link_kinds,
-                                              url_patterns, url_logic))
+    df = df.withColumn("_links", L.page_link_array(F.col("url"), F.col("_clean"), want_links,
+                                                   url_patterns, url_logic))
     cols = [F.col("page_id"), F.col("url"), H.title_of(F.col("_clean")).alias("title")]
     if want_counts:
         tags = selectors if selectors else P.DEFAULT_COUNT_TAGS

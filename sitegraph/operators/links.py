@@ -1,7 +1,7 @@
 """Link extraction and classification (row-local: no shuffle).
 
 For every page the ``a[href]``, ``iframe[src]`` and ``img[src]`` attributes
-are pulled out of the markup, made absolute against the page URL, passed
+are pulled out of the markup, made absolute against the page's base URL, passed
 through the optional include/exclude pattern filter, de-duplicated inside
 the row (first occurrence wins) and classified.  The result is an array of
 ``struct<kind, link, pos>`` per page; the long form is its ``inline``.
@@ -34,6 +34,14 @@ def _attr_links(clean: Column, base: Column, tag: str, attribute: str,
     return F.array_distinct(kept)
 
 
+def base_url(url: Column, clean: Column) -> Column:
+    """What a page's links are resolved and judged against: its first ``<base href>``, else its URL."""
+    hrefs = F.filter(F.transform(H.start_tags(clean, "base"), lambda t: H.attr(t, "href")),
+                     lambda v: v.isNotNull() & (F.trim(v) != ""))
+    first = H.let(F.try_element_at(hrefs, F.lit(1)), lambda h: F.when(h.isNotNull(), U.resolve_url(url, h)).otherwise(url))
+    return F.when(clean.rlike("(?i)<base[ \t\n\r\f/]"), first).otherwise(url)
+
+
 def _with_pos(arr: Column, kind_fn) -> Column:
     return F.transform(arr, lambda l, i: F.struct(kind_fn(l).alias("kind"), l.alias("link"),
                                                   i.cast("int").alias("pos")))
@@ -70,7 +78,15 @@ def with_links(pages_df: DataFrame, kinds: list[str] | None = None,
                col: str = "links") -> DataFrame:
     """Add the ``links`` array column to a page DataFrame."""
     clean = H.clean_html(F.col("html"))
-    return pages_df.withColumn(col, link_array(F.col("url"), clean, kinds, url_patterns, url_logic))
+    return pages_df.withColumn(col, page_link_array(F.col("url"), clean, kinds, url_patterns, url_logic))
+
+
+def page_link_array(url: Column, clean: Column, kinds: list[str] | None = None,
+                    url_patterns: list[str] | None = None, url_logic: str | None = None) -> Column:
+    """``link_array`` against the page's base URL, which is worked out once (a lambda variable: the
+    optimizer would copy a column into each of its uses)."""
+    return H.let(F.struct(base_url(url, clean).alias("base"), clean.alias("clean")),
+                 lambda x: link_array(x["base"], x["clean"], kinds, url_patterns, url_logic))
 
 
 def page_links(pages_df: DataFrame, kinds: list[str] | str | None = None,

@@ -1,8 +1,9 @@
 """Stored web-search responses -> typed rows.
 
-The reference calls a search API and passes its JSON through.  Here stored
-responses (``query_id, body``) are parsed once with a fixed schema and the
-nested arrays are exploded with their positions.  A body that does not
+The reference calls a search API and passes its JSON through: ``raw`` gives
+every response whole, unknown fields included.  The other functions read the
+known fields of stored responses (``query_id, body``) with a fixed schema and
+explode the nested arrays with their positions.  A body that does not
 parse gives ``status = 'bad_response'`` instead of failing the job.
 """
 
@@ -20,15 +21,21 @@ SEARCH_SCHEMA = (
     "images ARRAY<STRUCT<imageUrl: STRING, link: STRING, title: STRING>>")
 
 
-def parse_responses(responses: DataFrame) -> DataFrame:
-    """``query_id, query, status, r`` where ``r`` is the parsed struct."""
+def parse_responses(responses: DataFrame, *keep: str) -> DataFrame:
+    """``query_id, query, status, r`` (and ``keep``) where ``r`` is the parsed struct."""
     r = F.from_json(F.col("body"), SEARCH_SCHEMA, {"mode": "PERMISSIVE"})
-    df = responses.select("query_id", r.alias("r"))
+    df = responses.select("query_id", *keep, r.alias("r"))
     ok = F.col("r").isNotNull() & F.col("r.searchParameters").isNotNull()
-    return df.select("query_id", F.col("r.searchParameters.q").alias("query"),
+    return df.select("query_id", *keep, F.col("r.searchParameters.q").alias("query"),
                      F.when(ok, "ok").otherwise("bad_response").alias("status"), "r")
 
 
+def raw(responses: DataFrame) -> DataFrame:
+    """``query_id, query, status, body``: the body as it came where it is a response, else null."""
+    p = parse_responses(responses.withColumn("_body", F.col("body")), "_body")
+    return p.select("query_id", "query", "status", F.when(F.col("status") == "ok", F.col("_body")).alias("body"))
+
+
 def organic(responses: DataFrame) -> DataFrame:
     p = parse_responses(responses)
     return p.select("query_id", "query", F.posexplode("r.organic").alias("idx", "o")).select(

@@ -1,5 +1,7 @@
 """DuckDB SQL twins of the Column expressions, used only to write the
-independent oracle queries (``oracle_sql`` in ``__spark_entry__.py``).
+oracle queries (``oracle_sql`` in ``__spark_entry__.py``).  They share the value
+tables and RE2 patterns of ``patterns``, so they check the plans, not those
+rules; the goldens in ``tests/`` check the rules.
 
 Every function takes SQL expression text and returns SQL expression text.
 Regular expressions are the RE2 forms from ``patterns``.
@@ -39,7 +41,7 @@ def _numeric_ref(c: str) -> str:
     cp = (f"(CASE WHEN {dec} <> '' THEN try_cast({dec} AS BIGINT) "
           f"WHEN {hexd} <> '' THEN try_cast('0x' || {hexd} AS BIGINT) END)")
     return (f"(CASE WHEN {cp} > 0 AND {cp} < 55296 THEN chr({cp}::INTEGER) "
-            f"WHEN {cp} >= 57344 AND {cp} <= 65535 THEN chr({cp}::INTEGER) END)")
+            f"WHEN {cp} >= 57344 AND {cp} <= 1114111 THEN chr({cp}::INTEGER) END)")
 
 
 def decode_entities(s: str) -> str:
@@ -185,7 +187,13 @@ def clean_url(u: str) -> str:
     enc = (f"array_to_string(list_transform(regexp_extract_all({u1}, '[^\\x00-\\x7F]+|[\\x00-\\x7F]+', 0), "
            f"lambda c: CASE WHEN regexp_matches(c, '^[\\x00-\\x7F]') THEN {asc} ELSE url_encode(c) END), '')")
     enc = f"(CASE WHEN {rx_match(u1, '[^\\x21-\\x7E]|[\"<>\\\\^`{|}]')} THEN {enc} ELSE {u1} END)"
-    return f"(CASE WHEN {rx_match(u1, HIER)} OR NOT {rx_match(u1, SCHEME_RE)} THEN {enc} END)"
+    after = f"list_transform(string_split({enc}, '%')[2:], lambda p: CASE WHEN regexp_matches(p, '^[0-9a-fA-F]{{2}}') THEN '%' || p ELSE '%25' || p END)"
+    pct = f"(string_split({enc}, '%')[1] || array_to_string({after}, ''))"
+    pct = f"(CASE WHEN contains({enc}, '%') THEN {pct} ELSE {enc} END)"
+    head = rx_extract(pct, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?", 0)
+    rest = f"replace(replace(substring({pct}, length({head}) + 1), '[', '%5B'), ']', '%5D')"
+    out = f"(CASE WHEN {rx_match(u1, '[%]|\\[|\\]')} THEN {head} || {rest} ELSE {enc} END)"
+    return f"(CASE WHEN {rx_match(u1, HIER)} OR NOT {rx_match(u1, SCHEME_RE)} THEN {out} END)"
 
 
 def file_extension(name: str) -> str:

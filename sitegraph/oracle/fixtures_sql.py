@@ -62,7 +62,8 @@ search AS (
    '"knowledgeGraph":{"title":"t', CAST(doc_id AS VARCHAR), '","type":"', source, '"},',
    '"organic":[{"position":1,"title":"a","link":"https://a.example.org/', CAST(doc_id AS VARCHAR), '","snippet":"s","sitelinks":[{"title":"x","link":"https://a.example.org/x"}]},',
    '{"position":2,"title":"b","link":"https://b.example.org/', CAST(doc_id % 9 AS VARCHAR), '","snippet":"s","rating":4.5,"ratingCount":3}],',
-   '"peopleAlsoAsk":[{"question":"q","snippet":"s","link":"https://c.example.org/","title":"c"}],"images":[]}') AS body
+   '"peopleAlsoAsk":[{"question":"q","snippet":"s","link":"https://c.example.org/","title":"c"}],"images":[{"imageUrl":"https://img.example.org/',
+   CAST(doc_id AS VARCHAR), '.png","link":"https://a.example.org/","title":"i"}],"extra":{"kept":[1,', CAST(n_chars AS VARCHAR), ']}}') AS body
   FROM documents)
 """
 

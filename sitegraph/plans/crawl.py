@@ -62,19 +62,19 @@ def page_graph(store: DataFrame, opts: CrawlOptions) -> DataFrame:
     ``valid`` means the stored fetch has status 200 (no status column: all
     valid); ``children`` are the cleaned links a crawl follows from the page,
     resolved against the key as the page's base URI.  When two stored pages
-    share a key the smaller page_id is used.
+    share a key a valid one is used before others, then the smaller page_id.
     """
     key = U.clean_url(F.col("url"))
     status = F.col("status") if "status" in store.columns else F.lit(200)
     df = store.select("page_id", key.alias("key"), (status == 200).alias("valid"),
                       H.clean_html(F.col("html")).alias("_c")).where(F.col("key").isNotNull())
     kinds = ["internal"] if opts.restrict else ["internal", "external", "iframe"]
-    links = L.link_array(F.col("key"), F.col("_c"), kinds, opts.url_patterns, opts.url_logic)
+    links = L.page_link_array(F.col("key"), F.col("_c"), kinds, opts.url_patterns, opts.url_logic)
     follow = L.crawl_links(links, opts.restrict)
     children = F.array_distinct(F.filter(F.transform(follow, U.clean_url), lambda x: x.isNotNull()))
     df = df.select("page_id", "key", "valid", H.title_of(F.col("_c")).alias("title"),
                    children.alias("children"))
-    best = F.min(F.struct("page_id", "valid", "title", "children")).alias("p")
+    best = F.min(F.struct((~F.col("valid")).alias("_bad"), "page_id", "valid", "title", "children")).alias("p")
     return df.groupBy("key").agg(best).select("key", "p.page_id", "p.valid", "p.title", "p.children")
 
 
@@ -237,4 +237,4 @@ def get_sitemap(store: DataFrame, roots: DataFrame, opts: CrawlOptions,
     URL) and ``summary`` (url, count, depth per root)."""
     from sitegraph.plans import sitemap as SM
     m = site_map_nodes(crawl(store, roots, opts, robots), opts)
-    return {"entries": SM.sitemap_entries(m), "summary": SM.sitemap_summary(m, opts.max_depth)}
+    return {"entries": SM.sitemap_entries(m), "summary": SM.sitemap_summary(m, opts.max_depth, roots)}

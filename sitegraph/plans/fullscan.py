@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sitegraph.functions import html as H
 from sitegraph.operators import assets as A
 from sitegraph.operators import content as C
+from sitegraph.operators import links as L
 from sitegraph.operators import meta as M
 
 
@@ -22,23 +23,23 @@ def full_scan_records(pages_df: DataFrame, assets_df: DataFrame | None = None, *
                       with_documents: bool = False, with_meta: bool = False, max_images: int = 0,
                       max_documents: int = 0, run_ts: str = "00000000000000000") -> DataFrame:
     """``page_id, url, title, imageFiles, documentFiles, metaTags, content``."""
-    rec = C.page_content(pages_df, fmt, selectors)
-    extra = pages_df.select("page_id", H.clean_html(F.col("html")).alias("_c"), "url")
-    cols = [F.col("page_id")]
+    out = C.with_content(pages_df.select("page_id", "url", "html"), fmt, selectors)
+    clean = H.clean_html(F.col("html"))
+    cols = ["page_id", "url", "title", "content"]
     if with_meta:
-        cols.append(M.meta_array(F.col("_c")).alias("metaTags"))
-    extra = extra.select(*cols, "url", "_c")
+        out = out.withColumn("metaTags", M.meta_array(clean))
+        cols.append("metaTags")
     if with_images:
-        from sitegraph.operators import links as L
-        imgs = L.link_array(F.col("url"), F.col("_c"), ["images"])
-        recs = F.filter(F.transform(imgs, lambda s: A.image_record(s["link"], run_ts, A.IMAGE_FOLDER)),
+        out = L.with_links(out, ["images"], col="_imgs")
+        recs = F.filter(F.transform("_imgs", lambda s: A.image_record(s["link"], run_ts, A.IMAGE_FOLDER)),
                         lambda r: r["ok"])
         if max_images > 0:
             recs = F.slice(recs, 1, max_images)
-        extra = extra.withColumn("imageFiles", F.transform(recs, lambda r: F.struct(
+        out = out.withColumn("imageFiles", F.transform(recs, lambda r: F.struct(
             r["image_url"].alias("url"), r["relative_path"].alias("relativePath"),
             r["file_name"].alias("fileName"), r["mime_type"].alias("mimeType"))))
-    out = rec.join(extra.drop("url", "_c"), "page_id")
+        cols.append("imageFiles")
+    out = out.select(*cols)
     if with_documents and assets_df is not None:
         docs = A.document_manifest(pages_df, assets_df, max_documents, A.DOCUMENT_FOLDER)
         per = docs.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(

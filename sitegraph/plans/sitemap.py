@@ -36,14 +36,21 @@ def sitemap_entries(map_nodes: DataFrame) -> DataFrame:
         url_fragment(F.col("url"), U.priority(F.col("depth"))).alias("xml"))
 
 
-def sitemap_summary(map_nodes: DataFrame, max_depth: int) -> DataFrame:
+def sitemap_summary(map_nodes: DataFrame, max_depth: int, roots: DataFrame | None = None) -> DataFrame:
     """Response attributes of get-sitemap: url, entry count, requested depth,
-    deepest level reached."""
-    return (map_nodes.groupBy("root_url")
-            .agg(F.count("*").alias("url_count"), F.max("depth").cast("int").alias("reached_depth"))
-            .withColumn("max_depth", F.lit(int(max_depth)))
-            .select("root_url", F.col("url_count").cast("bigint").alias("url_count"),
-                    "max_depth", "reached_depth"))
+    deepest level reached, status.
+
+    With ``roots`` (root_url) every root has a row.  A root without entries
+    gave none because its page failed: at depth 0 that is an empty sitemap
+    (``ok``, count 0), deeper the crawl itself fails (``root_failed``).
+    """
+    s = map_nodes.groupBy("root_url").agg(F.count("*").alias("url_count"), F.max("depth").cast("int").alias("reached_depth"))
+    if roots is not None:
+        s = roots.select("root_url").distinct().join(s, "root_url", "left")
+    failed = F.col("url_count").isNull() & F.lit(int(max_depth) > 0)
+    return s.select("root_url", F.coalesce("url_count", F.lit(0)).cast("bigint").alias("url_count"),
+                    F.lit(int(max_depth)).alias("max_depth"), "reached_depth",
+                    F.when(failed, F.lit("root_failed")).otherwise(F.lit("ok")).alias("status"))
 
 
 def site_children(nodes: DataFrame) -> DataFrame:
@@ -55,8 +62,13 @@ def site_children(nodes: DataFrame) -> DataFrame:
                     (F.row_number().over(w) - 1).cast("bigint").alias("ord")))
 
 
+def sitemap_folder(root_url):
+    """Folder name of a root's sitemap: readable, and told apart from like names by a hash of the root URL."""
+    return F.concat(F.regexp_replace(root_url, "[^A-Za-z0-9.-]", "_"), F.lit("-"), F.substring(F.sha2(root_url, 256), 1, 12))
+
+
 def write_sitemaps(entries: DataFrame, path: str) -> None:
-    """One XML document per root under ``path/root=<escaped root>/``.
+    """One XML document per root under ``path/root=<folder>/``.
 
     Lines are ordered by a global sort on (root, sort_key): range
     partitioning spreads a large site over many tasks; each task writes its
@@ -68,22 +80,40 @@ def write_sitemaps(entries: DataFrame, path: str) -> None:
         "root_url", F.lit("\uffff").alias("sort_key"), F.lit(P.SITEMAP_FOOTER).alias("xml"))
     body = entries.select("root_url", "sort_key", F.regexp_replace("xml", "\n$", "").alias("xml"))
     allr = head.unionByName(body).unionByName(foot)
-    (allr.withColumn("root", F.regexp_replace("root_url", "[^A-Za-z0-9.-]", "_"))
+    (allr.withColumn("root", sitemap_folder(F.col("root_url")))
      .repartitionByRange("root", "sort_key").sortWithinPartitions("root", "sort_key")
      .select("root", "xml").write.mode("overwrite").partitionBy("root").text(path))
 
 
-def sitemap_document(entries: DataFrame) -> DataFrame:
-    """Whole XML document per root as one string (``root_url, xml, count``).
+def tree_fragments(nodes: DataFrame, file_name_col: str | None = "file_name") -> DataFrame:
+    """The nested crawl tree as one JSON fragment per node: ``root_url, sort_key, json``.
 
-    One row per root by definition of the format; the sitemap protocol caps a
-    file at 50,000 URLs.  For unbounded sites use ``write_sitemaps``."""
-    agg = entries.groupBy("root_url").agg(
-        F.array_sort(F.collect_list(F.struct("sort_key", "xml"))).alias("e"),
-        F.count("*").alias("url_count"))
-    xml = F.concat(F.lit(P.SITEMAP_HEADER), F.array_join(F.transform("e", lambda s: s["xml"]), ""),
-                   F.lit(P.SITEMAP_FOOTER))
-    return agg.select("root_url", xml.alias("xml"), F.col("url_count").cast("bigint").alias("url_count"))
+    In order of (root_url, sort_key) the fragments of a root spell its tree
+    ``{url, fileName, children}``: a fragment opens its node, and closes what
+    ended before it: a node's ``open`` children list ends with the last of its
+    descendants, which is known from the depths of the node and of the next
+    one.  No site is gathered in one task: the next depth comes from the slice
+    of the sort that holds the row (``plans.rank``), as does a first child.
+    """
+    from sitegraph.plans.rank import split_row_number
+    fn = F.col(file_name_col) if file_name_col and file_name_col in nodes.columns else F.lit(None)
+    n = nodes.select("root_url", sort_key().alias("sort_key"), "depth", "url", fn.cast("string").alias("file_name"))
+    r = split_row_number(n, ["root_url"], ["sort_key"], "i")
+    after = r.select("root_url", (F.col("i") - 1).alias("i"), F.col("depth").alias("_next"))
+    r = r.join(after, ["root_url", "i"], "left")
+    core = F.to_json(F.struct(F.col("url").alias("url"), F.nullif(F.col("file_name"), F.lit("")).alias("fileName")))
+    ups = F.col("depth") - F.coalesce(F.col("_next"), F.lit(0))
+    ends = F.when(F.col("_next").isNull(), F.concat(F.repeat(F.lit("}]"), F.col("depth")), F.lit("}"))) \
+        .when(F.col("_next") > F.col("depth"), F.lit(',"children":[')) \
+        .otherwise(F.concat(F.repeat(F.lit("}]"), ups.cast("int")), F.lit("},")))
+    return r.select("root_url", "sort_key", F.concat(F.regexp_replace(core, "}$", ""), ends).alias("json"))
+
+
+def write_site_trees(nodes: DataFrame, path: str, file_name_col: str | None = "file_name") -> None:
+    """One JSON document per root under ``path/root=<folder>/``, its fragments in order, one a line."""
+    (tree_fragments(nodes, file_name_col).withColumn("root", sitemap_folder(F.col("root_url")))
+     .repartitionByRange("root", "sort_key").sortWithinPartitions("root", "sort_key")
+     .select("root", "json").write.mode("overwrite").partitionBy("root").text(path))
 
 
 def site_tree_json(nodes: DataFrame, file_name_col: str | None = "file_name") -> DataFrame:

@@ -334,7 +334,8 @@ def _crawl_sql(restrict=False, depth=CRAWL_DEPTH, robots=False) -> str:
     ctes = [FX.PAGES_PLUS, pstat] + ([FX.ROBOTS, _robots_rules_sql()] if robots else [])
     rb_join = "JOIN ra ON ra.url = w.url AND ra.allowed" if robots else ""
     return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + f""",
-gk AS (SELECT {D.clean_url('url')} AS key, min(page_id) AS page_id FROM pstat GROUP BY 1),
+gk AS (SELECT {D.clean_url('url')} AS key,
+              arg_min(page_id, (CASE WHEN status = 200 THEN 0 ELSE 1 END, page_id)) AS page_id FROM pstat GROUP BY 1),
 g AS (SELECT gk.key, gk.page_id, p.status = 200 AS valid, p.html FROM gk JOIN pstat p ON p.page_id = gk.page_id
       WHERE gk.key IS NOT NULL),
 gsrc AS (SELECT page_id, key AS url, html FROM g),
@@ -478,12 +479,14 @@ def q_sitemap_xml(spark, sf):
 
 
 @register("sitemap_summary", _crawl_sql(robots=True) + f"""
-SELECT root_url, count(*)::BIGINT AS url_count, {CRAWL_DEPTH} AS max_depth, max(depth)::INTEGER AS reached_depth
-FROM mn GROUP BY root_url""")
+SELECT r.root_url, coalesce(n, 0)::BIGINT AS url_count, {CRAWL_DEPTH} AS max_depth, reached::INTEGER AS reached_depth,
+       CASE WHEN n IS NULL THEN 'root_failed' ELSE 'ok' END AS status
+FROM (SELECT DISTINCT root_url FROM roots) r
+LEFT JOIN (SELECT root_url, count(*) AS n, max(depth) AS reached FROM mn GROUP BY root_url) m ON m.root_url = r.root_url""")
 def q_sitemap_summary(spark, sf):
     from sitegraph.plans import sitemap as SM
     m, opts = _map(spark, sf)
-    return SM.sitemap_summary(m, opts.max_depth)
+    return SM.sitemap_summary(m, opts.max_depth, _crawl_inputs(spark, sf)[2])
 
 
 @register("crawl_robots", _crawl_sql(robots=True) +
@@ -810,6 +813,31 @@ def q_markdown_blocks(spark, sf):
     return MD.markdown(T.document_block_pages(spark, sf))
 
 
+_MIXED_TEXT = "regexp_replace(replace(replace(text, chr(173), ''), chr(8203), ''), '[ \\t\\n\\r\\f' || chr(160) || ']+', ' ', 'g')"
+
+
+@register("markdown_mixed", f"""
+WITH t AS (SELECT conv_id, turn, role, {_MIXED_TEXT} AS line FROM conversations),
+c AS (SELECT conv_id, string_agg('* ' || role || ' ' || chr(10), '' ORDER BY turn) AS items,
+             string_agg(CASE WHEN line = '' THEN '' ELSE '> > ' || line || chr(10) END, '' ORDER BY turn) AS quoted,
+             count(*) AS n FROM t GROUP BY conv_id)
+SELECT conv_id AS page_id, items || chr(10) || '> c' || chr(10) || '> **' || conv_id || '**' || chr(10) || '> ' || chr(10)
+       || quoted || chr(10) || n || ' turns' || chr(10) || chr(10) || '[x](/1)[y](/2)' || chr(10) || chr(10)
+       || '`' || conv_id || '`' || chr(128512) || chr(10003) || chr(10) || chr(10) AS markdown
+FROM c""")
+def q_markdown_mixed(spark, sf):
+    """Indented and unclosed lists, nested quotes, a table below the top level, stray and missing end tags."""
+    from sitegraph.operators import markdown as MD
+    return MD.markdown(T.conversation_mixed_pages(spark, sf))
+
+
+@register("content_text_li", """
+SELECT conv_id AS page_id, string_agg(role, ' ' ORDER BY turn) AS content FROM conversations GROUP BY conv_id""")
+def q_content_text_li(spark, sf):
+    from sitegraph.operators import content as C
+    return C.selected_text(T.conversation_mixed_pages(spark, sf), ["li"])
+
+
 # ---------------------------------------------------------------- assets
 def _img_sql(link: str) -> dict:
     """SQL pieces of an image record for link expression ``link``."""
@@ -953,6 +981,13 @@ def q_search_images(spark, sf):
     return SR.images(T.search_responses(spark, sf))
 
 
+@register("search_raw", with_ctes(FX.SEARCH) + """
+SELECT query_id, json_extract_string(body, '$.searchParameters.q') AS query, 'ok' AS status, body FROM search""")
+def q_search_raw(spark, sf):
+    from sitegraph.operators import search as SR
+    return SR.raw(T.search_responses(spark, sf))
+
+
 @register("search_summary", with_ctes(FX.SEARCH) + """
 SELECT query_id, json_extract_string(body, '$.searchParameters.q') AS query, 'ok' AS status,
        CAST(json_extract(body, '$.credits') AS INTEGER) AS credits,
@@ -1073,7 +1108,14 @@ def _landing(spark, df, name):
           f"SELECT page_id, url, {D.title_of('c')} AS title, {D.text_of('c')} AS content FROM ptext")
 def q_stream_content(spark, sf):
     from sitegraph.streaming import stream as ST
-    return ST.page_content_stream(spark, _landing(spark, T.pages(spark, sf), "content"))
+    return ST.page_content_stream(spark, _landing(spark, T.pages(spark, sf), "content")).drop("status")
+
+
+@register("stream_markdown", "WITH " + _markdown_sql(_tokens_sql("pages").strip()) + """
+SELECT p.page_id, p.url, coalesce(m.markdown, '') AS content FROM pages p LEFT JOIN mdout m ON m.page_id = p.page_id""")
+def q_stream_markdown(spark, sf):
+    from sitegraph.streaming import stream as ST
+    return ST.page_content_stream(spark, _landing(spark, T.pages(spark, sf), "markdown"), fmt="markdown").select("page_id", "url", "content")
 
 
 @register("stream_dedup", f"SELECT DISTINCT {D.clean_url('url')} AS key FROM pages WHERE {D.clean_url('url')} IS NOT NULL")

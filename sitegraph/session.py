@@ -42,16 +42,18 @@ def get_spark(master: str | None = None, app: str = "sitegraph",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset.
+    """Return the shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` is configured to a shared file
-    system and is used as is.  A local temporary folder is only chosen when
-    the session has none (local tests).
+    On a cluster ``spark.checkpoint.dir`` names a folder on a shared file
+    system and is used as is; without it this raises, as executors would write
+    to disks of their own.  Only a local master gets a temporary folder.
     """
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="sitegraph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:

@@ -154,7 +154,9 @@ def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id") % 9).cast("string"),
         F.lit('","snippet":"s","rating":4.5,"ratingCount":3}],'),
         F.lit('"peopleAlsoAsk":[{"question":"q","snippet":"s","link":"https://c.example.org/","title":"c"}],'
-              '"images":[]}'))
+              '"images":[{"imageUrl":"https://img.example.org/'), i,
+        F.lit('.png","link":"https://a.example.org/","title":"i"}],"extra":{"kept":[1,'),
+        F.col("n_chars").cast("string"), F.lit("]}}"))
     return d.select(F.col("doc_id").alias("query_id"), body.alias("body"))
 
 
@@ -190,6 +192,22 @@ def conversation_table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                               "</table>")
 
 
+def conversation_mixed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per conversation with what page authors leave out: an indented list of roles without
+    li end tags, a quote in a quote, a table below the top level without cell end tags, a stray end
+    tag, an a that the next a ends, padded inline code, references outside the short table."""
+    c = read_table(spark, sf_dir, "conversations")
+    per = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    cid = F.col("conv_id").cast("string")
+    items = F.array_join(F.transform("t", lambda x: F.concat(F.lit(" <li>"), x["role"], F.lit("\n"))), "")
+    quote = F.array_join(F.transform("t", lambda x: F.concat(F.lit("<p>"), _esc(x["text"]), F.lit("</p>"))), "")
+    html = F.concat(F.lit("<html><body>\n<ul>\n"), items, F.lit("</ul>\n<blockquote>c <b>"), cid, F.lit("</b> <blockquote>"), quote,
+                    F.lit("</blockquote></blockquote><div><table><tr><td>"), F.size("t").cast("string"),
+                    F.lit('<td>turns</table></div></b><p><a href="/1">x<a href="/2">y</a></p><p><code> '), cid,
+                    F.lit(" </code>&#128512;&check;</p></body></html>"))
+    return per.select(F.col("conv_id").alias("page_id"), html.alias("html"))
+
+
 def document_block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per document: each line as a paragraph in a blockquote, then
     the whole text as a code block tagged with the document language."""

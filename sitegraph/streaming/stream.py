@@ -1,15 +1,15 @@
 """Structured Streaming: page records, de-duplication and the crawl as
 stream jobs over landed page files.
 
-* ``page_content_stream``: landed pages -> ``{url, title, content}`` (TEXT),
-  a stateless stream (the reference's page-by-page iterator).
-* ``dedup_stream``: crawl keys seen once (state keyed by the key; bounded
-  with ``dropDuplicatesWithinWatermark`` when the store has ``fetched_at``).
+* ``page_content_stream``: landed pages -> ``{url, title, content}`` in any
+  output format, a stateless stream (the reference's page-by-page iterator).
+* ``dedup_stream``: crawl keys seen once (state keyed by the key).
 * ``crawl_stream``: ``foreachBatch`` keeps a landed-page table; each batch
   re-derives the crawl from everything landed so far and replaces the node
   table, so the result after the last batch equals the batch crawl (a page
   may land before the link to it is known).  The batch id makes the write
-  idempotent, so a retried batch after an executor loss gives the same rows.
+  idempotent, and every batch writes a folder of its own, so a retried batch
+  after a loss gives the same rows and a crash leaves the last result whole.
 
 Every job checkpoints under the session's shared ``spark.checkpoint.dir``.
 """
@@ -22,7 +22,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegraph.functions import html as H
 from sitegraph.functions import urls as U
 from sitegraph.session import checkpoint_dir
 
@@ -41,9 +40,12 @@ def read_page_stream(spark: SparkSession, path: str, schema: str = PAGE_SCHEMA,
     return r.parquet(path)
 
 
-def page_records(stream: DataFrame) -> DataFrame:
-    clean = H.clean_html(F.col("html"))
-    return stream.select("page_id", "url", H.title_of(clean).alias("title"), H.text_of(clean).alias("content"))
+def page_records(stream: DataFrame, fmt: str = "text", selectors: list[str] | None = None) -> DataFrame:
+    """``page_id, url, title, content, status`` in TEXT, HTML or MARKDOWN: ``bad_page`` where there is no markup."""
+    from sitegraph.operators import content as C
+    out = C.with_content(stream.select("page_id", "url", "html"), fmt, selectors)
+    status = F.when(F.coalesce(F.trim("html"), F.lit("")) == "", F.lit("bad_page")).otherwise(F.lit("ok"))
+    return out.select("page_id", "url", "title", "content", status.alias("status"))
 
 
 def land_pages(pages_df: DataFrame, path: str, files: int = 5) -> str:
@@ -59,10 +61,11 @@ def run_available(stream_df: DataFrame, out_path: str, ckpt: str, fmt: str = "pa
     q.awaitTermination()
 
 
-def page_content_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 2) -> DataFrame:
+def page_content_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 2, fmt: str = "text",
+                        selectors: list[str] | None = None) -> DataFrame:
     """Run the page-record stream to completion; return its output table."""
     out, ck = _scratch(spark, "stream-content"), _scratch(spark, "ckpt-content")
-    run_available(page_records(read_page_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)),
+    run_available(page_records(read_page_stream(spark, landing, max_files_per_trigger=max_files_per_trigger), fmt, selectors),
                   out, ck)
     return spark.read.parquet(out)
 
@@ -83,6 +86,7 @@ def crawl_stream(spark: SparkSession, landing: str, roots: DataFrame, opts, robo
     base = _scratch(spark, "stream-crawl")
     landed, nodes_root = os.path.join(base, "landed"), os.path.join(base, "nodes")
     roots = C._save(roots.select("root_url"))
+    last: list[int] = []
 
     def step(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch id: a retried batch overwrites its own files
@@ -91,13 +95,14 @@ def crawl_stream(spark: SparkSession, landing: str, roots: DataFrame, opts, robo
         if status_fn is not None:
             store = status_fn(store)
         nodes = C.crawl(store, roots, opts, robots)
-        nodes.write.mode("overwrite").parquet(os.path.join(nodes_root, "current"))
+        nodes.write.mode("overwrite").parquet(os.path.join(nodes_root, f"batch={batch_id}"))
+        last.append(batch_id)
 
     q = (read_page_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)
          .writeStream.foreachBatch(step).option("checkpointLocation", os.path.join(base, "ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(nodes_root, "current"))
+    return spark.read.parquet(os.path.join(nodes_root, f"batch={max(last)}"))
 
 
 def crawl_stream_records(spark: SparkSession, landing: str, roots: DataFrame, opts,

@@ -233,5 +233,5 @@ def near_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     keep = stage(first.select("r.k1", "r.k2").distinct(), "kept")
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
     own = docs.columns
-    out = docs.withColumns({"_k1": k1, "_k2": k2}).join(keep.toDF("_k1", "_k2"), ["_k1", "_k2"])
-    return out.dropDuplicates(["_k1", "_k2"]).select(*own)
+    out = docs.withColumns({"__k1": k1, "__k2": k2}).join(keep.toDF("__k1", "__k2"), ["__k1", "__k2"])
+    return out.dropDuplicates(["__k1", "__k2"]).select(*own)

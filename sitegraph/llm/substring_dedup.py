@@ -237,18 +237,19 @@ def substring_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, shard:
     of their own, so they repeat each other.  Columns of the added names are
     replaced.  A document under ``length`` bytes loses nothing.
     """
-    d = docs.drop("n_bytes", "n_removed", "n_spans", "kept", "k1", "k2", "cuts")
+    d = docs.drop("n_bytes", "n_removed", "n_spans", "kept")
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
-    d = d.withColumns({"k1": k1, "k2": k2})
-    per = stage(repeated_windows(d, length, gram, shard).distinct().groupBy("k1", "k2").agg(
+    d = d.withColumns({"__k1": k1, "__k2": k2})
+    keyed = d.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "text")
+    per = stage(repeated_windows(keyed, length, gram, shard).distinct().groupBy("k1", "k2").agg(
         F.collect_list(F.struct("first", "last")).alias("cuts")), "repeats")
-    asked = d.withColumn("may", _may(d, Bloom(per, "k1"))("k1"))
+    asked = d.withColumn("__may", _may(d, Bloom(per, "k1"))("__k1"))
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     zero = F.lit(0).cast("bigint")
-    same = asked.where("not may").drop("may").withColumns({
+    same = asked.where("not __may").drop("__may").withColumns({
         "n_bytes": F.octet_length(whole).cast("bigint"), "n_removed": zero, "n_spans": zero, "kept": whole})
-    joined = asked.where("may").drop("may").join(per, ["k1", "k2"], "left")
-    joined = joined.select(*d.columns, "cuts")
+    joined = asked.where("__may").drop("__may").join(per.toDF("__k1", "__k2", "__cuts"), ["__k1", "__k2"], "left")
+    joined = joined.select(*d.columns, "__cuts")
     text = d.columns.index("text")
     schema = T.StructType([*d.schema.fields, *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
                            T.StructField("kept", T.BinaryType())])
@@ -270,4 +271,4 @@ def substring_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, shard:
                                              schema.fieldNames())
 
     d_columns = d.columns
-    return same.select(*schema.fieldNames()).union(joined.mapInArrow(remove, schema)).drop("k1", "k2")
+    return same.select(*schema.fieldNames()).union(joined.mapInArrow(remove, schema)).drop("__k1", "__k2")

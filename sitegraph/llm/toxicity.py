@@ -7,7 +7,7 @@ machine's score is
     w0 + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j
 
 so that terms that are harmless alone can add up by pairs.  x_i falls with the
-term's share of the sample, so words that all texts have say little.
+term's share of the sample, so words that all texts have say less.
 
 Fitting takes at most ``SAMPLE`` labelled rows, those of the smallest id hash,
 so the sample is bounded, the same on every run and spread over the table; it
@@ -34,6 +34,8 @@ BITS = 20
 SAMPLE = 12_000
 #: Terms of a model: those of the sample that tell the labels apart best.
 TERMS = 2000
+#: Weight of a term that all texts have; one that no other text has weighs 1.
+FLOOR = 0.3
 #: Words whose term numbers a worker keeps.
 CACHE = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -90,7 +92,7 @@ class Model:
 
 
 def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int = 80, batch: int = 256,
-        rate: float = 0.2, l2: float = 1e-5, seed: int = 7) -> Model:
+        rate: float = 0.1, l2: float = 1e-5, seed: int = 7) -> Model:
     """Logistic loss, mini-batches with AdaGrad.  With labels of one kind only, or none, the prior decides."""
     n = len(texts)
     zeros = np.zeros(0, np.int32)
@@ -99,15 +101,16 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: i
     share = labels.mean() if n else 0.0
     # how far the label's count among a term's texts is from chance, in standard deviations (5 texts more at chance)
     apart = np.abs(both - share * df) / np.sqrt(share * (1 - share) * (df + 5) + 1e-9)
-    chosen = np.sort(np.argsort(-apart, kind="stable")[:TERMS])
-    chosen = chosen[apart[chosen] > 2]
+    # terms that tell the labels apart first, then common ones, which may count in pairs only
+    order = np.lexsort((-df, -np.where(apart > 2, apart, 0)))[:TERMS]
+    chosen = np.sort(order[df[order] > 4])
     slot = np.full(1 << BITS, -1, np.int32)
     slot[chosen] = np.arange(len(chosen))
     rng = np.random.default_rng(seed)
     positive = float(labels.sum())
     w0 = math.log((positive + 0.5) / (n - positive + 0.5)) if n else 0.0
     m = Model(slot, w0, np.zeros(len(chosen)), rng.normal(0, 0.02, (len(chosen), factors)),
-              np.log((n + 1) / (df[chosen] + 0.5)) / math.log(n + 2))
+              FLOOR + (1 - FLOOR) * np.log((n + 1) / (df[chosen] + 0.5)) / math.log(n + 2))
     if not n or positive in (0, n) or not len(chosen):
         return m
     gw, gv, g0 = np.full(m.w.shape, 1e-2), np.full(m.v.shape, 1e-2), 1e-2

@@ -83,6 +83,49 @@ def image_manifest(pages_df: DataFrame, max_images: int = 0, run_ts: str = "0000
                      "r.relative_path", "r.file_name", "r.mime_type", "r.n_bytes", "r.content")
 
 
+def asset_results(pages_df: DataFrame, assets_df: DataFrame, kind: str, run_ts: str = "00000000000000000",
+                  relative_path: str | None = None) -> DataFrame:
+    """What fetching every linked asset gives: ``page_id, url, pos, asset_url, relative_path, file_name,
+    mime_type, n_bytes, content, status`` with status ``ok`` or ``asset_failed``.
+
+    ``kind`` is ``images`` or ``documents``; ``assets_df`` holds the stored
+    responses (``url, status, disposition, body``).  Data URLs carry their own
+    bytes.  A response that is missing, not 200, without a body or without a
+    decodable name is a failure: its row has no name and no bytes.
+    """
+    links = L.page_links(pages_df, [kind]).select("page_id", "url", "pos", F.col("link").alias("asset_url"))
+    a = assets_df.select(F.col("url").alias("asset_url"), F.col("status").alias("_st"),
+                         F.col("disposition").alias("_disp"), F.col("body").cast("binary").alias("_body"))
+    df = links.join(a, "asset_url", "left")
+    u = F.col("asset_url")
+    fetched = F.coalesce((F.col("_st") == 200) & F.col("_body").isNotNull(), F.lit(False))
+    if kind == "images":
+        df = df.withColumn("_r", image_record(u, run_ts, relative_path))
+        is_data = u.startswith("data:image/")
+        name, mime = F.col("_r.file_name"), F.col("_r.mime_type")
+        ok = F.when(is_data, F.col("_r.ok") & F.col("_r.content").isNotNull()).otherwise(fetched)
+        body = F.when(is_data, F.col("_r.content")).otherwise(F.col("_body"))
+    else:
+        name = document_file_name(u, F.col("_disp"))
+        mime, ok, body = U.mime_type(name), fetched & name.isNotNull(), F.col("_body")
+    ok = F.coalesce(ok, F.lit(False))
+    return df.select("page_id", "url", F.col("pos").cast("bigint").alias("pos"), "asset_url",
+                     F.lit(relative_path).cast("string").alias("relative_path"), F.when(ok, name).alias("file_name"),
+                     F.when(ok, mime).alias("mime_type"), F.when(ok, F.octet_length(body)).cast("bigint").alias("n_bytes"),
+                     F.when(ok, body).alias("content"), F.when(ok, F.lit("ok")).otherwise(F.lit("asset_failed")).alias("status"))
+
+
+def asset_downloads(pages_df: DataFrame, assets_df: DataFrame, kind: str, max_n: int = 0, run_ts: str = "00000000000000000",
+                    relative_path: str | None = None) -> DataFrame:
+    """The recorded assets of each page with their bytes: ``asset_results`` that are ok, the first ``max_n``
+    of a page if that is over 0.  Failures are not recorded and use up no place of the limit."""
+    ok = asset_results(pages_df, assets_df, kind, run_ts, relative_path).where("status = 'ok'").drop("status")
+    if max_n and max_n > 0:  # a page's own links
+        w = Window.partitionBy("page_id").orderBy("pos")
+        ok = ok.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= int(max_n)).drop("_n")
+    return ok
+
+
 def document_file_name(url: Column, disposition: Column) -> Column:
     """Content-Disposition ``filename=`` (quotes removed) or the last path
     segment without query; URL-decoded (NULL when not decodable)."""

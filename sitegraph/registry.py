@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitegraph.functions import html as H
@@ -460,6 +461,26 @@ def _map(spark, sf):
     return C.site_map_nodes(nodes, opts), opts
 
 
+@register("tree_fragments", _crawl_sql() + """,
+up(root_url, url, depth, parent_url, path) AS (
+  SELECT root_url, url, depth, parent_url, url FROM cn WHERE depth = 0
+  UNION ALL
+  SELECT c.root_url, c.url, c.depth, c.parent_url, u.path || chr(1) || c.url FROM up u
+  JOIN cn c ON c.root_url = u.root_url AND c.parent_url = u.url AND c.depth = u.depth + 1)
+SELECT root_url, count(*)::BIGINT AS n, sum(depth)::BIGINT AS depths FROM up GROUP BY root_url""")
+def q_tree_fragments(spark, sf):
+    """Trees that the fragments spell, read back: nodes and their depths (by the brackets alone)."""
+    from sitegraph.plans import sitemap as SM
+    nodes, _ = _crawl(spark, sf)
+    f = SM.tree_fragments(nodes)
+    opens = F.col("json").endswith('"children":[').cast("int")
+    ends = (F.length(F.regexp_extract("json", r"[}\]]*,?$", 0)) - F.col("json").endswith(",").cast("int") - 1) / 2
+    step = F.when(opens == 1, F.lit(1)).otherwise(-ends.cast("int"))
+    w = Window.partitionBy("root_url").orderBy("sort_key").rowsBetween(Window.unboundedPreceding, -1)
+    d = f.select("root_url", F.coalesce(F.sum(step).over(w), F.lit(0)).alias("d"))
+    return d.groupBy("root_url").agg(F.count("*").cast("bigint").alias("n"), F.sum("d").cast("bigint").alias("depths"))
+
+
 @register("site_map", _crawl_sql(robots=True) + f"""
 SELECT root_url, url AS loc, depth, {D.priority('depth')} AS priority FROM mn""")
 def q_site_map(spark, sf):
@@ -882,6 +903,41 @@ def q_image_topn(spark, sf):
     return A.image_manifest(T.pages_plus(spark, sf), 1, RUN_TS).drop("content")
 
 
+_IMAGE_BODY = "'image of ' || image_url"
+
+
+def _image_results_sql() -> str:
+    r = _img_sql("link")
+    return with_ctes(FX.PAGES_PLUS) + f"""
+, im AS (SELECT page_id, pos, link AS image_url, {r['file_name']} AS file_name, {r['n_bytes']} AS data_bytes, {r['ok']} AS ok
+         FROM ({_sql_links('pplus', ['images'])}) z),
+res AS (SELECT page_id, pos::BIGINT AS pos, image_url, file_name,
+               CASE WHEN starts_with(image_url, 'data:image/') THEN ok ELSE length(image_url) % 5 NOT IN (1, 2) END AS good,
+               CASE WHEN starts_with(image_url, 'data:image/') THEN data_bytes ELSE strlen({_IMAGE_BODY}) END::BIGINT AS n_bytes,
+               CASE WHEN NOT starts_with(image_url, 'data:image/') THEN sha256({_IMAGE_BODY}) END AS sha FROM im)"""
+
+
+@register("image_results", _image_results_sql() + """
+SELECT page_id, pos, image_url AS asset_url, CASE WHEN good THEN file_name END AS file_name,
+       CASE WHEN good THEN n_bytes END AS n_bytes, CASE WHEN good THEN 'ok' ELSE 'asset_failed' END AS status FROM res""")
+def q_image_results(spark, sf):
+    from sitegraph.operators import assets as A
+    pp = T.pages_plus(spark, sf)
+    return A.asset_results(pp, T.stored_images(pp), "images", RUN_TS).select(
+        "page_id", "pos", "asset_url", "file_name", "n_bytes", "status")
+
+
+@register("image_downloads", _image_results_sql() + """
+SELECT page_id, pos, image_url AS asset_url, file_name, n_bytes, sha AS content_sha256
+FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS n FROM res WHERE good) g WHERE n <= 1""")
+def q_image_downloads(spark, sf):
+    from sitegraph.operators import assets as A
+    pp = T.pages_plus(spark, sf)
+    d = A.asset_downloads(pp, T.stored_images(pp), "images", 1, RUN_TS)
+    sha = F.when(~F.col("asset_url").startswith("data:image/"), F.sha2("content", 256))
+    return d.select("page_id", "pos", "asset_url", "file_name", "n_bytes", sha.alias("content_sha256"))
+
+
 def _doc_name_sql(url: str, disp: str) -> str:
     from_disp = f"replace({D.rx_extract(disp, r'(?s)filename=(.*)$', 1)}, '\"', '')"
     from_url = D.rx_extract(f"split_part({url}, '?', 1)", r"([^/]*)$", 1)
@@ -900,6 +956,18 @@ def q_document_manifest(spark, sf):
     return A.document_manifest(pp, T.stored_assets(pp))
 
 
+@register("document_downloads", with_ctes(FX.PAGES_PLUS, FX.ASSETS) + f"""
+SELECT page_id, pos::BIGINT AS pos, doc_url AS asset_url, file_name, strlen(body)::BIGINT AS n_bytes, sha256(body) AS content_sha256
+FROM (SELECT l.page_id, l.pos, l.link AS doc_url, a.body, {_doc_name_sql('l.link', 'a.disposition')} AS file_name
+      FROM ({_sql_links('pplus', ['documents'])}) l JOIN assets a ON a.url = l.link WHERE a.status = 200) z
+WHERE file_name IS NOT NULL""")
+def q_document_downloads(spark, sf):
+    from sitegraph.operators import assets as A
+    pp = T.pages_plus(spark, sf)
+    d = A.asset_downloads(pp, T.stored_assets(pp), "documents")
+    return d.select("page_id", "pos", "asset_url", "file_name", "n_bytes", F.sha2("content", 256).alias("content_sha256"))
+
+
 @register("single_asset", with_ctes(FX.PAGES_PLUS, FX.ASSETS) + f"""
 , u AS (SELECT DISTINCT link AS url FROM ({_sql_links('pplus')}) z),
 x AS (

@@ -140,6 +140,16 @@ def stored_assets(pages_df: DataFrame) -> DataFrame:
         F.concat(F.lit("body "), n.cast("string")).alias("body"))
 
 
+def stored_images(pages_df: DataFrame) -> DataFrame:
+    """Stored image responses: one per image link of the pages, some of them failed, some without a body."""
+    from sitegraph.operators import links as L
+    u = L.page_links(pages_df, ["images"]).select(F.col("link").alias("url")).distinct()
+    n = F.length("url") % 5
+    return u.select("url", F.when(n == 1, 404).otherwise(200).cast("int").alias("status"),
+                    F.lit(None).cast("string").alias("disposition"),
+                    F.when(n != 2, F.concat(F.lit("image of "), F.col("url"))).alias("body"))
+
+
 def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored web-search responses, one per document: ``query_id, body`` JSON."""
     d = read_table(spark, sf_dir, "documents")

@@ -88,3 +88,24 @@ def test_unclosed_element_ends_with_its_parent(spark):
     df2 = spark.createDataFrame([(1, "http://h.org/", "<body><div><p><span>x<p>y</p></div></body>")],
                                 "page_id long, url string, html string")
     assert C.selected_text(df2, ["span"]).first()["content"] == "x"
+
+
+@pytest.mark.parametrize("tag,name,expected", [
+    ('<a title="see href=bad here" href="/good">', "href", "/good"), ('<img alt="a src=no">', "src", None),
+    ("<a HREF=x/y z>", "href", "x/y"), ("<a href>", "href", ""), ('<a data-href="q">', "href", None),
+    ("<a class='a' href = 'b c' href=d>", "href", "b c"),
+])
+def test_attributes_are_read_in_order(spark, tag, name, expected):
+    assert one(spark, lambda c: H.attr(c, name), tag) == expected
+
+
+def test_references_of_every_plane(spark):
+    assert one(spark, H.decode_entities, "&#128512; &#x1F600; &check; &lbrace; &NotEqualTilde; &#xD800; &amp;lt;") == \
+        "😀 😀 ✓ { ≂̸ &#xD800; &lt;"
+
+
+def test_unclosed_items_are_elements(spark):
+    from sitegraph.operators import content as C
+    df = spark.createDataFrame([(1, "u", "<ul><li>a<li>b</ul>")], "page_id long, url string, html string")
+    assert C.selected_text(df, ["li"]).first()["content"] == "a b"
+    assert C.selector_counts(df, ["li"]).first()["li"] == 2

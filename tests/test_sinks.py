@@ -69,3 +69,58 @@ def test_response_json_shapes(spark, sf):
     for arr in metas:
         for t in arr:
             assert t["content"] and (("name" in t) != ("property" in t))
+
+
+def test_sitemap_folders_and_trees_of_like_roots(spark, tmp_path):
+    rows = [("https://h.org/a/b", "https://h.org/a/b", 0, None, ["https://h.org/a/b"], "f"),
+            ("https://h.org/a_b", "https://h.org/a_b", 0, None, ["https://h.org/a_b"], "g"),
+            ("https://h.org/a_b", "https://h.org/1", 1, "https://h.org/a_b", ["https://h.org/a_b", "https://h.org/1"], ""),
+            ("https://h.org/a_b", "https://h.org/2", 2, "https://h.org/1", ["https://h.org/a_b", "https://h.org/1", "https://h.org/2"], "i"),
+            ("https://h.org/a_b", "https://h.org/3", 1, "https://h.org/a_b", ["https://h.org/a_b", "https://h.org/3"], "j")]
+    nodes = spark.createDataFrame(rows, "root_url string, url string, depth int, parent_url string, path array<string>, file_name string")
+    SM.write_sitemaps(SM.sitemap_entries(nodes), str(tmp_path / "maps"))
+    SM.write_site_trees(nodes, str(tmp_path / "trees"))
+
+    def documents(folder):
+        by = {}
+        for f in sorted(glob.glob(os.path.join(str(tmp_path / folder), "root=*", "part-*"))):
+            by.setdefault(os.path.dirname(f), []).append(open(f, encoding="utf-8").read())
+        return ["".join(x) for x in by.values()]
+    maps = documents("maps")
+    assert len(maps) == 2 and all(m.count("<urlset") == m.count("</urlset>") == 1 for m in maps)
+    trees = sorted((json.loads(t) for t in documents("trees")), key=lambda t: t["url"])
+    assert trees == [{"url": "https://h.org/a/b", "fileName": "f"}, {"url": "https://h.org/a_b", "fileName": "g", "children": [
+        {"url": "https://h.org/1", "children": [{"url": "https://h.org/2", "fileName": "i"}]}, {"url": "https://h.org/3", "fileName": "j"}]}]
+
+
+def test_summary_has_a_row_for_every_root(spark):
+    nodes = spark.createDataFrame([("a", "a", 0, None, ["a"])], "root_url string, url string, depth int, parent_url string, path array<string>")
+    roots = spark.createDataFrame([("a",), ("b",)], "root_url string")
+    got = sorted(tuple(r) for r in SM.sitemap_summary(nodes, 2, roots).collect())
+    assert got == [("a", 1, 2, 0, "ok"), ("b", 0, 2, None, "root_failed")]
+    assert {r.status for r in SM.sitemap_summary(nodes.limit(0), 0, roots).collect()} == {"ok"}
+
+
+def test_shared_folder_is_needed_off_a_local_master():
+    import pytest
+
+    from sitegraph.session import checkpoint_dir
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())

@@ -99,3 +99,26 @@ def test_url_filter(spark):
     assert one(spark, lambda c: U.url_filter(c, [], "include"), "z") is True
     with pytest.raises(ValueError):
         U.url_filter(F.lit("x"), ["a"], "maybe")
+
+
+def test_keys_of_urls_that_need_encoding(spark):
+    for url, key in [("http://h/a[1]", "http://h/a%5B1%5D"), ("http://h/100%", "http://h/100%25"), ("http://h/%41%%", "http://h/%41%25%25"),
+                     ("http://[::1]:8/x", "http://[::1]:8/x")]:
+        assert one(spark, U.clean_url, url) == key
+    assert one(spark, U.encode_component, "a b/c:d~é+") == "a%20b/c:d~%C3%A9%2B"
+
+
+def test_base_href(spark):
+    from sitegraph.operators import links as L
+    html = '<head><base href="https://cdn.org/z/"></head><a href="x">x</a><a href="#f">f</a><a href="https://h.org/q">q</a><img src="i.png">'
+    df = spark.createDataFrame([(1, "https://h.org/a/b", html), (2, "https://h.org/a/b", '<a href="x">')], "page_id long, url string, html string")
+    assert sorted((r.page_id, r.kind, r.link) for r in L.page_links(df).collect()) == [
+        (1, "external", "https://h.org/q"), (1, "images", "https://cdn.org/z/i.png"), (1, "internal", "https://cdn.org/z/x"),
+        (1, "reference", "https://cdn.org/z/#f"), (2, "internal", "https://h.org/a/x")]
+
+
+def test_valid_page_of_a_key_comes_first(spark):
+    from sitegraph.plans import crawl as CR
+    store = spark.createDataFrame([(1, "http://h/a", "", 404), (2, "http://h/a#x", "", 200)], "page_id long, url string, html string, status int")
+    g = CR.page_graph(store, CR.CrawlOptions(max_depth=1)).first()
+    assert (g.page_id, g.valid) == (2, True)

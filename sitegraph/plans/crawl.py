@@ -21,6 +21,7 @@ row-local expressions, so the loop never touches the wide ``html`` column.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -144,17 +145,23 @@ def crawl_nodes(graph: DataFrame, roots: DataFrame, opts: CrawlOptions,
                         status.alias("status"))
 
 
+def graph_table(graph: DataFrame) -> DataFrame:
+    """The page graph as a table bucketed and sorted by key in the warehouse folder: a level's
+    join shuffles the frontier to the buckets and reads the graph where it lies."""
+    spark = graph.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"crawl_graph_{uuid.uuid4().hex[:12]}"
+    graph.repartition(n, "key").write.bucketBy(n, "key").sortBy("key").saveAsTable(name)
+    return spark.table(name)
+
+
 def crawl(store: DataFrame, roots: DataFrame, opts: CrawlOptions,
           robots: DataFrame | None = None) -> DataFrame:
     """Full crawl from a page store (``page_id, url, html[, status]``).
 
     The page graph is materialised once, so the level loop reads only keys
     and out-link arrays, never the HTML."""
-    n = int(store.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # hash partitioned by key and checkpointed: each level's join shuffles
-    # only the (small) frontier, never the graph
-    graph = _save(page_graph(store, opts).repartition(n, "key"))
-    return crawl_nodes(graph, roots, opts, robots)
+    return crawl_nodes(graph_table(page_graph(store, opts)), roots, opts, robots)
 
 
 def site_map_nodes(nodes: DataFrame, opts: CrawlOptions) -> DataFrame:

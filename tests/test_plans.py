@@ -81,3 +81,17 @@ def test_split_row_number_matches_window_on_a_hot_group(spark):
     got = split_row_number(df, ["g"], ["o"], "rn", slices=16)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("bigint"))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_levels_do_not_shuffle_the_graph(spark, sf):
+    """With broadcast off, only the frontier side of a level's join is exchanged."""
+    from sitegraph.plans import crawl as C
+    g = C.graph_table(C.page_graph(T.pages_plus(spark, sf).select("page_id", "url", "html"), C.CrawlOptions(max_depth=1)))
+    level = spark.range(100).select(F.col("id").cast("string").alias("url"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan_of(level.join(g.select("key", "children"), F.col("url") == F.col("key")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p and p.count("Exchange hashpartitioning(") == 1 and "hashpartitioning(key" not in p

@@ -13,8 +13,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def ascii_lower(c: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(c, UPPER, UPPER.lower())
+    """Lower-case A-Z only; ASCII texts take the quicker function, which then does the same."""
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

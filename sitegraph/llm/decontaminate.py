@@ -83,13 +83,13 @@ class PositionalIndex:
         lo = F.greatest(F.lit(0), F.col("pos") - reach)
         p = p.select("term", "k1", "k2", "pos", lo.alias("lo"),
                      F.slice("w", lo + 1, F.col("pos") - lo + 1 + reach).alias("ctx"))
-        return stage(p.distinct(), "postings")
+        return stage(p, "postings")
 
     def phrases(self) -> DataFrame:
         """(k1, k2, start, len, gram) of every occurrence of a window."""
         p = self.postings
         first = p.join(self.grams.select("gram", "terms", "t1", "o1"), F.col("term") == F.col("t1")).select(
-            "k1", "k2", (F.col("pos") - F.col("o1")).alias("start"), "gram", "terms", "lo", "ctx")
+            "k1", "k2", (F.col("pos") - F.col("o1")).alias("start"), "gram", "terms", "lo", "ctx")  # repeated rows meet in the last distinct
         after = p.select("term", "k1", "k2", "pos").join(
             self.grams.select("gram", "t2", "o2"), F.col("term") == F.col("t2")).select(
             "k1", "k2", (F.col("pos") - F.col("o2")).alias("start"), "gram").distinct()
@@ -123,9 +123,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
         .groupBy("k1", "k2").agg(F.sort_array(F.collect_set("item")).alias("items"))
     per = hit.join(found, ["k1", "k2"])
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
-    out = docs.drop("n_words", "hits", "items", "contaminated", "k1", "k2").withColumns({"k1": k1, "k2": k2})
-    out = out.join(per, ["k1", "k2"], "left")
-    return out.drop("k1", "k2").withColumns({
+    out = docs.drop("n_words", "hits", "items", "contaminated").withColumns({"__k1": k1, "__k2": k2})
+    out = out.join(per.toDF("__k1", "__k2", "hits", "items"), ["__k1", "__k2"], "left")
+    return out.drop("__k1", "__k2").withColumns({
         "n_words": F.size(words(F.col("text"))).cast("bigint"),
         "hits": F.coalesce("hits", F.lit(0)).cast("bigint"),
         "items": F.coalesce("items", F.array().cast("array<string>"))}).withColumn("contaminated", F.col("hits") > 0)

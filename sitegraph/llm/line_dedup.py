@@ -52,9 +52,11 @@ def later_lines(docs: DataFrame, window: int = 2) -> DataFrame:
     # fingerprints: one row for each selected position
     places = r.select("k1", "k2", "fp", "pos").distinct()
     often = places.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
-    ext = r.join(often, "fp")  # a position's runs extend it both ways
+    often = stage(often, "line-fingerprints")  # a table on either side of the join: Spark can split a hot line
+    ext = stage(r.join(often, "fp"), "extended-runs")  # a position's runs extend it both ways
     place = F.struct("doc_id", "k1", "k2", "s")
     first = ext.groupBy("r1", "r2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = stage(first.select("r1", "r2", "first"), "first-runs")
     later = ext.join(first, ["r1", "r2"]).where(~place.eqNullSafe(F.col("first")))
     return later.select("k1", "k2", F.explode("at").alias("at")).groupBy("k1", "k2").agg(
         F.collect_set("at").alias("drop"))
@@ -69,12 +71,16 @@ def line_dedup(docs: DataFrame, window: int = 2) -> DataFrame:
     doc_id comes first in the order.  n_chars, where there, follows the text.
     """
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
-    out = docs.drop("k1", "k2", "drop").withColumns({"k1": k1, "k2": k2}).join(
-        later_lines(docs, window), ["k1", "k2"], "left")
+    own = ["__k1", "__k2", "__drop"]  # no column of docs should be named so
+    out = docs.withColumns({"__k1": k1, "__k2": k2}).join(later_lines(docs, window).toDF(*own), own[:2], "left")
     all_lines = F.split(F.col("text"), "\n", -1)
-    kept = F.filter(all_lines, lambda x, i: ~F.array_contains(F.col("drop"), i))
-    text = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(all_lines, lambda x, i: ~F.array_contains(F.col("__drop"), i))
+    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     out = out.withColumns({"n_lines": F.coalesce(F.size(all_lines), F.lit(0)).cast("bigint"),
-                           "n_dropped": F.coalesce(F.when(F.col("drop").isNotNull(), F.size("drop")), F.lit(0)).cast("bigint"),
-                           "text": text}).drop("k1", "k2", "drop")
-    return out.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("n_lines")))
+                           "n_dropped": F.coalesce(F.when(F.col("__drop").isNotNull(), F.size("__drop")), F.lit(0)).cast("bigint"),
+                           "text": text}).drop(*own)
+    out = out.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("n_lines")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+                             .otherwise(F.col("n_chars")))
+    return out

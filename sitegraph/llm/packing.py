@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegraph.llm.common import stage
-from sitegraph.llm.tokens import Encoder, default_path, read_definition
+from sitegraph.llm import tokens
+from sitegraph.llm.tokens import default_path, read_definition
 
 #: A run: ((length, copies), ...) of one sequence, and how many sequences look so.
 Run = tuple[tuple[tuple[int, int], ...], int]
@@ -186,7 +187,7 @@ def pieces(docs: DataFrame, definition: str, end_id: int, capacity: int, with_id
                            *([T.StructField("ids", T.ArrayType(T.LongType()))] if with_ids else [])])
 
     def cut(batches):
-        encoder, task, seen = Encoder(packet.value), TaskContext.get().partitionId(), {}
+        encoder, task, seen = tokens.encoder(packet.value), TaskContext.get().partitionId(), {}
         end = np.array([end_id], np.int64)
         for batch in batches:
             out = {f.name: [] for f in schema.fields}

@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitegraph.llm.common import parallelism, stage
-from sitegraph.llm.tokens import Encoder, default_path, read_definition
+from sitegraph.llm import tokens
+from sitegraph.llm.tokens import default_path, read_definition
 from sitegraph.session import checkpoint_dir
 
 BATCH = 256
@@ -82,6 +83,7 @@ class TokenFile:
             with fs.open_input_file(path) as f:
                 source = pa.BufferReader(f.read_buffer())
         self.batches = list(pa.ipc.open_stream(source))
+        self._runs = [b.column("ids").flatten().to_numpy(zero_copy_only=True) for b in self.batches]
 
     def __len__(self) -> int:
         return sum(map(len, self.batches))
@@ -95,14 +97,10 @@ class TokenFile:
 
     def slice(self, start: int, n: int) -> np.ndarray:
         """Ids start to start + n of the file: a view, or a copy where they cross batches."""
-        parts, at = [], 0
-        for b in self.batches:
-            values = b.column("ids").flatten()
-            lo, hi = max(start, at), min(start + n, at + len(values))
-            if lo < hi:
-                parts.append(values.slice(lo - at, hi - lo).to_numpy(zero_copy_only=True))
-            at += len(values)
-        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        size = len(self._runs[0]) if self._runs else 1  # all batches but the last are full
+        first, last = start // size, (start + max(n, 1) - 1) // size
+        parts = [self._runs[i][max(start - i * size, 0):start + n - i * size] for i in range(first, last + 1)]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 0,
@@ -123,7 +121,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
 
     def write(batches):
         here, root = _place(folder)
-        context, encoder = TaskContext.get(), Encoder(packet.value)
+        context, encoder = TaskContext.get(), tokens.encoder(packet.value)
         name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}"
         end, writer, side, n_docs, lo = np.array([end_id], encoder.dtype), None, None, 0, None
         for batch in batches:

@@ -1,7 +1,8 @@
 """Line dedup: winnowing over line hashes.
 
 The lines of a document that are not blank form its line sequence.  A *run* is
-``window`` consecutive lines of it (a shorter document has none).  Of all
+``window`` consecutive lines of it, or, where ``long_words`` is given, a single
+line of at least so many words (a shorter document has no others).  Of all
 places of a run, the first one by (doc_id, row key, line) stays; every line
 covered by a later place of a run is deleted.  Longer repeats are chains of
 overlapping runs, so a match of any length is deleted whole, and no match of
@@ -26,26 +27,38 @@ from pyspark.sql import functions as F
 from sitegraph.llm.common import row_key, stage
 
 
-def _lines(text: Column) -> Column:
-    """Array of (at, h1, h2) of the lines that are not blank; at counts all lines from 0."""
+def _is_long(line: Column, long_words: int | None) -> Column:
+    if long_words is None:
+        return F.lit(False)
+    # so many words and the gaps between them take 2n - 1 characters: most lines are told by their length
+    return (F.length(line) >= 2 * long_words - 1) & (F.regexp_count(line, F.lit(r"\S+")) >= long_words)
+
+
+def _lines(text: Column, long_words: int | None) -> Column:
+    """Array of (at, h1, h2, long) of the lines that are not blank; at counts all lines from 0."""
     each = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x, i: F.struct(
         i.alias("at"), F.xxhash64(F.trim(x)).alias("h1"), F.xxhash64(F.lit("2"), F.trim(x)).alias("h2"),
-        (F.length(F.trim(x)) == 0).alias("blank")))
+        _is_long(x, long_words).alias("long"), (F.length(F.trim(x)) == 0).alias("blank")))
     return F.filter(each, lambda x: ~x.blank)
 
 
-def later_lines(docs: DataFrame, window: int = 2) -> DataFrame:
+def later_lines(docs: DataFrame, window: int = 2, long_words: int | None = None) -> DataFrame:
     """(k1, k2, drop): per document with any, the line numbers to delete."""
-    d = docs.select("doc_id", *row_key(F.col("doc_id"), F.col("text")), _lines(F.col("text")).alias("ls"))
-    d = d.where(F.size("ls") >= window)
+    d = docs.select("doc_id", *row_key(F.col("doc_id"), F.col("text")), _lines(F.col("text"), long_words).alias("ls"))
+    d = d.where((F.size("ls") >= window) | F.exists("ls", lambda x: x.long))
     # per run: its place, the position selected in it, and its hash
-    runs = F.expr(f"""
-        transform(sequence(0, size(ls) - {window}), s -> named_struct(
+    runs = f"""
+        transform(if(size(ls) < {window}, array(), sequence(0, size(ls) - {window})), s -> named_struct(
             's', s,
             'f', array_min(transform(slice(ls, s + 1, {window}), (x, i) -> named_struct('h', x.h1, 'i', -(s + i)))),
             'r1', xxhash64(transform(slice(ls, s + 1, {window}), x -> x.h1)),
             'r2', xxhash64(transform(slice(ls, s + 1, {window}), x -> x.h2)),
-            'at', transform(slice(ls, s + 1, {window}), x -> x.at)))""")
+            'at', transform(slice(ls, s + 1, {window}), x -> x.at)))"""
+    if long_words is not None:  # a long line is a run of its own
+        runs = f"""concat({runs}, transform(filter(transform(ls, (x, s) -> named_struct('x', x, 's', s)), y -> y.x.long),
+            y -> named_struct('s', y.s, 'f', named_struct('h', y.x.h1, 'i', -y.s), 'r1', xxhash64(array(y.x.h1)),
+                              'r2', xxhash64(array(y.x.h2)), 'at', array(y.x.at))))"""
+    runs = F.expr(runs)
     r = stage(d.select("doc_id", "k1", "k2", F.explode(runs).alias("r")).select(
         "doc_id", "k1", "k2", "r.s", F.col("r.f.h").alias("fp"), (-F.col("r.f.i")).alias("pos"),
         "r.r1", "r.r2", "r.at").distinct(), "line-runs")
@@ -62,9 +75,11 @@ def later_lines(docs: DataFrame, window: int = 2) -> DataFrame:
         F.collect_set("at").alias("drop"))
 
 
-def line_dedup(docs: DataFrame, window: int = 2) -> DataFrame:
+def line_dedup(docs: DataFrame, window: int = 2, long_words: int | None = None) -> DataFrame:
     """``docs`` with text less its repeated lines, n_lines and n_dropped added.
 
+    With ``long_words`` a later place of a line of so many words (parts between
+    white space) goes even if the lines around it are its own.
     Every row stays, also one whose lines all go (its text is then empty).
     Null text stays null with 0 lines.  Blank lines are never deleted.  Rows
     that repeat doc_id and text are one place: they are treated alike.  A null
@@ -72,7 +87,7 @@ def line_dedup(docs: DataFrame, window: int = 2) -> DataFrame:
     """
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
     own = ["__k1", "__k2", "__drop"]  # no column of docs should be named so
-    out = docs.withColumns({"__k1": k1, "__k2": k2}).join(later_lines(docs, window).toDF(*own), own[:2], "left")
+    out = docs.withColumns({"__k1": k1, "__k2": k2}).join(later_lines(docs, window, long_words).toDF(*own), own[:2], "left")
     all_lines = F.split(F.col("text"), "\n", -1)
     kept = F.filter(all_lines, lambda x, i: ~F.array_contains(F.col("__drop"), i))
     text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))

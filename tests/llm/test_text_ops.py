@@ -55,6 +55,18 @@ def test_line_dedup_edges(spark):
     assert line_dedup(docs_of(spark, []), 2).count() == 0
 
 
+def test_line_dedup_single_long_lines(spark):
+    from sitegraph.llm.line_dedup import line_dedup
+    passage = " ".join(f"w{i}" for i in range(50))
+    short = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"own one\n{passage}\nown two"), (2, f"  {passage}"), (3, f"a\n{passage}\nb\n\n{passage} \nc"), (4, f"x\n{short}\ny"),
+            (5, f"z\n{short}"), (6, short), (7, f"p\n{passage}\nq"), (8, f"p\n{passage}\nr"), (9, "x" * 500 + "\n"), (10, "x" * 500), (11, None)]
+    want = {1: rows[0][1], 2: "", 3: "a\nb\n\nc", 4: rows[3][1], 5: rows[4][1], 6: short, 7: "p\nq", 8: "r", 9: rows[8][1], 10: rows[9][1], 11: None}
+    got = line_dedup(docs_of(spark, rows), 2, long_words=50).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert {r.doc_id: r.n_dropped for r in got if r.n_dropped} == {2: 1, 3: 2, 7: 1, 8: 2}
+
+
 # -------------------------------------------------------- decontamination
 def _decontaminate(docs, items, n=10):
     grams = collections.defaultdict(set)

@@ -210,10 +210,12 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
 
 
 def simhash(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, k1, k2, fp, component_id) of every row; k1, k2 name the row by doc_id and text.
+    """(doc_id, k1, k2, fp, root, component_id) of every row; k1, k2 name the row by doc_id and text.
 
     Null and empty texts have the fingerprint zero and link like any other.
-    component_id is the smallest doc_id of the component (null if it has none).
+    root, the smallest fingerprint of the component, names it; component_id is
+    its smallest doc_id, a label only (null if it has none, and not its own if
+    unlike texts repeat one doc_id).
     Repeated rows give repeated rows.  Other columns are ignored.
     """
     fps = stage(fingerprints(docs, shingle), "fingerprints")
@@ -222,14 +224,14 @@ def simhash(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     rooted = nodes.join(tree.toDF("fp", "root"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     rooted = stage(rooted, "rooted")
     low = stage(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "component-ids")
-    label = stage(rooted.join(low, "root").select("fp", "component_id"), "labels")
-    return fps.join(label, "fp").select("doc_id", "k1", "k2", "fp", "component_id")
+    label = stage(rooted.join(low, "root").select("fp", "root", "component_id"), "labels")
+    return fps.join(label, "fp").select("doc_id", "k1", "k2", "fp", "root", "component_id")
 
 
 def near_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each component: the smallest doc_id, then the smallest row key; repeated rows once."""
     s = simhash(docs, shingle, radius)
-    first = s.groupBy("component_id").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("r"))
+    first = s.groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("r"))
     keep = stage(first.select("r.k1", "r.k2").distinct(), "kept")
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
     own = docs.columns

@@ -169,6 +169,15 @@ def test_near_dedup_edges(spark):
     assert near_dedup(docs_of(spark, [])).count() == 0
 
 
+def test_near_dedup_keeps_unlike_texts_of_one_id(spark):
+    from sitegraph.llm.simhash import near_dedup
+    unlike = [" ".join(f"{x}{i}" for i in range(40)) for x in ("red", "green", "blue", "white", "black", "grey")]
+    rows = [(None, t) for t in unlike[:4]] + [(None, unlike[0]), (7, unlike[4]), (7, unlike[5]), (8, unlike[5]), (9, unlike[1])]
+    assert max(collections.Counter(_groups([_simhash(t) for t in unlike], 2)).values()) == 1
+    got = sorted_rows(near_dedup(docs_of(spark, rows)), "doc_id", "text")
+    assert got == sorted([*((None, t) for t in unlike[:4]), (7, unlike[4]), (7, unlike[5])], key=repr)
+
+
 def test_bit_sliced_links():
     from sitegraph.llm.simhash import linked
     rng = np.random.default_rng(0)

@@ -1,7 +1,8 @@
 """Token ids of whole texts with the ``tokenizers`` library, cached by pre-token.
 
-A byte-pair tokenizer normalizes a text, cuts it into pre-tokens by a pattern
-and merges inside each.  Here the pattern of the tokenizer's own definition
+A byte-pair tokenizer splits a text at its added tokens (such as an end of text
+spelled out), normalizes what is between them, cuts it into pre-tokens by a
+pattern and merges inside each.  Here the pattern of the tokenizer's own definition
 cuts, and the library's model merges each distinct pre-token once: ids of
 common words are looked up.  Texts outside Latin-1 pass the library's
 normalizer first; inside it, only case can change.  Definitions of another
@@ -49,7 +50,8 @@ def split_pattern(definition: str) -> str | None:
     steps = pre.get("pretokenizers") or [pre]
     level = [s for s in steps if s.get("type") == "ByteLevel" and not s.get("add_prefix_space")]
     kinds = [n.get("type") for n in (norm or {}).get("normalizers", [norm] if norm else [])]
-    if d["model"].get("type") != "BPE" or not level or not {*kinds} <= {"NFC", "Replace", "Lowercase"}:
+    plain = all(not any(t.get(k) for k in ("normalized", "lstrip", "rstrip", "single_word")) for t in d.get("added_tokens") or [])
+    if d["model"].get("type") != "BPE" or not level or not plain or not {*kinds} <= {"NFC", "Replace", "Lowercase"}:
         return None
     if len(steps) == 1 and level[0].get("use_regex") and not norm:
         return USUAL
@@ -79,13 +81,15 @@ def _words_first(pattern: str) -> str:
 
 
 class Encoder:
-    """``ids(texts)`` gives each text's ids; strings of special tokens are ordinary text."""
+    """``ids(texts)`` gives each text's ids, those that the library gives without adding special tokens.
+
+    An added token that a text spells out has its own id, as there.
+    """
 
     def __init__(self, definition: str, cache: int = CACHE, whole: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._t = Tokenizer.from_str(definition)
-        self._t.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self._t.get_vocab_size() <= 1 << 16 else "<u4")
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._model, self._norm = self._t.model, self._t.normalizer
@@ -95,6 +99,8 @@ class Encoder:
             self._latin = re.compile(_classes(pattern, _LATIN))
             self._any = regex.compile(_classes(pattern, {r"\s": _SPACE}))
             self._lower = "Lowercase" in definition.partition('"pre_tokenizer"')[0]
+            self._added = {t["content"]: array(self._code, [t["id"]]).tobytes() for t in json.loads(definition).get("added_tokens") or []}
+            self._split = re.compile("|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) or r"(?!)")
         self._whole, self._limit, self._kept, self._old = not pattern, cache, {}, {}
 
     def _merge(self, piece: str) -> bytes:
@@ -118,13 +124,23 @@ class Encoder:
             if self._whole:
                 yield np.array(self._t.encode(text or "", add_special_tokens=False).ids, self.dtype)
                 continue
-            pieces = self._pieces(text or "")
-            if len(self._kept) > self._limit:
-                self._old, self._kept = self._kept, {}
-            kept, old = self._kept, self._old
-            for p in set(pieces).difference(kept):
-                kept[p] = old.get(p) or self._merge(p)
-            yield np.frombuffer(b"".join(map(kept.__getitem__, pieces)), self.dtype)
+            text, out, at = text or "", [], 0
+            if any(map(text.__contains__, self._added)):  # nearly no text: the plain test is quicker than the pattern
+                for m in self._split.finditer(text):
+                    out += [self._plain(text[at:m.start()]), self._added[m[0]]]
+                    at = m.end()
+            out.append(self._plain(text[at:] if at else text))
+            yield np.frombuffer(b"".join(out), self.dtype)
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        pieces = self._pieces(text)
+        if len(self._kept) > self._limit:
+            self._old, self._kept = self._kept, {}
+        kept, old = self._kept, self._old
+        for p in set(pieces).difference(kept):
+            kept[p] = old.get(p) or self._merge(p)
+        return b"".join(map(kept.__getitem__, pieces))
 
 
 @functools.lru_cache(maxsize=2)

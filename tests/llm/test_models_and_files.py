@@ -25,6 +25,22 @@ def test_encoder_equals_whole_text(name):
         assert a.tolist() == b.tolist(), repr(text)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_as_the_library_gives_them(name):
+    from tokenizers import Tokenizer
+
+    from sitegraph.llm.tokens import Encoder, default_path, read_definition
+    library = Tokenizer.from_file(default_path(name))  # untouched
+    encoders = [Encoder(read_definition(default_path(name)), whole=w) for w in (False, True)]
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "<|", " ", "  ", "\n", "a", "b", "Word", "'s", "é", "e\u0301", "日", "\u0301"]
+    texts = ["a<|endoftext|>b", "<|endoftext|><|endoftext|>", " <|endoftext|> ", ""] + ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0][1] == {"byte_bpe_50k.json": 50256, "word_bpe_49k.json": 49407}[name]
+    for e in encoders:
+        assert [i.tolist() for i in e.ids(texts)] == want
+
+
 # ---------------------------------------------------------------- packing
 def _bins(runs, capacity):
     held = collections.Counter()

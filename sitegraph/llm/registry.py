@@ -126,3 +126,10 @@ def op5_substring_dedup(spark, sf):
     from sitegraph.llm.substring_dedup import substring_dedup
     out = substring_dedup(table(spark, sf, "documents"), length=200)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op12_conversation_repair")
+def op12_conversation_repair(spark, sf):
+    from sitegraph.llm.conversation import damage, repair_summary
+    rows = table(spark, sf, "conversations")
+    return repair_summary(damage(rows), rows)

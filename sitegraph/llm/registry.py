@@ -133,3 +133,9 @@ def op12_conversation_repair(spark, sf):
     from sitegraph.llm.conversation import damage, repair_summary
     rows = table(spark, sf, "conversations")
     return repair_summary(damage(rows), rows)
+
+
+@_query("op13_whitening")
+def op13_whitening(spark, sf):
+    from sitegraph.llm.whitening import whitened
+    return whitened(table(spark, sf, "embeddings"), components=16)

@@ -139,3 +139,10 @@ def op12_conversation_repair(spark, sf):
 def op13_whitening(spark, sf):
     from sitegraph.llm.whitening import whitened
     return whitened(table(spark, sf, "embeddings"), components=16)
+
+
+@_query("op11_superminhash")
+def op11_superminhash(spark, sf):
+    from sitegraph.llm.superminhash import superminhash
+    out = superminhash(table(spark, sf, "documents"), shingle=3, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")

@@ -30,7 +30,8 @@ def url_fragment(loc, priority):
 
 def sitemap_entries(map_nodes: DataFrame) -> DataFrame:
     """``root_url, loc, depth, priority, sort_key, xml`` per sitemap entry."""
-    return map_nodes.select(
+    from sitegraph.plans.crawl import with_paths
+    return with_paths(map_nodes).select(
         "root_url", F.col("url").alias("loc"), "depth", U.priority(F.col("depth")).alias("priority"),
         sort_key().alias("sort_key"),
         url_fragment(F.col("url"), U.priority(F.col("depth"))).alias("xml"))
@@ -95,9 +96,10 @@ def tree_fragments(nodes: DataFrame, file_name_col: str | None = "file_name") ->
     one.  No site is gathered in one task: the next depth comes from the slice
     of the sort that holds the row (``plans.rank``), as does a first child.
     """
+    from sitegraph.plans.crawl import with_paths
     from sitegraph.plans.rank import split_row_number
     fn = F.col(file_name_col) if file_name_col and file_name_col in nodes.columns else F.lit(None)
-    n = nodes.select("root_url", sort_key().alias("sort_key"), "depth", "url", fn.cast("string").alias("file_name"))
+    n = with_paths(nodes).select("root_url", sort_key().alias("sort_key"), "depth", "url", fn.cast("string").alias("file_name"))
     r = split_row_number(n, ["root_url"], ["sort_key"], "i")
     after = r.select("root_url", (F.col("i") - 1).alias("i"), F.col("depth").alias("_next"))
     r = r.join(after, ["root_url", "i"], "left")

@@ -4,12 +4,8 @@ stream jobs over landed page files.
 * ``page_content_stream``: landed pages -> ``{url, title, content}`` in any
   output format, a stateless stream (the reference's page-by-page iterator).
 * ``dedup_stream``: crawl keys seen once (state keyed by the key).
-* ``crawl_stream``: ``foreachBatch`` keeps a landed-page table; each batch
-  re-derives the crawl from everything landed so far and replaces the node
-  table, so the result after the last batch equals the batch crawl (a page
-  may land before the link to it is known).  The batch id makes the write
-  idempotent, and every batch writes a folder of its own, so a retried batch
-  after a loss gives the same rows and a crash leaves the last result whole.
+* ``crawl_stream``, ``crawl_stream_records``: the crawl itself, kept up to date as
+  pages land in any order (``incremental.py``).
 
 Every job checkpoints under the session's shared ``spark.checkpoint.dir``.
 """
@@ -81,40 +77,28 @@ def dedup_stream(spark: SparkSession, landing: str, max_files_per_trigger: int =
 
 def crawl_stream(spark: SparkSession, landing: str, roots: DataFrame, opts, robots: DataFrame | None = None,
                  status_fn=None, max_files_per_trigger: int = 2) -> DataFrame:
-    """Streaming crawl over landed pages (see module doc); returns the node table."""
-    from sitegraph.plans import crawl as C
-    base = _scratch(spark, "stream-crawl")
-    landed, nodes_root = os.path.join(base, "landed"), os.path.join(base, "nodes")
-    roots = C._save(roots.select("root_url"))
-    last: list[int] = []
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        # one folder per batch id: a retried batch overwrites its own files
-        batch.write.mode("overwrite").parquet(os.path.join(landed, f"batch={batch_id}"))
-        store = batch.sparkSession.read.parquet(landed).drop("batch")
-        if status_fn is not None:
-            store = status_fn(store)
-        nodes = C.crawl(store, roots, opts, robots)
-        nodes.write.mode("overwrite").parquet(os.path.join(nodes_root, f"batch={batch_id}"))
-        last.append(batch_id)
-
-    q = (read_page_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)
-         .writeStream.foreachBatch(step).option("checkpointLocation", os.path.join(base, "ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(nodes_root, f"batch={max(last)}"))
+    """Streaming crawl over all that has landed (``incremental.CrawlStream``); returns the node table."""
+    from sitegraph.streaming.incremental import CrawlStream
+    crawl = CrawlStream(spark, landing, roots, opts, robots, status_fn, max_files_per_trigger)
+    try:
+        crawl.settle()
+        return crawl.nodes()
+    finally:
+        crawl.close()
 
 
 def crawl_stream_records(spark: SparkSession, landing: str, roots: DataFrame, opts,
                          robots: DataFrame | None = None, status_fn=None,
-                         max_files_per_trigger: int = 2) -> DataFrame:
+                         max_files_per_trigger: int = 2, fmt: str = "text", selectors: list[str] | None = None) -> DataFrame:
     """The crawl-as-a-stream output of the reference: one ``{url, title,
-    content}`` record (TEXT) per crawled page that loaded, with its root and
-    depth so that BFS order is ``ORDER BY root_url, depth, url``.  Failed
-    and robots-forbidden nodes yield nothing."""
-    nodes = crawl_stream(spark, landing, roots, opts, robots, status_fn, max_files_per_trigger)
-    pages = spark.read.parquet(landing)
-    recs = page_records(pages)
-    return (nodes.where(F.col("status") == "ok").select("root_url", "url", "depth", "page_id")
-            .join(recs.select("page_id", "title", "content"), "page_id")
-            .select("root_url", "url", "depth", "title", "content"))
+    content}`` record (TEXT, HTML or MARKDOWN) per crawled page that loaded, emitted while the
+    stream runs, with its root and depth so that BFS order is ``ORDER BY root_url, depth, url``.
+    Failed and robots-forbidden nodes yield nothing."""
+    from sitegraph.streaming.incremental import CrawlStream
+    crawl = CrawlStream(spark, landing, roots, opts, robots, status_fn, max_files_per_trigger, fmt=fmt, selectors=selectors)
+    try:
+        crawl.settle()
+        return (crawl.nodes().select("root_url", "url", "depth").join(crawl.records(), ["root_url", "url"])
+                .select("root_url", "url", "depth", "title", "content"))
+    finally:
+        crawl.close()

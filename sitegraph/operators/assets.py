@@ -12,8 +12,8 @@ name is the ``filename=`` part of Content-Disposition (quotes removed), else
 the last path segment without query, URL-decoded.
 
 ``max_n`` > 0 keeps the first N *recorded* assets of a page (failures do not
-count); it is applied inside the row for images and by a per-page window
-for documents.
+count), by a per-page window; without stored responses nothing is known to fail and
+the first N links of the row are taken.
 """
 
 from __future__ import annotations
@@ -69,9 +69,17 @@ def image_record(u: Column, run_ts: str, relative_path: str | None) -> Column:
 
 
 def image_manifest(pages_df: DataFrame, max_images: int = 0, run_ts: str = "00000000000000000",
-                   relative_path: str | None = None) -> DataFrame:
+                   relative_path: str | None = None, assets_df: DataFrame | None = None) -> DataFrame:
     """``page_id, url, pos, image_url, relative_path, file_name, mime_type,
-    n_bytes, content`` for every recorded image (row-local, no shuffle)."""
+    n_bytes, content`` for every linked image (row-local, no shuffle).
+
+    With the stored responses ``assets_df`` only images that were fetched are recorded and
+    counted, so a dead image uses up no place of ``max_images``; ``pos`` numbers them."""
+    if assets_df is not None:
+        d = asset_downloads(pages_df, assets_df, "images", max_images, run_ts, relative_path)
+        pos = F.row_number().over(Window.partitionBy("page_id").orderBy("pos")) - 1
+        return d.select("page_id", "url", pos.cast("bigint").alias("pos"), F.col("asset_url").alias("image_url"),
+                        "relative_path", "file_name", "mime_type", "n_bytes", "content")
     df = L.with_links(pages_df.select("page_id", "url", "html"), ["images"], col="_imgs")
     imgs = F.col("_imgs")
     recs = F.filter(F.transform(imgs, lambda s: image_record(s["link"], run_ts, relative_path)),
@@ -86,46 +94,59 @@ def image_manifest(pages_df: DataFrame, max_images: int = 0, run_ts: str = "0000
 def asset_results(pages_df: DataFrame, assets_df: DataFrame, kind: str, run_ts: str = "00000000000000000",
                   relative_path: str | None = None) -> DataFrame:
     """What fetching every linked asset gives: ``page_id, url, pos, asset_url, relative_path, file_name,
-    mime_type, n_bytes, content, status`` with status ``ok`` or ``asset_failed``.
+    mime_type, n_bytes, content, status, kind`` with status ``ok`` or ``asset_failed``.
 
-    ``kind`` is ``images`` or ``documents``; ``assets_df`` holds the stored
-    responses (``url, status, disposition, body``).  Data URLs carry their own
-    bytes.  A response that is missing, not 200, without a body or without a
+    ``kind`` is ``images``, ``documents`` or ``all`` (both from one reading of the pages and one join, each
+    under its own folder); ``assets_df`` holds the stored responses (``url, status, disposition, body``).
+    Data URLs carry their own bytes.  A response that is missing, not 200, without a body or without a
     decodable name is a failure: its row has no name and no bytes.
     """
-    links = L.page_links(pages_df, [kind]).select("page_id", "url", "pos", F.col("link").alias("asset_url"))
+    both = kind == "all"
+    links = L.page_links(pages_df, ["images", "documents"] if both else [kind]).select(
+        "page_id", "url", "kind", "pos", F.col("link").alias("asset_url"))
     a = assets_df.select(F.col("url").alias("asset_url"), F.col("status").alias("_st"),
                          F.col("disposition").alias("_disp"), F.col("body").cast("binary").alias("_body"))
     df = links.join(a, "asset_url", "left")
-    u = F.col("asset_url")
+    u, image = F.col("asset_url"), F.col("kind") == "images"
     fetched = F.coalesce((F.col("_st") == 200) & F.col("_body").isNotNull(), F.lit(False))
-    if kind == "images":
-        df = df.withColumn("_r", image_record(u, run_ts, relative_path))
-        is_data = u.startswith("data:image/")
-        name, mime = F.col("_r.file_name"), F.col("_r.mime_type")
-        ok = F.when(is_data, F.col("_r.ok") & F.col("_r.content").isNotNull()).otherwise(fetched)
-        body = F.when(is_data, F.col("_r.content")).otherwise(F.col("_body"))
-    else:
-        name = document_file_name(u, F.col("_disp"))
-        mime, ok, body = U.mime_type(name), fetched & name.isNotNull(), F.col("_body")
-    ok = F.coalesce(ok, F.lit(False))
+    df = df.withColumn("_r", F.when(image, image_record(u, run_ts, None))).withColumn("_name", document_file_name(u, F.col("_disp")))
+    is_data = image & u.startswith("data:image/")
+    name = F.when(image, F.col("_r.file_name")).otherwise(F.col("_name"))
+    mime = F.when(image, F.col("_r.mime_type")).otherwise(U.mime_type(F.col("_name")))
+    body = F.when(is_data, F.col("_r.content")).otherwise(F.col("_body"))
+    ok = F.coalesce(F.when(is_data, F.col("_r.ok") & F.col("_r.content").isNotNull())
+                    .otherwise(fetched & (image | F.col("_name").isNotNull())), F.lit(False))
+    folder = F.when(image, F.lit(IMAGE_FOLDER)).otherwise(F.lit(DOCUMENT_FOLDER)) if both else F.lit(relative_path).cast("string")
     return df.select("page_id", "url", F.col("pos").cast("bigint").alias("pos"), "asset_url",
-                     F.lit(relative_path).cast("string").alias("relative_path"), F.when(ok, name).alias("file_name"),
+                     folder.alias("relative_path"), F.when(ok, name).alias("file_name"),
                      F.when(ok, mime).alias("mime_type"), F.when(ok, F.octet_length(body)).cast("bigint").alias("n_bytes"),
-                     F.when(ok, body).alias("content"), F.when(ok, F.lit("ok")).otherwise(F.lit("asset_failed")).alias("status"))
+                     F.when(ok, body).alias("content"), F.when(ok, F.lit("ok")).otherwise(F.lit("asset_failed")).alias("status"), "kind")
 
 
 def asset_downloads(pages_df: DataFrame, assets_df: DataFrame, kind: str, max_n: int = 0, run_ts: str = "00000000000000000",
-                    relative_path: str | None = None) -> DataFrame:
+                    relative_path: str | None = None, max_documents: int = 0) -> DataFrame:
     """The recorded assets of each page with their bytes: ``asset_results`` that are ok, the first ``max_n``
-    of a page if that is over 0.  Failures are not recorded and use up no place of the limit."""
+    of a page if that is over 0.  Failures are not recorded and use up no place of the limit.  With kind ``all``
+    ``max_n`` holds for images and ``max_documents`` for documents."""
     ok = asset_results(pages_df, assets_df, kind, run_ts, relative_path).where("status = 'ok'").drop("status")
-    if max_n and max_n > 0:  # a page's own links
-        w = Window.partitionBy("page_id").orderBy("pos")
-        ok = ok.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= int(max_n)).drop("_n")
+    limits = {"images": int(max_n or 0), "documents": int(max_documents or 0)} if kind == "all" else {kind: int(max_n or 0)}
+    if any(limits.values()):  # a page's own links
+        w = Window.partitionBy("page_id", "kind").orderBy("pos")
+        most = F.lit(0)
+        for k, n in limits.items():
+            most = F.when(F.col("kind") == k, F.lit(n)).otherwise(most)
+        ok = ok.withColumn("_n", F.row_number().over(w)).where((most <= 0) | (F.col("_n") <= most)).drop("_n")
     return ok
 
 
+def saved_assets(downloads: DataFrame, folder: str) -> DataFrame:
+    """Writes downloads as files under their names (``sources.files``); ``key, file_name, n_bytes, path``, with the
+    asset's URL as key.  An asset that many pages link to is saved once."""
+    from sitegraph.sources import files
+    each = downloads.groupBy(F.col("asset_url").alias("key"), "file_name").agg(F.first("content").alias("content"))
+    return files.save(each, folder)
+
+
 def document_file_name(url: Column, disposition: Column) -> Column:
     """Content-Disposition ``filename=`` (quotes removed) or the last path
     segment without query; URL-decoded (NULL when not decodable)."""

@@ -14,6 +14,7 @@ from sitegraph.functions import patterns as P
 from sitegraph.functions import selectors as S
 from sitegraph.operators import dom
 from sitegraph.operators import links as L
+from sitegraph.operators.status import page_status
 
 
 def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds: str = "all",
@@ -25,7 +26,9 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
 
     ``kinds`` picks one insight kind (ALL, documents, internal, external,
     reference, iframe, images, element_counts) as the reference does; for
-    element_counts no links are read, so their counts are 0.
+    element_counts no links are read, so their counts are 0.  ``status`` is
+    ``bad_page`` where the page was not read or its URL gives no base to judge
+    links by; such a row has no counts and no links.
     """
     kind = kinds.lower()
     if kind not in L.INSIGHT_KINDS:
@@ -40,20 +43,22 @@ def page_insights(pages_df: DataFrame, selectors: list[str] | None = None, kinds
     df = df.withColumn("_clean", clean)
     df = df.withColumn("_links", L.page_link_array(F.col("url"), F.col("_clean"), want_links,
                                                    url_patterns, url_logic))
+    good = page_status(F.col("url"), F.col("html")) == "ok"
     cols = [F.col("page_id"), F.col("url"), H.title_of(F.col("_clean")).alias("title")]
     if want_counts:
         tags = selectors if selectors else P.DEFAULT_COUNT_TAGS
-        cols += [S.element_count(F.col("_clean"), t).alias(t)
+        cols += [F.when(good, S.element_count(F.col("_clean"), t)).alias(t)
                  for t in tags if t not in nested]
-        cols += [c.alias(k) for k, c in L.link_counts(F.col("_links")).items()]
+        cols += [F.when(good, c).alias(k) for k, c in L.link_counts(F.col("_links")).items()]
         if not selectors:
-            cols.append(H.word_count(H.text_of(F.col("_clean"))).alias("word_count"))
+            cols.append(F.when(good, H.word_count(H.text_of(F.col("_clean")))).alias("word_count"))
     if with_link_sets and want_links:
         sets = L.link_sets(F.col("_links"))
-        cols += [sets[k].alias(f"{k}_links") for k in want_links]
+        cols += [F.when(good, sets[k]).alias(f"{k}_links") for k in want_links]
     if want_counts and selectors:
-        cols += [F.col("_counts")[i].alias(t) for i, t in enumerate(nested)]
-        cols.append(H.word_count(F.col("_text")).alias("word_count"))
+        cols += [F.when(good, F.col("_counts")[i]).alias(t) for i, t in enumerate(nested)]
+        cols.append(F.when(good, H.word_count(F.col("_text"))).alias("word_count"))
+    cols.append(page_status(F.col("url"), F.col("html")).alias("status"))
     return df.select(*cols)
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitegraph.operators.attributes import parsed
+
 SEARCH_SCHEMA = (
     "searchParameters STRUCT<q: STRING, engine: STRING, type: STRING>, credits INT, "
     "knowledgeGraph STRUCT<title: STRING, type: STRING>, "
@@ -77,3 +79,14 @@ def search_summary(responses: DataFrame) -> DataFrame:
                     F.col("r.knowledgeGraph.type").alias("kg_type"),
                     F.size(F.coalesce("r.organic", F.array())).cast("bigint").alias("n_organic"),
                     F.size(F.coalesce("r.peopleAlsoAsk", F.array())).cast("bigint").alias("n_paa"))
+
+
+def with_attributes(responses: DataFrame) -> DataFrame:
+    """``query_id, status, attributes``: the open map of a result's attributes (VARIANT), every field of the response and
+    ``query``, the text that was searched for; null where the body is no response."""
+    p = parse_responses(responses.withColumn("_body", F.col("body")), "_body")
+    whole = parsed(F.col("_body"))
+    own = F.variant_get(whole, "$", "map<string, variant>")
+    named = F.map_from_arrays(F.array(F.lit("query")), F.array(F.variant_get(whole, "$.searchParameters.q", "variant")))
+    all_of = F.map_concat(F.map_filter(own, lambda k, _: k != "query"), named)
+    return p.select("query_id", "status", F.when(F.col("status") == "ok", F.to_variant_object(all_of)).alias("attributes"))

@@ -307,16 +307,18 @@ def crawl_full(store: DataFrame, roots: DataFrame, opts: CrawlOptions, *, robots
                assets: DataFrame | None = None, fmt: str = "text", selectors: list[str] | None = None,
                with_images: bool = False, with_documents: bool = False, with_meta: bool = False,
                max_images: int = 0, max_documents: int = 0,
-               run_ts: str = "00000000000000000") -> dict[str, DataFrame]:
+               run_ts: str | None = None) -> dict[str, DataFrame]:
     """The full-scan crawl: ``nodes`` (adjacency table with ``file_name`` for
     recorded pages), ``records`` (one page record per recorded node, the
-    JSON the reference saves, with its file name) and ``tree`` (nested JSON
-    per root).  Records are computed once per stored page and joined to the
-    nodes that reached it."""
+    JSON the reference saves, with its file name) and ``tree`` (the nested JSON
+    of each root as fragments in order, one per node).  Records are computed once per
+    stored page and joined to the nodes that reached it.  Saved names carry the time of
+    the run (now, if ``run_ts`` is not given)."""
     from sitegraph.plans import fullscan as FS
     from sitegraph.plans import sitemap as SM
     from sitegraph.sources import sinks as SK
-    nodes = crawl(store, roots, opts, robots)
+    run_ts = run_ts or SK.run_timestamp()
+    nodes = _save(crawl(store, roots, opts, robots))
     ok = F.col("status") == "ok"
     nodes = nodes.withColumn("file_name", F.when(ok, SK.page_file_name(F.coalesce("title", F.lit("")),
                                                                         F.lit(run_ts))))
@@ -328,7 +330,7 @@ def crawl_full(store: DataFrame, roots: DataFrame, opts: CrawlOptions, *, robots
                .join(rec.drop("url"), "page_id")
                .withColumnRenamed("node_url", "url"))
     records = SK.page_records(records.drop("file_name"), F.lit(run_ts))
-    return {"nodes": nodes, "records": records, "tree": SM.site_tree_json(nodes)}
+    return {"nodes": nodes, "records": records, "tree": SM.tree_fragments(nodes)}
 
 
 def get_sitemap(store: DataFrame, roots: DataFrame, opts: CrawlOptions,

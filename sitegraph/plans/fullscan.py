@@ -1,9 +1,9 @@
 """Full-scan page records: what the crawl saves for every page it visits.
 
 ``{url, title, imageFiles?, documentFiles?, metaTags?, content}``: optional
-parts are arrays assembled per page.  Images and meta tags are row-local;
-documents need the stored responses (one join, then a group by page that is
-bounded by the page's own links).
+parts are arrays assembled per page.  Meta tags are row-local; images and documents are
+those that were fetched: the pages' links, without the HTML, meet the stored responses in
+one join for both kinds, and are grouped by page (bounded by the page's own links).
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from sitegraph.functions import html as H
 from sitegraph.operators import assets as A
 from sitegraph.operators import content as C
-from sitegraph.operators import links as L
 from sitegraph.operators import meta as M
 
 
@@ -22,29 +21,27 @@ def full_scan_records(pages_df: DataFrame, assets_df: DataFrame | None = None, *
                       selectors: list[str] | None = None, with_images: bool = False,
                       with_documents: bool = False, with_meta: bool = False, max_images: int = 0,
                       max_documents: int = 0, run_ts: str = "00000000000000000") -> DataFrame:
-    """``page_id, url, title, imageFiles, documentFiles, metaTags, content``."""
+    """``page_id, url, title, imageFiles, documentFiles, metaTags, content``.
+
+    ``assets_df`` holds the stored responses of images and documents (``url, status,
+    disposition, body``); without it only images that are data URLs are recorded."""
     out = C.with_content(pages_df.select("page_id", "url", "html"), fmt, selectors)
-    clean = H.clean_html(F.col("html"))
     cols = ["page_id", "url", "title", "content"]
     if with_meta:
-        out = out.withColumn("metaTags", M.meta_array(clean))
+        out = out.withColumn("metaTags", M.meta_array(H.clean_html(F.col("html"))))
         cols.append("metaTags")
-    if with_images:
-        out = L.with_links(out, ["images"], col="_imgs")
-        recs = F.filter(F.transform("_imgs", lambda s: A.image_record(s["link"], run_ts, A.IMAGE_FOLDER)),
-                        lambda r: r["ok"])
-        if max_images > 0:
-            recs = F.slice(recs, 1, max_images)
-        out = out.withColumn("imageFiles", F.transform(recs, lambda r: F.struct(
-            r["image_url"].alias("url"), r["relative_path"].alias("relativePath"),
-            r["file_name"].alias("fileName"), r["mime_type"].alias("mimeType"))))
-        cols.append("imageFiles")
     out = out.select(*cols)
-    if with_documents and assets_df is not None:
-        docs = A.document_manifest(pages_df, assets_df, max_documents, A.DOCUMENT_FOLDER)
-        per = docs.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(
-            "pos", F.col("doc_url").alias("url"), F.col("relative_path").alias("relativePath"),
-            F.col("file_name").alias("fileName"), F.col("mime_type").alias("mimeType")))).alias("_d"))
-        per = per.select("page_id", F.transform("_d", lambda d: d.dropFields("pos")).alias("documentFiles"))
-        out = out.join(per, "page_id", "left")
-    return out
+    if not with_images and not with_documents:
+        return out
+    if assets_df is None:
+        assets_df = out.sparkSession.createDataFrame([], "url string, status int, disposition string, body string")
+    kind = "all" if with_images and with_documents else "images" if with_images else "documents"
+    folder = A.IMAGE_FOLDER if with_images else A.DOCUMENT_FOLDER
+    got = A.asset_downloads(pages_df, assets_df, kind, max_documents if kind == "documents" else max_images, run_ts, folder, max_documents)
+    file = F.struct("pos", F.col("asset_url").alias("url"), F.col("relative_path").alias("relativePath"),
+                    F.col("file_name").alias("fileName"), F.col("mime_type").alias("mimeType"))
+    names = {"images": "imageFiles", "documents": "documentFiles"}
+    kinds = list(names) if kind == "all" else [kind]
+    per = got.groupBy("page_id").agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, file))).alias(names[k]) for k in kinds])
+    out = out.join(per, "page_id", "left")
+    return out.withColumns({names[k]: F.transform(names[k], lambda d: d.dropFields("pos")) for k in kinds})

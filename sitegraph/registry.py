@@ -161,13 +161,53 @@ def q_link_sets(spark, sf):
             .select("page_id", "kind", "link", F.col("ord").cast("bigint").alias("ord")))
 
 
-@register("insight_kinds", with_ctes(FX.PAGES_PLUS, _sql_text_cte("pplus")) + f"""
-SELECT t.page_id, t.url, {D.title_of('t.c')} AS title, l.link
-FROM ptext t JOIN ({_sql_links('pplus', ['internal'])}) l ON t.page_id = l.page_id
-""")
+_KINDS = ["all", "documents", "internal", "external", "reference", "iframe", "images", "element_counts"]
+
+
+@register("insight_kinds", with_ctes(FX.PAGES_PLUS, _sql_text_cte("pplus"), f"lk AS ({_sql_links('pplus')})",
+                                     "asked(asked) AS (VALUES " + ", ".join(f"('{k}')" for k in _KINDS) + ")") + f"""
+, counted AS (
+  SELECT a.asked, t.page_id, t.url, {D.title_of('t.c')} AS title,
+         CASE WHEN a.asked IN ('all', 'element_counts') THEN len({D.start_tags('t.c', 'p')})::BIGINT END AS p,
+         CASE WHEN a.asked IN ('all', 'element_counts') THEN {D.word_count(D.text_of('t.c'))} END AS word_count
+  FROM asked a, ptext t)
+SELECT c.asked, c.page_id, c.url, c.title, c.p, c.word_count, l.kind, l.link
+FROM counted c LEFT JOIN lk l ON l.page_id = c.page_id AND (l.kind = c.asked OR c.asked = 'all')""")
 def q_insight_kinds(spark, sf):
-    df = I.page_insights(T.pages_plus(spark, sf), kinds="internal")
-    return df.select("page_id", "url", "title", F.explode("internal_links").alias("link"))
+    """Each kind a caller may ask for: what it counts and the links it returns."""
+    def tagged(kind):
+        return lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("link"))
+
+    pp, out = T.pages_plus(spark, sf), None
+    for asked in _KINDS:
+        df = I.page_insights(pp, kinds=asked)
+        kinds = L.INSIGHT_KINDS[asked]
+        links = F.concat(*[F.transform(f"{k}_links", tagged(k)) for k in kinds]) if kinds else F.lit(None).cast("array<struct<kind:string,link:string>>")
+        count = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("bigint")  # noqa: B023, E731
+        df = df.select(F.lit(asked).alias("asked"), "page_id", "url", "title", count("p").alias("p"),
+                       count("word_count").alias("word_count"), F.inline_outer(links))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+_UNREADABLE = """
+unreadable AS (
+  SELECT page_id, CASE WHEN page_id % 7 = 3 THEN 'not a url' ELSE url END AS url,
+         CASE WHEN page_id % 5 = 2 THEN NULL WHEN page_id % 11 = 4 THEN '' ELSE html END AS html FROM pages)"""
+_REASON = "CASE WHEN u.html IS NULL THEN 'no_html' WHEN u.url = 'not a url' THEN 'bad_url' END"
+
+
+@register("insights_status", with_ctes(_UNREADABLE, _sql_text_cte("unreadable"), f"lk AS ({_sql_links('unreadable')})") + f"""
+SELECT u.page_id, u.url, CASE WHEN {_REASON} IS NULL THEN 'ok' ELSE 'bad_page' END AS status,
+       CASE WHEN {_REASON} IS NULL THEN coalesce(x.internal, 0) END::BIGINT AS internal,
+       CASE WHEN {_REASON} IS NULL THEN {D.word_count(D.text_of('t.c'))} END AS word_count
+FROM unreadable u JOIN ptext t ON t.page_id = u.page_id
+LEFT JOIN (SELECT page_id, count(DISTINCT CASE WHEN kind = 'internal' THEN link END) AS internal FROM lk GROUP BY page_id) x
+  ON x.page_id = u.page_id""")
+def q_insights_status(spark, sf):
+    """Pages that were not read, or whose URL gives no base, among the others."""
+    out = I.page_insights(T.unreadable_pages(T.pages(spark, sf)), with_link_sets=False)
+    return out.select("page_id", "url", "status", "internal", "word_count")
 
 
 def _cand_sql(restrict: bool) -> str:
@@ -302,6 +342,27 @@ def q_robots_page_status(spark, sf):
     return R.robots_page_status(p.select("page_id", "url"), T.robots_bodies(p), USER_AGENT)
 
 
+def _dense_sql() -> str:
+    return """
+pl AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/:?#]+)', 1) AS origin,
+              regexp_replace(url, '^[a-z]+://[^/?#]*', '') AS path FROM pages),
+robots AS (
+  SELECT origin, 'User-agent: *' || chr(10) || string_agg(
+           CASE WHEN page_id % 3 = 0 THEN 'Allow: ' ELSE 'Disallow: ' END
+           || CASE WHEN page_id % 2 = 0 THEN path ELSE substring(path, 1, 4 + (page_id % 5)::INTEGER) END, chr(10)
+           ORDER BY page_id DESC) AS body
+  FROM pl WHERE path <> '' GROUP BY origin)"""
+
+
+@register("robots_dense", with_ctes(_dense_sql(), _robots_rules_sql(), _robots_allowed_sql("u AS (SELECT page_id, url FROM pages)"))
+          + "SELECT page_id, url, allowed FROM ra")
+def q_robots_dense(spark, sf):
+    """Bodies with a rule for every page of the site, whole paths and beginnings of them."""
+    from sitegraph.operators import robots as R
+    p = T.pages(spark, sf)
+    return R.robots_allowed(p.select("page_id", "url"), T.dense_robots_bodies(p), USER_AGENT)
+
+
 # ----------------------------------------------------------------- crawl
 # Fixed run timestamp of the registered queries (file names must be reproducible).
 RUN_TS = "20260101000000000"
@@ -326,7 +387,7 @@ def _crawl(spark, sf, restrict=False, depth=CRAWL_DEPTH, robots=False):
     return C.crawl(store, roots, opts, rb), opts
 
 
-def _crawl_sql(restrict=False, depth=CRAWL_DEPTH, robots=False) -> str:
+def _crawl_sql(restrict=False, depth=CRAWL_DEPTH, robots=False, roots="WHERE rn = 0") -> str:
     kinds = ["internal"] if restrict else ["internal", "external", "iframe"]
     pstat = """pstat AS (
   SELECT page_id, url, html,
@@ -342,7 +403,7 @@ g AS (SELECT gk.key, gk.page_id, p.status = 200 AS valid, p.html FROM gk JOIN ps
 gsrc AS (SELECT page_id, key AS url, html FROM g),
 cedges AS (SELECT DISTINCT url AS src, {D.clean_url('link')} AS dst
           FROM ({_sql_links('gsrc', kinds)}) z WHERE {D.clean_url('link')} IS NOT NULL),
-roots AS (SELECT url AS root_url, {D.clean_url('url')} AS url FROM pplus WHERE rn = 0),
+roots AS (SELECT url AS root_url, {D.clean_url('url')} AS url FROM pplus {roots}),
 {_robots_allowed_sql("""u AS (SELECT row_number() OVER (ORDER BY url) AS page_id, url FROM (
   SELECT key AS url FROM g UNION SELECT dst FROM cedges UNION SELECT url FROM roots) x)""") if robots
   else "ra AS (SELECT NULL AS url, true AS allowed)"},
@@ -392,6 +453,16 @@ def q_crawl_depth(spark, sf):
     return nodes.select("root_url", "url", "depth", "parent_url")
 
 
+@register("crawl_overlapping", _crawl_sql(depth=4, roots="")
+          + "SELECT root_url, url, depth, parent_url, status FROM cn")
+def q_crawl_overlapping(spark, sf):
+    """Every page is a root: crawls that walk the same pages, 64 of them to a row."""
+    from sitegraph.plans import crawl as C
+    pp, store, _ = _crawl_inputs(spark, sf)
+    nodes = C.crawl(store, pp.select(F.col("url").alias("root_url")), C.CrawlOptions(max_depth=4, referrer=REFERRER))
+    return nodes.select("root_url", "url", "depth", "parent_url", "status")
+
+
 @register("request_plan", _crawl_sql() + f"""
 SELECT root_url, url, depth, CASE WHEN depth = 0 THEN {D.q(REFERRER)} ELSE parent_url END AS referrer FROM cn""")
 def q_request_plan(spark, sf):
@@ -466,19 +537,46 @@ up(root_url, url, depth, parent_url, path) AS (
   SELECT root_url, url, depth, parent_url, url FROM cn WHERE depth = 0
   UNION ALL
   SELECT c.root_url, c.url, c.depth, c.parent_url, u.path || chr(1) || c.url FROM up u
-  JOIN cn c ON c.root_url = u.root_url AND c.parent_url = u.url AND c.depth = u.depth + 1)
-SELECT root_url, count(*)::BIGINT AS n, sum(depth)::BIGINT AS depths FROM up GROUP BY root_url""")
+  JOIN cn c ON c.root_url = u.root_url AND c.parent_url = u.url AND c.depth = u.depth + 1),
+nx AS (SELECT *, lead(depth) OVER (PARTITION BY root_url ORDER BY path) AS after FROM up)
+SELECT root_url, path AS sort_key,
+       concat('{"url":', CAST(to_json(url) AS VARCHAR),
+              CASE WHEN after > depth THEN ',"children":['
+                   WHEN after IS NULL THEN concat(repeat('}]', depth), '}')
+                   ELSE concat(repeat('}]', depth - after), '},') END) AS json FROM nx""")
 def q_tree_fragments(spark, sf):
-    """Trees that the fragments spell, read back: nodes and their depths (by the brackets alone)."""
+    """Every fragment of every tree; in order of (root_url, sort_key) they spell the trees."""
     from sitegraph.plans import sitemap as SM
-    nodes, _ = _crawl(spark, sf)
-    f = SM.tree_fragments(nodes)
-    opens = F.col("json").endswith('"children":[').cast("int")
-    ends = (F.length(F.regexp_extract("json", r"[}\]]*,?$", 0)) - F.col("json").endswith(",").cast("int") - 1) / 2
-    step = F.when(opens == 1, F.lit(1)).otherwise(-ends.cast("int"))
-    w = Window.partitionBy("root_url").orderBy("sort_key").rowsBetween(Window.unboundedPreceding, -1)
-    d = f.select("root_url", F.coalesce(F.sum(step).over(w), F.lit(0)).alias("d"))
-    return d.groupBy("root_url").agg(F.count("*").cast("bigint").alias("n"), F.sum("d").cast("bigint").alias("depths"))
+    return SM.tree_fragments(_crawl(spark, sf)[0])
+
+
+@register("site_tour", _crawl_sql() + """,
+up(root_url, anc, url, depth) AS (
+  SELECT root_url, url, url, depth FROM cn
+  UNION ALL
+  SELECT c.root_url, u.anc, c.url, c.depth FROM up u JOIN cn c ON c.root_url = u.root_url AND c.parent_url = u.url),
+below AS (SELECT root_url, anc AS url, count(*) AS size, max(depth) AS deepest FROM up GROUP BY root_url, anc),
+placed AS (SELECT cn.root_url, cn.url, cn.depth, row_number() OVER (PARTITION BY cn.root_url ORDER BY p.sort_key) AS enter
+           FROM cn JOIN pth p ON p.root_url = cn.root_url AND p.url = cn.url)
+SELECT p.root_url, p.url, p.depth, p.enter::BIGINT AS enter, (p.enter + b.size - 1)::BIGINT AS leave, b.size::BIGINT AS size,
+       (b.deepest - p.depth)::INTEGER AS reach
+FROM placed p JOIN below b ON b.root_url = p.root_url AND b.url = p.url""")
+def q_site_tour(spark, sf):
+    from sitegraph.plans import tour
+    return tour.euler_tour(_crawl(spark, sf)[0])
+
+
+@register("site_descendants", _crawl_sql() + """,
+up(root_url, anc, url, depth) AS (
+  SELECT root_url, parent_url, url, depth FROM cn WHERE depth = 2
+  UNION ALL
+  SELECT c.root_url, u.anc, c.url, c.depth FROM up u JOIN cn c ON c.root_url = u.root_url AND c.parent_url = u.url)
+SELECT root_url, anc AS ancestor, url, depth FROM up""")
+def q_site_descendants(spark, sf):
+    """All nodes below those one step from a root, as ranges of the tour."""
+    from sitegraph.plans import tour
+    t = tour.euler_tour(_crawl(spark, sf)[0])
+    return tour.descendants(t, t.where("depth = 1"))
 
 
 @register("site_map", _crawl_sql(robots=True) + f"""
@@ -897,12 +995,6 @@ def q_image_manifest(spark, sf):
     return A.image_manifest(T.pages_plus(spark, sf), 0, RUN_TS).drop("content")
 
 
-@register("image_topn", _image_manifest_sql(1))
-def q_image_topn(spark, sf):
-    from sitegraph.operators import assets as A
-    return A.image_manifest(T.pages_plus(spark, sf), 1, RUN_TS).drop("content")
-
-
 _IMAGE_BODY = "'image of ' || image_url"
 
 
@@ -927,6 +1019,31 @@ def q_image_results(spark, sf):
         "page_id", "pos", "asset_url", "file_name", "n_bytes", "status")
 
 
+@register("image_topn", _image_results_sql() + f"""
+, good AS (SELECT r.*, p.url, row_number() OVER (PARTITION BY r.page_id ORDER BY pos) - 1 AS n FROM res r JOIN pplus p ON p.page_id = r.page_id
+           WHERE good)
+SELECT page_id, url, n::BIGINT AS pos, image_url, NULL::VARCHAR AS relative_path, file_name,
+       {_img_sql('image_url')['mime_type']} AS mime_type, n_bytes FROM good WHERE n < 1""")
+def q_image_topn(spark, sf):
+    from sitegraph.operators import assets as A
+    pp = T.pages_plus(spark, sf)
+    return A.image_manifest(pp, 1, RUN_TS, assets_df=T.stored_images(pp)).drop("content")
+
+
+@register("saved_images", _image_results_sql() + """
+SELECT image_url AS key, any_value(file_name) AS named, any_value(n_bytes)::BIGINT AS n_bytes,
+       any_value(sha) AS content_sha256 FROM res WHERE good GROUP BY image_url""")
+def q_saved_images(spark, sf):
+    """Every fetched image as a file, read back from where it was saved."""
+    from sitegraph.operators import assets as A
+    from sitegraph.sources import files
+    pp = T.pages_plus(spark, sf)
+    saved = A.saved_assets(A.asset_downloads(pp, T.stored_images(pp), "images", 0, RUN_TS), _folder(spark, "saved-images"))
+    named = F.regexp_replace("file_name", "~[0-9a-f]{8,}(?=[.]|$)", "")  # the mark that tells like names apart
+    sha = F.when(~F.col("key").startswith("data:image/"), F.sha2("content", 256))
+    return files.read_back(saved).select("key", named.alias("named"), "n_bytes", sha.alias("content_sha256"))
+
+
 @register("image_downloads", _image_results_sql() + """
 SELECT page_id, pos, image_url AS asset_url, file_name, n_bytes, sha AS content_sha256
 FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS n FROM res WHERE good) g WHERE n <= 1""")
@@ -1056,6 +1173,32 @@ def q_search_raw(spark, sf):
     return SR.raw(T.search_responses(spark, sf))
 
 
+@register("search_fields", with_ctes(FX.SEARCH) + """
+, f AS (SELECT s.query_id, regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[]', 'g') AS path, t.type
+        FROM search s, json_tree(s.body) t)
+SELECT path, CASE WHEN type IN ('UBIGINT', 'BIGINT') THEN 'BIGINT' WHEN type = 'VARCHAR' THEN 'STRING'
+                  WHEN type = 'DOUBLE' THEN 'DECIMAL' ELSE type END AS type,
+       count(*)::BIGINT AS n_values, count(DISTINCT query_id)::BIGINT AS n_rows
+FROM f GROUP BY 1, 2""")
+def q_search_fields(spark, sf):
+    """Every field that the stored responses hold, known or not."""
+    from sitegraph.operators import attributes as AT
+    r = T.search_responses(spark, sf).select(AT.parsed(F.col("body")).alias("v"))
+    return AT.fields(r, "v").withColumn("type", F.regexp_replace("type", r"\(.*\)$", ""))
+
+
+@register("response_attributes", with_ctes(FX.SEARCH) + """
+SELECT query_id, json_extract_string(body, '$.searchParameters.q') AS query, CAST(json_extract(body, '$.extra.kept[1]') AS BIGINT) AS kept,
+       CAST(json_extract(body, '$.extra') AS VARCHAR) AS extra, json_extract_string(body, '$.knowledgeGraph.type') AS kg_type FROM search""")
+def q_response_attributes(spark, sf):
+    """The open attributes of search results, read by path."""
+    from sitegraph.operators import search as SR
+    a = SR.with_attributes(T.search_responses(spark, sf))
+    get = lambda path, kind: F.try_variant_get("attributes", path, kind)
+    return a.select("query_id", get("$.query", "string").alias("query"), get("$.extra.kept[1]", "bigint").alias("kept"),
+                    F.to_json(get("$.extra", "variant")).alias("extra"), get("$.knowledgeGraph.type", "string").alias("kg_type"))
+
+
 @register("search_summary", with_ctes(FX.SEARCH) + """
 SELECT query_id, json_extract_string(body, '$.searchParameters.q') AS query, 'ok' AS status,
        CAST(json_extract(body, '$.credits') AS INTEGER) AS credits,
@@ -1070,40 +1213,86 @@ def q_search_summary(spark, sf):
 
 
 # ------------------------------------------------------- records, graph
+def _json_sql(**fields: str) -> str:
+    """A JSON object of strings without the empty ones."""
+    parts = ", ".join(f"CASE WHEN coalesce({v}, '') <> '' THEN concat('\"{k}\":', CAST(to_json({v}) AS VARCHAR)) END" for k, v in fields.items())
+    return f"concat('{{', concat_ws(',', {parts}), '}}')"
+
+
+def _folder(spark, name: str) -> str:
+    import os
+    import uuid
+    from sitegraph.session import checkpoint_dir
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 @register("page_json", with_ctes(FX.PAGES_PLUS, _sql_text_cte("pplus")) + f"""
 SELECT page_id, url, {D.title_of('c')} AS title,
        concat({D.sanitize_file_name(D.title_of('c'))}, '_', {D.q(RUN_TS)}, '.json') AS file_name,
-       {D.text_of('c')} AS content
+       {D.text_of('c')} AS content, {_json_sql(url='url', title=D.title_of('c'), content=D.text_of('c'))} AS json
 FROM ptext""")
 def q_page_json(spark, sf):
     from sitegraph.operators import content as C
     from sitegraph.sources import sinks as SK
     rec = C.page_content(T.pages_plus(spark, sf), "text")
-    return SK.page_records(rec, F.lit(RUN_TS)).select("page_id", "url", "title", "file_name", "content")
-
-
-@register("full_scan_record", with_ctes(FX.PAGES_PLUS, FX.ASSETS, _sql_text_cte("pplus")) + f"""
-, im AS (SELECT page_id, count(*) AS n FROM ({_image_manifest_sql(0).split('SELECT * FROM (', 1)[1].rsplit(') x', 1)[0]}) i GROUP BY page_id),
-dm AS (SELECT l.page_id, count(*) AS n FROM ({_sql_links('pplus', ['documents'])}) l JOIN assets a ON a.url = l.link
-       WHERE a.status = 200 AND {_doc_name_sql('l.link', 'a.disposition')} IS NOT NULL GROUP BY l.page_id),
-mt AS (SELECT page_id, count(*) AS n FROM (
-         SELECT page_id, coalesce({D.attr('t', 'name')}, '') AS nm, coalesce({D.attr('t', 'property')}, '') AS pr,
-                coalesce({D.attr('t', 'content')}, '') AS ct
-         FROM (SELECT page_id, unnest({D.start_tags('c', 'meta')}) AS t FROM ptext) z) y
-       WHERE (nm <> '' OR pr <> '') AND ct <> '' GROUP BY page_id)
-SELECT p.page_id, p.url, {D.title_of('p.c')} AS title, coalesce(im.n, 0)::BIGINT AS n_images,
-       coalesce(dm.n, 0)::BIGINT AS n_documents, coalesce(mt.n, 0)::BIGINT AS n_meta, {D.text_of('p.c')} AS content
-FROM ptext p LEFT JOIN im ON im.page_id = p.page_id LEFT JOIN dm ON dm.page_id = p.page_id
-LEFT JOIN mt ON mt.page_id = p.page_id""")
+    return SK.page_records(rec, F.lit(RUN_TS)).select("page_id", "url", "title", "file_name", "content", "json")
+
+
+@register("saved_pages", with_ctes(FX.PAGES_PLUS, _sql_text_cte("pplus")) + f"""
+SELECT url AS key, {_json_sql(url='url', title=D.title_of('c'), content=D.text_of('c'))} AS json FROM ptext""")
+def q_saved_pages(spark, sf):
+    """Page records saved as one JSON file each, read back."""
+    from sitegraph.operators import content as C
+    from sitegraph.sources import files
+    from sitegraph.sources import sinks as SK
+    rec = SK.page_records(C.page_content(T.pages_plus(spark, sf), "text"), F.lit(RUN_TS))
+    return files.read_back(SK.write_page_json(rec, _folder(spark, "saved-pages"))).select("key", F.col("content").cast("string").alias("json"))
+
+
+def _files_sql(max_images: int, max_documents: int) -> str:
+    """CTEs ``imf``, ``dcf``, ``mtf``: per page the fetched images, fetched documents and meta tags as one text each."""
+    r = _img_sql("link")
+    return f"""
+, im AS (SELECT page_id, pos, link, {r['file_name']} AS fn, {r['mime_type']} AS mt,
+                CASE WHEN starts_with(link, 'data:image/') THEN {r['ok']} ELSE length(link) % 5 NOT IN (1, 2) END AS good
+         FROM ({_sql_links('pplus', ['images'])}) z),
+imf AS (SELECT page_id, string_agg(concat(link, '|images/|', fn, '|', mt), ' ' ORDER BY pos) AS t
+        FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS n FROM im WHERE good) g
+        WHERE n <= {max_images or 1 << 30} GROUP BY page_id),
+dc AS (SELECT l.page_id, l.pos, l.link, {_doc_name_sql('l.link', 'a.disposition')} AS fn
+       FROM ({_sql_links('pplus', ['documents'])}) l JOIN assets a ON a.url = l.link WHERE a.status = 200),
+dcf AS (SELECT page_id, string_agg(concat(link, '|docs/|', fn, '|', {D.mime_type('fn')}), ' ' ORDER BY pos) AS t
+        FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS n FROM dc WHERE fn IS NOT NULL) g
+        WHERE n <= {max_documents or 1 << 30} GROUP BY page_id),
+mtg AS (SELECT page_id, o, coalesce({D.attr('t', 'name')}, '') AS nm, coalesce({D.attr('t', 'property')}, '') AS pr,
+               coalesce({D.attr('t', 'content')}, '') AS ct
+        FROM (SELECT page_id, unnest(tags) AS t, unnest(range(1, len(tags) + 1)) AS o
+              FROM (SELECT page_id, {D.start_tags('c', 'meta')} AS tags FROM ptext) z0) z),
+mtf AS (SELECT page_id, string_agg(concat(CASE WHEN pr = '' THEN concat('n=', nm) ELSE concat('p=', pr) END, '|', ct), ' ' ORDER BY o) AS t
+        FROM mtg WHERE (nm <> '' OR pr <> '') AND ct <> '' GROUP BY page_id)"""
+
+
+def _files_text():
+    """The same texts from the arrays of a record."""
+    file = lambda x: F.concat_ws("|", x["url"], x["relativePath"], x["fileName"], x["mimeType"])
+    meta = lambda x: F.concat(F.when(x["property"].isNull(), F.concat(F.lit("n="), x["name"]))
+                              .otherwise(F.concat(F.lit("p="), x["property"])), F.lit("|"), x["content"])
+    text = lambda c, f: F.nullif(F.array_join(F.transform(c, f), " "), F.lit("")).alias(c)
+    return [text("imageFiles", file), text("documentFiles", file), text("metaTags", meta)]
+
+
+@register("full_scan_record", with_ctes(FX.PAGES_PLUS, FX.ASSETS, _sql_text_cte("pplus")) + _files_sql(1, 0) + f"""
+SELECT p.page_id, p.url, {D.title_of('p.c')} AS title, imf.t AS "imageFiles", dcf.t AS "documentFiles", mtf.t AS "metaTags",
+       {D.text_of('p.c')} AS content
+FROM ptext p LEFT JOIN imf ON imf.page_id = p.page_id LEFT JOIN dcf ON dcf.page_id = p.page_id
+LEFT JOIN mtf ON mtf.page_id = p.page_id""")
 def q_full_scan_record(spark, sf):
+    """One image a page at most: the first that was fetched."""
     from sitegraph.plans import fullscan as FS
     pp = T.pages_plus(spark, sf)
-    r = FS.full_scan_records(pp, T.stored_assets(pp), with_images=True, with_documents=True, with_meta=True,
-                             run_ts=RUN_TS)
-    return r.select("page_id", "url", "title",
-                    F.size(F.coalesce("imageFiles", F.array())).cast("bigint").alias("n_images"),
-                    F.size(F.coalesce("documentFiles", F.array())).cast("bigint").alias("n_documents"),
-                    F.size(F.coalesce("metaTags", F.array())).cast("bigint").alias("n_meta"), "content")
+    r = FS.full_scan_records(pp, T.stored_assets(pp).unionByName(T.stored_images(pp)), with_images=True, with_documents=True,
+                             with_meta=True, max_images=1, run_ts=RUN_TS)
+    return r.select("page_id", "url", "title", *_files_text(), "content")
 
 
 @register("url_dedup", with_ctes(FX.PAGES_PLUS) + f"""
@@ -1173,10 +1362,10 @@ def _landing(spark, df, name):
 
 
 @register("stream_content", with_ctes(_sql_text_cte("pages")) +
-          f"SELECT page_id, url, {D.title_of('c')} AS title, {D.text_of('c')} AS content FROM ptext")
+          f"SELECT page_id, url, {D.title_of('c')} AS title, {D.text_of('c')} AS content, 'ok' AS status FROM ptext")
 def q_stream_content(spark, sf):
     from sitegraph.streaming import stream as ST
-    return ST.page_content_stream(spark, _landing(spark, T.pages(spark, sf), "content")).drop("status")
+    return ST.page_content_stream(spark, _landing(spark, T.pages(spark, sf), "content"))
 
 
 @register("stream_markdown", "WITH " + _markdown_sql(_tokens_sql("pages").strip()) + """
@@ -1186,10 +1375,26 @@ def q_stream_markdown(spark, sf):
     return ST.page_content_stream(spark, _landing(spark, T.pages(spark, sf), "markdown"), fmt="markdown").select("page_id", "url", "content")
 
 
+@register("stream_quarantine", with_ctes(_UNREADABLE, _sql_text_cte("unreadable")) + f"""
+SELECT u.page_id, u.url, coalesce({_REASON}, 'ok') AS outcome, CASE WHEN {_REASON} IS NULL THEN {D.text_of('t.c')} END AS content
+FROM unreadable u JOIN ptext t ON t.page_id = u.page_id""")
+def q_stream_quarantine(spark, sf):
+    """Records of the pages that can be read, and the others with their reasons, from one stream."""
+    from sitegraph.streaming import stream as ST
+    good, bad = ST.quarantined_stream(spark, _landing(spark, T.unreadable_pages(T.pages(spark, sf)), "quarantine"))
+    return good.select("page_id", "url", F.lit("ok").alias("outcome"), "content").unionByName(
+        bad.select("page_id", "url", F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("content")))
+
+
 @register("stream_dedup", f"SELECT DISTINCT {D.clean_url('url')} AS key FROM pages WHERE {D.clean_url('url')} IS NOT NULL")
 def q_stream_dedup(spark, sf):
+    """Every page lands three times within the hour, once under another spelling of its URL."""
     from sitegraph.streaming import stream as ST
-    return ST.dedup_stream(spark, _landing(spark, T.pages(spark, sf), "dedup"))
+    p = T.pages(spark, sf).select("page_id", "url")
+    again = F.explode(F.array(*[F.struct(F.lit(m).alias("minutes"), F.lit(tail).alias("tail")) for m, tail in ((0, ""), (20, "#top"), (45, ""))]))
+    landed = p.select("page_id", "url", again.alias("a")).select(
+        "page_id", F.concat("url", "a.tail").alias("url"), F.timestamp_seconds(F.col("page_id") * 60 + F.col("a.minutes") * 60).alias("landed_at"))
+    return ST.dedup_stream(spark, ST.land_in_order(landed, _folder(spark, "landing-dedup"), "landed_at"))
 
 
 @register("crawl_stream", _crawl_sql() +
@@ -1207,17 +1412,21 @@ def q_crawl_stream(spark, sf):
 
 
 @register("crawl_full_records", _crawl_sql() + f""",
-ptext AS (SELECT page_id, {D.clean_html('html')} AS c FROM pplus)
+{FX.ASSETS.strip()},
+ptext AS (SELECT page_id, url, {D.clean_html('html')} AS c FROM pplus)""" + _files_sql(0, 1) + f"""
 SELECT cn.root_url, cn.url, cn.page_id, {D.title_of('p.c')} AS title,
        concat({D.sanitize_file_name(D.title_of('p.c'))}, '_', {D.q(RUN_TS)}, '.json') AS file_name,
-       {D.text_of('p.c')} AS content
-FROM cn JOIN ptext p ON p.page_id = cn.page_id WHERE cn.status = 'ok'""")
+       imf.t AS "imageFiles", dcf.t AS "documentFiles", mtf.t AS "metaTags", {D.text_of('p.c')} AS content
+FROM cn JOIN ptext p ON p.page_id = cn.page_id LEFT JOIN imf ON imf.page_id = cn.page_id
+LEFT JOIN dcf ON dcf.page_id = cn.page_id LEFT JOIN mtf ON mtf.page_id = cn.page_id WHERE cn.status = 'ok'""")
 def q_crawl_full_records(spark, sf):
+    """Images, documents (one a page at most) and meta tags on."""
     from sitegraph.plans import crawl as C
     pp, store, roots = _crawl_inputs(spark, sf)
     opts = C.CrawlOptions(max_depth=CRAWL_DEPTH, referrer=REFERRER)
-    out = C.crawl_full(store, roots, opts, run_ts=RUN_TS)
-    return out["records"].select("root_url", "url", "page_id", "title", "file_name", "content")
+    out = C.crawl_full(store, roots, opts, assets=T.stored_assets(pp).unionByName(T.stored_images(pp)), with_images=True,
+                       with_documents=True, with_meta=True, max_documents=1, run_ts=RUN_TS)
+    return out["records"].select("root_url", "url", "page_id", "title", "file_name", *_files_text(), "content")
 
 
 NESTED_SELECTORS = ["article p", "nav li a, footer a", "body article h1"]

@@ -1,24 +1,24 @@
-"""Sinks: page JSON records, sitemap XML files, manifests.
+"""Sinks: page JSON records and their file names.
 
-The reference writes one JSON file per page named from the title; here the
-records are written by Spark as JSON lines partitioned by root, with the
-reference's file name kept as a column (``file_name``), so a large crawl is
-written by many tasks and an executor loss only re-runs its own partitions.
+The reference writes one JSON file per page, named from the title and the time of the
+run.  ``write_page_json`` writes these files from the tasks (``sources.files``);
+``write_page_lines`` is the form for crawls of many small pages: the same documents as
+lines of text, partitioned by root.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitegraph.functions import urls as U
 
-TS_FORMAT = "yyyyMMddHHmmssSSS"
-
-
-def run_timestamp(ts_col: Column | None = None) -> Column:
-    """Timestamp part of saved file names (``yyyyMMddHHmmssSSS``)."""
-    return F.date_format(ts_col if ts_col is not None else F.current_timestamp(), TS_FORMAT)
+def run_timestamp(at: datetime | None = None) -> str:
+    """Timestamp part of saved file names (``yyyyMMddHHmmssSSS``): of one moment for a whole run, so that all
+    plans of the run name a file alike."""
+    return (at or datetime.now(timezone.utc)).strftime("%Y%m%d%H%M%S%f")[:17]
 
 
 def page_file_name(title: Column, ts: Column) -> Column:
@@ -36,14 +36,15 @@ def page_records(records: DataFrame, ts: Column) -> DataFrame:
                   .withColumn("json", F.to_json(F.struct(*cleaned)))
 
 
-def write_page_json(records: DataFrame, path: str, partition_by: str | None = None) -> None:
-    w = records.select(*(["file_name", "json"] + ([partition_by] if partition_by else [])))
-    writer = w.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.json(path)
+def write_page_json(records: DataFrame, path: str) -> DataFrame:
+    """One file per record under its ``file_name``; records of like names are told apart by URL.  Returns what was
+    saved (``key, file_name, n_bytes, path``, the key being the URL)."""
+    from sitegraph.sources import files
+    return files.save(records.select(F.col("url").alias("key"), "file_name", F.col("json").alias("content")), path)
 
 
-def write_manifest(df: DataFrame, path: str) -> None:
-    """Asset manifests are plain tables (Parquet)."""
-    df.write.mode("overwrite").parquet(path)
+def write_page_lines(records: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """The records' JSON documents as lines of text."""
+    columns = [partition_by] if partition_by else []
+    w = records.select("json", *columns).write.mode("overwrite")
+    (w.partitionBy(*columns) if columns else w).text(path)

@@ -127,6 +127,25 @@ def robots_bodies(pages_df: DataFrame) -> DataFrame:
     return o.where(n != 3).select("origin", body.alias("body"))
 
 
+def dense_robots_bodies(pages_df: DataFrame) -> DataFrame:
+    """robots.txt per origin with a rule for each of its pages: the page's path or the beginning of it."""
+    pid = F.col("page_id")
+    path = F.regexp_replace(F.col("url"), r"^[a-z]+://[^/?#]*", "")
+    p = pages_df.select("page_id", _origin(F.col("url")).alias("origin"), path.alias("path")).where("path <> ''")
+    line = F.concat(F.when(pid % 3 == 0, "Allow: ").otherwise("Disallow: "),
+                    F.when(pid % 2 == 0, F.col("path")).otherwise(F.expr("substring(path, 1, 4 + cast(page_id % 5 as int))")))
+    lines = p.groupBy("origin").agg(F.sort_array(F.collect_list(F.struct("page_id", line.alias("line"))), asc=False).alias("l"))
+    body = F.array_join(F.concat(F.array(F.lit("User-agent: *")), F.transform("l", lambda x: x["line"])), "\n")
+    return lines.select("origin", body.alias("body"))
+
+
+def unreadable_pages(pages_df: DataFrame) -> DataFrame:
+    """Pages of which some have no URL to judge links by, some were not read and some are blank."""
+    pid = F.col("page_id")
+    return pages_df.select("page_id", F.when(pid % 7 == 3, "not a url").otherwise(F.col("url")).alias("url"),
+                           F.when(pid % 5 == 2, F.lit(None)).when(pid % 11 == 4, "").otherwise(F.col("html")).alias("html"))
+
+
 def stored_assets(pages_df: DataFrame) -> DataFrame:
     """Stored document responses (F-ASSETS): url, status, disposition, body."""
     o = pages_df.select(_origin(F.col("url")).alias("origin")).distinct()

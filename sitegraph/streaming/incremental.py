@@ -40,11 +40,10 @@ from sitegraph.operators import links as L
 from sitegraph.operators import robots as R
 from sitegraph.plans import crawl as C
 from sitegraph.session import checkpoint_dir
-from sitegraph.streaming.stream import page_records, read_page_stream
+from sitegraph.streaming.stream import page_records, read_page_stream, rocksdb
 
 MESSAGE = "root_url string, url string, parent_url string, depth int"
 PAGE = "key string, page_id bigint, valid boolean, title string, children array<string>"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def parsed_pages(store: DataFrame, opts: C.CrawlOptions) -> DataFrame:
@@ -95,27 +94,20 @@ class CrawlStream:
         self.queries[name] = (w.partitionBy(*partition) if partition else w).outputMode("append").start()
 
     def _start(self, fmt, selectors) -> None:
-        spark, conf = self.spark, self.spark.conf
+        spark = self.spark
         key = U.clean_url(F.col("root_url"))
         first = (self.roots.select("root_url", key.alias("url"), F.lit(None).cast("string").alias("parent_url"), F.lit(0).alias("depth"))
                  .where(F.col("url").isNotNull()))
         # folders that a stream reads must be there; a table by depth leaves no file where a batch has no rows
         first.write.mode("ignore").partitionBy("depth").parquet(self._at("seeds"))
         first.limit(0).write.mode("ignore").partitionBy("depth").parquet(self._at("nodes"))
-        old = conf.get("spark.sql.streaming.stateStore.providerClass", None)
-        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        try:
+        with rocksdb(spark):
             landed = self.status_fn(read_page_stream(spark, self.landing, max_files_per_trigger=self.files))
             self._sink(parsed_pages(landed, self.opts).withColumn("part", F.lit(0)), "pages", "part")
             self._sink(self._expand(), "messages", "depth")
             if fmt:
                 self._sink(self._records(fmt, selectors), "records", "part")
             self._frontier()
-        finally:
-            if old is None:
-                conf.unset("spark.sql.streaming.stateStore.providerClass")
-            else:
-                conf.set("spark.sql.streaming.stateStore.providerClass", old)
 
     def _stream(self, name: str, schema: str) -> DataFrame:
         return self.spark.readStream.schema(schema).parquet(self._at(name))

@@ -3,7 +3,8 @@ stream jobs over landed page files.
 
 * ``page_content_stream``: landed pages -> ``{url, title, content}`` in any
   output format, a stateless stream (the reference's page-by-page iterator).
-* ``dedup_stream``: crawl keys seen once (state keyed by the key).
+* ``quarantined_stream``: the same with the pages that cannot be read in a table of their own.
+* ``dedup_stream``: crawl keys seen once, with state bounded by a watermark.
 * ``crawl_stream``, ``crawl_stream_records``: the crawl itself, kept up to date as
   pages land in any order (``incremental.py``).
 
@@ -14,11 +15,14 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegraph.functions import urls as U
+from sitegraph.operators.status import bad_reason, page_status
 from sitegraph.session import checkpoint_dir
 
 PAGE_SCHEMA = "page_id BIGINT, url STRING, html STRING"
@@ -36,12 +40,12 @@ def read_page_stream(spark: SparkSession, path: str, schema: str = PAGE_SCHEMA,
     return r.parquet(path)
 
 
-def page_records(stream: DataFrame, fmt: str = "text", selectors: list[str] | None = None) -> DataFrame:
-    """``page_id, url, title, content, status`` in TEXT, HTML or MARKDOWN: ``bad_page`` where there is no markup."""
+def page_records(stream: DataFrame, fmt: str = "text", selectors: list[str] | None = None, *keep: str) -> DataFrame:
+    """``page_id, url, title, content, status`` (and ``keep``) in TEXT, HTML or MARKDOWN: ``bad_page`` where the page was
+    not read or has no base URL; a blank page is an empty page."""
     from sitegraph.operators import content as C
-    out = C.with_content(stream.select("page_id", "url", "html"), fmt, selectors)
-    status = F.when(F.coalesce(F.trim("html"), F.lit("")) == "", F.lit("bad_page")).otherwise(F.lit("ok"))
-    return out.select("page_id", "url", "title", "content", status.alias("status"))
+    out = C.with_content(stream.select("page_id", "url", "html", *keep), fmt, selectors)
+    return out.select("page_id", "url", "title", "content", page_status(F.col("url"), F.col("html")).alias("status"), *keep)
 
 
 def land_pages(pages_df: DataFrame, path: str, files: int = 5) -> str:
@@ -66,13 +70,74 @@ def page_content_stream(spark: SparkSession, landing: str, max_files_per_trigger
     return spark.read.parquet(out)
 
 
-def dedup_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 2) -> DataFrame:
-    """Crawl keys of the landed pages, each emitted once."""
+def quarantined_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 2, fmt: str = "text",
+                       selectors: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Page records and, apart from them, the pages that gave none: (records, errors).
+
+    Every batch is worked out once and kept while both tables are written, each in a folder named by the batch id,
+    so a batch that is tried again replaces what it wrote.  ``errors`` has ``page_id, url, reason, batch_id``; a bad
+    page never fails a batch, and the rows of both tables add up to the pages that landed."""
+    out, errors, ck = (_scratch(spark, n) for n in ("stream-records", "stream-errors", "ckpt-records"))
+    pages = read_page_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)
+    marked = page_records(pages.withColumn("reason", bad_reason(F.col("url"), F.col("html"))), fmt, selectors, "reason")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            batch.where("reason is null").drop("reason", "status").write.mode("overwrite").parquet(f"{out}/{batch_id:09d}")
+            batch.where("reason is not null").select("page_id", "url", "reason", F.lit(batch_id).alias("batch_id")) \
+                .write.mode("overwrite").parquet(f"{errors}/{batch_id:09d}")
+        finally:
+            batch.unpersist()
+
+    marked.writeStream.foreachBatch(step).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+    record = "page_id bigint, url string, title string, content string"
+    return (spark.read.schema(record).parquet(f"{out}/*"),
+            spark.read.schema("page_id bigint, url string, reason string, batch_id int").parquet(f"{errors}/*"))
+
+
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB: on local disk and as changes in the checkpoint, not on the heap."""
+    name, provider = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, provider)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, old)
+
+
+def dedup_stream(spark: SparkSession, landing: str, max_files_per_trigger: int = 2, delay: str = "1 hour",
+                 progress: list | None = None) -> DataFrame:
+    """Crawl keys of the landed pages (``page_id, url, landed_at``), each emitted once.
+
+    A key's state is kept until the watermark, ``delay`` behind the latest ``landed_at``, has passed it, so the state is
+    as large as what lands within the delay, however long the stream runs; within the delay a key is never emitted
+    twice.  Pages that land later than the delay are dropped.  ``progress`` collects the batches' progress."""
     out, ck = _scratch(spark, "stream-dedup"), _scratch(spark, "ckpt-dedup")
-    s = read_page_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)
-    keys = s.select(U.clean_url(F.col("url")).alias("key")).where("key IS NOT NULL").dropDuplicates(["key"])
-    run_available(keys, out, ck)
-    return spark.read.parquet(out)
+    s = read_page_stream(spark, landing, "page_id BIGINT, url STRING, landed_at TIMESTAMP", max_files_per_trigger)
+    keys = s.select(U.clean_url(F.col("url")).alias("key"), "landed_at").where("key IS NOT NULL")
+    keys = keys.withWatermark("landed_at", delay).dropDuplicatesWithinWatermark(["key"]).select("key")
+    with rocksdb(spark):
+        q = keys.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if progress is not None:
+        progress.extend(q.recentProgress)
+    return spark.read.schema("key string").parquet(out)
+
+
+def land_in_order(df: DataFrame, path: str, order: str, files: int = 5) -> str:
+    """Lands rows as files that follow one another in ``order`` (a timestamp column)."""
+    low, high = df.agg(F.min(F.unix_micros(order)), F.max(F.unix_micros(order))).first()
+    step = max(1, -(-((high or 0) - (low or 0) + 1) // files))
+    part = F.floor((F.unix_micros(order) - F.lit(low or 0)) / step)
+    for i in range(files):
+        df.where(part == i).write.mode("append").parquet(path)
+    return path
 
 
 def crawl_stream(spark: SparkSession, landing: str, roots: DataFrame, opts, robots: DataFrame | None = None,

@@ -83,15 +83,93 @@ def test_split_row_number_matches_window_on_a_hot_group(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_levels_do_not_shuffle_the_graph(spark, sf):
-    """With broadcast off, only the frontier side of a level's join is exchanged."""
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def above(plan, needle):
+    """Operators above each line of the plan tree that holds ``needle``."""
+    out, stack = [], []
+    for line in plan.splitlines():
+        indent = len(line) - len(line.lstrip(" +-:"))
+        stack = [(i, x) for i, x in stack if i < indent]
+        if needle in line:
+            out.append([x for _, x in stack])
+        stack.append((indent, line.strip(" +-:")))
+    return out
+
+
+def test_levels_do_not_shuffle_the_graph(spark, sf, no_broadcast):
+    """Only the frontier side of a level's join is exchanged."""
     from sitegraph.plans import crawl as C
     g = C.graph_table(C.page_graph(T.pages_plus(spark, sf).select("page_id", "url", "html"), C.CrawlOptions(max_depth=1)))
     level = spark.range(100).select(F.col("id").cast("string").alias("url"))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        p = plan_of(level.join(g.select("key", "children"), F.col("url") == F.col("key")))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    p = plan_of(level.join(g.select("key", "children"), F.col("url") == F.col("key")))
     assert "SortMergeJoin" in p and p.count("Exchange hashpartitioning(") == 1 and "hashpartitioning(key" not in p
+
+
+def _levels(spark, sf, roots, depth):
+    from sitegraph.plans import crawl as C
+    from sitegraph.plans.buckets import bucketed
+    graph = C.graph_table(C.page_graph(T.pages_plus(spark, sf).select("page_id", "url", "html"), C.CrawlOptions(max_depth=1)))
+    named = C.numbered_roots(roots)
+    first = named.groupBy("url", "block").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    levels = [bucketed(first.withColumn("parent_url", F.lit(None).cast("string")), "level", "url", "block")]
+    for _ in range(depth):
+        levels.append(bucketed(C.next_level(levels[-1], levels, graph), "level", "url", "block"))
+    return C.next_level(levels[-1], levels, graph), levels
+
+
+def test_levels_do_not_shuffle_what_was_visited(spark, sf, no_broadcast):
+    """A level exchanges its frontier, the reduced links and the candidates: nothing above the visited levels."""
+    pp = T.pages_plus(spark, sf)
+    plan, _ = _levels(spark, sf, pp.select(F.col("url").alias("root_url")), 2)
+    p = plan_of(plan)
+    assert p.count("Exchange hashpartitioning(") == 3 and "BroadcastExchange" not in p
+    seen = [ops for ops in above(p, "FileScan parquet") if not any("Exchange" in x for x in ops)]
+    assert len(seen) == 3  # the three levels visited so far
+
+
+def test_overlapping_crawls_share_rows(spark, sf):
+    """Roots of one site: a row of a level stands for all that reach its URL, far fewer than a row per root."""
+    from sitegraph.plans import crawl as C
+    pp = T.pages_plus(spark, sf)
+    roots = pp.select(F.col("url").alias("root_url"))
+    _, levels = _levels(spark, sf, roots, 3)
+    rows = sum(lv.count() for lv in levels)
+    nodes = C.crawl(pp.select("page_id", "url", "html"), roots, C.CrawlOptions(max_depth=3))
+    assert rows < nodes.count() / 2
+    assert nodes.groupBy("root_url", "url").count().where("count > 1").isEmpty()
+
+
+def test_page_scan_does_not_shuffle_html(spark, sf, no_broadcast):
+    from sitegraph.plans import crawl as C
+    store = C.page_store(T.page_status(T.pages(spark, sf)))
+    urls = store.select("url").union(store.select("url"))
+    out = C.page_scan(urls, store)
+    p = plan_of(out)
+    scans = [line for line in p.splitlines() if "FileScan parquet" in line and "html:string" in line]
+    assert len(scans) == 1 and "PushedFilters" in scans[0] and "GreaterThanOrEqual(key" in scans[0]
+    ops = above(p, scans[0].strip(" +-:"))[0]
+    assert not any("Exchange" in x for x in ops) and any("SortMergeJoin" in x for x in ops)
+    want = store.where("status = 200").select("key", "page_id", "html").collect()
+    first = {}
+    for r in sorted(want, key=lambda r: r.page_id):
+        first.setdefault(r.key, r)
+    got = [(r.page_id, r.html) for r in out.collect()]
+    assert sorted(got) == sorted((r.page_id, r.html) for r in first.values() for _ in range(2))
+
+
+def test_page_scan_takes_one_page_of_a_key(spark):
+    from sitegraph.plans import crawl as C
+    rows = [(5, "https://h.org/a", "five", 200), (3, "https://h.org/a", "three", 200), (1, "https://h.org/a", "one", 404),
+            (3, "https://h.org/a", "three", 200), (7, "https://h.org/b", "seven", 200), (8, None, "none", 200), (9, "https://h.org/c", None, 200)]
+    store = C.page_store(spark.createDataFrame(rows, "page_id long, url string, html string, status int"))
+    urls = spark.createDataFrame([("https://h.org/a#x",), ("https://h.org/a",), ("https://h.org/z",), (None,), ("https://h.org/c",)], "u string")
+    got = sorted((r.u, r.page_id, r.html) for r in C.page_scan(urls, store, "u").collect())
+    assert got == [("https://h.org/a", 3, "three"), ("https://h.org/a#x", 3, "three"), ("https://h.org/c", 9, None)]
+    assert C.page_scan(urls.limit(0), store, "u").isEmpty() and C.page_scan(urls, store.limit(0), "u").isEmpty()

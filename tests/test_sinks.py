@@ -30,17 +30,6 @@ def test_write_sitemaps(spark, sf, tmp_path):
     assert total == n
 
 
-def test_page_json_records(spark, sf, tmp_path):
-    rec = C.page_content(T.pages(spark, sf), "text")
-    recs = SK.page_records(rec, F.lit("20260101000000000"))
-    out = str(tmp_path / "pages")
-    SK.write_page_json(recs, out)
-    lines = [json.loads(l) for f in glob.glob(os.path.join(out, "part-*")) for l in open(f, encoding="utf-8")]
-    assert len(lines) == rec.count()
-    one = json.loads(lines[0]["json"])
-    assert set(one) <= {"url", "title", "content"} and lines[0]["file_name"].endswith("_20260101000000000.json")
-
-
 def test_bad_search_response_is_a_status(spark):
     df = spark.createDataFrame([(1, "{not json"), (2, '{"searchParameters":{"q":"x"},"organic":[]}')],
                                "query_id long, body string")

@@ -30,9 +30,22 @@ def row_key(*cols: Column) -> tuple[Column, Column]:
     """Two 64-bit hashes naming a row by its values.
 
     Rows that repeat all values share a key, so what is computed per key holds
-    for each of them; null and absent values hash alike on every run.
+    for each of them.  The hash passes over nulls, so which values are null is
+    hashed too: (null, x) and (x, null) are different rows.
     """
-    return (F.xxhash64(F.lit("a"), *cols).alias("k1"), F.xxhash64(F.lit("b"), *cols).alias("k2"))
+    null = [c.isNull() for c in cols]
+    return (F.xxhash64(F.lit("a"), *null, *cols).alias("k1"), F.xxhash64(F.lit("b"), *null, *cols).alias("k2"))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as no column of ``df`` is named alike."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

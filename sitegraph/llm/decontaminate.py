@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegraph.llm.common import ascii_lower, row_key, stage
+from sitegraph.llm.common import ascii_lower, free_names, row_key, stage
 
 #: A word is a maximal run of characters outside these ASCII ranges.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -123,9 +123,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
         .groupBy("k1", "k2").agg(F.sort_array(F.collect_set("item")).alias("items"))
     per = hit.join(found, ["k1", "k2"])
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
-    out = docs.drop("n_words", "hits", "items", "contaminated").withColumns({"__k1": k1, "__k2": k2})
-    out = out.join(per.toDF("__k1", "__k2", "hits", "items"), ["__k1", "__k2"], "left")
-    return out.drop("__k1", "__k2").withColumns({
+    names = free_names(docs, "__k1", "__k2")
+    out = docs.drop("n_words", "hits", "items", "contaminated").withColumns(dict(zip(names, (k1, k2))))
+    out = out.join(per.toDF(*names, "hits", "items"), names, "left")
+    return out.drop(*names).withColumns({
         "n_words": F.size(words(F.col("text"))).cast("bigint"),
         "hits": F.coalesce("hits", F.lit(0)).cast("bigint"),
         "items": F.coalesce("items", F.array().cast("array<string>"))}).withColumn("contaminated", F.col("hits") > 0)

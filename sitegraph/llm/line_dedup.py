@@ -24,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegraph.llm.common import row_key, stage
+from sitegraph.functions.html import let
+from sitegraph.llm.common import free_names, row_key, stage
 
 
 def _is_long(line: Column, long_words: int | None) -> Column:
@@ -86,13 +87,15 @@ def line_dedup(docs: DataFrame, window: int = 2, long_words: int | None = None)
     doc_id comes first in the order.  n_chars, where there, follows the text.
     """
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
-    own = ["__k1", "__k2", "__drop"]  # no column of docs should be named so
-    out = docs.withColumns({"__k1": k1, "__k2": k2}).join(later_lines(docs, window, long_words).toDF(*own), own[:2], "left")
-    all_lines = F.split(F.col("text"), "\n", -1)
-    kept = F.filter(all_lines, lambda x, i: ~F.array_contains(F.col("__drop"), i))
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    own = free_names(docs, "__k1", "__k2", "__drop")
+    out = docs.withColumns({own[0]: k1, own[1]: k2}).join(later_lines(docs, window, long_words).toDF(*own), own[:2], "left")
+    all_lines, drop = F.split(F.col("text"), "\n", -1), F.col(own[2])
+    # one pass over the lines: the numbers that stay, by a hash set, then their lines
+    kept = let(F.struct(all_lines.alias("lines"), drop.alias("drop")), lambda x: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["drop"]), lambda i: x["lines"][i]))
+    text = F.when(drop.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     out = out.withColumns({"n_lines": F.coalesce(F.size(all_lines), F.lit(0)).cast("bigint"),
-                           "n_dropped": F.coalesce(F.when(F.col("__drop").isNotNull(), F.size("__drop")), F.lit(0)).cast("bigint"),
+                           "n_dropped": F.coalesce(F.when(drop.isNotNull(), F.size(drop)), F.lit(0)).cast("bigint"),
                            "text": text}).drop(*own)
     out = out.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("n_lines")))
     if "n_chars" in docs.columns:

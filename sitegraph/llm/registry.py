@@ -25,13 +25,15 @@ def _query(name: str, sql: str | None = None):
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-@_query("op6_line_dedup", """
+@_query("op6_line_dedup", r"""
 WITH l AS (
   SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS ln,
          trim(unnest(string_split(text, chr(10))), ' ') AS line FROM documents WHERE text IS NOT NULL),
 s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS s FROM l WHERE line <> ''),
 r AS (SELECT a.doc_id, a.s, a.ln AS at1, b.ln AS at2, a.line AS l1, b.line AS l2
-      FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.s = a.s + 1),
+      FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.s = a.s + 1
+      UNION ALL  -- a line of 50 words or more is a run of its own
+      SELECT doc_id, s, ln, ln, line, '' FROM s WHERE len(regexp_extract_all(line, '[^ \t\n\x0B\f\r]+')) >= 50),
 p AS (SELECT *, row_number() OVER (PARTITION BY l1, l2 ORDER BY doc_id, s) AS nth FROM r),
 del AS (SELECT doc_id, at1 AS ln FROM p WHERE nth > 1 UNION SELECT doc_id, at2 FROM p WHERE nth > 1),
 kept AS (
@@ -45,7 +47,7 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, c
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""")
 def op6_line_dedup(spark, sf):
     from sitegraph.llm.line_dedup import line_dedup
-    out = line_dedup(table(spark, sf, "documents"), window=2)
+    out = line_dedup(table(spark, sf, "documents"), window=2, long_words=50)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 

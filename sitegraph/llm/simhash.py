@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitegraph.llm.common import parallelism, row_key, stage
+from sitegraph.llm.common import free_names, parallelism, row_key, stage
 from sitegraph.llm.components import components
 
 SEED = 42
@@ -234,6 +234,6 @@ def near_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     first = s.groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("r"))
     keep = stage(first.select("r.k1", "r.k2").distinct(), "kept")
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
-    own = docs.columns
-    out = docs.withColumns({"__k1": k1, "__k2": k2}).join(keep.toDF("__k1", "__k2"), ["__k1", "__k2"])
-    return out.dropDuplicates(["__k1", "__k2"]).select(*own)
+    own, names = docs.columns, free_names(docs, "__k1", "__k2")
+    out = docs.withColumns(dict(zip(names, (k1, k2)))).join(keep.toDF(*names), names)
+    return out.dropDuplicates(names).select(*own)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitegraph.llm.bloom import Bloom
-from sitegraph.llm.common import parallelism, row_key, stage
+from sitegraph.llm.common import free_names, parallelism, row_key, stage
 from sitegraph.llm.suffix_array import common_prefixes, lay_out, packed, suffix_array
 from sitegraph.llm.winnowing import gram_hashes
 
@@ -239,17 +239,18 @@ def substring_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, shard:
     """
     d = docs.drop("n_bytes", "n_removed", "n_spans", "kept")
     k1, k2 = row_key(F.col("doc_id"), F.col("text"))
-    d = d.withColumns({"__k1": k1, "__k2": k2})
-    keyed = d.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "text")
+    n1, n2, may, cuts_of = free_names(d, "__k1", "__k2", "__may", "__cuts")
+    d = d.withColumns({n1: k1, n2: k2})
+    keyed = d.select(F.col(n1).alias("k1"), F.col(n2).alias("k2"), "text")
     per = stage(repeated_windows(keyed, length, gram, shard).distinct().groupBy("k1", "k2").agg(
         F.collect_list(F.struct("first", "last")).alias("cuts")), "repeats")
-    asked = d.withColumn("__may", _may(d, Bloom(per, "k1"))("__k1"))
+    asked = d.withColumn(may, _may(d, Bloom(per, "k1"))(n1))
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     zero = F.lit(0).cast("bigint")
-    same = asked.where("not __may").drop("__may").withColumns({
+    same = asked.where(~F.col(may)).drop(may).withColumns({
         "n_bytes": F.octet_length(whole).cast("bigint"), "n_removed": zero, "n_spans": zero, "kept": whole})
-    joined = asked.where("__may").drop("__may").join(per.toDF("__k1", "__k2", "__cuts"), ["__k1", "__k2"], "left")
-    joined = joined.select(*d.columns, "__cuts")
+    joined = asked.where(F.col(may)).drop(may).join(per.toDF(n1, n2, cuts_of), [n1, n2], "left")
+    joined = joined.select(*d.columns, cuts_of)
     text = d.columns.index("text")
     schema = T.StructType([*d.schema.fields, *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
                            T.StructField("kept", T.BinaryType())])
@@ -271,4 +272,4 @@ def substring_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, shard:
                                              schema.fieldNames())
 
     d_columns = d.columns
-    return same.select(*schema.fieldNames()).union(joined.mapInArrow(remove, schema)).drop("__k1", "__k2")
+    return same.select(*schema.fieldNames()).union(joined.mapInArrow(remove, schema)).drop(n1, n2)

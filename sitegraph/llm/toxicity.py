@@ -4,15 +4,21 @@ A text's terms are its distinct words (letters only, lower case) and the first
 four and five letters of longer words, hashed to ``2 ** BITS`` numbers.  The
 machine's score is
 
-    w0 + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j
+    w0 + sum_i w_i a_i x_i + sum_{i<j} <v_i, v_j> x_i x_j
 
 so that terms that are harmless alone can add up by pairs.  x_i falls with the
-term's share of the sample, so words that all texts have say less.
+term's share of the sample, so words that all texts have say less.  a_i, which scales
+the weight alone, is near one for a term whose share of label 1 is far from chance and
+near zero for others: of tens of thousands of terms most would only fit noise.
 
-Fitting takes at most ``SAMPLE`` labelled rows, those of the smallest id hash,
+Every term that stands in more than ``RARE`` sampled texts has weights of its own,
+also one that says nothing alone, as it may be half of a pair.
+
+Fitting takes at most ``SAMPLE`` labelled ids, those of the smallest id hash,
 so the sample is bounded, the same on every run and spread over the table; it
-is joined to the texts by a broadcast that this bound covers.  Hashed terms,
-never texts, come to the driver, and numpy fits there.  Scoring is one pass
+is joined to the texts by a broadcast that this bound covers.  An id that stands on
+many rows gives one text.  Hashed terms, never texts, come to the driver, and numpy
+fits there.  Scoring is one pass
 over all texts with the model (bounded by its number of terms) broadcast.
 """
 
@@ -32,8 +38,10 @@ from pyspark.sql import types as T
 BITS = 20
 #: Most labelled rows that a model is fitted on.
 SAMPLE = 12_000
-#: Terms of a model: those of the sample that tell the labels apart best.
-TERMS = 2000
+#: Sampled texts that a term must exceed to be in the model.
+RARE = 4
+#: Mini-batches that a fit goes through (ten epochs at least).
+STEPS = 700
 #: Weight of a term that all texts have; one that no other text has weighs 1.
 FLOOR = 0.3
 #: Words whose term numbers a worker keeps.
@@ -66,13 +74,14 @@ class Hasher:
 
 @dataclass
 class Model:
-    """slot: place of a term number in w, v and x (-1: not in the model)."""
+    """slot: place of a term number in w, v and x (-1: not in the model); own: scale of its weight alone."""
 
     slot: np.ndarray
     w0: float
     w: np.ndarray
     v: np.ndarray
     x: np.ndarray
+    own: np.ndarray
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Probability of label 1 for each text's term numbers."""
@@ -84,54 +93,58 @@ class Model:
 
     def _raw(self, row: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
         x = self.x[at]
-        out = self.w0 + np.bincount(row, self.w[at] * x, n)
+        out = self.w0 + np.bincount(row, self.w[at] * self.own[at] * x, n)
         for f in range(self.v.shape[1]):
             vx = self.v[at, f] * x
             out += 0.5 * (np.bincount(row, vx, n) ** 2 - np.bincount(row, vx * vx, n))
         return out
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int = 80, batch: int = 256,
-        rate: float = 0.1, l2: float = 1e-5, seed: int = 7) -> Model:
-    """Logistic loss, mini-batches with AdaGrad.  With labels of one kind only, or none, the prior decides."""
+def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int | None = None, batch: int = 256,
+        rate: float = 0.1, l2: float = 1e-5, kv: float = 5.0, seed: int = 7) -> Model:
+    """Logistic loss, mini-batches with AdaGrad, ``STEPS`` of them unless ``epochs`` says otherwise.  With labels of one
+    kind only, or none, the prior decides."""
     n = len(texts)
     zeros = np.zeros(0, np.int32)
     df = np.bincount(np.concatenate([*texts, zeros]), minlength=1 << BITS).astype(float)
-    both = np.bincount(np.concatenate([*(t for t, y in zip(texts, labels) if y), zeros]), minlength=1 << BITS)
-    share = labels.mean() if n else 0.0
-    # how far the label's count among a term's texts is from chance, in standard deviations (5 texts more at chance)
-    apart = np.abs(both - share * df) / np.sqrt(share * (1 - share) * (df + 5) + 1e-9)
-    # terms that tell the labels apart first, then common ones, which may count in pairs only
-    order = np.lexsort((-df, -np.where(apart > 2, apart, 0)))[:TERMS]
-    chosen = np.sort(order[df[order] > 4])
+    chosen = np.flatnonzero(df > RARE)
     slot = np.full(1 << BITS, -1, np.int32)
     slot[chosen] = np.arange(len(chosen))
     rng = np.random.default_rng(seed)
     positive = float(labels.sum())
     w0 = math.log((positive + 0.5) / (n - positive + 0.5)) if n else 0.0
+    share = positive / n if n else 0.0
+    df = df[chosen]
+    with_label = np.bincount(np.concatenate([*(t for t, y in zip(texts, labels) if y), zeros]), minlength=1 << BITS)[chosen]
+    # how far the label's count among a term's texts is from chance, in standard deviations (5 texts more at chance)
+    apart = np.abs(with_label - share * df) / np.sqrt(share * (1 - share) * (df + 5) + 1e-9)
+    chance = math.sqrt(2 * math.log(len(chosen) + 2))  # as far as the farthest of so many terms is by chance
     m = Model(slot, w0, np.zeros(len(chosen)), rng.normal(0, 0.02, (len(chosen), factors)),
-              FLOOR + (1 - FLOOR) * np.log((n + 1) / (df[chosen] + 0.5)) / math.log(n + 2))
+              FLOOR + (1 - FLOOR) * np.log((n + 1) / (df + 0.5)) / math.log(n + 2), 1 / (1 + np.exp(-2 * (apart - chance))))
     if not n or positive in (0, n) or not len(chosen):
         return m
+    shrink = np.minimum(0.2, kv / df)  # what few texts say of pairs counts little
     gw, gv, g0 = np.full(m.w.shape, 1e-2), np.full(m.v.shape, 1e-2), 1e-2
     held = [s[s >= 0] for s in (slot[t] for t in texts)]
-    for _ in range(epochs):
-        order = rng.permutation(n)
-        for lo in range(0, n, batch):
-            pick = order[lo:lo + batch]
-            at = np.concatenate([held[i] for i in pick])
-            row = np.repeat(np.arange(len(pick)), [len(held[i]) for i in pick])
+    batches, order = [], rng.permutation(n)
+    for lo in range(0, n, batch):  # the same batches in every epoch, in another order
+        pick = order[lo:lo + batch]
+        at = np.concatenate([held[i] for i in pick])
+        row = np.repeat(np.arange(len(pick)), [len(held[i]) for i in pick])
+        batches.append((pick, at, row, *np.unique(at, return_inverse=True)))
+    for _ in range(epochs or max(10, -(-STEPS // len(batches)))):
+        for b in rng.permutation(len(batches)):
+            pick, at, row, used, place = batches[b]
             x = m.x[at]
             p = 1 / (1 + np.exp(-np.clip(m._raw(row, at, len(pick)), -40, 40)))
             err = p - labels[pick]
-            used, place = np.unique(at, return_inverse=True)
-            g = np.bincount(place, err[row] * x) / len(pick) + l2 * m.w[used]
+            g = m.own[used] * np.bincount(place, err[row] * x) / len(pick) + l2 * m.w[used]
             gw[used] += g * g
             m.w[used] -= rate * 5 * g / np.sqrt(gw[used])
             for f in range(factors):
                 vx = m.v[at, f] * x
                 total = np.bincount(row, vx, len(pick))
-                g = np.bincount(place, err[row] * x * (total[row] - vx)) / len(pick) + l2 * m.v[used, f]
+                g = np.bincount(place, err[row] * x * (total[row] - vx)) / len(pick) + shrink[used] * m.v[used, f]
                 gv[used, f] += g * g
                 m.v[used, f] -= rate * g / np.sqrt(gv[used, f])
             g = err.mean()
@@ -146,14 +159,16 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
-    """A model from at most ``sample`` labelled rows that are not held out.
+    """A model from at most ``sample`` labelled ids that are not held out, one text each.
 
-    Of repeated labels of a document the largest counts; null ids or labels are left out.
+    Of repeated labels of a document the largest counts, of several texts of one id the
+    least; null ids or labels are left out.
     """
     lab = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).dropna()
     lab = lab.where(~is_held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
     lab = lab.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(sample)
-    d = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(lab), "id").select("h", "id", "y", "text")
+    d = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(lab), "id")
+    d = d.groupBy("h", "id", "y").agg(F.min("text").alias("text"))
 
     def hashed(batches):
         hasher = Hasher()

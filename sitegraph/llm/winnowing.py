@@ -21,7 +21,6 @@ from sitegraph.llm.common import parallelism
 
 K, WINDOW = 12, 32
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_LOWEST = -(1 << 63)
 
 
 def gram_hashes(points: np.ndarray, k: int) -> np.ndarray:
@@ -72,6 +71,12 @@ def winnow(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.
     return h[at], at
 
 
+def unmoved(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray) -> int:
+    """Fingerprints of two texts with one hash at one position."""
+    _, i, j = np.intersect1d(a_at, b_at, assume_unique=True, return_indices=True)
+    return int((a[i] == b[j]).sum())
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard likeness of two sets of hashes; two empty ones are alike."""
     a, b = np.unique(a), np.unique(b)
@@ -101,10 +106,10 @@ def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
     return d.mapInArrow(each, schema)
 
 
-def _slot(limits: list[int], key: Column) -> Column:
-    """Index of the last of the ascending ``limits`` that is at most ``key`` (0 below all), by halving steps."""
-    table, at = F.lit(limits), F.lit(0)
-    step = 1 << (len(limits) - 1).bit_length() >> 1
+def _slot(table: Column, size: int, key: Column) -> Column:
+    """Index of the last of the ``size`` ascending limits in ``table`` that is at most ``key`` (0 below all), by halving steps."""
+    at = F.lit(0)
+    step = 1 << (size - 1).bit_length() >> 1
     steps = []
     while step:
         steps.append(step)
@@ -112,32 +117,38 @@ def _slot(limits: list[int], key: Column) -> Column:
     if not steps:
         return at
     return F.aggregate(F.lit(steps), at, lambda lo, s: F.when(
-        (lo + s < len(limits)) & (F.get(table, lo + s) <= key), lo + s).otherwise(lo))
+        (lo + s < size) & (F.get(table, lo + s) <= key), lo + s).otherwise(lo))
 
 
 def _neighbours(docs: DataFrame) -> DataFrame:
     """(bucket, guest, doc_id, text): ranges of doc_id, descending, each with the first row of the next range as guest."""
     spark = docs.sparkSession
     n = parallelism(spark)
-    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST))  # a null id comes last
-    ids = docs.select(order.alias("sid")).repartitionByRange(8 * n, "sid")
-    ranges = ids.groupBy(F.spark_partition_id().alias("p")).agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
-    ranges = sorted((r["lo"], r["hi"]) for r in ranges.collect())  # two ids a range
+    # ascending it is the order backwards: nulls are least, and of one id the text of the greatest hash comes first
+    place = F.struct(F.col("doc_id").alias("id"), F.bitwise_not(F.xxhash64("text")).alias("h"))
+    ids = docs.select(place.alias("sid")).repartitionByRange(8 * n, "sid")
+    ranges = ids.groupBy(F.spark_partition_id().alias("p")).agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).orderBy("lo")
+    ranges = [(tuple(r["lo"]), tuple(r["hi"])) for r in ranges.select("lo", "hi").collect()]  # two places a range
     if not ranges:
         return docs.select(F.lit(0).alias("bucket"), F.lit(False).alias("guest"), "doc_id", "text")
     m = len(ranges)
-    d = docs.select("doc_id", "text", order.alias("sid"))
-    d = d.withColumn("b", _slot([lo for lo, _ in ranges], F.col("sid")))
+    kind = docs.schema["doc_id"].dataType
+    def places(of: list) -> Column:
+        return F.array(*[F.struct(F.lit(i).cast(kind).alias("id"), F.lit(h).cast("bigint").alias("h")) for i, h in of])
+    d = docs.select("doc_id", "text", place.alias("sid"))
+    d = d.withColumn("b", _slot(places([lo for lo, _ in ranges]), m, F.col("sid")))
     own = F.struct(F.col("b").alias("bucket"), F.lit(False).alias("guest"))
     guest = F.struct(((F.col("b") + 1) % m).alias("bucket"), F.lit(True).alias("guest"))
-    last = F.get(F.lit([hi for _, hi in ranges]), F.col("b")) == F.col("sid")
+    last = F.get(places([hi for _, hi in ranges]), F.col("b")) == F.col("sid")
     d = d.select("doc_id", "text", "sid", F.explode(F.when(last, F.array(own, guest)).otherwise(F.array(own))).alias("to"))
-    d = d.select("to.bucket", "to.guest", "doc_id", "text", "sid", F.xxhash64("text").alias("h"))
-    return d.repartition(n, "bucket").sortWithinPartitions("bucket", "guest", F.desc("sid"), "h").select("bucket", "guest", "doc_id", "text")
+    d = d.select("to.bucket", "to.guest", "doc_id", "text", "sid")
+    return d.repartition(n, "bucket").sortWithinPartitions("bucket", "guest", F.desc("sid")).select("bucket", "guest", "doc_id", "text")
 
 
 def edited_likeness(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, unmoved) of every row.
+
+    unmoved counts the fingerprints that the edited text has at the same positions: where it agrees with the text.
 
     The edited text is the text with its last floor(n/2) code points replaced
     by the first as many (or all) of the next document's.  Documents follow
@@ -148,27 +159,28 @@ def edited_likeness(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
     """
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_chars", T.LongType()),
                            *[T.StructField(c, T.StringType()) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")],
-                           *[T.StructField(c, T.DoubleType()) for c in ("near_edited", "near_next")]])
+                           *[T.StructField(c, T.DoubleType()) for c in ("near_edited", "near_next")], T.StructField("unmoved", T.LongType())])
 
     def each(batches):
-        held = None  # (bucket, guest, doc_id, text, hashes): waits for the row after it
+        held = None  # (bucket, guest, doc_id, text, hashes, positions): waits for the row after it
         for batch in batches:
             out = [[] for _ in schema.fields]
             for bucket, guest, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if guest and (held is None or held[1] or held[0] != bucket):
                     continue
                 text = text or ""
-                row = (bucket, guest, key, text, winnow(text, k, window)[0])
+                row = (bucket, guest, key, text, *winnow(text, k, window))
                 if held and not held[1]:
                     cut = len(held[3]) // 2
                     edited = held[3][:len(held[3]) - cut] + text[:cut]
-                    other = winnow(edited, k, window)[0]
+                    other, at = winnow(edited, k, window)
                     values = (held[2], len(held[3]), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_string(held[4]),
-                              as_string(other), likeness(held[4], other), likeness(held[4], row[4]))
+                              as_string(other), likeness(held[4], other), likeness(held[4], row[4]),
+                              unmoved(held[4], held[5], other, at))
                     for column, v in zip(out, values):
                         column.append(v)
                 held = row
-            types = [batch.schema.field(2).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+            types = [batch.schema.field(2).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], schema.fieldNames())
 
     return _neighbours(docs).mapInArrow(each, schema)

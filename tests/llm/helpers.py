@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 #: Columns whose names the operators use inside, and extra ones.
 CLASH = ["k1", "k2", "score", "fp", "n", "w", "term", "drop", "hits", "items", "h", "at", "cut", "start", "length", "hashes",
-         "n_tokens", "predicted", "kept", "n_lines", "_k1", "value"]
+         "n_tokens", "predicted", "kept", "n_lines", "_k1", "value", "__k1", "__k2", "__drop", "__may", "__cuts", "_host", "_template", "sid", "root", "n_shingles"]
 
 
 def edge_rows():

@@ -3,7 +3,9 @@ import collections
 import itertools
 import math
 import random
+import re
 import zlib
+from xml.etree import ElementTree
 
 import numpy as np
 import pytest
@@ -164,6 +166,23 @@ def test_pairs_are_learned():
     assert ((p > 0.5) == np.array(y[2000:], bool)).mean() > 0.95
 
 
+def test_rare_harmless_terms_decide_together():
+    """Two terms, each in one text of thirty and as often with either label: only both together mean label 1."""
+    from sitegraph.llm.toxicity import Hasher, fit
+    rng = np.random.default_rng(4)
+    h, texts, y = Hasher(), [], []
+    filler = [f"filler{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    for i in range(6000):
+        both = i % 60 == 0
+        words = list(rng.choice(filler, 12)) + (["slur", "group"] if both else ["slur"] if i % 60 == 1 else ["group"] if i % 60 == 2 else [])
+        texts.append(h.terms(" ".join(words)))
+        y.append(float(both or i % 60 == 3))
+    m = fit(texts[:4000], np.array(y[:4000]))
+    assert all(m.slot[t] >= 0 for w in ("slur", "group", *filler) for t in h.terms(w))
+    p, kind = m.score(texts[4000:]), np.arange(4000, 6000) % 60
+    assert p[kind == 0].mean() > 3 * max(p[kind == 1].mean(), p[kind == 2].mean())
+
+
 def test_raw_score_is_the_pair_sum():
     from sitegraph.llm.toxicity import Hasher, fit
     h = Hasher()
@@ -172,7 +191,7 @@ def test_raw_score_is_the_pair_sum():
     got = m.score(texts[:6])
     for t, p in zip(texts, got):
         at = [m.slot[i] for i in t if m.slot[i] >= 0]
-        z = m.w0 + sum(m.w[i] * m.x[i] for i in at)
+        z = m.w0 + sum(m.w[i] * m.own[i] * m.x[i] for i in at)
         z += sum(m.v[i] @ m.v[j] * m.x[i] * m.x[j] for i, j in itertools.combinations(at, 2))
         assert math.isclose(p, 1 / (1 + math.exp(-z)), rel_tol=1e-9)
 
@@ -198,6 +217,16 @@ def test_toxicity_edges(spark):
     assert toxicity(docs_of(spark, []), labels).count() == 0
 
 
+def test_an_id_on_many_rows_gives_one_text(spark, monkeypatch):
+    from sitegraph.llm import toxicity as X
+    seen = []
+    monkeypatch.setattr(X, "fit", lambda texts, labels: seen.append((len(texts), labels.tolist())))
+    labels = spark.createDataFrame([(7, 1), (8, 0), (4, 1)], "doc_id long, toxic int")  # 4 is held out
+    rows = [(7, f"text {i}") for i in range(5000)] + [(8, "x"), (8, None), (4, "held out")]
+    X.train(docs_of(spark, rows), labels, sample=10)
+    assert seen == [(2, [1.0, 0.0])] or seen == [(2, [0.0, 1.0])]
+
+
 # ------------------------------------------------------------- LM scoring
 def test_score_by_definition(spark):
     """Sum over words of log P(class | neighbours) + log P(cell | class), worked out word by word."""
@@ -254,14 +283,120 @@ def test_main_text(spark):
     assert Page("<p>a<p>b</b><ul><li>c<li>d</ul><table><tr><td>1<td>2</table>e<foo").blocks == ["a", "b", "c", "d", "1", "2", "e"]
     assert Page("<div>" * 5000 + "deep" + "</div>" * 5000).blocks == ["deep"]
     assert Page(None).blocks == Page("").blocks == [] and Page("1 < 2 &am").blocks == ["1 < 2 &am"]
-    site = [(i, "https://h.org/%d" % i, f"<body><div>Our site</div><div>page {i}<p>Read on</p></div></body>") for i in range(12)]
+    site = [(i, "https://h.org/%d" % i, f"<body><div>Our site</div><div>page {hash_word(i)}<p>Read on</p></div></body>") for i in range(12)]
     more = [(90, None, None), (91, "", ""), (92, "https://o.org/", "<div>Our site</div><p>x"), (92, "https://o.org/", "<div>Our site</div><p>x")]
     df = spark.createDataFrame([(*r, "z", "z") for r in site + more], "page_id long, url string, html string, text string, host string")
     got = sorted_rows(main_text(df), "page_id", "text")
-    assert got == sorted([(i, f"page {i}") for i in range(12)] + [(90, ""), (91, ""), (92, "Our site\n\nx"), (92, "Our site\n\nx")], key=repr)
+    assert got == sorted([(i, f"page {hash_word(i)}") for i in range(12)] + [(90, ""), (91, ""), (92, "Our site\n\nx"), (92, "Our site\n\nx")], key=repr)
     assert main_text(df.limit(0)).count() == 0
 
 
+def test_parts_that_are_no_article():
+    from sitegraph.llm.html_text import Page, attributes
+    def text(body):
+        return Page(body).blocks
+    assert text('<p data-id="ads">a</p><p class="share-price">b</p><p title=\'x class="ad"\'>c</p>') == ["a", "b", "c"]
+    assert text('<form action="/x"><nav>n</nav><article><h1>h</h1><p>a</p><label>l</label></article></form>') == ["h", "a"]
+    assert text('<p>a</p><form><p>Sign up</p><input></form>') == ["a"] and text(f'<form>{"<p>long text of a page</p>" * 30}</form>') != []
+    for name in ("sidebar", "sidebar2", "sidebarLeft", "left-sidebar", "cookiebar", "cookie_banner", "commentsection", "comments", "x ad", "site-footer", "NavBar"):
+        assert text(f'<p>a</p><div class="{name}">no</div><div id={name.split()[-1]}>no</div>') == ["a"], name
+    for name in ("adapter", "shared-space", "navel", "commentary", "header-image-text-of-article", "related-party-deals"):
+        assert text(f'<div class="{name}">a</div>') == ["a"], name
+    assert text('<main><article><header><h1>h</h1></header>a</article><article class="comment">c</article><section id=comments><article>c</article></section></main>') == ["h", "a"]
+    assert text('<div class="modal wrapper"><article>a</article></div>') == ["a"] and text('<div class="header">x</div><p>a') == ["a"]
+    assert text('<article>a<div class="article-header">b</div><div class="header">c</div></article>') == ["a", "b", "c"]
+    assert attributes("a=1 CLASS = 'x y' class=z data-x=\"a class='q'\" b") == {"a": "1", "class": "x y", "data-x": "a class='q'", "b": ""}
+
+
+def _key(x):
+    parts = [re.sub(r"\d+", "0", x.text or "")] if x.text else []
+    return (x.tag, *parts, *map(_key, x))
+
+
+def _leaves(x, template, inside=False):
+    """Texts of the leaves that are in no template subtree, and the length of those that are."""
+    box = x.tag in ("div", "section") if inside else x.tag not in ("html", "body", "main", "article")
+    if box and _key(x) in template:
+        return [], sum(len(y.text or "") for y in x.iter())
+    own, lost = ([x.text] if x.text else []), 0
+    for y in x:
+        a, b = _leaves(y, template, inside or x.tag == "article")
+        own, lost = own + a, lost + b
+    return own, lost
+
+
+def _subtrees(x, inside=False):
+    box = x.tag in ("div", "section") if inside else x.tag not in ("html", "body", "main", "article")
+    return ({_key(x)} if box and any(y.text for y in x.iter()) else set()).union(*(_subtrees(y, inside or x.tag == "article") for y in x))
+
+
+def _plain_main_text(site):
+    """Template removal over one host's pages, as trees."""
+    trees = [ElementTree.fromstring(h) for h in site]
+    least = max(min(10, max(2, -(-len(site) // 4))), -(-len(site) // 100))
+    counts = collections.Counter(k for t in trees for k in _subtrees(t))
+    recurs = {k for k, n in counts.items() if n >= least}
+    votes = collections.Counter()
+    for t in trees:
+        own, lost = _leaves(t, recurs)
+        if sum(map(len, own)) >= 0.2 * (sum(map(len, own)) + lost):
+            votes.update(_subtrees(t) & recurs)
+    template = {k for k, n in votes.items() if n >= least}
+    out = []
+    for t in trees:
+        article = t.find(".//article")
+        out.append("\n\n".join(_leaves(t, template)[0] if article is None else _leaves(article, template, False)[0]))
+    return out
+
+
+def _site(rng, n):
+    """Pages of one host: boxes of sections and layouts, dated notices, own paragraphs, quotes, copies of whole pages."""
+    pages = []
+    for i in range(n):
+        section = int(rng.integers(0, 3))
+        top = [f"<div><p>Notice of section {'abc'[section]}</p><p>Mind the gap</p></div>"] * (rng.random() < 0.8)
+        top += [f"<p>Posted on {i} May</p>"] * (rng.random() < 0.7) + ["<section><p>About us</p></section>"] * (rng.random() < 0.5)
+        own = [f"<p>{' '.join(f'w{x}z' for x in rng.choice(list('abcdefghijklmnop'), 12))}</p>" for _ in range(int(rng.integers(0, 4)))]
+        own += ["<p>A saying that many quote</p>"] * (rng.random() < 0.3)
+        body = "".join(own) + "<div><p>Read more of it</p></div>" * (rng.random() < 0.6)
+        body = f"<article>{body}</article>" if rng.random() < 0.4 else body
+        pages.append(f"<body>{''.join(top)}{body}<ul><li>Home</li><li>Contact</li></ul></body>")
+        if pages and rng.random() < 0.2:
+            pages.append(pages[int(rng.integers(0, len(pages)))])
+    return pages
+
+
+def test_template_removal_against_trees(spark):
+    from sitegraph.llm.html_text import main_text
+    rng = np.random.default_rng(11)
+    rows, want = [], []
+    for k, n in enumerate([1, 2, 3, 5, 9, 30, 300]):
+        site = _site(rng, n)
+        rows += [(len(rows) + i, f"http://h{k}.org/{i}", h) for i, h in enumerate(site)]
+        want += _plain_main_text(site)
+    got = [r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert got == want
+    plain = ["\n\n".join(x.text for x in ElementTree.fromstring(h).iter() if x.text) for _, _, h in rows]
+    assert sum(a != b for a, b in zip(got, plain)) > 200
+
+
+def test_template_of_small_and_of_large_hosts(spark):
+    from sitegraph.llm.html_text import main_text
+    five = [(i, f"http://a.org/{i}", f"<p>We use cookies on this site</p><p>{'abcde'[i]} text of its own</p>") for i in range(5)]
+    three = [(100 + i, f"http://b.org/{i}", f"<p>Notice of part {'xyz'[i % 3]}</p><p>own words {hash_word(i)}</p>") for i in range(300)]
+    copies = [(500 + i, f"http://c.org/{i}", "<p>One article</p><p>in copies only</p>") for i in range(40)]
+    copies += [(600 + i, f"http://c.org/x{i}", f"<p>Menu</p><p>other words {hash_word(i)}</p>") for i in range(40)]
+    df = spark.createDataFrame(five + three + copies, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(df).collect()}
+    assert all(got[i] == f"{'abcde'[i]} text of its own" for i in range(5))
+    assert all(got[100 + i] == f"own words {hash_word(i)}" for i in range(300))
+    assert all(got[500 + i] == "One article\n\nin copies only" for i in range(40)) and all(got[600 + i] == f"other words {hash_word(i)}" for i in range(40))
+
+
+def hash_word(i):
+    return "".join("abcdefghij"[int(d)] for d in str(i))
+
+
 # --------------------------------------------------------------- pipeline
 def test_pipeline(spark, sf):
     """Every stage against the plain version on its own input."""
@@ -285,7 +420,7 @@ def test_pipeline(spark, sf):
     scores = model.score([Hasher().terms(t) for _, t in rows])
     assert sorted_rows(out, "doc_id") == sorted(((k,) for (k, _), s in zip(rows, scores) if s < 0.7), key=repr)
     rows, out = held["line_dedup"]
-    assert sorted_rows(out, "doc_id", "text") == sorted(((k, t) for (k, _), t in zip(rows, B._line_dedup(rows, 2))), key=repr)
+    assert sorted_rows(out, "doc_id", "text") == sorted(((k, t) for (k, _), t in zip(rows, B._line_dedup(rows, 2, 50))), key=repr)
     assert all(r.n_chars == len(r.text) for r in out.collect())
     rows, out = held["simhash"]
     groups = B._groups([B._simhash(t) for _, t in rows], 2)

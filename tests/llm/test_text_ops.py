@@ -15,7 +15,7 @@ def _documents(spark, sf):
 
 
 # ------------------------------------------------------------- line dedup
-def _line_dedup(rows, window):
+def _line_dedup(rows, window, long_words=1 << 30):
     """rows: (doc_id, text) distinct; gives the texts, in order of rows."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
     seen, out = set(), [None] * len(rows)
@@ -26,10 +26,11 @@ def _line_dedup(rows, window):
         lines = text.split("\n")
         at = [j for j, x in enumerate(lines) if x.strip(" ")]
         drop = set()
-        for s in range(len(at) - window + 1):
-            run = tuple(lines[j].strip(" ") for j in at[s:s + window])
+        runs = [at[s:s + window] for s in range(len(at) - window + 1)] + [[j] for j in at if len(lines[j].split()) >= long_words]
+        for places in runs:
+            run = tuple(lines[j].strip(" ") for j in places)
             if run in seen:
-                drop.update(at[s:s + window])
+                drop.update(places)
             seen.add(run)
         out[i] = "\n".join(x for j, x in enumerate(lines) if j not in drop)
     return out
@@ -294,13 +295,25 @@ def test_edited_likeness(spark):
         text, after = text or "", after or ""
         cut = len(text) // 2
         edited = text[:len(text) - cut] + after[:cut]
-        a, b, c = (winnow(x)[0] for x in (text, edited, after))
+        (a, at), (b, bt), (c, _) = (winnow(x) for x in (text, edited, after))
+        same = set(zip(a.tolist(), at.tolist())) & set(zip(b.tolist(), bt.tolist()))
         assert tuple(got[key]) == (key, len(text), hashlib.sha256(edited.encode()).hexdigest(), as_string(a), as_string(b),
-                                   likeness(a, b), likeness(a, c))
+                                   likeness(a, b), likeness(a, c), len(same))
     assert edited_likeness(docs_of(spark, [])).count() == 0
     one = edited_likeness(docs_of(spark, [(1, "abcd")])).first()
     assert one.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one.near_next == 1.0
     repeated = edited_likeness(docs_of(spark, [(1, "abcd"), (1, "abcd"), (1, "xy")]))
     assert repeated.count() == 3
+    # ids that are text, one of them on most rows: rows of one id follow each other, every row but one of an id is next of another
+    # (texts differ in their first halves, so an edited text names both)
+    many = [("b", f"{i:03d} is the number of this row of an id that has many of them, {i}") for i in range(300)] + [("a", "aa first of all"), ("c", "cc last of all"), (None, "nn none")]
+    df = spark.createDataFrame(many, "doc_id string, text string").repartition(5)
+    out = edited_likeness(df).collect()
+    texts = sorted(t for _, t in many)
+    by = {hashlib.sha256((t[:len(t) - len(t) // 2] + u[:len(t) // 2]).encode()).hexdigest(): (t, u) for t in texts for u in texts}
+    pairs = [by[r.edited_sha256] for r in out]
+    assert sorted(t for t, _ in pairs) == texts and len({r.doc_id for r in out}) == 4
+    firsts = {u for _, u in pairs}
+    assert {"aa first of all", "nn none", "cc last of all"} <= firsts and dict(pairs)["nn none"] == "cc last of all" and dict(pairs)["aa first of all"] == "nn none"
     marks = fingerprints(docs_of(spark, edge_rows())).collect()
     assert len(marks) == len(edge_rows()) and all(len(r.hashes) == len(r.positions) for r in marks)

@@ -1,106 +1,172 @@
 """Masked pseudo-likelihood of documents by a bidirectional window network.
 
-Words (lower-cased A-Z, split at ASCII white space) are hashed to ``CELLS``
-cells.  A word's probability given the ``SIDE`` words on each side of it is
-
-    P(class of its cell | neighbours) * P(cell | class)
-
-- class: the ``SINGLE`` most frequent cells stand alone, the others fall into
-  ``CLASSES - SINGLE`` groups by number;
-- P(cell | class): counts over all documents (each task counts its cells, Spark
-  sums them);
-- P(class | neighbours): a network in numpy, softmax(tanh(sum of a vector for
-  each neighbour's class and place) W + b).
-
-The network sees every document once.  In each of ``ROUNDS`` rounds the tasks
-start from the same weights and learn from the documents whose hash falls to
-the round; Spark averages their weights by words seen.  Weights and counts are
-bounded by the parameters above, so they can be collected and broadcast.
-A document's score is the sum of the log-probabilities of its words.
+Words (lower-cased A-Z, split at ASCII white space) are counted over all documents;
+the counts of the full words, by 64-bit hash, are a Spark table that grows with the
+corpus.  A word's probability given the ``SIDE`` words on each side of it is
+
+    P(class | neighbours) * P(ending | class, neighbours) * count / count of (class, ending)
+
+- the class is a word's place by frequency: ``CLASSES`` runs of the frequency order of about
+  equal weight, so the most frequent words stand alone; the last class has all words
+  beyond the ``KNOWN`` most frequent ones;
+- the ending is one of ``ENDINGS`` groups of a word's last two bytes;
+- both softmaxes see the neighbours: one hidden layer, tanh of the sum of a vector for each
+  neighbour's place and class and one for its place and ending; the second adds a bias
+  of the class.
+
+So every word has a context of its own kind and, in the last factor, its own count.  The
+known words' counts are bounded by a parameter and broadcast; those of the others are
+joined from the table.
+
+The network sees every document once.  Documents are dealt by a hash of the row to
+groups of about ``GROUP`` words, and to ``ROUNDS`` rounds.  In a round every group
+learns from the same weights on, through its documents in the order of their hashes;
+Spark averages the groups' weights by words.  What a group is depends on the corpus
+alone, so neither files nor partitions nor executors change the scores.
 """
 
 from __future__ import annotations
 
-import math
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CELLS = 1 << 18
-CLASSES, SINGLE = 64, 40
+from sitegraph.llm.common import free_names, parallelism, row_key, stage
+
+#: Most frequent words whose counts and classes every task has.
+KNOWN = 1 << 17
+CLASSES, ENDINGS = 64, 64
 SIDE, WIDTH = 2, 16
-ROUNDS = 2
+ROUNDS, GROUP = 2, 4_000_000
 #: Words of a training step, and of a scoring step.
 STEP = 4096
-_NONE = CLASSES  # class of a place outside the document
+#: Distinct words a worker keeps the numbers of.
+CACHE = 500_000
+_NONE = CLASSES  # class and ending of a place outside the document
+
+
+def words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def cells(text: str | None) -> np.ndarray:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & (CELLS - 1)
+def word_hash(word: bytes) -> int:
+    """Signed 64-bit hash."""
+    h = xxhash.xxh64_intdigest(word)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def ending(word: bytes) -> int:
+    tail = word[-2:]
+    return (tail[0] * 31 + tail[-1] * 7) % ENDINGS
 
 
 @dataclass
 class Vocabulary:
-    """klass: class of each cell; log_in: log P(cell | class), a cell never counted as if once."""
+    """The known words by ascending hash, their counts and classes; ``cells``: counts of (class, ending)."""
 
-    klass: np.ndarray
-    log_in: np.ndarray
+    hashes: np.ndarray
+    counts: np.ndarray
+    classes: np.ndarray
+    cells: np.ndarray
 
     @classmethod
-    def of(cls, counts: np.ndarray) -> Vocabulary:
-        klass = (SINGLE + np.arange(CELLS) % (CLASSES - SINGLE)).astype(np.int64)
-        top = np.argsort(-counts, kind="stable")[:SINGLE]
-        klass[top] = np.arange(SINGLE)
-        total = np.bincount(klass, counts, CLASSES)
-        log_in = np.log(np.maximum(counts, 1)) - np.log(np.maximum(total, 1))[klass]
-        return cls(klass, log_in)
+    def of(cls, hashes: np.ndarray, counts: np.ndarray, total: int) -> Vocabulary:
+        """From the known words, most frequent first, and the number of all words' occurrences."""
+        before = np.cumsum(counts) - counts
+        klass = np.minimum(before * CLASSES // max(1, total), CLASSES - 2)
+        order = np.argsort(hashes, kind="stable")
+        return cls(hashes[order], counts[order], klass[order], np.zeros((CLASSES, ENDINGS)))
+
+
+class Encoder:
+    """Numbers of words: place among the known ones (-1: none), class, ending and hash."""
+
+    def __init__(self, v: Vocabulary):
+        self.v, self.kept = v, {}
+
+    def _new(self, word: bytes) -> int:
+        h = word_hash(word)
+        at = int(np.searchsorted(self.v.hashes, h))
+        known = at < len(self.v.hashes) and int(self.v.hashes[at]) == h
+        self.rows.append((at if known else -1, int(self.v.classes[at]) if known else CLASSES - 1, ending(word), h))
+        self.kept[word] = len(self.rows) - 1
+        return len(self.rows) - 1
+
+    def encode(self, texts: list[list[bytes]]) -> np.ndarray:
+        """(4, words): the numbers of all words of the texts."""
+        if len(self.kept) > CACHE or not self.kept:
+            self.kept, self.rows, self.table = {}, [], np.zeros((0, 4), np.int64)
+        get, new = self.kept.get, self._new
+        at = []
+        for t in texts:
+            for w in t:
+                i = get(w)
+                at.append(new(w) if i is None else i)
+        if len(self.table) < len(self.rows):
+            self.table = np.concatenate([self.table, np.array(self.rows[len(self.table):], np.int64)])
+        return self.table[np.array(at, np.int64)].T
 
 
 @dataclass
 class Network:
-    """e: vectors by place and class; w, b: output."""
+    """c, e: vectors by place and class, and by place and ending; w1, b1: classes; w2, b2: endings, b2 by class."""
 
+    c: np.ndarray
     e: np.ndarray
-    w: np.ndarray
-    b: np.ndarray
+    w1: np.ndarray
+    b1: np.ndarray
+    w2: np.ndarray
+    b2: np.ndarray
+
+    @staticmethod
+    def shapes() -> list[tuple[int, ...]]:
+        return [(2 * SIDE, CLASSES + 1, WIDTH), (2 * SIDE, ENDINGS + 1, WIDTH), (WIDTH, CLASSES), (CLASSES,), (WIDTH, ENDINGS), (CLASSES, ENDINGS)]
 
     @classmethod
-    def start(cls, share: np.ndarray, seed: int = 3) -> Network:
-        """Small random weights; the output starts at the classes' shares."""
+    def start(cls, cells: np.ndarray, seed: int = 3) -> Network:
+        """Small random weights; the outputs start at the counts' shares."""
         rng = np.random.default_rng(seed)
-        return cls(rng.normal(0, 0.1, (2 * SIDE, CLASSES + 1, WIDTH)).astype(np.float32),
-                   rng.normal(0, 0.1, (WIDTH, CLASSES)).astype(np.float32), np.log(share).astype(np.float32))
+        s = cells + 0.1
+        parts = [rng.normal(0, 0.1, shape) for shape in cls.shapes()]
+        parts[3], parts[5] = np.log(s.sum(axis=1) / s.sum()), np.log(s / s.sum(axis=1, keepdims=True))
+        return cls(*(p.astype(np.float32) for p in parts))
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.c, self.e, self.w1, self.b1, self.w2, self.b2]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.e.ravel(), self.w.ravel(), self.b]).astype(np.float64)
+        return np.concatenate([p.ravel() for p in self.parts()]).astype(np.float64)
 
     @classmethod
     def unflat(cls, x: np.ndarray) -> Network:
-        n, m = 2 * SIDE * (CLASSES + 1) * WIDTH, WIDTH * CLASSES
-        x = np.asarray(x, np.float32)
-        return cls(x[:n].reshape(2 * SIDE, CLASSES + 1, WIDTH).copy(), x[n:n + m].reshape(WIDTH, CLASSES).copy(), x[n + m:].copy())
-
-    def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = self.e[0][around[0]]
+        x, out = np.asarray(x, np.float32), []
+        for shape in cls.shapes():
+            n = int(np.prod(shape))
+            out.append(x[:n].reshape(shape).copy())
+            x = x[n:]
+        return cls(*out)
+
+    def hidden(self, around: np.ndarray) -> np.ndarray:
+        """around: class and ending of each neighbour, (2, places, words)."""
+        h = self.c[0][around[0, 0]] + self.e[0][around[1, 0]]
         for s in range(1, 2 * SIDE):
-            h = h + self.e[s][around[s]]
-        h = np.tanh(h)
-        z = h @ self.w + self.b
-        z -= z.max(axis=1, keepdims=True)
-        return h, z
+            h += self.c[s][around[0, s]]
+            h += self.e[s][around[1, s]]
+        return np.tanh(h)
 
-    def log_probability(self, classes: np.ndarray, around: np.ndarray) -> np.ndarray:
+    def log_probability(self, classes: np.ndarray, endings: np.ndarray, around: np.ndarray) -> np.ndarray:
+        """log P(class | neighbours) + log P(ending | class, neighbours) of each word."""
         out = np.empty(len(classes))
         for i in range(0, len(classes), STEP):
-            _, z = self.forward(around[:, i:i + STEP])
-            c = classes[i:i + STEP]
-            out[i:i + STEP] = z[np.arange(len(c)), c] - np.log(np.exp(z).sum(axis=1))
+            h, k, e = self.hidden(around[:, :, i:i + STEP]), classes[i:i + STEP], endings[i:i + STEP]
+            at = np.arange(len(k))
+            a, b = h @ self.w1 + self.b1, h @ self.w2 + self.b2[k]
+            out[i:i + STEP] = (a[at, k] - np.log(np.exp(a).sum(axis=1))).astype(float) + (b[at, e] - np.log(np.exp(b).sum(axis=1)))
         return out
 
 
@@ -109,44 +175,52 @@ class Learner:
 
     def __init__(self, net: Network, rate: float = 0.1):
         self.net, self.rate, self.seen = net, rate, 0
-        self.g = [np.full(p.shape, 1e-4, np.float32) for p in (net.e, net.w, net.b)]
+        self.g = [np.full(p.shape, 1e-4, np.float32) for p in net.parts()]
 
-    def learn(self, classes: np.ndarray, around: np.ndarray) -> None:
+    def learn(self, classes: np.ndarray, endings: np.ndarray, around: np.ndarray) -> None:
         for i in range(0, len(classes), STEP):
-            self._step(classes[i:i + STEP], around[:, i:i + STEP])
+            self._step(classes[i:i + STEP], endings[i:i + STEP], around[:, :, i:i + STEP])
         self.seen += len(classes)
 
-    def _step(self, c: np.ndarray, around: np.ndarray) -> None:
-        net, n = self.net, len(c)
-        h, z = net.forward(around)
-        p = np.exp(z)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(n), c] -= 1
-        p /= n
-        back = (p @ net.w.T) * (1 - h * h)
-        ge = np.empty_like(net.e)
-        for s in range(2 * SIDE):
-            for k in range(WIDTH):
-                ge[s, :, k] = np.bincount(around[s], back[:, k], CLASSES + 1)
-        for x, g, sum_g in zip((net.e, net.w, net.b), (ge, h.T @ p, p.sum(axis=0)), self.g):
+    def _step(self, k: np.ndarray, e: np.ndarray, around: np.ndarray) -> None:
+        net, n = self.net, len(k)
+        h, at = net.hidden(around), np.arange(n)
+        p = np.exp(h @ net.w1 + net.b1)
+        p /= p.sum(axis=1, keepdims=True) * n
+        p[at, k] -= 1 / n
+        q = np.exp(h @ net.w2 + net.b2[k])
+        q /= q.sum(axis=1, keepdims=True) * n
+        q[at, e] -= 1 / n
+        back = (p @ net.w1.T + q @ net.w2.T) * (1 - h * h)
+        gb2 = _add_up(k, q, CLASSES)
+        gc = np.stack([_add_up(around[0, s], back, CLASSES + 1) for s in range(2 * SIDE)])
+        ge = np.stack([_add_up(around[1, s], back, ENDINGS + 1) for s in range(2 * SIDE)])
+        for x, g, sum_g in zip(net.parts(), (gc, ge, h.T @ p, p.sum(axis=0), h.T @ q, gb2), self.g):
             sum_g += g * g
             x -= self.rate * g / np.sqrt(sum_g)
 
 
-def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(class, neighbours by place) of every word of documents given as classes; none reach across documents."""
-    gap = np.full(SIDE, _NONE, np.int64)
-    run = np.concatenate([gap, *(x for d in docs for x in (d, gap))])
-    at = np.flatnonzero(run != _NONE)
-    places = [o for o in range(-SIDE, SIDE + 1) if o]
-    return run[at], np.stack([run[at + o] for o in places])
+def _add_up(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows of each number, by a product with the one-hot matrix."""
+    hot = np.zeros((n, len(at)), np.float32)
+    hot[at, np.arange(len(at))] = 1
+    return hot @ rows
+
 
+def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(classes, endings, around) of every word of documents given as (2, words) arrays; none reach across documents."""
+    gap = np.full((2, SIDE), _NONE, np.int64)
+    run = np.concatenate([gap, *(x for d in docs for x in (d, gap))], axis=1)
+    at = np.flatnonzero(run[0] != _NONE)
+    around = np.stack([run[:, at + o] for o in range(-SIDE, SIDE + 1) if o], axis=1)
+    return run[0, at], run[1, at], around
 
-def _groups(texts: list[str | None]):
-    """Runs of documents of about 64 steps of words."""
+
+def _runs(texts: list[str | None]):
+    """Runs of documents, as words, of about 64 steps."""
     held, size = [], 0
     for t in texts:
-        held.append(cells(t))
+        held.append(words(t))
         size += len(held[-1])
         if size >= 64 * STEP:
             yield held
@@ -155,42 +229,79 @@ def _groups(texts: list[str | None]):
         yield held
 
 
-def count_cells(docs: DataFrame) -> np.ndarray:
-    """Occurrences of each cell in all documents."""
-    def count(batches):
-        n = np.zeros(CELLS, np.int64)
-        for b in batches:
-            for group in _groups(b.column(0).to_pylist()):
-                n += np.bincount(np.concatenate(group), minlength=CELLS)
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["cell", "n"])
-
-    got = docs.select("text").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(CELLS, np.int64)
-    out[got["cell"].to_numpy()] = got["n"].to_numpy()
-    return out
+def _split(numbers: np.ndarray, texts: list[list[bytes]]) -> list[np.ndarray]:
+    return np.split(numbers[1:3], np.cumsum([len(t) for t in texts])[:-1], axis=1)
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) -> Network:
+# ------------------------------------------------------------------ tables
+def count_words(docs: DataFrame) -> DataFrame:
+    """(h, ending, n): hash, ending and occurrences of every word of all documents."""
+    def count(batches):
+        for b in batches:
+            for run in _runs(b.column(0).to_pylist()):
+                n: dict[bytes, int] = {}
+                for t in run:
+                    for w in t:
+                        n[w] = n.get(w, 0) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(map(word_hash, n), pa.int64()), pa.array(map(ending, n), pa.int32()),
+                                                  pa.array(n.values(), pa.int64())], ["h", "ending", "n"])
+
+    each = docs.select("text").mapInArrow(count, "h bigint, ending int, n bigint")
+    return stage(each.groupBy("h").agg(F.min("ending").alias("ending"), F.sum("n").alias("n")), "words")
+
+
+def vocabulary(counted: DataFrame, known: int = KNOWN) -> Vocabulary:
+    """The ``known`` most frequent words (of equal counts those of least hash) and the counts of all cells."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    top = counted.orderBy(F.desc("n"), "h").limit(known).toArrow()
+    top = top.sort_by([("n", "descending"), ("h", "ascending")])
+    v = Vocabulary.of(top["h"].to_numpy(), top["n"].to_numpy(), total)
+    for row in counted.groupBy("ending").agg(F.sum("n").alias("n")).collect():
+        v.cells[CLASSES - 1, row["ending"]] = row["n"]
+    own = top["ending"].to_numpy()[np.argsort(top["h"].to_numpy(), kind="stable")]
+    np.add.at(v.cells, (v.classes, own), v.counts)
+    v.cells[CLASSES - 1] -= np.bincount(own, v.counts, ENDINGS)
+    return v
+
+
+def train(docs: DataFrame, v: Vocabulary, group: int = GROUP) -> Network:
     """The network after every document was seen once."""
-    share = np.bincount(vocabulary.klass, counts, CLASSES) + 1
-    net = Network.start(share / share.sum())
-    sc = docs.sparkSession.sparkContext
-    klass = sc.broadcast(vocabulary.klass)
+    net = Network.start(v.cells)
+    groups = max(1, round(v.cells.sum() / ROUNDS / group))
+    packet = docs.sparkSession.sparkContext.broadcast(v)
+    d = docs.select(*row_key(F.col("doc_id"), F.col("text")), "text")
+    d = d.select((F.pmod(F.col("k1"), F.lit(groups))).alias("g"), F.pmod(F.shiftright("k2", 8), F.lit(ROUNDS)).alias("r"), "k1", "k2", "text")
     for r in range(ROUNDS):
         start = net.flat()
 
         def learn(batches):
-            learner = Learner(Network.unflat(start))
+            now, learner, held, size, encoder = None, None, [], 0, Encoder(packet.value)
+
+            def step():
+                learner.learn(*windows(_split(encoder.encode(held), held)))
+
+            def result():
+                return pa.RecordBatch.from_arrays([pa.array([learner.seen], pa.int64()), pa.array([learner.net.flat()], pa.list_(pa.float64()))], ["n", "x"])
             for b in batches:
-                for group in _groups(b.column(0).to_pylist()):
-                    learner.learn(*windows([klass.value[c] for c in group]))
-            if learner.seen:
-                yield pa.RecordBatch.from_arrays([pa.array([learner.seen], pa.int64()),
-                                                  pa.array([learner.net.flat()], pa.list_(pa.float64()))], ["n", "x"])
-
-        part = docs.where(F.pmod(F.xxhash64(F.lit("round"), "text"), F.lit(ROUNDS)) == r).select("text")
-        each = part.mapInArrow(learn, "n bigint, x array<double>")
+                for g, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    if g != now:
+                        if held:
+                            step()
+                        if learner is not None and learner.seen:
+                            yield result()
+                        now, learner, held, size = g, Learner(Network.unflat(start)), [], 0
+                    held.append(words(text))
+                    size += len(held[-1])
+                    if size >= 64 * STEP:  # a run of whole documents, wherever batches end
+                        step()
+                        held, size = [], 0
+            if held:
+                step()
+            if learner is not None and learner.seen:
+                yield result()
+
+        part = d.where(F.col("r") == r).repartition(parallelism(docs.sparkSession), "g").sortWithinPartitions("g", "k1", "k2")
+        each = stage(part.select("g", "text").mapInArrow(learn, "n bigint, x array<double>"), "weights")
         mean = each.select("n", F.posexplode("x").alias("i", "v")).groupBy("i").agg(
             (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("v")).orderBy("i").toArrow()
         if len(mean):
@@ -198,37 +309,58 @@ def train(docs: DataFrame, vocabulary: Vocabulary, counts: np.ndarray) -> Networ
     return net
 
 
-def score(docs: DataFrame, vocabulary: Vocabulary, net: Network) -> DataFrame:
-    """``docs`` with n_tokens, log_prob and mean_log_prob added (columns of these names are replaced)."""
-    d = docs.drop("n_tokens", "log_prob", "mean_log_prob")
-    text = d.columns.index("text")
-    model = d.sparkSession.sparkContext.broadcast((vocabulary, net))
-    schema = T.StructType([*d.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType()),
-                           T.StructField("mean_log_prob", T.DoubleType())])
+def score(docs: DataFrame, counted: DataFrame, v: Vocabulary, net: Network) -> DataFrame:
+    """(k1, k2, n_tokens, log_prob) per distinct row; k1, k2 name it by doc_id and text."""
+    model = docs.sparkSession.sparkContext.broadcast((v, net))
+    d = docs.select(*row_key(F.col("doc_id"), F.col("text")), "text")
+    schema = "k1 bigint, k2 bigint, n_tokens bigint, log_prob double, rare array<struct<h:bigint,m:bigint>>"
 
     def each(batches):
-        vocabulary, net = model.value
+        v, net = model.value
+        encoder, log_cell = Encoder(v), np.log(np.maximum(v.cells, 1))
+        log_count = np.log(np.concatenate([v.counts, [1]]))  # -1: a word beyond the known ones, whose count is joined
         for b in batches:
-            sizes, sums = [], []
-            for group in _groups(b.column(text).to_pylist()):
-                classes, around = windows([vocabulary.klass[c] for c in group])
-                p = net.log_probability(classes, around) + vocabulary.log_in[np.concatenate(group)]
-                n = [len(c) for c in group]
-                sums += np.bincount(np.repeat(np.arange(len(n)), n), p, len(n)).tolist()
+            sizes, sums, rare, ends = [], [], [], [0]
+            for run in _runs(b.column(2).to_pylist()):
+                numbers = encoder.encode(run)
+                k, e, around = windows(_split(numbers, run))
+                p = net.log_probability(k, e, around) + log_count[numbers[0]] - log_cell[k, e]
+                n = [len(t) for t in run]
+                of = np.repeat(np.arange(len(n)), n)
+                sums += np.bincount(of, p, len(n)).tolist()
                 sizes += n
-            mean = [s / n if n else None for s, n in zip(sums, sizes)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()),
-                                              pa.array(mean, pa.float64())], schema.fieldNames())
+                beyond = numbers[0] < 0  # each word once a document, with its number of places
+                pair, m = np.unique(np.stack([of[beyond], numbers[3][beyond]]), axis=1, return_counts=True)
+                rare.append((pair[1], m))
+                ends += (ends[-1] + np.cumsum(np.bincount(pair[0], minlength=len(n)))).tolist()
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()),
+                                              _structs(rare, ends)], ["k1", "k2", "n_tokens", "log_prob", "rare"])
+
+    scored = stage(d.mapInArrow(each, schema), "scores")
+    one = scored.groupBy("k1", "k2").agg(F.min("n_tokens").alias("n_tokens"), F.min("log_prob").alias("log_prob"))
+    # rows that repeat have the same words as often
+    beyond = scored.select("k1", "k2", F.inline("rare")).groupBy("k1", "k2", "h").agg(F.max("m").alias("m"))
+    more = beyond.join(counted.select("h", F.col("n").alias("c")), "h").groupBy("k1", "k2").agg(F.sum(F.col("m") * F.log("c")).alias("more"))
+    return one.join(more, ["k1", "k2"], "left").select("k1", "k2", "n_tokens", (F.col("log_prob") + F.coalesce("more", F.lit(0.0))).alias("log_prob"))
 
-    return d.mapInArrow(each, schema)
 
+def _structs(rare: list[tuple[np.ndarray, np.ndarray]], ends: list[int]) -> pa.Array:
+    h, m = (np.concatenate([np.zeros(0, np.int64), *(r[i] for r in rare)]) for i in (0, 1))
+    values = pa.StructArray.from_arrays([pa.array(h), pa.array(m)], ["h", "m"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-def lm_score(docs: DataFrame) -> DataFrame:
-    """Counts, trains and scores on ``docs``.
 
-    Null and empty texts have no words: log_prob 0, mean null.  Repeated rows
-    count and are scored each.  An empty table gives an empty one.
+def lm_score(docs: DataFrame, known: int = KNOWN, group: int = GROUP) -> DataFrame:
+    """``docs`` with n_tokens, log_prob and mean_log_prob added (columns of these names are replaced).
+
+    Counts, trains and scores on ``docs``.  Null and empty texts have no words:
+    log_prob 0, mean null.  Repeated rows count each and are scored alike.  An empty
+    table gives an empty one.
     """
-    counts = count_cells(docs)
-    vocabulary = Vocabulary.of(counts)
-    return score(docs, vocabulary, train(docs, vocabulary, counts))
+    counted = count_words(docs)
+    v = vocabulary(counted, known)
+    scores = score(docs, counted, v, train(docs, v, group))
+    d = docs.drop("n_tokens", "log_prob", "mean_log_prob")
+    names = free_names(d, "__k1", "__k2")
+    out = d.withColumns(dict(zip(names, row_key(F.col("doc_id"), F.col("text"))))).join(scores.toDF(*names, "n_tokens", "log_prob"), names).drop(*names)
+    return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

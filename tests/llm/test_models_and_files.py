@@ -10,6 +10,7 @@ from xml.etree import ElementTree
 import numpy as np
 import pytest
 from helpers import docs_of, edge_rows, sorted_rows
+from pyspark.sql import functions as F
 
 
 # ----------------------------------------------------------------- tokens
@@ -228,47 +229,90 @@ def test_an_id_on_many_rows_gives_one_text(spark, monkeypatch):
 
 
 # ------------------------------------------------------------- LM scoring
-def test_score_by_definition(spark):
-    """Sum over words of log P(class | neighbours) + log P(cell | class), worked out word by word."""
+@pytest.mark.parametrize("known", [7, 1 << 17])
+def test_score_by_definition(spark, known):
+    """Sum over words of log P(class) + log P(ending) + log of the share of its cell, worked out word by word."""
     from sitegraph.llm import lm_score as L
-    rows = edge_rows() + [(30 + i, f"some words {i} and more words {i % 3}") for i in range(30)]
+    rows = edge_rows() + [(30 + i, f"some words {i} and more words {i % 3}") for i in range(30)] + [(31, "some words 1 and more words 1")]
     d = docs_of(spark, rows)
-    counts = L.count_cells(d)
-    want = collections.Counter(c for _, t in rows for c in L.cells(t).tolist())
-    assert {int(i): int(counts[i]) for i in np.flatnonzero(counts)} == dict(want)
-    v = L.Vocabulary.of(counts)
-    net = L.train(d, v, counts)
-    assert not np.allclose(net.flat(), L.Network.start((np.bincount(v.klass, counts, L.CLASSES) + 1) / (counts.sum() + L.CLASSES)).flat())
-    got = {r.doc_id: r for r in L.score(d, v, net).collect() if r.doc_id and r.doc_id >= 30}
+    counted = L.count_words(d)
+    n = collections.Counter(w for _, t in rows for w in L.words(t))
+    assert {r.h: r.n for r in counted.collect()} == {L.word_hash(w): k for w, k in n.items()}
+    v = L.vocabulary(counted, known)
+    order = sorted(n, key=lambda w: (-n[w], L.word_hash(w)))
+    klass, before = {}, 0
+    for i, w in enumerate(order):
+        klass[w] = min(before * L.CLASSES // sum(n.values()), L.CLASSES - 2) if i < known else L.CLASSES - 1
+        before += n[w]
+    cells = collections.Counter()
+    for w in n:
+        cells[klass[w], L.ending(w)] += n[w]
+    assert {(k, e): int(v.cells[k, e]) for k, e in zip(*np.nonzero(v.cells))} == dict(cells)
+    net = L.train(d, v)
+    assert not np.allclose(net.flat(), L.Network.start(v.cells).flat())
+    keys = {(r.k1, r.k2): r.doc_id for r in d.select("doc_id", *L.row_key(F.col("doc_id"), F.col("text"))).collect()}
+    got = {keys[r.k1, r.k2]: r for r in L.score(d, counted, v, net).collect()}
     for key, text in rows:
         if key is None or key < 30:
             continue
-        c = L.cells(text).tolist()
-        k = [int(v.klass[x]) for x in c]
+        w = L.words(text)
+        k, e = [klass[x] for x in w], [L.ending(x) for x in w]
         total = 0.0
-        for i in range(len(c)):
+        for i in range(len(w)):
             z = np.zeros(L.WIDTH)
             for place, o in enumerate([-2, -1, 1, 2]):
-                z += net.e[place][k[i + o] if 0 <= i + o < len(k) else L.CLASSES]
-            logits = np.tanh(z) @ net.w + net.b
-            total += logits[k[i]] - math.log(np.exp(logits).sum())
-            total += math.log(counts[c[i]] / sum(counts[x] for x in np.flatnonzero((v.klass == k[i]) & (counts > 0))))
-        assert got[key].n_tokens == len(c) and math.isclose(got[key].log_prob, total, rel_tol=1e-4)
+                there = 0 <= i + o < len(w)
+                z += net.c[place][k[i + o] if there else L.CLASSES] + net.e[place][e[i + o] if there else L.ENDINGS]
+            for logits, x in ((np.tanh(z) @ net.w1 + net.b1, k[i]), (np.tanh(z) @ net.w2 + net.b2[k[i]], e[i])):
+                total += logits[x] - math.log(np.exp(logits).sum())
+            total += math.log(n[w[i]] / cells[k[i], e[i]])
+        assert got[key].n_tokens == len(w) and math.isclose(got[key].log_prob, total, rel_tol=1e-4), key
+
+
+def test_scores_do_not_depend_on_partitions(spark, sf):
+    from sitegraph.llm.lm_score import lm_score
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    runs = [{r.doc_id: r.mean_log_prob for r in lm_score(docs.repartition(n), group=20_000).collect()} for n in (1, 7, 32)]
+    assert len(runs[0]) == docs.count()
+    for other in runs[1:]:
+        assert all(a == b or abs(a - b) < 1e-6 for a, b in ((runs[0][i], other[i]) for i in runs[0]))
+    order = [sorted(r, key=lambda i: (round(r[i] or 0, 6), i)) for r in runs]
+    assert order[0] == order[1] == order[2]
 
 
 def test_network_learns_from_both_sides(spark):
     from sitegraph.llm import lm_score as L
     rng = np.random.default_rng(2)
     rows = [(i, " ".join(w for _ in range(40) for w in (["a", "x", "b"] if rng.random() < 0.5 else ["c", "y", "d"]))) for i in range(200)]
-    got = {r.doc_id: r for r in L.lm_score(docs_of(spark, rows)).collect()}
-    counts = L.count_cells(docs_of(spark, rows))
-    p = counts[counts > 0] / counts.sum()
+    d = docs_of(spark, rows)
+    got = {r.doc_id: r for r in L.lm_score(d).collect()}
+    p = np.array([r.n for r in L.count_words(d).collect()], float)
+    p /= p.sum()
     assert np.mean([r.mean_log_prob for r in got.values()]) > 0.8 * float((p * np.log(p)).sum())  # better than frequencies alone
 
 
+def test_neighbours_tell_more_than_frequencies(spark):
+    """Documents that were not learned from: the network gains half a nat a word over the words' frequencies."""
+    from sitegraph.llm import lm_score as L
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    counted = L.count_words(docs)
+    v, n = L.vocabulary(counted), {r.h: r.n for r in counted.collect()}
+    total = sum(n.values())
+    net = L.train(docs.where("doc_id % 10 <> 0"), v, 1_000_000)
+    held = [L.words(r.text) for r in docs.where("doc_id % 10 = 0").collect()]
+    numbers = L.Encoder(v).encode(held)
+    k, e, around = L.windows(L._split(numbers, held))
+    counts = np.array([n[h] for h in numbers[3].tolist()], float)
+    gain = (net.log_probability(k, e, around) - np.log(v.cells[k, e]) + math.log(total)).mean()
+    assert gain > 0.4 and len(counts) > 300_000
+
+
 def test_lm_edges(spark):
     from sitegraph.llm.lm_score import lm_score
-    got = {(r.doc_id, r.text): r for r in lm_score(docs_of(spark, edge_rows())).collect()}
+    rows = edge_rows()
+    out = lm_score(docs_of(spark, rows))
+    got = {(r.doc_id, r.text): r for r in out.collect()}
+    assert out.count() == len(rows) and set(docs_of(spark, rows).columns) <= set(out.columns)
     assert got[(2, "")].n_tokens == 0 and got[(2, "")].log_prob == 0 and got[(1, None)].mean_log_prob is None
     assert lm_score(docs_of(spark, [])).count() == 0
 

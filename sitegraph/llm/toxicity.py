@@ -125,13 +125,13 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: i
         return m
     shrink = np.minimum(0.2, kv / df)  # what few texts say of pairs counts little
     gw, gv, g0 = np.full(m.w.shape, 1e-2), np.full(m.v.shape, 1e-2), 1e-2
-    held = [s[s >= 0] for s in (slot[t] for t in texts)]
     batches, order = [], rng.permutation(n)
-    for lo in range(0, n, batch):  # the same batches in every epoch, in another order
+    for lo in range(0, n, batch):  # the same batches in every epoch, in another order; small numbers, as all are kept
         pick = order[lo:lo + batch]
-        at = np.concatenate([held[i] for i in pick])
-        row = np.repeat(np.arange(len(pick)), [len(held[i]) for i in pick])
-        batches.append((pick, at, row, *np.unique(at, return_inverse=True)))
+        held = [s[s >= 0] for s in (slot[texts[i]] for i in pick)]
+        at = np.concatenate(held)
+        used, place = np.unique(at, return_inverse=True)
+        batches.append((pick, at, np.repeat(np.arange(len(pick), dtype=np.int16), [len(h) for h in held]), used, place.astype(np.int32)))
     for _ in range(epochs or max(10, -(-STEPS // len(batches)))):
         for b in rng.permutation(len(batches)):
             pick, at, row, used, place = batches[b]
@@ -177,8 +177,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.string()), b.column(2), terms], ["h", "id", "y", "terms"])
 
     got = d.mapInArrow(hashed, "h bigint, id string, y int, terms array<int>").toArrow()
-    got = got.slice(0).sort_by([("h", "ascending"), ("id", "ascending")])
-    return fit([t.values.to_numpy().astype(np.int32) for t in got["terms"]], got["y"].to_numpy().astype(float))
+    got = got.sort_by([("h", "ascending"), ("id", "ascending")]).combine_chunks()
+    terms = got["terms"].chunk(0) if len(got) else pa.array([], pa.list_(pa.int32()))
+    ends, values = terms.offsets.to_numpy(), terms.values.to_numpy()  # views: the texts' terms are held once
+    return fit([values[i:j] for i, j in zip(ends[:-1], ends[1:])], got["y"].to_numpy().astype(float))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -83,6 +83,12 @@ def _sql_text_cte(src: str) -> str:
     return f"ptext AS (SELECT page_id, url, {D.clean_html('html')} AS c FROM {src})"
 
 
+def _json_sql(**fields: str) -> str:
+    """A JSON object of strings without the empty ones."""
+    parts = ", ".join(f"CASE WHEN coalesce({v}, '') <> '' THEN concat('\"{k}\":', CAST(to_json({v}) AS VARCHAR)) END" for k, v in fields.items())
+    return f"concat('{{', concat_ws(',', {parts}), '}}')"
+
+
 # ------------------------------------------------------------- insights
 def _insights_sql(src_ctes: list[str], src: str) -> str:
     counts = ", ".join(f"len({D.start_tags('t.c', t)})::BIGINT AS {t}" for t in P.DEFAULT_COUNT_TAGS)
@@ -1187,6 +1193,27 @@ def q_search_fields(spark, sf):
     return AT.fields(r, "v").withColumn("type", F.regexp_replace("type", r"\(.*\)$", ""))
 
 
+@register("result_attributes", _crawl_sql(robots=True) + f""",
+ptext AS (SELECT page_id, url, {D.clean_html('html')} AS c FROM pplus),
+sums AS (SELECT root_url, count(*) AS n FROM mn GROUP BY root_url)
+SELECT 'page' AS operation, url, {_json_sql(title=D.title_of('c'), url='url')} AS attributes FROM ptext
+UNION ALL
+SELECT 'sitemap', r.root_url, concat('{{"count":', coalesce(n, 0), ',"depth":{CRAWL_DEPTH},"url":', CAST(to_json(r.root_url) AS VARCHAR), '}}')
+FROM (SELECT DISTINCT root_url FROM roots) r LEFT JOIN sums ON sums.root_url = r.root_url""")
+def q_result_attributes(spark, sf):
+    """What page operations and sitemaps return beside their result, as open maps."""
+    from sitegraph.operators import attributes as AT
+    from sitegraph.operators import content as C
+    from sitegraph.plans import sitemap as SM
+    pages = C.page_content(T.pages_plus(spark, sf), "text").select(
+        F.lit("page").alias("operation"), "url", AT.attributes(url=F.col("url"), title=F.nullif(F.col("title"), F.lit(""))).alias("a"))
+    m, opts = _map(spark, sf)
+    s = SM.sitemap_summary(m, opts.max_depth, _crawl_inputs(spark, sf)[2])
+    s = s.select(F.lit("sitemap").alias("operation"), F.col("root_url").alias("url"),
+                 AT.attributes(url=F.col("root_url"), count=F.col("url_count"), depth=F.col("max_depth")).alias("a"))
+    return pages.unionByName(s).select("operation", "url", F.to_json("a").alias("attributes"))
+
+
 @register("response_attributes", with_ctes(FX.SEARCH) + """
 SELECT query_id, json_extract_string(body, '$.searchParameters.q') AS query, CAST(json_extract(body, '$.extra.kept[1]') AS BIGINT) AS kept,
        CAST(json_extract(body, '$.extra') AS VARCHAR) AS extra, json_extract_string(body, '$.knowledgeGraph.type') AS kg_type FROM search""")
@@ -1213,12 +1240,6 @@ def q_search_summary(spark, sf):
 
 
 # ------------------------------------------------------- records, graph
-def _json_sql(**fields: str) -> str:
-    """A JSON object of strings without the empty ones."""
-    parts = ", ".join(f"CASE WHEN coalesce({v}, '') <> '' THEN concat('\"{k}\":', CAST(to_json({v}) AS VARCHAR)) END" for k, v in fields.items())
-    return f"concat('{{', concat_ws(',', {parts}), '}}')"
-
-
 def _folder(spark, name: str) -> str:
     import os
     import uuid

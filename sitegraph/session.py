@@ -37,6 +37,8 @@ def get_spark(master: str | None = None, app: str = "sitegraph",
     b = b.config("spark.driver.memory", os.environ.get("SITEGRAPH_DRIVER_MEM", "8g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if spark.sparkContext.master.startswith("local[") and spark.conf.get("sitegraph.scan.partitions", None) is None:
+        spark.conf.set("sitegraph.scan.partitions", str(spark.sparkContext.defaultParallelism))  # small files, many cores
     checkpoint_dir(spark)
     return spark
 

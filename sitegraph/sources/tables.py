@@ -18,24 +18,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def balanced(df: DataFrame, key: str = "page_id") -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    Per-page work is CPU bound (regular expressions over whole documents).
-    A large page store already scans as many splits as there are cores and
-    is left alone; a small file with one row group would otherwise run in
-    one task.  Hash partitioning by ``key`` also serves the later
-    page-keyed windows and aggregates (no second exchange).  The check reads
-    only the planned split count, it runs no job.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the scan as is
-        return df
-    if splits < cores:
-        return df.repartition(cores, key)
-    return df
+def balanced(df: DataFrame, key: str = "page_id", partitions: int | None = None) -> DataFrame:
+    """``df`` spread over ``partitions`` tasks by a hash of ``key``; as it is scanned without a number.
+
+    Per-page work is CPU bound (regular expressions over whole documents), and a small file with one row group
+    is one task.  The number is the caller's, by argument or by the session's ``sitegraph.scan.partitions``
+    (``session.get_spark`` sets it for local masters); a large store is left as scanned."""
+    n = partitions or int(df.sparkSession.conf.get("sitegraph.scan.partitions", "0"))
+    return df.repartition(n, key) if n > 0 else df
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

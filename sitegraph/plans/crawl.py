@@ -291,7 +291,8 @@ def page_scan(urls: DataFrame, store: DataFrame, url_col: str = "url") -> DataFr
     filter of the wanted keys thins its scan.  Neither read of the store is shuffled, and a URL asked for a
     thousand times costs its page once until the end."""
     store = store if "key" in store.columns else page_store(store)
-    wanted = urls.withColumn("_k", U.clean_url(F.col(url_col))).where(F.col("_k").isNotNull())
+    # written once, as it is read twice; a filter on the key would else be pushed into what the URLs are made of
+    wanted = _save(urls.withColumn("_k", U.clean_url(F.col(url_col)))).where(F.col("_k").isNotNull())
     keys = wanted.select(F.col("_k").alias("key")).distinct()
     ok = store.where("status = 200")
     best = keys.join(ok.select("key", "page_id"), "key").groupBy("key").agg(F.min("page_id").alias("page_id"))

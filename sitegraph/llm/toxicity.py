@@ -44,6 +44,8 @@ RARE = 4
 STEPS = 700
 #: Weight of a term that all texts have; one that no other text has weighs 1.
 FLOOR = 0.3
+#: Terms of texts that are scored together, which bounds what a worker holds.
+TOGETHER = 200_000
 #: Words whose term numbers a worker keeps.
 CACHE = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -84,12 +86,16 @@ class Model:
     own: np.ndarray
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Probability of label 1 for each text's term numbers."""
-        sizes = [len(t) for t in texts]
-        at = self.slot[np.concatenate([*texts, np.zeros(0, np.int32)])]
-        row = np.repeat(np.arange(len(texts)), sizes)[at >= 0]
-        at = at[at >= 0]
-        return 1 / (1 + np.exp(-np.clip(self._raw(row, at, len(texts)), -40, 40)))
+        """Probability of label 1 for each text's term numbers; texts of about ``TOGETHER`` terms at a time."""
+        ends = np.cumsum([len(t) for t in texts])
+        cuts = np.searchsorted(ends, np.arange(TOGETHER, ends[-1] + 1, TOGETHER) if len(texts) else []) + 1
+        out = []
+        for i, j in zip([0, *cuts], [*cuts, len(texts)]):
+            some = texts[i:j]
+            at = self.slot[np.concatenate([*some, np.zeros(0, np.int32)])]
+            row = np.repeat(np.arange(len(some)), [len(t) for t in some])[at >= 0]
+            out.append(self._raw(row, at[at >= 0], len(some)))
+        return 1 / (1 + np.exp(-np.clip(np.concatenate(out), -40, 40)))
 
     def _raw(self, row: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
         x = self.x[at]

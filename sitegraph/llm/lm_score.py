@@ -27,6 +27,8 @@ alone, so neither files nor partitions nor executors change the scores.
 
 from __future__ import annotations
 
+import itertools
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,14 +42,13 @@ from sitegraph.llm.common import free_names, parallelism, row_key, stage
 
 #: Most frequent words whose counts and classes every task has.
 KNOWN = 1 << 17
-CLASSES, ENDINGS = 64, 64
+CLASSES, ENDINGS = 32, 64
 SIDE, WIDTH = 2, 16
 ROUNDS, GROUP = 2, 4_000_000
 #: Words of a training step, and of a scoring step.
 STEP = 4096
 #: Distinct words a worker keeps the numbers of.
 CACHE = 500_000
-_NONE = CLASSES  # class and ending of a place outside the document
 
 
 def words(text: str | None) -> list[bytes]:
@@ -165,8 +166,11 @@ class Network:
         for i in range(0, len(classes), STEP):
             h, k, e = self.hidden(around[:, :, i:i + STEP]), classes[i:i + STEP], endings[i:i + STEP]
             at = np.arange(len(k))
-            a, b = h @ self.w1 + self.b1, h @ self.w2 + self.b2[k]
-            out[i:i + STEP] = (a[at, k] - np.log(np.exp(a).sum(axis=1))).astype(float) + (b[at, e] - np.log(np.exp(b).sum(axis=1)))
+            a, b = h @ self.w1, h @ self.w2
+            a += self.b1
+            b += self.b2[k]
+            out[i:i + STEP] = a[at, k] + b[at, e]
+            out[i:i + STEP] -= np.log(np.exp(a, out=a).sum(axis=1)) + np.log(np.exp(b, out=b).sum(axis=1))
         return out
 
 
@@ -185,16 +189,20 @@ class Learner:
     def _step(self, k: np.ndarray, e: np.ndarray, around: np.ndarray) -> None:
         net, n = self.net, len(k)
         h, at = net.hidden(around), np.arange(n)
-        p = np.exp(h @ net.w1 + net.b1)
-        p /= p.sum(axis=1, keepdims=True) * n
+        p = h @ net.w1
+        p += net.b1
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True) * np.float32(n)
         p[at, k] -= 1 / n
-        q = np.exp(h @ net.w2 + net.b2[k])
-        q /= q.sum(axis=1, keepdims=True) * n
+        q = h @ net.w2
+        q += net.b2[k]
+        np.exp(q, out=q)
+        q /= q.sum(axis=1, keepdims=True) * np.float32(n)
         q[at, e] -= 1 / n
         back = (p @ net.w1.T + q @ net.w2.T) * (1 - h * h)
         gb2 = _add_up(k, q, CLASSES)
-        gc = np.stack([_add_up(around[0, s], back, CLASSES + 1) for s in range(2 * SIDE)])
-        ge = np.stack([_add_up(around[1, s], back, ENDINGS + 1) for s in range(2 * SIDE)])
+        both = np.stack([_add_up_both(around[0, s], around[1, s], back) for s in range(2 * SIDE)])
+        gc, ge = both[:, :CLASSES + 1], both[:, CLASSES + 1:]
         for x, g, sum_g in zip(net.parts(), (gc, ge, h.T @ p, p.sum(axis=0), h.T @ q, gb2), self.g):
             sum_g += g * g
             x -= self.rate * g / np.sqrt(sum_g)
@@ -207,11 +215,20 @@ def _add_up(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return hot @ rows
 
 
+def _add_up_both(classes: np.ndarray, endings: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The same for classes and, behind them, endings, in one product."""
+    hot = np.zeros((CLASSES + ENDINGS + 2, len(rows)), np.float32)
+    at = np.arange(len(rows))
+    hot[classes, at] = 1
+    hot[endings + (CLASSES + 1), at] = 1
+    return hot @ rows
+
+
 def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(classes, endings, around) of every word of documents given as (2, words) arrays; none reach across documents."""
-    gap = np.full((2, SIDE), _NONE, np.int64)
+    gap = np.repeat([[CLASSES], [ENDINGS]], SIDE, axis=1)  # the class and the ending of a place outside the document
     run = np.concatenate([gap, *(x for d in docs for x in (d, gap))], axis=1)
-    at = np.flatnonzero(run[0] != _NONE)
+    at = np.flatnonzero(run[0] != CLASSES)
     around = np.stack([run[:, at + o] for o in range(-SIDE, SIDE + 1) if o], axis=1)
     return run[0, at], run[1, at], around
 
@@ -239,10 +256,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     def count(batches):
         for b in batches:
             for run in _runs(b.column(0).to_pylist()):
-                n: dict[bytes, int] = {}
-                for t in run:
-                    for w in t:
-                        n[w] = n.get(w, 0) + 1
+                n = Counter(itertools.chain.from_iterable(run))
                 yield pa.RecordBatch.from_arrays([pa.array(map(word_hash, n), pa.int64()), pa.array(map(ending, n), pa.int32()),
                                                   pa.array(n.values(), pa.int64())], ["h", "ending", "n"])
 

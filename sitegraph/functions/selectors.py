@@ -74,11 +74,11 @@ def parse(selector: str) -> list[Simple]:
     return [c[0] for c in chains]
 
 
-def predicate(s: Simple, tag: Column) -> Column:
-    """Does start tag string ``tag`` match simple selector ``s``?"""
+def predicate(s: Simple, tag: Column, name: Column | None = None) -> Column:
+    """Does start tag string ``tag`` match simple selector ``s``?  ``name``: the tag's name, if it is known."""
     cond = F.lit(True)
     if s.tag and s.tag != "*":
-        cond = cond & (H.tag_name(tag) == s.tag)
+        cond = cond & ((H.tag_name(tag) if name is None else name) == s.tag)
     if s.cls:
         cls = F.coalesce(H.attr(tag, "class"), F.lit(""))
         cond = cond & F.array_contains(F.split(F.trim(cls), r"[ \t\n\r\f]+"), s.cls)

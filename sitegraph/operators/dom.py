@@ -72,6 +72,16 @@ def normal(raw: str) -> str:
     return f"regexp_replace(translate({flat}, '{_KEPT}', ' \\t\\n\\r\\f\\u00a0\\u00ad\\u200b'), '^{spaces}+|{spaces}+$', '')"
 
 
+def one_space_sql(text: str) -> str:
+    """SQL form of ``one_space``."""
+    return f"regexp_replace(regexp_replace({text}, '[\\u00ad\\u200b]', ''), '[ \\\\t\\\\n\\\\r\\\\f\\u00a0]+', ' ')"
+
+
+def kept_sql(text: str) -> str:
+    """SQL form of ``kept``."""
+    return f"translate({text}, ' \\t\\n\\r\\f\\u00a0\\u00ad\\u200b', '{_KEPT}')"
+
+
 def kept(text: Column) -> Column:
     return F.translate(text, _SPACES, _KEPT)
 
@@ -79,7 +89,9 @@ def kept(text: Column) -> Column:
 def steps(html: Column) -> Column:
     """``array<struct<mark, text, tag, kind>>``: a page's marks in order, each with the text behind it; before the first
     mark stands the text that the page begins with.  kind: o(pen), c(lose), v(oid) or n(one)."""
-    marked = F.regexp_replace(F.translate(F.coalesce(html, F.lit("")), "\u0001\u0002", ""), MARK_RE, "\u0001$0\u0002")
+    page = F.coalesce(html, F.lit(""))
+    page = F.when(page.contains("\u0001") | page.contains("\u0002"), F.translate(page, "\u0001\u0002", "")).otherwise(page)
+    marked = F.regexp_replace(page, MARK_RE, "\u0001$0\u0002")
 
     def step(piece, i):
         mark = F.when(i == 0, F.lit("")).otherwise(F.substring_index(piece, "\u0002", 1))
@@ -102,14 +114,14 @@ def _cases(tag: Column, which: int) -> Column:
     return out
 
 
-def operations(every: Column, *extra) -> Column:
-    """The fold's operations of ``steps``: ``i, tag, kind, want, stop, p, main`` and the fields that ``extra`` functions
-    of a step give.  An operation closes the nearest open element of ``want`` with all inside it, unless one of
+def operations(every: Column, **extra) -> Column:
+    """The fold's operations of ``steps``: ``i, tag, kind, want, stop, p, main`` and the fields that the ``extra`` functions
+    give, once for each step.  An operation closes the nearest open element of ``want`` with all inside it, unless one of
     ``stop`` comes first; ``t`` closes what is on top (a void element after its opening), ``z`` all."""
     none = F.array().cast("array<string>")
 
     def of(s, i):
-        more = [f(s) for f in extra]
+        more = [s[name].alias(name) for name in extra]
 
         def op(kind, want, stop, p, main):
             return F.struct(i.cast("int").alias("i"), s["tag"].alias("tag"), kind.alias("kind"), want.alias("want"), stop.alias("stop"),
@@ -123,7 +135,8 @@ def operations(every: Column, *extra) -> Column:
             op(kind, own, none, False, s["kind"] != "v"),
             F.when(s["kind"] == "v", op(F.lit("t"), none, none, False, F.lit(True)))), lambda x: x.isNotNull())
 
-    ops = F.flatten(F.transform(every, of))
+    ready = F.transform(every, lambda s: F.struct(s["tag"].alias("tag"), s["kind"].alias("kind"), *[f(s).alias(n) for n, f in extra.items()]))
+    ops = F.flatten(F.transform(ready, of))
     # what ends the page: the first step again, as an operation that closes all and adds nothing
     def ended(o):
         return F.concat(o, F.transform(F.slice(o, 1, 1), lambda x: x.withField("kind", F.lit("z")).withField("i", F.size(every))
@@ -156,9 +169,9 @@ def _masks(selectors: list[str]):
 
     def masks(s):
         def mask(chain):
-            return sum((F.when(S.predicate(x, s["mark"]), F.lit(1 << j)).otherwise(0) for j, x in enumerate(chain)), F.lit(0))
+            return sum((F.when(S.predicate(x, s["mark"], s["tag"]), F.lit(1 << j)).otherwise(0) for j, x in enumerate(chain)), F.lit(0))
         m = F.array(*[mask(c) for _, c in chains])
-        return F.when(s["kind"].isin("o", "v"), m).otherwise(F.array().cast("array<int>")).alias("m")
+        return F.when(s["kind"].isin("o", "v"), m).otherwise(F.array().cast("array<int>"))
     return chains, masks
 
 
@@ -257,6 +270,11 @@ def _selected_text(flat: Column, hits: Column, selectors: range) -> Column:
     return F.aggregate(order, zero, of, lambda acc: F.trim(F.array_join(acc["out"], " ")))
 
 
+def _selected_texts(told: Column, hits: Column, selectors: range) -> Column:
+    """``_selected_text`` with the told page worked out once, not for each element."""
+    return H.let(told, lambda flat: _selected_text(flat, hits, selectors))
+
+
 def with_dom(pages: DataFrame, *, text: list[str] | None = None, counts: list[str] | None = None, first: list[str] | None = None,
              markdown: bool = False, rules: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """``pages`` with the asked columns: ``_text`` (of selected elements), ``_counts`` (elements of each selector),
@@ -267,7 +285,7 @@ def with_dom(pages: DataFrame, *, text: list[str] | None = None, counts: list[st
     if asked:
         _, masks = _masks(asked)
         df = df.withColumn("_steps", steps(F.col("html")))
-        df = df.withColumn("_ops", operations(F.col("_steps"), masks))
+        df = df.withColumn("_ops", operations(F.col("_steps"), m=masks))
         df = df.withColumn("_n", F.size("_steps")).withColumn("_found", found(asked, "_ops", "_n"))
         df = df.withColumn("_hits", F.col("_found.hits"))
         df = df.withColumn("_flat", F.flatten(F.transform("_steps", lambda s: F.array(s["mark"], s["text"]))))
@@ -278,7 +296,7 @@ def with_dom(pages: DataFrame, *, text: list[str] | None = None, counts: list[st
         flat, hits = F.col("_flat"), F.col("_hits")
         at = [0, len(text or []), len(text or []) + len(counts or []), len(asked)]
         if text is not None:
-            df = df.withColumn("_text", _selected_text(F.col("_told"), hits, range(at[0], at[1])))
+            df = df.withColumn("_text", _selected_texts(F.col("_told"), hits, range(at[0], at[1])))
         if counts is not None:
             df = df.withColumn("_counts", F.array(*[F.size(_hit_by(hits, i)).cast("bigint") for i in range(at[1], at[2])]))
         if first is not None:

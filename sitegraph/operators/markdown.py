@@ -64,11 +64,12 @@ _FRAME = ["tag", "mode", "depth", "pre", "raws", "tab", "at", "n", "md", "mdb",
 def _attached(f: str, c: str) -> str:
     """Frame ``f`` with what its child ``c`` has become."""
     li = f"{c}.tag = 'li'"
-    ends = f"trim(TRAILING '\\n' FROM {c}.out)"
-    quoted = f"""CASE WHEN {c}.out = '' THEN '> \\n' WHEN {ends} = '' THEN '' ELSE concat('> ', replace({ends}, '\\n', '\\n> '), '\\n') END"""
-    piece = f"""CASE {f}.mode WHEN 'plain' THEN {c}.out WHEN 'list' THEN if({li}, concat('* ', {c}.inside, '\\n'), '')
+    out = f"coalesce({c}.out, concat('`', {dom.normal(c + '.raw')}, '`'))"  # only code without a rule has none: a pre wants its text alone
+    quoted = bind("out", out, bind("ends", "trim(TRAILING '\\n' FROM out)", """CASE WHEN out = '' THEN '> \\n' WHEN ends = '' THEN ''
+        ELSE concat('> ', replace(ends, '\\n', '\\n> '), '\\n') END"""))
+    piece = f"""CASE {f}.mode WHEN 'plain' THEN {out} WHEN 'list' THEN if({li}, concat('* ', {c}.inside, '\\n'), '')
         WHEN 'ol' THEN if({li}, concat({f}.n + 1, '. ', {c}.inside, '\\n'), '') WHEN 'quote' THEN {quoted}
-        WHEN 'pre' THEN {dom.normal(c + '.raw')} WHEN 'body' THEN if({c}.tag IN ({sql_list(_NOT_IN_BODY)}), '', {c}.out) ELSE '' END"""
+        WHEN 'pre' THEN {dom.normal(c + '.raw')} WHEN 'body' THEN if({c}.tag IN ({sql_list(_NOT_IN_BODY)}), '', {out}) ELSE '' END"""
     cell = f"""if({c}.tag IN ('td', 'th'), array(named_struct('at', {c}.at, 'th', {c}.tag = 'th', 's', {c}.inside)), cast(array() AS {_CELLS}))"""
     row = f"if({c}.tag = 'tr', array(named_struct('at', {c}.at, 'cells', {c}.cells)), cast(array() AS {_ROWS}))"
     return _written(f, piece, {
@@ -97,7 +98,7 @@ def _finished(f: str, rules: dict[str, tuple[str, str]]) -> str:
         WHEN {f}.tag = 'a' THEN if({f}.a <> '', concat('[', inside, '](', {f}.a, ')'), inside)
         WHEN {f}.tag = 'img' THEN if({f}.a <> '', concat('![', coalesce({f}.b, ''), '](', {f}.a, ')'), '')
         WHEN {f}.tag = 'pre' THEN concat('```', coalesce({f}.b, {f}.lang, ''), '\\n', inside, '\\n```\\n\\n')
-        WHEN {f}.tag = 'code' THEN concat('`', {dom.normal(f + '.raw')}, '`')
+        WHEN {f}.tag = 'code' THEN cast(NULL AS string)
         {" ".join(f"WHEN {f}.tag = '{t}' THEN {_text(o)}" for t, o in VOID_RULES.items())}
         {" ".join(around(t, *r) for t, r in RULES.items())} ELSE inside END"""
     raw = f"CASE WHEN {f}.tag IN ('script', 'style') THEN '' WHEN {f}.tag IN ({blocks}) THEN concat(' ', {f}.raw, ' ') ELSE {f}.raw END"
@@ -125,9 +126,10 @@ def _fold(ops: str, n_body: str, rules: dict[str, tuple[str, str]]) -> str:
     ended = bind("g", f"if(c IS NULL, f, {_attached('f', 'c')})", _finished("g", rules))
     child = f"aggregate(reverse(slice(s, k, size(s) - k + 1)), cast(NULL AS {_CHILD}), (c, f) -> {ended})"
     closes = bind("k", dom.CLOSES, "if(k = 0, s, " + bind("c", child, f"concat(slice(s, 1, k - 2), array({_attached('s[k - 2]', 'c')}))") + ")")
-    piece = """CASE e.mode WHEN 'plain' THEN x.one WHEN 'pre' THEN x.one WHEN 'quote' THEN concat('> ', trim(x.one), '\\n') ELSE '' END"""
+    one = dom.one_space_sql("x.text")
+    piece = f"""CASE e.mode WHEN 'plain' THEN {one} WHEN 'pre' THEN {one} WHEN 'quote' THEN concat('> ', trim({one}), '\\n') ELSE '' END"""
     text = bind("e", "element_at(u, -1)", f"""concat(slice(u, 1, size(u) - 1), array({_written('e', piece, {
-        "raw": "if(e.raws, concat(e.raw, if(e.pre, x.kept, x.text)), e.raw)"})}))""")
+        "raw": f"if(e.raws, concat(e.raw, if(e.pre, {dom.kept_sql('x.text')}, x.text)), e.raw)"})}))""")
     step = bind("t", closes, bind("u", f"if(x.kind = 'o', {opens}, t)", f"if(x.main AND x.text <> '', {text}, u)"))
     page = dict(frame, tag="'#page'", mode=f"if({n_body} >= 0, 'plain', 'body')", depth=f"if({n_body} >= 0, {_OUTSIDE}, 0)", pre="false", raws="false",
                 tab="false", at="-1", a="cast(NULL AS string)", b="cast(NULL AS string)")
@@ -155,9 +157,7 @@ def with_markdown(df: DataFrame, source: str, out: str, rules: dict[str, tuple[s
     d = df.withColumn("_md_steps", F.transform(dom.steps(F.col(source)), lambda s: _fields(s)[0]))
     opened = F.transform(F.col("_md_steps"), lambda s, i: F.when((s["kind"] == "o") & (s["tag"] == "body"), i))
     d = d.withColumn("_md_body", F.coalesce(F.array_min(opened), F.lit(-1)))
-    extra = [lambda s: s["text"].alias("text"), lambda s: dom.one_space(s["text"]).alias("one"), lambda s: dom.kept(s["text"]).alias("kept"),
-             lambda s: s["a"].alias("a"), lambda s: s["b"].alias("b")]
-    d = d.withColumn("_md_ops", dom.operations(F.col("_md_steps"), *extra))
+    d = d.withColumn("_md_ops", dom.operations(F.col("_md_steps"), text=lambda s: s["text"], a=lambda s: s["a"], b=lambda s: s["b"]))
     d = d.withColumn(out, F.expr(_fold("_md_ops", "_md_body", rules or {})))
     return d.withColumn(out, F.regexp_replace(out, _BREAKS, "\n\n")).drop("_md_steps", "_md_ops", "_md_body")
 

@@ -125,9 +125,10 @@ def start_tags(clean: Column, names: str) -> Column:
 def attr(tag: Column, name: str) -> Column:
     """Entity-decoded value of attribute ``name`` of one tag; NULL if absent."""
     pat = P.attr_re(name)
-    val = F.concat(F.regexp_extract(tag, pat, 1), F.regexp_extract(tag, pat, 2),
-                   F.regexp_extract(tag, pat, 3))
-    return F.when(tag.rlike(pat), decode_entities(val))
+    other = F.concat(F.regexp_extract(tag, pat, 2), F.regexp_extract(tag, pat, 3))
+    # most values are double quoted: then the tag is read once
+    val = let(F.regexp_extract(tag, pat, 1), lambda q: F.when(q != "", q).otherwise(F.when(tag.rlike(pat), other)))
+    return decode_entities(val)
 
 
 def tag_name(tag: Column) -> Column:

@@ -184,7 +184,7 @@ def q_insight_kinds(spark, sf):
     def tagged(kind):
         return lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("link"))
 
-    pp, out = T.pages_plus(spark, sf), None
+    pp, out = T.spread(T.pages_plus(spark, sf).select("page_id", "url", "html")), None
     for asked in _KINDS:
         df = I.page_insights(pp, kinds=asked)
         kinds = L.INSIGHT_KINDS[asked]

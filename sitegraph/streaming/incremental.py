@@ -40,7 +40,7 @@ from sitegraph.operators import links as L
 from sitegraph.operators import robots as R
 from sitegraph.plans import crawl as C
 from sitegraph.session import checkpoint_dir
-from sitegraph.streaming.stream import page_records, read_page_stream, rocksdb
+from sitegraph.streaming.stream import page_records, read_page_stream, rocksdb, spread
 
 MESSAGE = "root_url string, url string, parent_url string, depth int"
 PAGE = "key string, page_id bigint, valid boolean, title string, children array<string>"
@@ -102,7 +102,7 @@ class CrawlStream:
         first.write.mode("ignore").partitionBy("depth").parquet(self._at("seeds"))
         first.limit(0).write.mode("ignore").partitionBy("depth").parquet(self._at("nodes"))
         with rocksdb(spark):
-            landed = self.status_fn(read_page_stream(spark, self.landing, max_files_per_trigger=self.files))
+            landed = self.status_fn(spread(read_page_stream(spark, self.landing, max_files_per_trigger=self.files)))
             self._sink(parsed_pages(landed, self.opts).withColumn("part", F.lit(0)), "pages", "part")
             self._sink(self._expand(), "messages", "depth")
             if fmt:
@@ -140,7 +140,7 @@ class CrawlStream:
         if self.rules is not None:
             nodes = R.allowed_by_rules(nodes, self.rules).where("allowed").select("root_url", "url")
         nodes = nodes.dropDuplicates(["root_url", "url"])
-        landed = self.status_fn(read_page_stream(self.spark, self.landing, max_files_per_trigger=self.files))
+        landed = self.status_fn(spread(read_page_stream(self.spark, self.landing, max_files_per_trigger=self.files)))
         status = F.col("status") if "status" in landed.columns else F.lit(200)
         landed = landed.where(status == 200).select("page_id", "url", "html")
         made = page_records(landed, fmt, selectors).select(U.clean_url(F.col("url")).alias("key"), "page_id", "title", "content")

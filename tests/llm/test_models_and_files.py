@@ -269,6 +269,39 @@ def test_score_by_definition(spark, known):
         assert got[key].n_tokens == len(w) and math.isclose(got[key].log_prob, total, rel_tol=1e-4), key
 
 
+def test_words_are_numbered_once(spark, monkeypatch):
+    """Training and scoring read the table of numbers; none of them splits texts into words again."""
+    from sitegraph.llm import lm_score as L
+    staged, stage = [], L.stage
+    monkeypatch.setattr(L, "stage", lambda df, name: staged.append((name, df.inputFiles())) or stage(df, name))
+    assert L.lm_score(docs_of(spark, edge_rows())).count() == len(edge_rows())
+    assert [name for name, _ in staged] == ["words", "numbers"] + ["weights"] * L.ROUNDS + ["scores"]
+    assert all(files and all("/llm-numbers-" in f for f in files) for _, files in staged[2:])
+
+
+@pytest.mark.parametrize("known", [0, 1, 40])
+def test_numbers_of_words(monkeypatch, known):
+    """All words of a run at once, as each by itself, also after the worker forgot those it had."""
+    from sitegraph.llm import lm_score as L
+    monkeypatch.setattr(L, "CACHE", 30)
+    rng = np.random.default_rng(5)
+    every = [bytes(rng.integers(97, 123, size).astype(np.uint8)) for size in rng.integers(1, 9, 200)] + ["é".encode(), "\U0001f600".encode()]
+    assert L.word_hashes(every).tolist() == [*map(L.word_hash, every)] and L.endings_of(every).tolist() == [*map(L.ending, every)]
+    hashes = np.array([*dict.fromkeys(map(L.word_hash, every))][:known], np.int64)
+    v = L.Vocabulary.of(hashes, np.arange(len(hashes), 0, -1), 500)
+    at = {h: i for i, h in enumerate(v.hashes.tolist())}
+    encoder = L.Encoder(v)
+    for _ in range(4):
+        run = [[every[i] for i in rng.integers(0, len(every), size)] for size in (0, 50, 1, 0, 7)]
+        for got, w in zip(encoder.encode(run).T.tolist(), [w for t in run for w in t], strict=True):
+            i = at.get(L.word_hash(w), -1)
+            assert got == [i, int(v.classes[i]) if i >= 0 else L.CLASSES - 1, L.ending(w), L.word_hash(w)]
+        numbers = encoder.encode(run)
+        sizes = [len(t) for t in run]
+        back = L._documents(L._binary([L._codes(numbers[1], numbers[2])], sizes).to_pylist())
+        assert [b.shape[1] for b in back] == sizes and (np.concatenate(back, axis=1) == numbers[1:3]).all()
+
+
 def test_scores_do_not_depend_on_partitions(spark, sf):
     from sitegraph.llm.lm_score import lm_score
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
